@@ -50,16 +50,17 @@ def round_exact(c: Column, digits: int = 2) -> Column:
     cases that look like ties. Doubles above 2^45 carry no such digits and pass.
     """
     scale = F.lit(float(10**digits))
-    product = c * scale
-    wide = c * F.lit(134217729.0)  # 2^27 + 1
-    high = wide - (wide - c)
-    remainder = (high * scale - product) + (c - high) * scale
+    size = F.abs(c)
+    product = size * scale
+    wide = size * F.lit(134217729.0)  # 2^27 + 1
+    high = wide - (wide - size)
+    remainder = (high * scale - product) + (size - high) * scale
     below = F.floor(product).cast("double")
     excess = product - below - F.lit(0.5)
     up = (excess > 0) | ((excess == 0) & (remainder > 0))
     tie = (excess == 0) & (remainder == 0)
     rounded = F.when(tie, F.rint(product)).when(up, below + 1).otherwise(below) / scale
-    return F.when(F.abs(c) < F.lit(float(2**45)), rounded).otherwise(c)
+    return F.when(size < F.lit(float(2**45)), rounded * F.signum(c)).otherwise(c)
 
 
 def safe_text(c: Column, default: str | None = None) -> Column:

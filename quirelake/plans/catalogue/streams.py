@@ -26,9 +26,10 @@ def stream_bronze(spark, sf_dir):
     """Stream to landing folders, and the folders read back."""
     root = scratch(spark, "bronze")
     records = _events(spark, sf_dir).selectExpr(
-        "event_id", "user_id", "event_type AS categorie", "'events' AS source", "ts"
+        "event_id", "user_id", "event_type AS categorie", "'events' AS source"
     )
-    jobs.to_bronze(records, root, scratch(spark, "checkpoint"), F.col("ts")).awaitTermination()
+    landed_at = F.lit("2026-05-01 10:30:00").cast("timestamp_ntz")
+    jobs.to_bronze(records, root, scratch(spark, "checkpoint"), landed_at).awaitTermination()
     back = bronze.parse_lines(bronze.read_lines(spark, root), required=("event_id", "user_id", "categorie"))
     return back.selectExpr("CAST(event_id AS bigint) AS event_id", "CAST(user_id AS bigint) AS user_id", "categorie")
 

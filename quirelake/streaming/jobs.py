@@ -39,12 +39,28 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+def _adaptive(batch: DataFrame) -> DataFrame:
+    """Streams switch adaptive execution off; the write of a batch may use it,
+    so that a rebalance splits huge folders and merges small ones."""
+    batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+    return batch
+
+
 def to_bronze(records: DataFrame, root: str, checkpoint: str, at: Column, trigger=AVAILABLE) -> StreamingQuery:
-    """Append a stream of records as JSON lines below source / hour / category."""
+    """Land a stream of records as JSON lines below source / hour / category / batch."""
+    keys = [*LANDING_KEYS, "batch_id"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        keyed = _adaptive(batch).withColumn("batch_id", F.lit(batch_id))
+        (
+            keyed.hint("rebalance", *LANDING_KEYS)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys)
+            .option("ignoreNullFields", False).json(root)
+        )
+
+    stream = landing_columns(records, at)
     return (
-        landing_columns(records, at)
-        .writeStream.format("json").partitionBy(*LANDING_KEYS).option("ignoreNullFields", False)
-        .option("path", root).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+        stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
 
@@ -130,7 +146,7 @@ def upsert_latest(
     """Keep a table of the newest row per key up to date from a stream."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        merge_latest(batch, path, f"{staging}/batch_id={batch_id}", key, order, ties, buckets)
+        merge_latest(_adaptive(batch), path, f"{staging}/batch_id={batch_id}", key, order, ties, buckets)
 
     return (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
