@@ -44,17 +44,18 @@ def volume_urls(payloads: DataFrame, base: str, payload="payload", keep=("query"
 
 def work_records(details: DataFrame, run_ts: str, detail="detail", work="work", subject="subject") -> DataFrame:
     """Works joined with their stored details to Bronze records."""
-    data = F.from_json(detail, WORK_DETAIL)
+    parsed = details.withColumn("_detail", F.from_json(detail, WORK_DETAIL))
+    data = F.col("_detail")
     author = F.get(F.col(f"{work}.authors"), 0)["name"]
     # the description is a text or an object that holds the text as `value`
+    as_object = F.from_json(detail, "description struct<value: string>")["description"]
+    nested = F.when(as_object.isNotNull(), as_object["value"]).otherwise(data["description"])
     description = F.coalesce(
-        F.get_json_object(detail, "$.description.value"),
-        F.when(~F.coalesce(data["description"], F.lit("")).startswith("{"), data["description"]),
-        F.lit(""),
+        F.when(data["description"].startswith("{"), nested).otherwise(data["description"]), F.lit("")
     )
     isbn = F.coalesce(F.get(data["isbn_13"], 0), F.get(data["isbn_10"], 0), F.lit(""))
     key = F.coalesce(F.col(f"{work}.key"), F.lit(""))
-    return details.select(
+    return parsed.select(
         trim_ws(F.coalesce(F.col(f"{work}.title"), F.lit(""))).alias("titre"),
         F.coalesce(author, F.lit("Unknown")).alias("auteur"),
         F.lit(None).cast("string").alias("prix"),

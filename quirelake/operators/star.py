@@ -8,7 +8,7 @@ broadcasts them when they are below its size threshold and sorts them otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirelake.functions.numeric import round_half_up
@@ -221,10 +221,10 @@ def top_rated(
     """The n best rated, then most reviewed facts with their names.
 
     Facts whose keys match no dimension row drop out, so the limit comes after
-    the joins. What can be dropped before them are facts beyond the n best of
-    their own key combination; that bounds a hot book to n rows per map task.
-    With `keys_complete` (every key has its dimension row, as in a star built
-    by `star_from_silver` without nulls) only n facts are joined at all.
+    the joins; a hot book is split by the adaptive skew join. With
+    `keys_complete` (every key has its dimension row, as in a star built by
+    `star_from_silver` without nulls) the limit comes first: nothing is
+    shuffled and n facts are joined.
     """
     best = [F.col("note_etoiles").desc(), F.col("nb_avis").desc_nulls_last(), *[F.col(t).asc() for t in ties]]
     keys = ["fk_livre", "fk_categorie", "fk_source"]
@@ -232,9 +232,6 @@ def top_rated(
     rated = fact.filter(F.col("note_etoiles").isNotNull()).select(*columns)
     if keys_complete:
         rated = rated.orderBy(*best).limit(n)
-    else:
-        within = Window.partitionBy(*keys).orderBy(*best)
-        rated = rated.withColumn("_rank", F.row_number().over(within)).filter(F.col("_rank") <= n).drop("_rank")
     return (
         rated.join(dim_category, F.col("fk_categorie") == F.col("id_categorie"))
         .join(dim_source, F.col("fk_source") == F.col("id_source"))

@@ -115,7 +115,7 @@ def library_books(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Python-style stripping in SQL, by the same characters.
-_WS_SQL = (
+WHITESPACE_SQL = (
     "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || ' ' || "
     "chr(133) || chr(160) || chr(5760) || "
     + " || ".join(f"chr({c})" for c in range(0x2000, 0x200B))
@@ -131,7 +131,7 @@ library_silver AS (
     CAST(NULL AS DOUBLE) AS note_etoiles,
     'unknown' AS disponibilite,
     CASE lang WHEN 'fr' THEN 'Unknown' ELSE 'Fiction/Prose' END AS categorie,
-    trim(regexp_replace(nullif(text, ''), '[\\r\\n]+', ' ', 'g'), {_WS_SQL}) AS description,
+    trim(regexp_replace(nullif(text, ''), '[\\r\\n]+', ' ', 'g'), {WHITESPACE_SQL}) AS description,
     CASE lang WHEN 'es' THEN NULL ELSE '978' || doc_id END AS isbn,
     n_chars AS nb_avis,
     lang AS langue,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quirelake.functions import markup, numeric, text
 from quirelake.plans.catalogue import query, table
-from quirelake.plans.catalogue.bindings import _WS_SQL
+from quirelake.plans.catalogue.bindings import WHITESPACE_SQL
 
 
 @query("""
@@ -48,11 +48,11 @@ def clean_author(spark, sf_dir):
 
 @query(f"""
 WITH doubled AS (
-  SELECT doc_id, trim(CASE lang WHEN 'en' THEN text || text WHEN 'fr' THEN text || ' ' || text ELSE text END, {_WS_SQL})
+  SELECT doc_id, trim(CASE lang WHEN 'en' THEN text || text WHEN 'fr' THEN text || ' ' || text ELSE text END, {WHITESPACE_SQL})
     AS t FROM documents),
 halves AS (SELECT doc_id, t, length(t) // 2 AS h FROM doubled)
-SELECT doc_id, CASE WHEN h > 30 AND trim(substr(t, h + 1, 20), {_WS_SQL}) = trim(substr(t, 1, 20), {_WS_SQL})
-  THEN trim(substr(t, 1, h), {_WS_SQL}) ELSE t END AS description FROM halves
+SELECT doc_id, CASE WHEN h > 30 AND trim(substr(t, h + 1, 20), {WHITESPACE_SQL}) = trim(substr(t, 1, 20), {WHITESPACE_SQL})
+  THEN trim(substr(t, 1, h), {WHITESPACE_SQL}) ELSE t END AS description FROM halves
 """)
 def dedup_half_text(spark, sf_dir):
     doubled = table(spark, sf_dir, "documents").selectExpr(
@@ -63,7 +63,7 @@ def dedup_half_text(spark, sf_dir):
 
 
 @query(f"""
-SELECT doc_id, trim(regexp_replace(nullif(text, ''), '[\\r\\n]+', ' ', 'g'), {_WS_SQL}) AS description FROM documents
+SELECT doc_id, trim(regexp_replace(nullif(text, ''), '[\\r\\n]+', ' ', 'g'), {WHITESPACE_SQL}) AS description FROM documents
 """)
 def clean_newlines(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")

@@ -63,8 +63,8 @@ _SILVER_NULLS = " UNION ALL ".join(
 
 @query(f"""
 WITH {SHOP_SQL}
-SELECT colonne, nulls, rint(nulls / total * 100 * 10) / 10 AS pct FROM ({_SILVER_NULLS}) WHERE nulls > 0
-""".replace("rint(", "round_even(").replace("* 100 * 10) / 10", "* 100, 1)"))
+SELECT colonne, nulls, round_even(nulls / total * 100, 1) AS pct FROM ({_SILVER_NULLS}) WHERE nulls > 0
+""")
 def null_profile(spark, sf_dir):
     return quality.null_profile(plain(shop_silver(spark, sf_dir)))
 

@@ -14,7 +14,7 @@ from quirelake.plans.catalogue.bindings import (
     LIBRARY_SQL, RUN_TS, SHOP_SQL, SILVER_LIST, library_books, shop_books,
 )
 from quirelake.plans.catalogue.silver import plain, shop_silver
-from quirelake.schemas import SHOP_FOLDER
+from quirelake.schemas import BOOK_RAW, SHOP_FOLDER
 from quirelake.session import scratch
 from quirelake.sources import bronze, tables
 
@@ -131,7 +131,7 @@ def quarantine_write(spark, sf_dir):
     rows = shop_books(spark, sf_dir).withColumn("_at", F.try_to_timestamp("date_scraping"))
     _, untitled = split_untitled(keep_latest(rows, "url", "_at").drop("_at"))
     tables.write_quarantine(untitled, root, SHOP_FOLDER, RUN_TS)
-    back = spark.read.schema(bronze.book_schema()).option("recursiveFileLookup", True).json(root)
+    back = spark.read.schema(BOOK_RAW).option("recursiveFileLookup", True).json(root)
     return back.select("url", trim_ws(F.col("isbn")).alias("isbn"), F.col("nb_avis").cast("bigint").alias("nb_avis"))
 
 

@@ -8,7 +8,7 @@ from quirelake.operators.cleaning import clean_shop
 from quirelake.plans.catalogue import query, table
 from quirelake.plans.catalogue.bindings import RUN_TS, SHOP_SQL, shop_books
 from quirelake.plans.catalogue.silver import plain
-from quirelake.schemas import SILVER
+from quirelake.schemas import BOOK_RAW, SILVER
 from quirelake.session import scratch
 from quirelake.sources import bronze, tables
 from quirelake.streaming import jobs
@@ -93,7 +93,7 @@ def stream_silver(spark, sf_dir):
 @query(f"WITH {SHOP_SQL} SELECT url, count(*) AS lignes FROM shop WHERE trim(titre) = '' GROUP BY url")
 def stream_quarantine(spark, sf_dir):
     _, quarantine = _silver_stream(spark, sf_dir)
-    rows = spark.read.schema(bronze.book_schema()).option("recursiveFileLookup", True).json(quarantine)
+    rows = spark.read.schema(BOOK_RAW).option("recursiveFileLookup", True).json(quarantine)
     return rows.groupBy("url").agg(F.count("*").alias("lignes"))
 
 

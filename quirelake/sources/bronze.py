@@ -4,30 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quirelake.functions.text import path_key, trim_ws
 from quirelake.operators.cleaning import align
-from quirelake.schemas import BOOK_COLUMNS, BOOK_RAW
+from quirelake.schemas import BOOK_COLUMNS
 
 CORRUPT = "_corrupt_record"
 EXTRAS = "_extras"
 
 
-def _options(reader):
+def read_lines(spark: SparkSession, prefix: str) -> DataFrame:
+    """Every line of every .json file below the prefix; unreadable files are skipped."""
     return (
-        reader.option("recursiveFileLookup", True)
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
         .option("ignoreCorruptFiles", True)
         .option("ignoreMissingFiles", True)
+        .text(prefix)
     )
 
 
-def read_lines(spark: SparkSession, prefix: str) -> DataFrame:
-    """Every line of every .json file below the prefix, as text."""
-    return _options(spark.read).text(prefix)
-
-
 def parse_lines(lines: DataFrame, required=tuple(BOOK_COLUMNS), value: str = "value", keep=()) -> DataFrame:
     """Lines to rows in a single pass, without a scan to infer the schema.
 
@@ -55,24 +51,38 @@ def parse_lines(lines: DataFrame, required=tuple(BOOK_COLUMNS), value: str = "va
     )
 
 
+def extras_to_columns(df: DataFrame) -> DataFrame:
+    """Give every key of the `_extras` map a column of its own.
+
+    Takes one pass over the rows to find the keys. Keys that differ from another
+    column only in case cannot be columns in Spark and stay in the map.
+    """
+    found = df.select(F.explode(F.map_keys(EXTRAS))).distinct().collect()
+    taken = {c.lower() for c in df.columns}
+    columns = {}
+    for key in sorted(r[0] for r in found):
+        if key.lower() not in taken:
+            taken.add(key.lower())
+            columns[key] = F.try_element_at(EXTRAS, F.lit(key))
+    return df.withColumns(columns) if columns else df
+
+
 def read_bronze(
-    spark: SparkSession,
-    prefix: str,
-    required: dict[str, str | None] = BOOK_COLUMNS,
-    schema: T.StructType | None = None,
+    spark: SparkSession, prefix: str, required: dict[str, str | None] = BOOK_COLUMNS, extras: bool = True
 ) -> DataFrame:
     """All records below a prefix as text columns, with `_corrupt_record`.
 
-    Without `schema` Spark first scans the files once more to find every key, so
-    that unknown keys become columns of their own. With a `schema` there is one
-    scan and unknown keys are dropped; `parse_lines` has one scan and keeps them.
+    With `extras` the files are scanned once more to find every key, so that
+    unknown keys become columns and wholly absent ones get their defaults.
+    Without, there is one scan and unknown keys are dropped; `parse_lines` has
+    one scan and keeps them in a map.
     """
-    reader = _options(spark.read).option("columnNameOfCorruptRecord", CORRUPT).option("mode", "PERMISSIVE")
-    if schema is None:
-        df = reader.option("primitivesAsString", True).json(prefix)
-    else:
-        df = reader.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])).json(prefix)
-    return align(align(df, required), {CORRUPT: None})
+    parsed = parse_lines(read_lines(spark, prefix), required)
+    if not extras:
+        return parsed.drop("_names", EXTRAS)
+    seen = parsed.agg(*[F.bool_or(F.array_contains("_names", c)).alias(c) for c in required]).first()
+    present = parsed.drop("_names", *[c for c in required if not seen[c]])
+    return align(extras_to_columns(present), required)
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -82,12 +92,10 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def corrupt_report(df: DataFrame) -> DataFrame:
-    # counts a second column too: Spark refuses a scan for the corrupt column alone
     return df.agg(
         F.count_if(F.col(CORRUPT).isNull()).alias("lignes_lues"),
         F.count_if(F.col(CORRUPT).isNotNull()).alias("lignes_ignorees"),
-        F.count(F.coalesce(*[F.col(f"`{c}`").cast("string") for c in df.columns if c != CORRUPT])).alias("_used"),
-    ).drop("_used")
+    )
 
 
 def landing_columns(df: DataFrame, at: Column, source="source", category="categorie") -> DataFrame:
@@ -117,7 +125,3 @@ def land(df: DataFrame, root: str, at: Column) -> None:
         keyed.hint("rebalance", *LANDING_KEYS)
         .write.mode("append").partitionBy(*LANDING_KEYS).option("ignoreNullFields", False).json(root)
     )
-
-
-def book_schema() -> T.StructType:
-    return BOOK_RAW
