@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quirelake.functions.text import literal_map, trim_ws
+from quirelake.functions.text import bind, literal_map, trim_ws
 
 # Word ratings, as the last class of the rating node.
 RATING_WORDS = {"One": 1, "Two": 2, "Three": 3, "Four": 4, "Five": 5}
@@ -27,37 +27,49 @@ NAMED_REFERENCES = {
     "&szlig;": "ß", "&ntilde;": "ñ",
 }
 
-LINK = r'(?i)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"'
-NEXT_LINK = r'(?is)<li\b[^>]*\bclass="(?:[^"]*\s)?next(?:\s[^"]*)?"[^>]*>\s*<a\b[^>]*?\bhref="([^"]*)"'
-PRODUCT_LINK = r'(?is)<h3\b[^>]*>\s*<a\b[^>]*?\bhref="([^"]*)"'
-CATEGORY_MENU = r'(?is)<ul\b[^>]*\bclass="(?:[^"]*\s)?nav-list(?:\s[^"]*)?"[^>]*>.*?<ul\b[^>]*>(.*?)</ul>'
+# Link patterns; the target is their second group, the first one is the quote.
+_HREF = r"""<a\b[^>]*?\bhref\s*=\s*(["'])(.*?)\1"""
+LINK = f"(?is){_HREF}"
+PRODUCT_LINK = rf"(?is)<h3\b[^>]*>\s*{_HREF}"
+
+
+def _with_class(tag: str, name: str) -> str:
+    return rf"""<{tag}\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?{name}(?:\s[^"']*)?["'][^>]*>"""
+
+
+NEXT_LINK = rf"(?is){_with_class('li', 'next')}\s*{_HREF}"
+CATEGORY_MENU = rf"(?is){_with_class('ul', 'nav-list')}.*?<ul\b[^>]*>(.*?)</ul>"
 
 _INNERMOST_DIV = r"(?is)<div\b[^>]*+>(?:(?!</?div\b).)*+</div>"
 
 
-def _with_class(tag: str, name: str) -> str:
-    return rf'<{tag}\b[^>]*\bclass="(?:[^"]*\s)?{name}(?:\s[^"]*)?"[^>]*>'
+def _numeric_reference(token: Column) -> Column:
+    """One token: a numeric reference becomes its character, anything else stays."""
+    digits = F.when(
+        token.rlike("^&#[xX]"), F.regexp_extract(token, "^&#[xX]([0-9A-Fa-f]+);", 1)
+    ).otherwise(F.hex(F.regexp_extract(token, "^&#([0-9]+);", 1).try_cast("bigint")))
+    char = F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")
+    return F.when(token.rlike("^&#([0-9]{1,6}|[xX][0-9A-Fa-f]{1,5});$"), char).otherwise(token)
 
 
 def decode_references(c: Column) -> Column:
     """Named and numeric character references to the characters they stand for."""
-    def token(t: Column) -> Column:
-        digits = F.when(
-            t.rlike("^&#[xX]"), F.regexp_extract(t, "^&#[xX]([0-9A-Fa-f]+);", 1)
-        ).otherwise(F.hex(F.regexp_extract(t, "^&#([0-9]+);", 1).try_cast("bigint")))
-        char = F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")
-        return F.when(t.rlike("^&#([0-9]{1,6}|[xX][0-9A-Fa-f]{1,5});$"), char).otherwise(t)
 
-    tokens = F.regexp_extract_all(c, F.lit(r"(?s)&#[0-9xXA-Fa-f]{1,8};|[^&]++|&"), F.lit(0))
-    text = F.when(F.contains(c, F.lit("&#")), F.array_join(F.transform(tokens, token), "")).otherwise(c)
-    for reference, char in NAMED_REFERENCES.items():
-        text = F.replace(text, F.lit(reference), F.lit(char))
-    return F.when(F.contains(c, F.lit("&")), F.replace(text, F.lit("&amp;"), F.lit("&"))).otherwise(c)
+    def decoded(raw: Column) -> Column:
+        tokens = F.regexp_extract_all(raw, F.lit(r"(?s)&#[0-9xXA-Fa-f]{1,8};|[^&]++|&"), F.lit(0))
+        text = F.array_join(F.transform(tokens, _numeric_reference), "")
+        text = F.when(F.contains(raw, F.lit("&#")), text).otherwise(raw)
+        for reference, char in NAMED_REFERENCES.items():
+            text = F.replace(text, F.lit(reference), F.lit(char))
+        text = F.replace(text, F.lit("&amp;"), F.lit("&"))
+        return F.when(F.contains(raw, F.lit("&")), text).otherwise(raw)
+
+    return bind(c, decoded)
 
 
 def links(html: Column, pattern: str = LINK) -> Column:
     """All link targets that match `pattern`, in page order."""
-    return F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), decode_references)
+    return F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(2)), decode_references)
 
 
 def category_links(html: Column) -> Column:
@@ -81,7 +93,7 @@ def last_text_of_class(html: Column, tag: str, name: str, default: str) -> Colum
     """Last piece of text of the last such node; `default` when no node exists."""
     bodies = F.regexp_extract_all(html, F.lit(f"(?is){_with_class(tag, name)}(.*?)</{tag}>"), F.lit(1))
     body = F.try_element_at(bodies, F.lit(-1))
-    text = trim_ws(decode_references(F.regexp_extract(body, r"([^<>]*)$", 1)))
+    text = trim_ws(decode_references(F.regexp_extract(body, r"(?:^|>)([^<>]*+)$", 1)))
     return F.coalesce(text, F.lit(default))
 
 
@@ -110,14 +122,22 @@ def table_map(html: Column) -> Column:
     rows = F.regexp_extract_all(
         html, F.lit(r"(?is)<tr\b[^>]*>\s*<th\b[^>]*>[^<]*</th>\s*<td\b[^>]*>[^<]*"), F.lit(0)
     )
-    keys = F.transform(rows, lambda r: decode_references(F.regexp_extract(r, r"(?is)<th\b[^>]*>([^<]*)", 1)))
-    values = F.transform(rows, lambda r: decode_references(F.regexp_extract(r, r"(?is)<td\b[^>]*>([^<]*)", 1)))
-    unique = F.array_distinct(keys)
-    last = F.transform(
-        unique,
-        lambda k: F.get(F.reverse(values), (F.array_position(F.reverse(keys), k) - 1).cast("int")),
+    cells = F.transform(
+        rows,
+        lambda r: F.struct(
+            decode_references(F.regexp_extract(r, r"(?is)<th\b[^>]*>([^<]*)", 1)).alias("k"),
+            decode_references(F.regexp_extract(r, r"(?is)<td\b[^>]*>([^<]*)", 1)).alias("v"),
+        ),
     )
-    return F.map_from_arrays(unique, last)
+
+    def last_of_each(found: Column) -> Column:
+        keys, values = F.reverse(found["k"]), F.reverse(found["v"])
+        unique = F.array_distinct(keys)
+        return F.map_from_arrays(
+            unique, F.transform(unique, lambda k: F.get(values, (F.array_position(keys, k) - 1).cast("int")))
+        )
+
+    return bind(cells, last_of_each)
 
 
 def word_rating(classes: Column) -> Column:
@@ -127,4 +147,5 @@ def word_rating(classes: Column) -> Column:
 
 
 def rating_classes(html: Column, tag: str = "p", name: str = "star-rating") -> Column:
-    return F.regexp_extract(html, rf'(?is)<{tag}\b[^>]*\bclass="((?:[^"]*\s)?{name}(?:\s[^"]*)?)"', 1)
+    pattern = rf"""(?is)<{tag}\b[^>]*\bclass\s*=\s*["']((?:[^"']*\s)?{name}(?:\s[^"']*)?)["']"""
+    return F.regexp_extract(html, pattern, 1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +29,14 @@ def literal_map(entries: dict) -> Column:
     return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
 
 
+def bind(c: Column, function: Callable[[Column], Column]) -> Column:
+    """`function(c)` with `c` computed once, however often the function uses it.
+
+    Spark repeats a costly expression in every branch of a conditional.
+    """
+    return F.get(F.transform(F.array(c), function), F.lit(0))
+
+
 def trim_ws(c: Column) -> Column:
     """Strip all kinds of whitespace; `trim` alone would only strip spaces."""
     return F.btrim(c, F.lit(WHITESPACE))
@@ -56,12 +66,15 @@ def drop_repeated_half(c: Column, min_half: int = 30, probe: int = 20) -> Column
     The second half counts as a copy when its first `probe` characters equal
     the text's own. Empty text becomes null; whitespace-only text becomes ''.
     """
-    text = trim_ws(F.nullif(c, F.lit("")))
-    half = F.floor(F.length(text) / 2).cast("int")
-    head = trim_ws(F.substr(text, F.lit(1), F.lit(probe)))
-    tail = trim_ws(F.substr(text, half + 1, F.lit(probe)))
-    repeated = (half > min_half) & (tail == head)
-    return F.when(repeated, trim_ws(F.substr(text, F.lit(1), half))).otherwise(text)
+
+    def first_half(text: Column) -> Column:
+        half = F.floor(F.length(text) / 2).cast("int")
+        head = trim_ws(F.substr(text, F.lit(1), F.lit(probe)))
+        tail = trim_ws(F.substr(text, half + 1, F.lit(probe)))
+        repeated = (half > min_half) & (tail == head)
+        return F.when(repeated, trim_ws(F.substr(text, F.lit(1), half))).otherwise(text)
+
+    return bind(trim_ws(F.when(c != "", c)), first_half)
 
 
 def has_repeated_half(c: Column, min_half: int = 30, probe: int = 20) -> Column:
@@ -73,7 +86,7 @@ def has_repeated_half(c: Column, min_half: int = 30, probe: int = 20) -> Column:
 
 def join_lines(c: Column) -> Column:
     """Runs of line breaks become one space; '' becomes null."""
-    return trim_ws(F.regexp_replace(F.nullif(c, F.lit("")), "[\r\n]+", " "))
+    return trim_ws(F.regexp_replace(F.when(c != "", c), "[\r\n]+", " "))
 
 
 def normalize_language(c: Column) -> Column:

@@ -8,6 +8,9 @@ broadcasts them when they are below its size threshold and sorts them otherwise.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,16 +18,17 @@ from quirelake.functions.numeric import round_half_up
 from quirelake.operators.dedup import keep_latest
 
 
+def _hash(*parts: str) -> Column:
+    return F.md5(F.to_json(F.array(*[F.col(c).cast("string") for c in parts])))
+
+
 def surrogate_key(*natural: str) -> Column:
     """128-bit id of a natural key, computed without coordination between tasks.
 
     64 bits would collide at billions of keys. A null key has no id.
     """
-    parts = [F.col(c).cast("string") for c in natural]
-    present = parts[0].isNotNull()
-    for p in parts[1:]:
-        present = present & p.isNotNull()
-    return F.when(present, F.md5(F.to_json(F.array(*parts))))
+    present = reduce(and_, [F.col(c).isNotNull() for c in natural])
+    return F.when(present, _hash(*natural))
 
 
 def build_dimension(df: DataFrame, key: str, id_name: str, name: str | None = None) -> DataFrame:
@@ -50,9 +54,12 @@ def build_facts(
     day="date_val", price="prix", rating="note_etoiles", reviews="nb_avis", score="qualite_score",
     row_id: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """Facts with hashed foreign keys; no join is needed to look an id up."""
+    """Facts with hashed foreign keys; no join is needed to look an id up.
+
+    The fact's own id is never null, even where a part of it is.
+    """
     return df.select(
-        surrogate_key(*(row_id or (url, day))).alias("id"),
+        _hash(*(row_id or (url, day))).alias("id"),
         surrogate_key(url).alias("fk_livre"),
         surrogate_key(category).alias("fk_categorie"),
         surrogate_key(site).alias("fk_source"),

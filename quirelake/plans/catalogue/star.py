@@ -44,7 +44,7 @@ def dims(spark, sf_dir):
     }
 
 
-def _half_up(expression: str) -> str:
+def half_up(expression: str) -> str:
     return f"CAST(round(CAST({expression} AS DECIMAL(38,10)), 2) AS DOUBLE)"
 
 
@@ -52,9 +52,9 @@ _SITES = "lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_natio
 
 
 @query(f"""
-SELECT p_brand AS genre, count(*) AS nb_livres, {_half_up('avg(l_extendedprice)')} AS prix_moyen,
-  min(l_extendedprice) AS prix_min, max(l_extendedprice) AS prix_max, {_half_up('avg(l_linenumber)')} AS note_moyenne,
-  {_half_up("100.0 * sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) / count(*)")} AS pct_disponible
+SELECT p_brand AS genre, count(*) AS nb_livres, {half_up('avg(l_extendedprice)')} AS prix_moyen,
+  min(l_extendedprice) AS prix_min, max(l_extendedprice) AS prix_max, {half_up('avg(l_linenumber)')} AS note_moyenne,
+  {half_up("100.0 * sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) / count(*)")} AS pct_disponible
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1
 """)
 def star_genre_stats(spark, sf_dir):
@@ -69,8 +69,8 @@ def star_daily_volumes(spark, sf_dir):
 
 
 @query(f"""
-SELECT count(*) AS total_livres, {_half_up('avg(l_extendedprice)')} AS prix_moyen,
-  {_half_up('avg(l_linenumber)')} AS note_moyenne, count(DISTINCT l_suppkey) AS nb_sources,
+SELECT count(*) AS total_livres, {half_up('avg(l_extendedprice)')} AS prix_moyen,
+  {half_up('avg(l_linenumber)')} AS note_moyenne, count(DISTINCT l_suppkey) AS nb_sources,
   count(DISTINCT l_partkey) AS nb_categories FROM lineitem
 """)
 def bi_global_kpis(spark, sf_dir):
@@ -78,8 +78,8 @@ def bi_global_kpis(spark, sf_dir):
 
 
 @query(f"""
-SELECT p_brand AS nom_categorie, count(*) AS nb_livres, {_half_up('avg(l_extendedprice)')} AS prix_moyen,
-  {_half_up('avg(l_linenumber)')} AS note_moyenne
+SELECT p_brand AS nom_categorie, count(*) AS nb_livres, {half_up('avg(l_extendedprice)')} AS prix_moyen,
+  {half_up('avg(l_linenumber)')} AS note_moyenne
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1 ORDER BY nb_livres DESC, nom_categorie LIMIT 10
 """)
 def bi_top_genres(spark, sf_dir):
@@ -87,9 +87,9 @@ def bi_top_genres(spark, sf_dir):
 
 
 @query(f"""
-SELECT n_name AS nom_site, count(*) AS nb_livres, {_half_up('avg(l_extendedprice)')} AS prix_moyen,
-  {_half_up('avg(l_linenumber)')} AS note_moyenne,
-  {_half_up("100.0 * sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) / count(*)")} AS pct_dispo
+SELECT n_name AS nom_site, count(*) AS nb_livres, {half_up('avg(l_extendedprice)')} AS prix_moyen,
+  {half_up('avg(l_linenumber)')} AS note_moyenne,
+  {half_up("100.0 * sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) / count(*)")} AS pct_dispo
 FROM {_SITES} GROUP BY 1
 """)
 def bi_source_compare(spark, sf_dir):
@@ -100,7 +100,7 @@ def bi_source_compare(spark, sf_dir):
 @query(f"""
 SELECT CASE WHEN p < 20 THEN 'Moins de 20' WHEN p < 40 THEN '20 a 40' WHEN p < 60 THEN '40 a 60' ELSE 'Plus de 60' END
     AS tranche_prix,
-  count(*) AS nb_livres, {_half_up('avg(note)')} AS note_moyenne
+  count(*) AS nb_livres, {half_up('avg(note)')} AS note_moyenne
 FROM (SELECT CASE event_type WHEN 'error' THEN NULL ELSE value END AS p, length(event_type) AS note FROM events)
 WHERE p IS NOT NULL GROUP BY 1 ORDER BY 1
 """)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quirelake.functions.text import trim_ws, utc_wall_clock
 from quirelake.operators import gold
-from quirelake.operators.dedup import keep_latest
+from quirelake.operators.dedup import keep_latest, new_keys
 from quirelake.operators.quarantine import split_untitled
 from quirelake.plans import medallion
 from quirelake.plans.catalogue import query, table
@@ -14,6 +15,7 @@ from quirelake.plans.catalogue.bindings import (
     LIBRARY_SQL, RUN_TS, SHOP_SQL, SILVER_LIST, library_books, shop_books,
 )
 from quirelake.plans.catalogue.silver import plain, shop_silver
+from quirelake.plans.catalogue.star import half_up
 from quirelake.schemas import BOOK_RAW, SHOP_FOLDER
 from quirelake.session import scratch
 from quirelake.sources import bronze, tables
@@ -162,6 +164,34 @@ def gold_read(spark, sf_dir):
     return tables.read_gold(spark, root, "kpi_par_categorie", ordered=True)
 
 
+@query(f"""
+WITH {SHOP_SQL}
+SELECT categorie AS genre, count(*) AS nb_livres, {half_up('avg(prix)')} AS prix_moyen, min(prix) AS prix_min,
+  max(prix) AS prix_max, {half_up('avg(note_etoiles)')} AS note_moyenne,
+  {half_up("100.0 * sum(CASE WHEN disponibilite = 'available' THEN 1 ELSE 0 END) / count(*)")} AS pct_disponible
+FROM shop_silver GROUP BY 1
+""")
+def star_rebuild(spark, sf_dir):
+    """The star written and rebuilt over itself; its genre aggregate read back."""
+    root = scratch(spark, "star")
+    for _ in range(2):
+        medallion.write_star(spark, shop_silver(spark, sf_dir), root)
+    return spark.read.parquet(tables.gold_path(root, "agg_genre_stats"))
+
+
+@query("""
+SELECT DISTINCT user_id AS url FROM events
+""")
+def visited_urls(spark, sf_dir):
+    """Two rounds over a visited set: the second one only adds what is new."""
+    path = scratch(spark, "visited")
+    events = table(spark, sf_dir, "events").selectExpr("user_id AS url", "event_type")
+    for arrivals in (events.filter("event_type = 'click'"), events):
+        visited = tables.read_parquet(spark, path, T.StructType([T.StructField("url", T.LongType())]))
+        tables.append_visited(new_keys(arrivals.select("url"), visited, "url"), path)
+    return spark.read.parquet(path)
+
+
 @query("""
 SELECT '{"user_id":' || user_id || ',"event_type":' ||
   CASE event_type WHEN 'error' THEN 'null' ELSE '"' || event_type || '"' END || '}' AS value FROM events

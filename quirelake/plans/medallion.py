@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake.functions.text import is_blank
-from quirelake.operators import gold
+from quirelake.operators import gold, star
 from quirelake.operators.cleaning import Cleaner, clean_library, clean_shop, silver_report, to_silver
 from quirelake.operators.dedup import latest_versions
 from quirelake.operators.quarantine import split_untitled
-from quirelake.schemas import BOOK_COLUMNS, GOLD_COLUMNS, LIBRARY_FOLDER, SHOP_FOLDER
-from quirelake.session import scratch
+from quirelake.schemas import BOOK_COLUMNS, GOLD_COLUMNS, LIBRARY_FOLDER, SHOP_FOLDER, STAR
+from quirelake.session import discard, scratch
 from quirelake.sources import tables
 from quirelake.sources.bronze import CORRUPT, parse_lines, read_lines
 
@@ -33,6 +33,8 @@ class Config:
     library: Source
     quarantine: str
     gold: str
+    star: str
+    reports: str
     jdbc: dict[str, str] = field(default_factory=dict)
     rejects: str | None = None
 
@@ -48,6 +50,8 @@ def layout(root: str, jdbc: dict[str, str] | None = None) -> Config:
         library=source(LIBRARY_FOLDER, clean_library),
         quarantine=f"{root}/quarantine",
         gold=f"{root}/gold/analytics",
+        star=f"{root}/gold/star",
+        reports=f"{root}/reports",
         jdbc=jdbc or {},
         rejects=f"{root}/rejects",
     )
@@ -86,19 +90,22 @@ def fill_absent(staged: DataFrame, facts: Row) -> DataFrame:
     return filled.drop(*[f"_has_{c}" for c in _DEFAULTED])
 
 
-def run_source(spark: SparkSession, source: Source, quarantine: str, run_ts: str) -> DataFrame:
-    """One source from Bronze to Silver; returns the one-row report."""
-    records = parse_lines(read_lines(spark, source.bronze))
-    staged = stage_versions(records, source.key, scratch(spark, f"versions-{source.name}"))
+def run_source(spark: SparkSession, source: Source, config: Config, run_ts: str) -> DataFrame:
+    """One source from Bronze to Silver; returns the stored one-row report."""
+    stage = scratch(spark, f"versions-{source.name}")
+    staged = stage_versions(parse_lines(read_lines(spark, source.bronze)), source.key, stage)
     facts = batch_facts(staged)
     versions = fill_absent(staged, facts)
     valid, untitled = split_untitled(versions)
     silver = to_silver(valid.drop("n_versions"), source.clean, run_ts)
     if facts["untitled"]:
-        tables.write_quarantine(untitled.drop("n_versions"), quarantine, source.name, run_ts)
+        tables.write_quarantine(untitled.drop("n_versions"), config.quarantine, source.name, run_ts)
     if facts["valid"]:
         tables.write_silver(silver, source.silver)
-    return silver_report(versions, silver)
+    report = f"{config.reports}/{source.name}/{run_ts.replace(':', '-')}"
+    silver_report(versions, silver).write.mode("overwrite").parquet(report)
+    discard(spark, stage)
+    return spark.read.parquet(report)
 
 
 def run_gold(spark: SparkSession, config: Config, run_ts: str) -> None:
@@ -116,6 +123,24 @@ def run_gold(spark: SparkSession, config: Config, run_ts: str) -> None:
             tables.write_gold(df, config.gold, table)
 
 
+def write_star(spark: SparkSession, silver: DataFrame, root: str) -> None:
+    """Rebuild the star schema and the two aggregates over it, each as a whole."""
+    for name, df in star.star_from_silver(silver).items():
+        tables.write_gold(df, root, name)
+    s = {name: tables.read_parquet(spark, tables.gold_path(root, name), schema) for name, schema in STAR.items()}
+    fact = s["fact_scraping"]
+    tables.write_gold(star.genre_stats(fact, s["dim_categorie"], s["dim_disponibilite"]), root, "agg_genre_stats")
+    tables.write_gold(star.daily_volumes(fact, s["dim_date"], s["dim_source"]), root, "agg_daily_volumes")
+
+
+def run_star(spark: SparkSession, config: Config) -> None:
+    silver = tables.read_silver(spark, config.shop.silver).unionByName(
+        tables.read_silver(spark, config.library.silver)
+    )
+    if not silver.isEmpty():
+        write_star(spark, silver, config.star)
+
+
 def run_warehouse(spark: SparkSession, config: Config, run_ts: str) -> None:
     """Refresh the warehouse tables that have Gold rows; keep the rejected rows."""
     for table in GOLD_COLUMNS:
@@ -130,10 +155,11 @@ def run_warehouse(spark: SparkSession, config: Config, run_ts: str) -> None:
 def run(spark: SparkSession, config: Config, run_ts: str) -> dict[str, DataFrame]:
     """The whole run in order; returns the report of each source."""
     reports = {
-        source.name: run_source(spark, source, config.quarantine, run_ts)
+        source.name: run_source(spark, source, config, run_ts)
         for source in (config.shop, config.library)
     }
     run_gold(spark, config, run_ts)
+    run_star(spark, config)
     if config.jdbc:
         run_warehouse(spark, config, run_ts)
     return reports

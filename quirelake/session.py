@@ -17,9 +17,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-_local_folders: dict[str, str] = {}
-
-
 def build_session(app_name: str = "quirelake", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -40,15 +37,32 @@ def scratch(spark: SparkSession, label: str) -> str:
     """A new folder path below the cluster's shared checkpoint folder.
 
     Only a local-mode session without that setting may use the machine's own
-    temporary folder: there the driver and the tasks share one disk.
+    temporary folder: there the driver and the tasks share one disk. Local
+    scratch folders are removed when the program ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.sparkContext.master.startswith("local")
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not local:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _local_folders:
-            _local_folders[app] = tempfile.mkdtemp(prefix="quirelake-")
-            atexit.register(shutil.rmtree, _local_folders[app], ignore_errors=True)
-        base = _local_folders[app]
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        base = f"{tempfile.gettempdir()}/quirelake"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if local:
+        atexit.register(shutil.rmtree, path.removeprefix("file:"), ignore_errors=True)
+    return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder the program wrote for itself and has no more use for."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)

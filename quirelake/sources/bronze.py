@@ -51,13 +51,37 @@ def parse_lines(lines: DataFrame, required=tuple(BOOK_COLUMNS), value: str = "va
     )
 
 
+def skipped_files(spark: SparkSession, prefix: str) -> DataFrame:
+    """Paths of the files that `read_lines` could not read: listed but without a line."""
+    listed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.json").load(prefix)
+        .filter("length > 0").select("path")
+    )
+    read = read_lines(spark, prefix).select(F.col("_metadata.file_path").alias("path")).distinct()
+    return missing_paths(listed, read)
+
+
+def missing_paths(listed: DataFrame, read: DataFrame) -> DataFrame:
+    # the two readers write the slashes after the scheme differently
+    uri = F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/").alias("path")
+    return listed.select(uri).join(read.select(uri), "path", "left_anti")
+
+
+MAX_EXTRA_COLUMNS = 1000
+
+
 def extras_to_columns(df: DataFrame) -> DataFrame:
     """Give every key of the `_extras` map a column of its own.
 
     Takes one pass over the rows to find the keys. Keys that differ from another
-    column only in case cannot be columns in Spark and stay in the map.
+    column only in case cannot be columns in Spark and stay in the map; so do
+    all keys when there are too many of them for a table.
     """
-    found = df.select(F.explode(F.map_keys(EXTRAS))).distinct().collect()
+    keys = df.select(F.explode(F.map_keys(EXTRAS))).distinct()
+    found = keys.limit(MAX_EXTRA_COLUMNS + 1).collect()
+    if len(found) > MAX_EXTRA_COLUMNS:
+        return df
     taken = {c.lower() for c in df.columns}
     columns = {}
     for key in sorted(r[0] for r in found):

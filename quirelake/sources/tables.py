@@ -59,7 +59,9 @@ def gold_path(root: str, table: str) -> str:
 
 
 def write_gold(df: DataFrame, root: str, table: str) -> None:
-    df.hint("rebalance").write.mode("overwrite").parquet(gold_path(root, table))
+    """Replace one table. Aggregates arrive in few partitions already, and a
+    flat table is written by the tasks that read it, without a shuffle."""
+    df.write.mode("overwrite").parquet(gold_path(root, table))
 
 
 def read_gold(spark: SparkSession, root: str, table: str, ordered: bool = False) -> DataFrame:
@@ -67,6 +69,11 @@ def read_gold(spark: SparkSession, root: str, table: str, ordered: bool = False)
     return in_order(df, table) if ordered else df
 
 
+def append_visited(keys: DataFrame, path: str) -> None:
+    """Remember keys as visited. A repeated append does no harm: it is a set."""
+    keys.write.mode("append").parquet(path)
+
+
 def read_jdbc(spark: SparkSession, options: dict[str, str], query: str) -> DataFrame:
     return spark.read.format("jdbc").options(**options).option("query", query).load()
 

@@ -16,7 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 from quirelake.operators.cleaning import Cleaner, to_silver
 from quirelake.operators.dedup import keep_latest
 from quirelake.operators.quarantine import split_untitled
+from quirelake.session import discard, exists
 from quirelake.sources.bronze import CORRUPT, LANDING_KEYS, landing_columns, parse_lines
+from quirelake.sources.tables import event_payload
 
 AVAILABLE = {"availableNow": True}
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -64,6 +66,16 @@ def to_bronze(records: DataFrame, root: str, checkpoint: str, at: Column, trigge
     )
 
 
+def publish(
+    records: DataFrame, topic: str, options: dict[str, str], checkpoint: str, fmt: str = "kafka", trigger=AVAILABLE
+) -> StreamingQuery:
+    """Send a stream of records to a topic as JSON messages."""
+    return (
+        event_payload(records).writeStream.format(fmt).options(**options).option("topic", topic)
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    )
+
+
 def unseen(stream: DataFrame, key: Sequence[str], salts: int = 16, salt_by: Sequence[str] = ()) -> DataFrame:
     """First row per key over the whole life of the stream; the state keeps every key.
 
@@ -103,11 +115,6 @@ def to_silver_batches(
 BUCKET = "key_bucket"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def merge_latest(
     batch: DataFrame, path: str, staging: str, key: str, order: str, ties: Sequence[Column], buckets: int
 ) -> None:
@@ -121,11 +128,11 @@ def merge_latest(
     instead of merging with a half-replaced table.
     """
     spark = batch.sparkSession
-    if not _exists(spark, f"{staging}/_SUCCESS"):
+    if not exists(spark, f"{staging}/_SUCCESS"):
         bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
         arrived = keep_latest(batch, key, order, ties).withColumn(BUCKET, bucket).persist()
         rows = arrived
-        if _exists(spark, path):
+        if exists(spark, path):
             # at most `buckets` numbers, which prune the table's partitions
             touched = [r[0] for r in arrived.select(BUCKET).distinct().collect()]
             stored = spark.read.schema(arrived.schema).parquet(path)
@@ -137,6 +144,8 @@ def merge_latest(
         staged.hint("rebalance", BUCKET)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
     )
+    # from here on a repeated batch merges into a table that already holds it
+    discard(spark, staging)
 
 
 def upsert_latest(

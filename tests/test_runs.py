@@ -62,6 +62,11 @@ def test_whole_run(spark, lake):
     extras = tables.read_silver(spark, lake.shop.silver, merge=True).filter("url = 'u1'").first()
     assert extras["_extras"] == {"rayon": "7"}
 
+    genres = spark.read.parquet(tables.gold_path(lake.star, "agg_genre_stats")).collect()
+    assert sorted((r.genre, r.nb_livres, r.pct_disponible) for r in genres) == [
+        ("Fiction", 1, 0.0), ("Poetry", 1, 0.0), ("Unknown", 1, 0.0),
+    ]
+
     gold = {t: tables.read_gold(spark, lake.gold, t, ordered=True).collect() for t in medallion.GOLD_COLUMNS}
     assert [(r.categorie, r.nb_livres, r.prix_moyen, r.total_avis, r.source) for r in gold["kpi_par_categorie"]] == [
         ("Poetry", 1, 10.0, 0, "books_toscrape_com"), ("Unknown", 1, 20.0, 0, "books_toscrape_com"),
@@ -142,7 +147,9 @@ def test_interrupted_upsert_is_finished_from_its_staged_rows(spark, tmp_path):
     jobs.merge_latest(spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], schema), path, f"{stage}/0", "url", "d", ties, 1)
     batch = spark.createDataFrame([("a", 2, "z")], schema)
     jobs.merge_latest(batch, path, f"{stage}/1", "url", "d", ties, 1)
-    # the bucket of the table is lost while it is being replaced
+    # the job dies after the batch was staged, and the table's bucket is half replaced
+    staged = [("a", 2, "z"), ("b", 1, "y")]
+    spark.createDataFrame(staged, schema).withColumn(jobs.BUCKET, F.lit(0)).write.mode("overwrite").parquet(f"{stage}/1")
     spark.createDataFrame([("q", 1, "half")], schema).withColumn(jobs.BUCKET, F.lit(0)).write.mode("overwrite").partitionBy(jobs.BUCKET).parquet(path)
     jobs.merge_latest(batch, path, f"{stage}/1", "url", "d", ties, 1)
     assert sorted((r.url, r.titre) for r in spark.read.parquet(path).collect()) == [("a", "z"), ("b", "y")]

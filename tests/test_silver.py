@@ -164,6 +164,22 @@ def test_keys_that_differ_in_case_stay_in_the_map(spark, tmp_path):
     assert (row.titre, row.new, row[bronze.EXTRAS]["Titre"]) == ("a", "c", "b")
 
 
+def test_unread_files_are_found(spark, tmp_path):
+    write_lines(tmp_path / "a")
+    (tmp_path / "empty.json").write_text("")
+    assert bronze.skipped_files(spark, str(tmp_path)).count() == 0
+    listed = spark.createDataFrame([("file:/x/a.json",), ("s3a://b/c.json",)], "path string")
+    read = spark.createDataFrame([("file:///x/a.json",)], "path string")
+    assert [r.path for r in bronze.missing_paths(listed, read).collect()] == ["s3a:/b/c.json"]
+
+
+def test_too_many_keys_stay_in_the_map(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bronze, "MAX_EXTRA_COLUMNS", 1)
+    (tmp_path / "x.json").write_text('{"titre":"a","k1":"1"}\n{"titre":"b","k2":"2"}\n')
+    rows = {r.titre: r[bronze.EXTRAS] for r in bronze.read_bronze(spark, str(tmp_path)).collect()}
+    assert rows == {"a": {"k1": "1"}, "b": {"k2": "2"}}
+
+
 def test_clean_batch_reports_no_corrupt_lines(spark, tmp_path):
     (tmp_path / "x.json").write_text('{"titre":"A"}\n')
     report = bronze.corrupt_report(bronze.read_bronze(spark, str(tmp_path))).first()
