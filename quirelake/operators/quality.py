@@ -20,6 +20,7 @@ class Rule:
     threshold: int = 0
 
 
+# The names of the rules, as the reports show them.
 def book_rules(title="titre", url="url") -> list[Rule]:
     return [
         Rule("Livres sans titre", F.col(title).isNull() | (F.col(title) == "")),

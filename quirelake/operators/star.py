@@ -202,6 +202,7 @@ def source_comparison(fact: DataFrame, dim_source: DataFrame, dim_availability:
 
 
 def price_band(price: str, edges=(20, 40, 60)) -> Column:
+    # fixed values: the edges and the labels of the bands
     low, middle, high = edges
     p = F.col(price)
     return (
