@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirelake.functions.text import bind, path_key, trim_ws
+from quirelake.functions.text import path_key, trim_ws
 from quirelake.operators.cleaning import align
 from quirelake.schemas import BOOK_COLUMNS
 
@@ -24,34 +24,32 @@ def read_lines(spark: SparkSession, prefix: str) -> DataFrame:
     )
 
 
-def _last_wins(fields: Column) -> Column:
-    """Resolve fields that occur twice; rows without any pass as they are."""
-    names, values = F.map_keys(fields), F.reverse(F.map_values(fields))
-    unique = F.array_distinct(names)
-    last = F.transform(unique, lambda n: F.get(values, (F.array_position(F.reverse(names), n) - 1).cast("int")))
-    return F.when(F.size(unique) < F.size(names), F.map_from_arrays(unique, last)).otherwise(fields)
-
-
 def parse_lines(lines: DataFrame, required=tuple(BOOK_COLUMNS), value: str = "value", keep=()) -> DataFrame:
     """Lines to rows in a single pass, without a scan to infer the schema.
 
     Required fields become text columns, fields nobody asked for stay in the
     `_extras` map, and a line that is no JSON object goes to `_corrupt_record`.
     Blank lines vanish. Of a field that occurs twice in a line the last wins.
-    Works on a stream as well.
+    Works on a stream as well. Spark leaves the map out where neither `_extras`
+    nor `_names` is used.
     """
-    raw, line = F.col(value), F.col("_line")
+    raw, line, record, fields = F.col(value), F.col("_line"), F.col("_record"), F.col("_fields")
     usual = raw.startswith("{") & raw.endswith("}")
     trimmed = lines.select(*keep, raw, F.when(usual, raw).otherwise(trim_ws(raw)).alias("_line")).filter(line != "")
     is_object = line.startswith("{") & line.endswith("}")
-    fields = F.when(is_object, bind(F.from_json("_line", "map<string,string>"), _last_wins))
-    parsed = trimmed.select(*keep, raw, fields.alias("_fields"))
+    schema = ", ".join(f"`{c}` string" for c in [*required, CORRUPT])
+    parsed = trimmed.select(
+        *keep, raw,
+        F.when(is_object, F.from_json(line, schema, {"columnNameOfCorruptRecord": CORRUPT})).alias("_record"),
+        F.when(is_object, F.from_json(line, "map<string,string>")).alias("_fields"),
+    )
+    broken = record.isNull() | record[CORRUPT].isNotNull()
     return parsed.select(
         *keep,
-        *[F.try_element_at("_fields", F.lit(n)).alias(n) for n in required],
-        F.map_filter("_fields", lambda k, _: ~k.isin(*required)).alias(EXTRAS),
-        F.when(F.col("_fields").isNull(), raw).alias(CORRUPT),
-        F.map_keys("_fields").alias("_names"),
+        *[record[n].alias(n) for n in required],
+        F.map_filter(fields, lambda k, _: ~k.isin(*required)).alias(EXTRAS),
+        F.when(broken, raw).alias(CORRUPT),
+        F.map_keys(fields).alias("_names"),
     )
 
 
