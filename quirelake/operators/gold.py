@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quirelake.functions.numeric import round_half_even
 from quirelake.schemas import FLAT_COLUMNS, GOLD_ORDER
+from quirelake.session import is_small
 
 
 def _tag(df: DataFrame, source: str | None, run_ts: str | None) -> DataFrame:
@@ -46,9 +47,13 @@ def kpi_by_dimension(
 ) -> DataFrame:
     """`kpi_by_category` where the category is an attribute of a joined table.
 
-    The facts are aggregated per key before the join: they are shuffled once,
-    by a key that hot values cannot unbalance, and the join sees one row per key.
+    A small dimension is joined where the facts are read. For a larger one the
+    facts are aggregated per key before the join: they are shuffled once, by a
+    key that hot values cannot unbalance, and the join sees one row per key.
     """
+    if is_small(dimension):
+        joined = fact.join(dimension, F.col(fk) == F.col(id_name))
+        return kpi_by_category(joined, category, title, price, rating, reviews, source, run_ts)
     partial = fact.filter(F.col(fk).isNotNull()).groupBy(fk).agg(
         F.count(title).alias("_n"),
         F.sum(price).alias("_price_sum"),

@@ -1,9 +1,9 @@
 """Star schema: dimensions, facts and the aggregates over them.
 
-Every aggregate first groups the facts by the foreign keys it needs and joins
-the few resulting rows. The fact table is never shuffled for a join, a hot key
-shrinks inside the map tasks, and the dimensions need no broadcast hint: Spark
-broadcasts them when they are below its size threshold and sorts them otherwise.
+Small dimensions, by Spark's estimate and threshold, are joined where the facts
+are read. Otherwise an aggregate first groups the facts by the foreign keys it
+needs and joins the resulting rows. Either way the facts are never shuffled for
+a join, and a hot key shrinks inside the map tasks. There are no broadcast hints.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quirelake.functions.numeric import round_half_up
 from quirelake.operators.dedup import keep_latest
+from quirelake.session import is_small
 
 
 def _hash(*parts: str) -> Column:
@@ -109,6 +110,22 @@ def _partials(fact: DataFrame, keys: list[str], price="prix", rating="note_etoil
     )
 
 
+Link = tuple[DataFrame, str, str]  # dimension, foreign key in the facts, its id
+
+
+def _join(df: DataFrame, links: list[Link]) -> DataFrame:
+    for dimension, fk, id_name in links:
+        df = df.join(dimension, F.col(fk) == F.col(id_name))
+    return df
+
+
+def _named_partials(fact: DataFrame, links: list[Link], names: list[str]) -> DataFrame:
+    """Partial measures with the dimensions' attributes `names` beside them."""
+    if all(is_small(dimension) for dimension, _, _ in links):
+        return _partials(_join(fact, links), names)
+    return _join(_partials(fact, [fk for _, fk, _ in links]), links)
+
+
 def _merge(df: DataFrame, keys: list[str], *more: Column) -> DataFrame:
     merged = [f(c).alias(c) for c, f in _SUMS.items()]
     return df.groupBy(*keys).agg(*merged, *more)
@@ -127,11 +144,8 @@ def _percent(part: str, whole: str) -> Column:
 
 
 def genre_stats(fact: DataFrame, dim_category: DataFrame, dim_availability: DataFrame) -> DataFrame:
-    joined = (
-        _partials(fact, ["fk_categorie", "fk_dispo"])
-        .join(dim_category, F.col("fk_categorie") == F.col("id_categorie"))
-        .join(dim_availability, F.col("fk_dispo") == F.col("id_dispo"))
-    )
+    links = [(dim_category, "fk_categorie", "id_categorie"), (dim_availability, "fk_dispo", "id_dispo")]
+    joined = _named_partials(fact, links, ["nom_categorie", "est_disponible"])
     return _merge(joined, ["nom_categorie"], _available()).select(
         F.col("nom_categorie").alias("genre"),
         F.col("_ids").alias("nb_livres"),
@@ -145,14 +159,9 @@ def genre_stats(fact: DataFrame, dim_category: DataFrame, dim_availability: Data
 
 def daily_volumes(fact: DataFrame, dim_date: DataFrame, dim_source: DataFrame, row_id: str | None = "id") -> DataFrame:
     """Facts per day and site; counts `row_id`, or all rows when it is None."""
-    counted = F.count(row_id) if row_id else F.count(F.lit(1))
-    return (
-        fact.groupBy("fk_date", "fk_source").agg(counted.alias("_n"))
-        .join(dim_date, F.col("fk_date") == F.col("id_date"))
-        .join(dim_source, F.col("fk_source") == F.col("id_source"))
-        .groupBy("date_val", F.col("nom_site").alias("source"))
-        .agg(F.sum("_n").alias("nb_livres"))
-    )
+    links = [(dim_date, "fk_date", "id_date"), (dim_source, "fk_source", "id_source")]
+    joined = _named_partials(fact.withColumn("id", F.col(row_id) if row_id else F.lit(1)), links, ["date_val", "nom_site"])
+    return joined.groupBy("date_val", F.col("nom_site").alias("source")).agg(F.sum("_ids").alias("nb_livres"))
 
 
 def timeline(fact: DataFrame, dim_date: DataFrame, dim_source: DataFrame) -> DataFrame:
@@ -172,7 +181,7 @@ def global_kpis(fact: DataFrame) -> DataFrame:
 
 
 def top_genres(fact: DataFrame, dim_category: DataFrame, n: int = 10) -> DataFrame:
-    joined = _partials(fact, ["fk_categorie"]).join(dim_category, F.col("fk_categorie") == F.col("id_categorie"))
+    joined = _named_partials(fact, [(dim_category, "fk_categorie", "id_categorie")], ["nom_categorie"])
     return (
         _merge(joined, ["nom_categorie"])
         .select(
@@ -187,11 +196,8 @@ def top_genres(fact: DataFrame, dim_category: DataFrame, n: int = 10) -> DataFra
 
 
 def source_comparison(fact: DataFrame, dim_source: DataFrame, dim_availability: DataFrame) -> DataFrame:
-    joined = (
-        _partials(fact, ["fk_source", "fk_dispo"])
-        .join(dim_source, F.col("fk_source") == F.col("id_source"))
-        .join(dim_availability, F.col("fk_dispo") == F.col("id_dispo"))
-    )
+    links = [(dim_source, "fk_source", "id_source"), (dim_availability, "fk_dispo", "id_dispo")]
+    joined = _named_partials(fact, links, ["nom_site", "est_disponible"])
     return _merge(joined, ["nom_site"], _available()).select(
         "nom_site",
         F.col("_rows").alias("nb_livres"),

@@ -113,24 +113,23 @@ def run_gold(spark: SparkSession, config: Config, run_ts: str) -> None:
     shop = tables.read_silver(spark, config.shop.silver)
     library = tables.read_silver(spark, config.library.silver)
     built = gold.gold_tables(shop, library, config.shop.name, config.library.name, run_ts)
-    empty_shop, empty_library = shop.isEmpty(), library.isEmpty()
-    for table, df in built.items():
-        needs_library = table == "kpi_par_auteur"
-        empty = empty_library if needs_library else empty_shop
-        if table == "livres_flat":
-            empty = empty_shop and empty_library
-        if not empty:
-            tables.write_gold(df, config.gold, table)
+    empty = {"shop": shop.isEmpty(), "library": library.isEmpty()}
+    needs = {"kpi_par_auteur": ["library"], "livres_flat": ["shop", "library"]}
+    filled = {t: df for t, df in built.items() if not all(empty[s] for s in needs.get(t, ["shop"]))}
+    if filled:
+        tables.write_all(filled, config.gold)
 
 
 def write_star(spark: SparkSession, silver: DataFrame, root: str) -> None:
     """Rebuild the star schema and the two aggregates over it, each as a whole."""
-    for name, df in star.star_from_silver(silver).items():
-        tables.write_gold(df, root, name)
+    tables.write_all(star.star_from_silver(silver), root)
     s = {name: tables.read_parquet(spark, tables.gold_path(root, name), schema) for name, schema in STAR.items()}
     fact = s["fact_scraping"]
-    tables.write_gold(star.genre_stats(fact, s["dim_categorie"], s["dim_disponibilite"]), root, "agg_genre_stats")
-    tables.write_gold(star.daily_volumes(fact, s["dim_date"], s["dim_source"]), root, "agg_daily_volumes")
+    aggregates = {
+        "agg_genre_stats": star.genre_stats(fact, s["dim_categorie"], s["dim_disponibilite"]),
+        "agg_daily_volumes": star.daily_volumes(fact, s["dim_date"], s["dim_source"]),
+    }
+    tables.write_all(aggregates, root)
 
 
 def run_star(spark: SparkSession, config: Config) -> None:

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -52,6 +52,12 @@ def scratch(spark: SparkSession, label: str) -> str:
     return path
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether Spark's own estimate puts a table below its broadcast threshold."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
+
 def _file_system(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +66,14 @@ def write_gold(df: DataFrame, root: str, table: str) -> None:
     df.write.mode("overwrite").parquet(gold_path(root, table))
 
 
+def write_all(frames: dict[str, DataFrame], root: str) -> None:
+    """Replace several tables at once. Their jobs run side by side, so the tail
+    of one does not leave the cluster idle."""
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        for done in [pool.submit(write_gold, df, root, table) for table, df in frames.items()]:
+            done.result()
+
+
 def read_gold(spark: SparkSession, root: str, table: str, ordered: bool = False) -> DataFrame:
     df = read_parquet(spark, gold_path(root, table), GOLD.get(table))
     return in_order(df, table) if ordered else df
