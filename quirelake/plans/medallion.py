@@ -13,7 +13,7 @@ from quirelake.operators.cleaning import Cleaner, clean_library, clean_shop, sil
 from quirelake.operators.dedup import latest_versions
 from quirelake.operators.quarantine import split_untitled
 from quirelake.schemas import BOOK_COLUMNS, GOLD_COLUMNS, LIBRARY_FOLDER, SHOP_FOLDER, STAR
-from quirelake.session import discard, scratch
+from quirelake.session import discard, prepare, scratch
 from quirelake.sources import tables
 from quirelake.sources.bronze import CORRUPT, parse_lines, read_lines
 
@@ -153,6 +153,7 @@ def run_warehouse(spark: SparkSession, config: Config, run_ts: str) -> None:
 
 def run(spark: SparkSession, config: Config, run_ts: str) -> dict[str, DataFrame]:
     """The whole run in order; returns the report of each source."""
+    prepare(spark)
     reports = {
         source.name: run_source(spark, source, config, run_ts)
         for source in (config.shop, config.library)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,14 +15,20 @@ EXTRAS = "_extras"
 
 
 def read_lines(spark: SparkSession, prefix: str) -> DataFrame:
-    """Every line of every .json file below the prefix; unreadable files are skipped."""
-    return (
+    """Every line of every .json file below the prefix; unreadable files are
+    skipped, and an absent prefix has no lines."""
+    reader = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
         .option("ignoreCorruptFiles", True)
         .option("ignoreMissingFiles", True)
-        .text(prefix)
     )
+    try:
+        return reader.text(prefix)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "value string")
 
 
 def parse_lines(lines: DataFrame, required=tuple(BOOK_COLUMNS), value: str = "value", keep=()) -> DataFrame:

@@ -88,7 +88,9 @@ def read_jdbc(spark: SparkSession, options: dict[str, str], query: str) -> DataF
     return spark.read.format("jdbc").options(**options).option("query", query).load()
 
 
-def load_warehouse(df: DataFrame, table: str, options: dict[str, str], connections: int = 8) -> DataFrame:
+def load_warehouse(
+    df: DataFrame, table: str, options: dict[str, str], connections: int = 8, fmt: str = "jdbc"
+) -> DataFrame:
     """Refresh one warehouse table and return the rejected rows.
 
     The rows go in batches over at most `connections` connections. The table is
@@ -96,7 +98,7 @@ def load_warehouse(df: DataFrame, table: str, options: dict[str, str], connectio
     """
     loadable, rejected = warehouse.split_rejects(warehouse.project(df, table), table)
     (
-        loadable.write.format("jdbc").options(**options)
+        loadable.write.format(fmt).options(**options)
         .option("dbtable", table)
         .option("truncate", "true")
         .option("numPartitions", str(connections))

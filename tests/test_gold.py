@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quirelake.operators import dashboard, gold, quality, star, warehouse
 from quirelake.schemas import GOLD_COLUMNS
+from quirelake.sources import tables
 from tests.test_silver import plan
 
 COLUMNS = "categorie string, titre string, prix double, note_etoiles double, nb_avis bigint, url string"
@@ -159,3 +160,11 @@ def test_warehouse_projection_and_rejects(spark):
     assert tuple(warehouse.load_report(projected, "livres_flat").first()) == (0, 2)
     assert "titre VARCHAR(500)" in warehouse.column_types("livres_flat")
     assert list(GOLD_COLUMNS) == list(warehouse.WAREHOUSE)
+
+
+def test_load_sends_good_rows_and_returns_the_others(spark, tmp_path):
+    df = spark.createDataFrame([("ok", 1), ("x" * 101, 2)], "categorie string, nb_livres bigint")
+    target = {"path": str(tmp_path / "warehouse")}
+    rejected = tables.load_warehouse(df, "kpi_par_categorie", target, fmt="parquet")
+    assert [r.nb_livres for r in rejected.collect()] == [2]
+    assert [(r.categorie, r.nb_livres, r.source) for r in spark.read.parquet(target["path"]).collect()] == [("ok", 1, "")]
