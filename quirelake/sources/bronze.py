@@ -80,23 +80,24 @@ def missing_paths(listed: DataFrame, read: DataFrame) -> DataFrame:
 MAX_EXTRA_COLUMNS = 1000
 
 
-def extras_to_columns(df: DataFrame) -> DataFrame:
-    """Give every key of the `_extras` map a column of its own.
+def _field_names(parsed: DataFrame, most: int) -> set[str] | None:
+    """The names of all fields that occur; None when there are more than `most`."""
+    found = parsed.select(F.explode("_names")).distinct().limit(most + 1).collect()
+    return {r[0] for r in found} if len(found) <= most else None
 
-    Takes one pass over the rows to find the keys. Keys that differ from another
-    column only in case cannot be columns in Spark and stay in the map; so do
-    all keys when there are too many of them for a table.
+
+def extras_to_columns(df: DataFrame, names: set[str]) -> DataFrame:
+    """Give the named keys of the `_extras` map a column of their own.
+
+    Keys that differ from another column only in case cannot be columns in
+    Spark and stay in the map.
     """
-    keys = df.select(F.explode(F.map_keys(EXTRAS))).distinct()
-    found = keys.limit(MAX_EXTRA_COLUMNS + 1).collect()
-    if len(found) > MAX_EXTRA_COLUMNS:
-        return df
     taken = {c.lower() for c in df.columns}
     columns = {}
-    for key in sorted(r[0] for r in found):
-        if key.lower() not in taken:
-            taken.add(key.lower())
-            columns[key] = F.try_element_at(EXTRAS, F.lit(key))
+    for name in sorted(names):
+        if name.lower() not in taken:
+            taken.add(name.lower())
+            columns[name] = F.try_element_at(EXTRAS, F.lit(name))
     return df.withColumns(columns) if columns else df
 
 
@@ -105,17 +106,21 @@ def read_bronze(
 ) -> DataFrame:
     """All records below a prefix as text columns, with `_corrupt_record`.
 
-    With `extras` the files are scanned once more to find every key, so that
-    unknown keys become columns and wholly absent ones get their defaults.
-    Without, there is one scan and unknown keys are dropped; `parse_lines` has
-    one scan and keeps them in a map.
+    With `extras` the files are scanned once more to find every field name, so
+    that unknown fields become columns (or stay in the map, when they are too
+    many for a table) and wholly absent ones get their defaults. Without, there
+    is one scan and unknown fields are dropped; `parse_lines` has one scan and
+    keeps them in a map.
     """
     parsed = parse_lines(read_lines(spark, prefix), required)
     if not extras:
         return parsed.drop("_names", EXTRAS)
-    seen = parsed.agg(*[F.bool_or(F.array_contains("_names", c)).alias(c) for c in required]).first()
-    present = parsed.drop("_names", *[c for c in required if not seen[c]])
-    return align(extras_to_columns(present), required)
+    names = _field_names(parsed, MAX_EXTRA_COLUMNS + len(required))
+    if names is None:
+        flags = parsed.agg(*[F.bool_or(F.array_contains("_names", c)).alias(c) for c in required]).first()
+        return align(parsed.drop("_names", *[c for c in required if not flags[c]]), required)
+    present = parsed.drop("_names", *[c for c in required if c not in names])
+    return align(extras_to_columns(present, names), required)
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:

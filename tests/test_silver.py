@@ -174,10 +174,11 @@ def test_unread_files_are_found(spark, tmp_path):
 
 
 def test_too_many_keys_stay_in_the_map(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(bronze, "MAX_EXTRA_COLUMNS", 1)
+    monkeypatch.setattr(bronze, "MAX_EXTRA_COLUMNS", -12)
     (tmp_path / "x.json").write_text('{"titre":"a","k1":"1"}\n{"titre":"b","k2":"2"}\n')
-    rows = {r.titre: r[bronze.EXTRAS] for r in bronze.read_bronze(spark, str(tmp_path)).collect()}
-    assert rows == {"a": {"k1": "1"}, "b": {"k2": "2"}}
+    rows = {r.titre: r for r in bronze.read_bronze(spark, str(tmp_path)).collect()}
+    assert {t: r[bronze.EXTRAS] for t, r in rows.items()} == {"a": {"k1": "1"}, "b": {"k2": "2"}}
+    assert (rows["a"].nb_avis, rows["a"].url) == ("0", None)
 
 
 def test_clean_batch_reports_no_corrupt_lines(spark, tmp_path):
