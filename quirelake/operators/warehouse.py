@@ -102,17 +102,20 @@ def _problem(field: Field) -> Column:
     return F.lit(None).cast("string")
 
 
+def _checked(projected: DataFrame, table: str) -> DataFrame:
+    reasons = F.array_compact(F.array(*[_problem(f) for f in WAREHOUSE[table]]))
+    return projected.withColumn("reasons", F.array_join(reasons, "; "))
+
+
 def split_rejects(projected: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     """(loadable, rejected with reasons). A bulk write fails as a whole on one
     bad row, so rows the database would refuse are taken out first."""
-    reasons = F.array_compact(F.array(*[_problem(f) for f in WAREHOUSE[table]]))
-    checked = projected.withColumn("reasons", F.array_join(reasons, "; "))
+    checked = _checked(projected, table)
     return checked.filter("reasons = ''").drop("reasons"), checked.filter("reasons <> ''")
 
 
 def load_report(projected: DataFrame, table: str) -> DataFrame:
     loadable = F.col("reasons") == ""
-    reasons = F.array_compact(F.array(*[_problem(f) for f in WAREHOUSE[table]]))
-    return projected.select(F.array_join(reasons, "; ").alias("reasons")).agg(
+    return _checked(projected, table).agg(
         F.count_if(loadable).alias("chargees"), F.count_if(~loadable).alias("erreurs")
     )

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from quirelake.functions.text import is_blank
+from quirelake.functions.text import is_blank, safe_timestamp
 from quirelake.operators import gold, star
 from quirelake.operators.cleaning import Cleaner, clean_library, clean_shop, silver_report, to_silver
 from quirelake.operators.dedup import latest_versions
@@ -68,7 +68,7 @@ def stage_versions(records: DataFrame, key: str, path: str) -> DataFrame:
     report all start from the written table, which also outlives lost executors.
     """
     rows = records.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    rows = rows.withColumn("_at", F.try_to_timestamp("date_scraping"))
+    rows = rows.withColumn("_at", safe_timestamp(F.col("date_scraping")))
     seen = {f"_has_{c}": F.bool_or(F.array_contains("_names", c)) for c in _DEFAULTED}
     latest_versions(rows, key, "_at", **seen).drop("_at", "_names").write.mode("overwrite").parquet(path)
     return records.sparkSession.read.parquet(path)
