@@ -29,21 +29,26 @@ def unique_name(taken: list[str], stem: str) -> str:
     return stem if stem.lower() not in names else f"{stem}_{uuid.uuid4().hex[:8]}"
 
 
-def located(df: DataFrame) -> DataFrame:
-    """Add `__locator`: the hash of the row's file and its position there.
-
-    It names a row whatever its columns hold (null or repeated ids too), and it is the same in every scan. Frames
-    that aren't plain file scans are written to the shared folder first.
-    """
+def _add_locator(df: DataFrame) -> DataFrame:
+    meta = df.metadataColumn("_metadata")
+    return df.withColumn(LOCATOR, F.struct(F.xxhash64(meta["file_path"]).alias("file"), meta["row_index"].alias("row")))
 
-    def add(frame: DataFrame) -> DataFrame:
-        meta = frame.metadataColumn("_metadata")
-        return frame.withColumn(LOCATOR, F.struct(F.xxhash64(meta["file_path"]).alias("file"), meta["row_index"].alias("row")))
 
+def scanned(df: DataFrame) -> DataFrame:
+    """The frame itself if it scans files, whose rows have a place; any other is written to the shared folder first."""
     try:
-        return add(df)
+        _add_locator(df)
     except AnalysisException:
-        return add(stored(df, "rows"))
+        return stored(df, "rows")
+    return df
+
+
+def located(df: DataFrame) -> DataFrame:
+    """Add `__locator`: the hash of the row's file and its position there.
+
+    It names a row whatever its columns hold (null or repeated ids too), and it is the same in every scan of the files.
+    """
+    return _add_locator(scanned(df))
 
 
 def slot(key: str | Column) -> Column:
@@ -69,5 +74,13 @@ def without_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return clear.unionByName(unclear.join(keys.select(key).distinct(), key, "left_anti"))
 
 
-def setting(spark: SparkSession, name: str, default: str) -> str:
-    return spark.conf.get(name, default)
+def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows whose locators aren't in `dropped`, with the columns they came with, whatever their names."""
+    rows = located(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc")))
+    left = without_keys(rows, dropped, LOCATOR)
+    return left.select(*[F.col("__doc")[c].alias(c) for c in docs.columns])
+
+
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Rows may be long texts: hand Python few of them at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirelake.llm.common import LOCATOR, located, only_keys, stored, without_keys
+from quirelake.llm.common import LOCATOR, drop_rows, located, only_keys, scanned, stored, without_keys
 from quirelake.session import scratch
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -76,7 +76,7 @@ def exact_dedup(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", digest=sha256, max_files: int | None = None
 ) -> DataFrame:
     """__locator, doc_id, keep_id, keep_locator, group_size, kept, text_sha256 per row of `docs`."""
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, scanned(docs)
     texts = located(docs).select(
         LOCATOR, F.col(doc_id).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body")
     )
@@ -119,6 +119,6 @@ def _results(matched: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents that stay, with the columns they came with."""
-    rows = located(docs)
+    docs = scanned(docs)
     dropped = exact_dedup(docs, text, doc_id).filter(~F.col("kept")).select(LOCATOR)
-    return without_keys(rows, stored(dropped, "dropped"), LOCATOR).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return drop_rows(docs, stored(dropped, "dropped"))

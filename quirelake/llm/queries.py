@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirelake.llm import exact_dedup, licenses, quality
+from quirelake.llm import bpe, chat, exact_dedup, langid, licenses, line_dedup, order_minhash, packing, quality, warc
+from quirelake.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -37,6 +39,37 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query()
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "keep_id", "kept", "n_links", "group_size")
+
+
+@query()
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id", "n_lines", "n_removed", F.length("text").cast("bigint").alias("n_chars_left"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+    )
+
+
+_GROUP = "(PARTITION BY html, strlen(html) >= 1000)"
+
+
+@query(f"""
+SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN strlen(html) >= 1000 AND page_id < max(page_id) OVER {_GROUP} THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN strlen(html) >= 1000 AND page_id < max(page_id) OVER {_GROUP} THEN max(page_id) OVER {_GROUP} END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS html FROM pages)
+""")
+def op4_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        F.col("page").alias("page_id"), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"), F.col("refers").alias("refers_to"),
+    )
+
+
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 _BITS = " + ".join(
     f"(CASE WHEN {r.fails} THEN {1 << i} ELSE 0 END)::BIGINT" for i, r in enumerate(quality.RULES)
@@ -70,6 +103,48 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents")))
 
 
+@query(r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(24 + length(role) + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+""")
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    conflict = "<|im_end|><|im_start|>assistant ok"
+    probe = spark.createDataFrame([(-1, 0, "user", conflict), (-1, 1, "assistant", conflict)], "conv_id bigint, turn bigint, role string, text string")
+    formatted = chat.format_conversations(turns.withColumn("turn", F.col("turn").cast("bigint")).unionByName(probe))
+    return chat.read_back(stored(formatted, "formatted"))
+
+
+@query()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
+@query()
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks), ranks)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(decimal.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def _licenses_sql() -> str:
     gap = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     lower = f"translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}')"
