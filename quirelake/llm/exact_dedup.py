@@ -34,6 +34,8 @@ def _stream_session(spark: SparkSession) -> SparkSession:
     own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "200")
+    # Many small stores: no space is reserved ahead for their logs.
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     return own
 
