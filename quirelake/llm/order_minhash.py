@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirelake.llm.common import LOCATOR, drop_rows, located, only_keys, scanned, small_batches, stored, without_keys
@@ -152,47 +152,58 @@ def _lists(column) -> Iterator[np.ndarray]:
 
 
 def _sketches(texts: DataFrame, sketches: int, picks: int) -> DataFrame:
-    """(file, row), words array -> bucket, file, row: a row per sketch."""
+    """(file, row), words array -> bucket, rep, n (how many windows): a row per sketch."""
     salts = seeds(sketches)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, at = [], []
-            for i, words in enumerate(_lists(batch.column(2))):
+            keys, at, sizes = [np.zeros(0, dtype=np.int64)], [], []
+            for i, words in enumerate(_lists(batch.column(1))):
                 found = windows(words)
                 if len(found):
                     keys.append(sketch(found, salts, picks))
                     at.append(i)
+                    sizes.append(len(found))
             index = pa.array(np.repeat(np.array(at, dtype=np.int64), sketches))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64)), batch.column(0).take(index), batch.column(1).take(index)],
-                ["bucket", "file", "row"],
-            )
+            n = pa.array(np.repeat(np.array(sizes, dtype=np.int32), sketches))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), batch.column(0).take(index), n], ["bucket", "rep", "n"])
+
+    return texts.mapInArrow(run, "bucket bigint, rep bigint, n int")
+
 
-    return texts.mapInArrow(run, "bucket bigint, file bigint, row bigint")
+def _windows(texts: DataFrame) -> DataFrame:
+    """id, words array -> id, windows array."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [windows(words).view(np.int64) for words in _lists(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["id", "windows"])
+
+    return texts.mapInArrow(run, "id bigint, windows array<bigint>")
 
 
 def _verified(pairs: DataFrame, similarity: float) -> DataFrame:
-    """a, b, left words, right words -> the pairs that are similar."""
+    """a, b, left windows, right windows -> the pairs that are similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same = [
-                aligned(windows(x), windows(y), similarity)
-                for x, y in zip(_lists(batch.column(2)), _lists(batch.column(3)), strict=True)
-            ]
+            same = [aligned(x, y, similarity) for x, y in zip(_lists(batch.column(2)), _lists(batch.column(3)), strict=True)]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(same, pa.bool_()))
 
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
-def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """id, label: the least id that each node reaches. `edges` (a, b) must be stored; a node without edges is its own.
+def alone(nodes: DataFrame) -> DataFrame:
+    """id, label: every node by itself."""
+    return nodes.select("id", F.col("id").alias("label"))
+
+
+def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """id, label: the least label that each node reaches, given the labels before `edges` (a, b) came. Both are stored.
 
     Alternates hooking (every edge offers the smaller label to the larger label's node) and pointer jumping, so the
     rounds grow with the logarithm of a component's size.
     """
-    labels = stored(nodes.select("id", F.col("id").alias("label")), "labels")
     while True:
         left = edges.join(labels.select(F.col("id").alias("a"), F.col("label").alias("la")), "a")
         both = left.join(labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b").filter("la != lb")
@@ -240,49 +251,60 @@ def near_duplicates(
     classes = stored(classes.select("same", "top", "n", number.alias("rep")), "classes")
     twins = keyed.join(classes.filter("n > 1"), "same").filter(F.col(LOCATOR) != F.col("top")[LOCATOR]).select(LOCATOR)
     unique = without_keys(texts, stored(twins, "twins"), LOCATOR)
-    flat = unique.select(F.col(f"{LOCATOR}.file").alias("file"), F.col(f"{LOCATOR}.row").alias("row"), "words")
-    sketched = _sketches(flat, sketches, picks).select("bucket", F.xxhash64("file", "row").alias("rep"))
-    sketched = stored(sketched, "sketches")
-    shared = sketched.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.max("rep").alias("other")).filter("pivot != other")
-    members = stored(sketched.join(shared.select("bucket", "pivot"), "bucket"), "buckets")
+    flat = unique.select(F.xxhash64(f"{LOCATOR}.file", f"{LOCATOR}.row").alias("id"), "words")
+    sketched = stored(_sketches(flat, sketches, picks), "sketches")
+    shared = sketched.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("__p"), F.count(F.lit(1)).alias("__c"))
+    shared = shared.filter("__c > 1").select("bucket", F.col("__p.rep").alias("pivot"), F.col("__p.n").alias("pivot_n"))
+    members = stored(sketched.join(shared, "bucket"), "buckets")
     nodes = stored(members.select(F.col("rep").alias("id")).distinct(), "candidates")
-    bodies = flat.select(F.xxhash64("file", "row").alias("id"), "words")
-    bodies = stored(only_keys(bodies, nodes, "id"), "bodies")
-    links = _links(members, nodes, bodies, similarity)
-    return _memberships(keyed, classes, nodes, links)
+    bodies = stored(_windows(only_keys(flat, nodes, "id")), "bodies")
+    links, labels = _links(members, nodes, bodies, similarity)
+    return _memberships(keyed, classes, labels, links)
+
+
+def _close(n: str, m: str, similarity: float) -> Column:
+    """Whether texts of so many windows can be similar at all: no more windows align than the shorter one has."""
+    return F.least(n, m) >= F.greatest(n, m) * F.lit(similarity) - F.lit(1e-9)
 
 
 def _compare(pairs: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
-    left = pairs.join(bodies.select(F.col("id").alias("a"), F.col("words").alias("__l")), "a")
-    both = left.join(bodies.select(F.col("id").alias("b"), F.col("words").alias("__r")), "b")
+    left = pairs.join(bodies.select(F.col("id").alias("a"), F.col("windows").alias("__l")), "a")
+    both = left.join(bodies.select(F.col("id").alias("b"), F.col("windows").alias("__r")), "b")
     return stored(_verified(both.select("a", "b", "__l", "__r"), similarity), "links")
 
 
-def _links(members: DataFrame, nodes: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
-    """Verified links (a, b) that connect whatever the buckets' pairs connect."""
-    pairs = members.filter("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    links = _compare(pairs, bodies, similarity)
+def _links(members: DataFrame, nodes: DataFrame, bodies: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Verified links (a, b) that connect whatever the buckets' pairs connect, and the candidates' labels by them.
+    No pair is compared twice."""
+    first = members.filter((F.col("rep") != F.col("pivot")) & _close("n", "pivot_n", similarity))
+    compared = stored(first.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
+    fresh = links = _compare(compared, bodies, similarity)
+    labels = stored(alone(nodes), "labels")
     done = stored(members.select("bucket", F.col("pivot").alias("rep")).distinct(), "pivots")
     more = 1
     while True:
-        labels = components(links, nodes)
+        labels = components(fresh, labels)
         named = members.join(labels.select(F.col("id").alias("rep"), "label"), "rep")
         named = named.join(labels.select(F.col("id").alias("pivot"), F.col("label").alias("main")), "pivot")
+        named = stored(named.select("bucket", "rep", "n", "label", "main"), "named")
         apart = named.filter("label != main").join(done, ["bucket", "rep"], "left_anti")
         nth = F.row_number().over(Window.partitionBy("bucket").orderBy("rep"))
-        chosen = stored(apart.withColumn("__n", nth).filter(F.col("__n") <= more).select("bucket", "rep", "label"), "pivots")
+        chosen = stored(apart.withColumn("__n", nth).filter(F.col("__n") <= more).select("bucket", "rep", "n", "label"), "pivots")
         if chosen.isEmpty():
-            return links
-        against = named.select("bucket", F.col("rep").alias("b"), F.col("label").alias("lb"))
-        met = chosen.select("bucket", F.col("rep").alias("a"), F.col("label").alias("la")).join(against, "bucket").filter("la != lb")
+            return links, labels
+        against = named.select("bucket", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
+        met = chosen.select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
+        met = met.join(against, "bucket").filter((F.col("la") != F.col("lb")) & _close("na", "nb", similarity))
         pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = stored(links.unionByName(_compare(pairs, bodies, similarity)), "links")
+        pairs = stored(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
+        fresh = _compare(pairs, bodies, similarity)
+        links = links.unionByName(fresh)
+        compared = compared.unionByName(pairs)
         done = stored(done.unionByName(chosen.select("bucket", "rep")), "pivots")
         more *= 4
 
 
-def _memberships(keyed: DataFrame, classes: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
-    labels = components(links, nodes)
+def _memberships(keyed: DataFrame, classes: DataFrame, labels: DataFrame, links: DataFrame) -> DataFrame:
     ends = links.select(F.col("a").alias("rep")).unionAll(links.select(F.col("b").alias("rep")))
     counted = ends.groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
     grouped = (

@@ -139,7 +139,7 @@ def test_band_alignment_is_exact(a, b, s):
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 200)] + [(500, 300), (400, 500)], "a bigint, b bigint")
     nodes = edges.selectExpr("a id").union(edges.selectExpr("b id")).distinct()
-    labels = {r["id"]: r["label"] for r in order_minhash.components(edges, nodes).collect()}
+    labels = {r["id"]: r["label"] for r in order_minhash.components(edges, order_minhash.alone(nodes)).collect()}
     assert all(labels[i] == 0 for i in range(201)) and {labels[i] for i in (300, 400, 500)} == {300}
 
 
