@@ -6,6 +6,8 @@ that a long page cannot exhaust the thread's stack.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,21 +16,11 @@ from quirelake.functions.text import bind, literal_map, trim_ws
 # Word ratings, as the last class of the rating node.
 RATING_WORDS = {"One": 1, "Two": 2, "Three": 3, "Four": 4, "Five": 5}
 
-# Named character references; '&amp;' is decoded last.
-NAMED_REFERENCES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\xa0",
-    "&pound;": "£", "&euro;": "€", "&yen;": "¥", "&cent;": "¢",
-    "&copy;": "©", "&reg;": "®", "&trade;": "™", "&middot;": "·",
-    "&hellip;": "…", "&ndash;": "–", "&mdash;": "—",
-    "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”",
-    "&laquo;": "«", "&raquo;": "»", "&bull;": "•", "&deg;": "°",
-    "&eacute;": "é", "&egrave;": "è", "&ecirc;": "ê", "&agrave;": "à",
-    "&ccedil;": "ç", "&ouml;": "ö", "&uuml;": "ü", "&auml;": "ä",
-    "&szlig;": "ß", "&ntilde;": "ñ",
-}
-
-# Link patterns; the target is their second group, the first one is the quote.
-_HREF = r"""<a\b[^>]*?\bhref\s*=\s*(["'])(.*?)\1"""
+# Named character references, without '&' and ';'.
+NAMED_REFERENCES = {**{name: chr(point) for name, point in name2codepoint.items()}, "apos": "'"}
+
+# Link patterns; their group is the attribute's value as written, with its quotes if it has any.
+_HREF = r"""<a(?=\s)(?:"[^"]*+"|'[^']*+'|[^>"'\s]++|\s(?!\s*href\s*=))*+\s\s*href\s*=\s*("[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
 LINK = f"(?is){_HREF}"
 PRODUCT_LINK = rf"(?is)<h3\b[^>]*>\s*{_HREF}"
 
@@ -40,28 +32,93 @@ def _with_class(tag: str, name: str) -> str:
 NEXT_LINK = rf"(?is){_with_class('li', 'next')}\s*{_HREF}"
 CATEGORY_MENU = rf"(?is){_with_class('ul', 'nav-list')}.*?<ul\b[^>]*>(.*?)</ul>"
 
-_INNERMOST_DIV = r"(?is)<div\b[^>]*+>(?:(?!</?div\b).)*+</div>"
+# Pieces of markup: comments and scripts as a whole, tags, text.
+_PIECE = (
+    r"(?is)<!--.*?-->|<script\b[^>]*+>.*?</script\s*+>|<style\b[^>]*+>.*?</style\s*+>|<[/!?a-z][^>]*+>"
+    r"|(?:[^<]|<(?![/!?a-z]))++"
+)
+# Pieces that neither open nor close a node with content.
+_NO_CONTENT = (
+    r"(?i)^<(?:[!?]|script\b|style\b|/?(?:area|base|br|col|embed|hr|img|input|link|meta|param|source|track|wbr)\b)"
+)
+_TAG = "(?i)^<[/!?a-z]"
+
+
+def _pieces(body: Column) -> Column:
+    return F.regexp_extract_all(body, F.lit(_PIECE), F.lit(0))
+
+
+def direct_texts(body: Column) -> Column:
+    """The text nodes of a node's content that don't lie in further nodes, as they are written."""
+
+    def step(state: Column, piece: Column) -> Column:
+        depth, texts = state["depth"], state["texts"]
+
+        def to(d: Column, t: Column = texts) -> Column:
+            return F.struct(d.alias("depth"), t.alias("texts"))
+
+        return (
+            F.when(~piece.rlike(_TAG), to(depth, F.when(depth == 0, F.concat(texts, F.array(piece))).otherwise(texts)))
+            .when(piece.rlike(_NO_CONTENT), to(depth))
+            .when(piece.startswith("</"), to(F.greatest(depth - 1, F.lit(0))))
+            .otherwise(to(depth + 1))
+        )
+
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("texts"))
+    walked = F.aggregate(_pieces(body), start, step, lambda state: state["texts"])
+    plain = F.when(body == "", F.array().cast("array<string>")).otherwise(F.array(body))
+    return F.when(F.contains(body, F.lit("<")), walked).otherwise(plain)
+
+
+def _child_text(body: Column) -> Column:
+    """First text of a node's content, or its first paragraph's, of the paragraphs right below it."""
 
+    def step(state: Column, piece: Column) -> Column:
+        depth, inside, found = state["depth"], state["inside"], state["found"]
+        paragraph = piece.rlike(r"(?i)^<p[\s/>]")
 
-def _numeric_reference(token: Column) -> Column:
-    """One token: a numeric reference becomes its character, anything else stays."""
-    digits = F.when(
-        token.rlike("^&#[xX]"), F.regexp_extract(token, "^&#[xX]([0-9A-Fa-f]+);", 1)
-    ).otherwise(F.hex(F.regexp_extract(token, "^&#([0-9]+);", 1).try_cast("bigint")))
-    char = F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")
-    return F.when(token.rlike("^&#([0-9]{1,6}|[xX][0-9A-Fa-f]{1,5});$"), char).otherwise(token)
+        def to(d: Column, i: Column = inside, f: Column = found) -> Column:
+            return F.struct(d.alias("depth"), i.alias("inside"), f.alias("found"))
+
+        here = inside & (depth == 1)
+        return (
+            F.when(found.isNotNull(), state)
+            .when(~piece.rlike(_TAG), to(depth, f=F.when(here, piece)))
+            .when(piece.rlike(_NO_CONTENT), to(depth))
+            .when(piece.startswith("</"), to(F.greatest(depth - 1, F.lit(0)), inside & (depth > 1)))
+            .when(here & paragraph, state)  # a paragraph that begins ends the one before
+            .otherwise(to(depth + 1, F.when(depth == 0, paragraph).otherwise(inside)))
+        )
+
+    start = F.struct(
+        F.lit(0).alias("depth"), F.lit(False).alias("inside"), F.lit(None).cast("string").alias("found")
+    )
+    return F.aggregate(_pieces(body), start, step, lambda state: state["found"])
+
+
+def _reference(token: Column) -> Column:
+    """One token: a character reference becomes its character, anything else stays."""
+    decimal = F.regexp_extract(token, "^&#0*([0-9]{1,7});$", 1)
+    hexadecimal = F.regexp_extract(token, "^&#[xX]0*([0-9A-Fa-f]{1,6});$", 1)
+    digits = F.upper(F.when(hexadecimal != "", hexadecimal).otherwise(F.hex(decimal.try_cast("bigint"))))
+    padded = F.lpad(digits, 8, "0")
+    known = (padded <= "0010FFFF") & (padded > "00000000") & ~padded.between("0000D800", "0000DFFF")
+    char = F.when(known, F.decode(F.unhex(F.when(known, padded)), "UTF-32")).otherwise("\ufffd")
+    named = F.try_element_at(literal_map(NAMED_REFERENCES), F.regexp_extract(token, "^&(.*);$", 1))
+    return (
+        F.when(token.rlike("^&#(?:[0-9]+|[xX][0-9A-Fa-f]+);$"), char)
+        .when(token.startswith("&"), F.coalesce(named, token))
+        .otherwise(token)
+    )
 
 
 def decode_references(c: Column) -> Column:
     """Named and numeric character references to the characters they stand for."""
 
     def decoded(raw: Column) -> Column:
-        tokens = F.regexp_extract_all(raw, F.lit(r"(?s)&#[0-9xXA-Fa-f]{1,8};|[^&]++|&"), F.lit(0))
-        text = F.array_join(F.transform(tokens, _numeric_reference), "")
-        text = F.when(F.contains(raw, F.lit("&#")), text).otherwise(raw)
-        for reference, char in NAMED_REFERENCES.items():
-            text = F.replace(text, F.lit(reference), F.lit(char))
-        text = F.replace(text, F.lit("&amp;"), F.lit("&"))
+        pattern = "(?s)&(?:#[0-9]++|#[xX][0-9A-Fa-f]++|[A-Za-z][A-Za-z0-9]*+);|[^&]++|&"
+        tokens = F.regexp_extract_all(raw, F.lit(pattern), F.lit(0))
+        text = F.array_join(F.transform(tokens, _reference), "")
         return F.when(F.contains(raw, F.lit("&")), text).otherwise(raw)
 
     return bind(c, decoded)
@@ -69,65 +126,72 @@ def decode_references(c: Column) -> Column:
 
 def links(html: Column, pattern: str = LINK) -> Column:
     """All link targets that match `pattern`, in page order."""
-    return F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(2)), decode_references)
+    written = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+    return F.transform(written, lambda w: decode_references(F.regexp_replace(w, "^[\"']|[\"']$", "")))
 
 
 def category_links(html: Column) -> Column:
     return links(F.regexp_extract(html, CATEGORY_MENU, 1))
 
 
-def first_text(html: Column, opening: str) -> Column:
-    """Text right after the first node that matches `opening`; '' when there is none."""
-    return trim_ws(decode_references(F.regexp_extract(html, f"(?is){opening}([^<]*)", 1)))
+def _bodies(html: Column, opening: str, tag: str) -> Column:
+    """Contents of all nodes that match `opening`."""
+    bare = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
+    return F.regexp_extract_all(bare, F.lit(f"(?is){opening}(.*?)</{tag}\\s*>"), F.lit(1))
+
+
+def _texts(html: Column, opening: str, tag: str) -> Column:
+    return F.flatten(F.transform(_bodies(html, opening, tag), direct_texts))
+
+
+def _written(text: Column, default: str = "") -> Column:
+    return F.coalesce(trim_ws(decode_references(text)), F.lit(default))
+
+
+def first_text(html: Column, opening: str, tag: str) -> Column:
+    """First text right below the nodes that match `opening`; '' when there is none."""
+    return _written(F.get(_texts(html, opening, tag), F.lit(0)))
 
 
 def heading(html: Column) -> Column:
-    return first_text(html, r"<h1\b[^>]*>")
+    return first_text(html, r"<h1\b[^>]*>", "h1")
 
 
 def text_of_class(html: Column, tag: str, name: str) -> Column:
-    return first_text(html, _with_class(tag, name))
+    return first_text(html, _with_class(tag, name), tag)
 
 
 def last_text_of_class(html: Column, tag: str, name: str, default: str) -> Column:
-    """Last piece of text of the last such node; `default` when no node exists."""
-    bodies = F.regexp_extract_all(html, F.lit(f"(?is){_with_class(tag, name)}(.*?)</{tag}>"), F.lit(1))
-    body = F.try_element_at(bodies, F.lit(-1))
-    text = trim_ws(decode_references(F.regexp_extract(body, r"(?:^|>)([^<>]*+)$", 1)))
-    return F.coalesce(text, F.lit(default))
+    """Last text right below such nodes, '' when they have none; `default` when no node exists."""
+    opening = _with_class(tag, name)
+    last = F.try_element_at(_texts(html, opening, tag), F.lit(-1))
+    return F.when(html.rlike(f"(?is){opening}"), _written(last)).otherwise(F.lit(default))
 
 
 def breadcrumb(html: Column, position: int) -> Column:
     """Link text of the n-th breadcrumb."""
     trail = F.regexp_extract(html, rf"(?is){_with_class('ul', 'breadcrumb')}(.*?)</ul>", 1)
     items = F.regexp_extract_all(trail, F.lit(r"(?is)<li\b[^>]*>(.*?)</li>"), F.lit(1))
-    item = F.get(items, F.lit(position - 1))
-    return F.coalesce(first_text(item, r"<a\b[^>]*>"), F.lit(""))
+    return first_text(F.coalesce(F.get(items, F.lit(position - 1)), F.lit("")), r"<a\b[^>]*>", "a")
 
 
-def direct_paragraph(html: Column, tag: str, name: str, depth: int = 8) -> Column:
-    """First <p> that is a direct child of the node, not one nested in its <div>s.
+def direct_paragraph(html: Column, tag: str, name: str) -> Column:
+    """First text of a <p> right below the node, whatever lies in its other nodes."""
+    return _written(_child_text(F.regexp_extract(html, f"(?is){_with_class(tag, name)}(.*?)</{tag}\\s*>", 1)))
 
-    Each round takes the innermost <div>s away, so `depth` is the deepest
-    nesting that is looked through.
-    """
-    body = F.regexp_extract(html, f"(?is){_with_class(tag, name)}(.*?)</{tag}>", 1)
-    for _ in range(depth):
-        body = F.regexp_replace(body, _INNERMOST_DIV, "")
-    return first_text(body, r"<p\b[^>]*>")
 
+def table_map(html: Column, name: str = "table") -> Column:
+    """Rows with a <th> key and a <td> value of tables of a class, as a map; the last of equal keys wins."""
+    tables = F.array_join(_bodies(html, _with_class("table", name), "table"), "<tr>")
+    rows = F.regexp_extract_all(tables, F.lit(r"(?is)<tr\b[^>]*>(.*?)(?=</tr\b|<tr\b|$)"), F.lit(1))
 
-def table_map(html: Column) -> Column:
-    """Rows <tr><th>key</th><td>value</td></tr> as a map; the last of equal keys wins."""
-    rows = F.regexp_extract_all(
-        html, F.lit(r"(?is)<tr\b[^>]*>\s*<th\b[^>]*>[^<]*</th>\s*<td\b[^>]*>[^<]*"), F.lit(0)
-    )
-    cells = F.transform(
-        rows,
-        lambda r: F.struct(
-            decode_references(F.regexp_extract(r, r"(?is)<th\b[^>]*>([^<]*)", 1)).alias("k"),
-            decode_references(F.regexp_extract(r, r"(?is)<td\b[^>]*>([^<]*)", 1)).alias("v"),
-        ),
+    def cell(row: Column, tag: str) -> Column:
+        body = F.regexp_extract(row, rf"(?is)<{tag}\b[^>]*>(.*?)(?=</{tag}\b|<t[hd]\b|$)", 1)
+        return decode_references(F.get(direct_texts(body), F.lit(0)))
+
+    cells = F.filter(
+        F.transform(rows, lambda r: F.struct(cell(r, "th").alias("k"), F.coalesce(cell(r, "td"), F.lit("")).alias("v"))),
+        lambda c: c["k"].isNotNull(),
     )
 
     def last_of_each(found: Column) -> Column:

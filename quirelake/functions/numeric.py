@@ -47,7 +47,8 @@ def round_exact(c: Column, digits: int = 2) -> Column:
 
     `x * 10^d` is not exact, so its rounding error is recovered with the usual
     splitting of a product into a rounded part and a remainder, and decides the
-    cases that look like ties. Doubles above 2^45 carry no such digits and pass.
+    cases that look like ties. From 2^45 on a double's fraction has at most seven
+    bits, so its digits are exact by themselves; from 2^53 on it has none.
     """
     scale = F.lit(float(10**digits))
     size = F.abs(c)
@@ -60,7 +61,13 @@ def round_exact(c: Column, digits: int = 2) -> Column:
     up = (excess > 0) | ((excess == 0) & (remainder > 0))
     tie = (excess == 0) & (remainder == 0)
     rounded = F.when(tie, F.rint(product)).when(up, below + 1).otherwise(below) / scale
-    return F.when(size < F.lit(float(2**45)), rounded * F.signum(c)).otherwise(c)
+    whole = F.floor(size).cast("double")
+    large = whole + F.rint((size - whole) * scale) / scale
+    return (
+        F.when(size < F.lit(float(2**45)), rounded * F.signum(c))
+        .when(size < F.lit(float(2**53)), large * F.signum(c))
+        .otherwise(c)
+    )
 
 
 def safe_text(c: Column, default: str | None = None) -> Column:
@@ -74,7 +81,13 @@ def safe_float(c: Column, from_text: bool = False) -> Column:
     return round_exact(F.nanvl(value, F.lit(None).cast("double")))
 
 
+# What a whole number too large for 64 bits becomes: no table column takes it either, so the load rejects it.
+TOO_LARGE = 2**63 - 1
+
+
 def safe_int(c: Column, from_text: bool = False) -> Column:
-    """Truncate toward zero; what is no number becomes 0."""
-    value = parse_number(c) if from_text else c.cast("double")
-    return F.coalesce(value.try_cast("bigint"), F.lit(0).cast("bigint"))
+    """Truncate toward zero; what is no number becomes 0, and what is too large `TOO_LARGE`."""
+    value = parse_number(c) if from_text else c.try_cast("double")
+    is_number = F.abs(value) < F.lit(float("inf"))  # false for nan as well
+    whole = F.coalesce(value.try_cast("bigint"), F.lit(TOO_LARGE))
+    return F.when(is_number, whole).otherwise(F.lit(0).cast("bigint"))

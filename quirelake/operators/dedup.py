@@ -63,10 +63,10 @@ def duplicate_report(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
 
 
 def new_keys(candidates: DataFrame, visited: DataFrame, key: str) -> DataFrame:
-    """Candidates whose key is not in `visited`, one row per key.
+    """Candidates whose key is not in `visited`, one row per key; rows without a key are left out.
 
-    Both sides are made distinct first. That collapses hot keys inside the map
-    tasks, and the join then reuses the hash partitioning of the aggregates.
+    The candidates are made distinct first, which collapses hot keys inside the
+    map tasks. `visited` holds each key once, or a few times; no matter.
     """
-    seen = visited.select(key).distinct()
-    return keep_latest(candidates, key, key).join(seen, key, "left_anti")
+    fresh = keep_latest(candidates.filter(F.col(key).isNotNull()), key, key)
+    return fresh.join(visited.select(key), key, "left_anti")

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from quirelake.functions.numeric import round_half_even
 from quirelake.schemas import FLAT_COLUMNS, GOLD_ORDER
-from quirelake.session import is_small
 
 
 def _tag(df: DataFrame, source: str | None, run_ts: str | None) -> DataFrame:
@@ -47,37 +46,16 @@ def kpi_by_dimension(
 ) -> DataFrame:
     """`kpi_by_category` where the category is an attribute of a joined table.
 
-    A small dimension is joined where the facts are read. For a larger one the
-    facts are aggregated per key before the join: they are shuffled once, by a
-    key that hot values cannot unbalance, and the join sees one row per key.
+    Both sides are projected to what is needed, under names of their own, so
+    columns of equal names don't meet. Spark chooses the join by its sizes.
     """
-    if is_small(dimension):
-        joined = fact.join(dimension, F.col(fk) == F.col(id_name))
-        return kpi_by_category(joined, category, title, price, rating, reviews, source, run_ts)
-    partial = fact.filter(F.col(fk).isNotNull()).groupBy(fk).agg(
-        F.count(title).alias("_n"),
-        F.sum(price).alias("_price_sum"),
-        F.count(price).alias("_price_n"),
-        F.min(price).alias("_price_min"),
-        F.max(price).alias("_price_max"),
-        F.sum(rating).alias("_rating_sum"),
-        F.count(rating).alias("_rating_n"),
-        F.sum(reviews).alias("_reviews"),
+    facts = fact.select(
+        F.col(fk).alias("_fk"), F.col(title).alias("_title"), F.col(price).alias("_price"),
+        F.col(rating).alias("_rating"), F.col(reviews).alias("_reviews"),
     )
-    named = dimension.filter(F.col(category).isNotNull()).select(id_name, F.col(category).alias("categorie"))
-    kpi = (
-        partial.join(named, F.col(fk) == F.col(id_name))
-        .groupBy("categorie")
-        .agg(
-            F.sum("_n").alias("nb_livres"),
-            round_half_even(F.try_divide(F.sum("_price_sum"), F.sum("_price_n"))).alias("prix_moyen"),
-            round_half_even(F.min("_price_min")).alias("prix_min"),
-            round_half_even(F.max("_price_max")).alias("prix_max"),
-            round_half_even(F.try_divide(F.sum("_rating_sum"), F.sum("_rating_n"))).alias("note_moyenne"),
-            F.coalesce(F.sum("_reviews"), F.lit(0)).cast("bigint").alias("total_avis"),
-        )
-    )
-    return _tag(kpi, source, run_ts)
+    named = dimension.select(F.col(id_name).alias("_id"), F.col(category).alias("_category"))
+    joined = facts.join(named.filter(F.col("_category").isNotNull()), F.col("_fk") == F.col("_id"))
+    return kpi_by_category(joined, "_category", "_title", "_price", "_rating", "_reviews", source, run_ts)
 
 
 def rating_distribution(

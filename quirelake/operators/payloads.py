@@ -42,8 +42,11 @@ def volume_urls(payloads: DataFrame, base: str, payload="payload", keep=("query"
     return listed.select(*keep, volume.alias("volume_id"), F.concat(F.lit(base), volume).alias("detail_url"))
 
 
-def work_records(details: DataFrame, run_ts: str, detail="detail", work="work", subject="subject") -> DataFrame:
-    """Works joined with their stored details to Bronze records."""
+def work_records(
+    details: DataFrame, run_ts: str, detail="detail", work="work", subject="subject",
+    description_chars: int = DESCRIPTION_LIMIT,
+) -> DataFrame:
+    """Works joined with their stored details to Bronze records; descriptions are cut to `description_chars`."""
     parsed = details.withColumn("_detail", F.from_json(detail, WORK_DETAIL))
     data = F.col("_detail")
     author = F.get(F.col(f"{work}.authors"), 0)["name"]
@@ -62,7 +65,7 @@ def work_records(details: DataFrame, run_ts: str, detail="detail", work="work",
         F.lit(None).cast("double").alias("note_etoiles"),
         F.lit("N/A").alias("disponibilite"),
         capitalize(F.col(subject)).alias("categorie"),
-        F.substring(description, 1, DESCRIPTION_LIMIT).alias("description"),
+        F.substring(description, 1, description_chars).alias("description"),
         isbn.alias("isbn"),
         F.coalesce(F.col(f"{work}.edition_count"), F.lit(0)).cast("bigint").alias("nb_avis"),
         F.lit("eng").alias("langue"),
@@ -73,19 +76,23 @@ def work_records(details: DataFrame, run_ts: str, detail="detail", work="work",
     )
 
 
-def volume_records(payloads: DataFrame, run_ts: str, payload="payload", url="url") -> DataFrame:
-    """Volume answers to Bronze records."""
+def volume_records(
+    payloads: DataFrame, run_ts: str, payload="payload", url="url", description_chars: int = DESCRIPTION_LIMIT
+) -> DataFrame:
+    """Volume answers to Bronze records; descriptions are cut to `description_chars`."""
     parsed = payloads.withColumn("_volume", F.from_json(payload, VOLUME))
     info, sale = F.col("_volume.volumeInfo"), F.col("_volume.saleInfo")
     listed = sale["listPrice"]
+    # an object without any field says as little as none
+    fields = F.json_object_keys(F.get_json_object(payload, "$.saleInfo.listPrice"))
     price = F.when(
-        listed.isNotNull(),
+        listed.isNotNull() & (F.size(fields) > 0),
         F.concat_ws(
             " ", F.coalesce(listed["amount"], F.lit("")), F.coalesce(listed["currencyCode"], F.lit(""))
         ),
     )
     isbn = F.get(F.filter(info["industryIdentifiers"], lambda x: x["type"] == "ISBN_13"), 0)["identifier"]
-    year = parse_number(F.substring(info["publishedDate"], 1, 4)).cast("int")
+    year = parse_number(F.substring(info["publishedDate"], 1, 4)).try_cast("int")
     return parsed.select(
         trim_ws(F.coalesce(info["title"], F.lit(""))).alias("titre"),
         F.array_join(F.coalesce(info["authors"], F.array(F.lit("Unknown"))), ", ").alias("auteur"),
@@ -93,7 +100,7 @@ def volume_records(payloads: DataFrame, run_ts: str, payload="payload", url="url
         info["averageRating"].alias("note_etoiles"),
         F.coalesce(sale["saleability"], F.lit("N/A")).alias("disponibilite"),
         F.coalesce(F.get(info["categories"], 0), F.lit("Unknown")).alias("categorie"),
-        F.substring(F.coalesce(info["description"], F.lit("")), 1, DESCRIPTION_LIMIT).alias("description"),
+        F.substring(F.coalesce(info["description"], F.lit("")), 1, description_chars).alias("description"),
         F.coalesce(isbn, F.lit("")).alias("isbn"),
         F.coalesce(info["ratingsCount"], F.lit(0)).cast("bigint").alias("nb_avis"),
         F.coalesce(info["language"], F.lit("en")).alias("langue"),

@@ -1,9 +1,9 @@
 """Star schema: dimensions, facts and the aggregates over them.
 
-Small dimensions, by Spark's estimate and threshold, are joined where the facts
-are read. Otherwise an aggregate first groups the facts by the foreign keys it
-needs and joins the resulting rows. Either way the facts are never shuffled for
-a join, and a hot key shrinks inside the map tasks. There are no broadcast hints.
+An aggregate projects the facts to their keys and measures and the dimensions to
+the attributes it needs, joins them and groups once by those attributes. There is
+one program for all sizes: Spark chooses each join from the sizes it sees, and
+splits the tasks of a hot key. There are no broadcast hints.
 """
 
 from __future__ import annotations
@@ -11,12 +11,11 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirelake.functions.numeric import round_half_up
 from quirelake.operators.dedup import keep_latest
-from quirelake.session import is_small
 
 
 def _hash(*parts: str) -> Column:
@@ -89,79 +88,52 @@ def star_from_silver(silver: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-# How each partial measure is merged.
-_SUMS = {
-    "_rows": F.sum, "_ids": F.sum, "_price_sum": F.sum, "_price_n": F.sum,
-    "_price_min": F.min, "_price_max": F.max, "_rating_sum": F.sum, "_rating_n": F.sum,
-}
-
-
-def _partials(fact: DataFrame, keys: list[str], price="prix", rating="note_etoiles", row_id="id") -> DataFrame:
-    """Mergeable sums and extremes of the measures per combination of foreign keys."""
-    return fact.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count(row_id).alias("_ids"),
-        F.sum(price).alias("_price_sum"),
-        F.count(price).alias("_price_n"),
-        F.min(price).alias("_price_min"),
-        F.max(price).alias("_price_max"),
-        F.sum(rating).alias("_rating_sum"),
-        F.count(rating).alias("_rating_n"),
-    )
-
-
-Link = tuple[DataFrame, str, str]  # dimension, foreign key in the facts, its id
+Link = tuple[DataFrame, str, str, str]  # dimension, foreign key in the facts, its id, its attribute
 
 
-def _join(df: DataFrame, links: list[Link]) -> DataFrame:
-    for dimension, fk, id_name in links:
-        df = df.join(dimension, F.col(fk) == F.col(id_name))
+def _joined(fact: DataFrame, links: list[Link], **measures: str) -> DataFrame:
+    """The measures and the dimensions' attributes, under their new names only."""
+    keys = {f"_fk{i}": fk for i, (_, fk, _, _) in enumerate(links)}
+    df = fact.select(*[F.col(c).alias(new) for new, c in {**keys, **measures}.items()])
+    for i, (dimension, _, id_name, attribute) in enumerate(links):
+        named = dimension.select(F.col(id_name).alias(f"_id{i}"), F.col(attribute).alias(f"_{attribute}"))
+        df = df.join(named, F.col(f"_fk{i}") == F.col(f"_id{i}"))
     return df
 
 
-def _named_partials(fact: DataFrame, links: list[Link], names: list[str]) -> DataFrame:
-    """Partial measures with the dimensions' attributes `names` beside them."""
-    if all(is_small(dimension) for dimension, _, _ in links):
-        return _partials(_join(fact, links), names)
-    return _join(_partials(fact, [fk for _, fk, _ in links]), links)
-
-
-def _merge(df: DataFrame, keys: list[str], *more: Column) -> DataFrame:
-    merged = [f(c).alias(c) for c, f in _SUMS.items()]
-    return df.groupBy(*keys).agg(*merged, *more)
-
-
 def _mean(measure: str, name: str) -> Column:
-    return round_half_up(F.try_divide(F.col(f"_{measure}_sum"), F.col(f"_{measure}_n"))).alias(name)
-
+    return round_half_up(F.avg(measure)).alias(name)
 
-def _available() -> Column:
-    return F.sum(F.when(F.col("est_disponible"), F.col("_rows")).otherwise(F.lit(0))).alias("_available")
 
-
-def _percent(part: str, whole: str) -> Column:
-    return round_half_up(F.try_divide(F.lit(100.0) * F.col(part), F.col(whole)))
+def _percent_available(whole: Column) -> Column:
+    available = F.count_if(F.col("_est_disponible"))
+    return round_half_up(F.try_divide(F.lit(100.0) * available, whole))
 
 
 def genre_stats(fact: DataFrame, dim_category: DataFrame, dim_availability: DataFrame) -> DataFrame:
-    links = [(dim_category, "fk_categorie", "id_categorie"), (dim_availability, "fk_dispo", "id_dispo")]
-    joined = _named_partials(fact, links, ["nom_categorie", "est_disponible"])
-    return _merge(joined, ["nom_categorie"], _available()).select(
-        F.col("nom_categorie").alias("genre"),
-        F.col("_ids").alias("nb_livres"),
-        _mean("price", "prix_moyen"),
-        F.col("_price_min").alias("prix_min"),
-        F.col("_price_max").alias("prix_max"),
-        _mean("rating", "note_moyenne"),
-        _percent("_available", "_ids").alias("pct_disponible"),
+    links = [
+        (dim_category, "fk_categorie", "id_categorie", "nom_categorie"),
+        (dim_availability, "fk_dispo", "id_dispo", "est_disponible"),
+    ]
+    joined = _joined(fact, links, _row="id", _price="prix", _rating="note_etoiles")
+    return joined.groupBy(F.col("_nom_categorie").alias("genre")).agg(
+        F.count("_row").alias("nb_livres"),
+        _mean("_price", "prix_moyen"),
+        F.min("_price").alias("prix_min"),
+        F.max("_price").alias("prix_max"),
+        _mean("_rating", "note_moyenne"),
+        _percent_available(F.count("_row")).alias("pct_disponible"),
     )
 
 
 def daily_volumes(fact: DataFrame, dim_date: DataFrame, dim_source: DataFrame, row_id: str | None = "id") -> DataFrame:
     """Facts per day and site; counts `row_id`, or all rows when it is None."""
-    links = [(dim_date, "fk_date", "id_date"), (dim_source, "fk_source", "id_source")]
-    joined = _named_partials(fact.withColumn("id", F.col(row_id) if row_id else F.lit(1)), links, ["date_val", "nom_site"])
-    return joined.groupBy("date_val", F.col("nom_site").alias("source")).agg(F.sum("_ids").alias("nb_livres"))
+    links = [(dim_date, "fk_date", "id_date", "date_val"), (dim_source, "fk_source", "id_source", "nom_site")]
+    joined = _joined(fact, links, **({"_row": row_id} if row_id else {}))
+    counted = F.count("_row") if row_id else F.count(F.lit(1))
+    return joined.groupBy(F.col("_date_val").alias("date_val"), F.col("_nom_site").alias("source")).agg(
+        counted.alias("nb_livres")
+    )
 
 
 def timeline(fact: DataFrame, dim_date: DataFrame, dim_source: DataFrame) -> DataFrame:
@@ -181,29 +153,27 @@ def global_kpis(fact: DataFrame) -> DataFrame:
 
 
 def top_genres(fact: DataFrame, dim_category: DataFrame, n: int = 10) -> DataFrame:
-    joined = _named_partials(fact, [(dim_category, "fk_categorie", "id_categorie")], ["nom_categorie"])
+    links = [(dim_category, "fk_categorie", "id_categorie", "nom_categorie")]
+    joined = _joined(fact, links, _price="prix", _rating="note_etoiles")
     return (
-        _merge(joined, ["nom_categorie"])
-        .select(
-            "nom_categorie",
-            F.col("_rows").alias("nb_livres"),
-            _mean("price", "prix_moyen"),
-            _mean("rating", "note_moyenne"),
-        )
+        joined.groupBy(F.col("_nom_categorie").alias("nom_categorie"))
+        .agg(F.count(F.lit(1)).alias("nb_livres"), _mean("_price", "prix_moyen"), _mean("_rating", "note_moyenne"))
         .orderBy(F.col("nb_livres").desc(), "nom_categorie")
         .limit(n)
     )
 
 
 def source_comparison(fact: DataFrame, dim_source: DataFrame, dim_availability: DataFrame) -> DataFrame:
-    links = [(dim_source, "fk_source", "id_source"), (dim_availability, "fk_dispo", "id_dispo")]
-    joined = _named_partials(fact, links, ["nom_site", "est_disponible"])
-    return _merge(joined, ["nom_site"], _available()).select(
-        "nom_site",
-        F.col("_rows").alias("nb_livres"),
-        _mean("price", "prix_moyen"),
-        _mean("rating", "note_moyenne"),
-        _percent("_available", "_rows").alias("pct_dispo"),
+    links = [
+        (dim_source, "fk_source", "id_source", "nom_site"),
+        (dim_availability, "fk_dispo", "id_dispo", "est_disponible"),
+    ]
+    joined = _joined(fact, links, _price="prix", _rating="note_etoiles")
+    return joined.groupBy(F.col("_nom_site").alias("nom_site")).agg(
+        F.count(F.lit(1)).alias("nb_livres"),
+        _mean("_price", "prix_moyen"),
+        _mean("_rating", "note_moyenne"),
+        _percent_available(F.count(F.lit(1))).alias("pct_dispo"),
     )
 
 
@@ -235,10 +205,11 @@ def top_rated(
     """The n best rated, then most reviewed facts with their names.
 
     Facts whose keys match no dimension row drop out, so the limit comes after
-    the joins; a hot book is split by the adaptive skew join. With
-    `keys_complete` (every key has its dimension row, as in a star built by
-    `star_from_silver` without nulls) the limit comes first: nothing is
-    shuffled and n facts are joined.
+    the joins. Facts with the same three keys match or drop out together: only
+    the n best of them can be in the result, and Spark keeps no more of them
+    inside the map tasks. With `keys_complete` (every key has its dimension row,
+    as in a star built by `star_from_silver` without nulls) the limit comes
+    first: nothing is shuffled and n facts are joined.
     """
     best = [F.col("note_etoiles").desc(), F.col("nb_avis").desc_nulls_last(), *[F.col(t).asc() for t in ties]]
     keys = ["fk_livre", "fk_categorie", "fk_source"]
@@ -246,10 +217,13 @@ def top_rated(
     rated = fact.filter(F.col("note_etoiles").isNotNull()).select(*columns)
     if keys_complete:
         rated = rated.orderBy(*best).limit(n)
+    else:
+        nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*best))
+        rated = rated.withColumn("_nth", nth).filter(F.col("_nth") <= n).drop("_nth")
     return (
-        rated.join(dim_category, F.col("fk_categorie") == F.col("id_categorie"))
-        .join(dim_source, F.col("fk_source") == F.col("id_source"))
-        .join(dim_book, F.col("fk_livre") == F.col("id_livre"))
+        rated.join(dim_category.select("id_categorie", "nom_categorie"), F.col("fk_categorie") == F.col("id_categorie"))
+        .join(dim_source.select("id_source", "nom_site"), F.col("fk_source") == F.col("id_source"))
+        .join(dim_book.select("id_livre", "titre", "auteur"), F.col("fk_livre") == F.col("id_livre"))
         .orderBy(*best)
         .limit(n)
         .select("titre", "auteur", "prix", "note_etoiles", "nb_avis", "nom_categorie", "nom_site")

@@ -65,7 +65,7 @@ WAREHOUSE = {
     ],
 }
 
-_INT_MAX = 2**31 - 1
+_INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
 
 def _cell(df: DataFrame, field: Field) -> Column:
@@ -98,7 +98,7 @@ def _problem(field: Field) -> Column:
     if field.kind == "text":
         return F.when(F.length(c) > field.width, f"{field.name}: longer than {field.width}")
     if field.kind == "int":
-        return F.when(F.abs(c) > _INT_MAX, f"{field.name}: out of range")
+        return F.when(~c.between(_INT_MIN, _INT_MAX), f"{field.name}: out of range")
     return F.lit(None).cast("string")
 
 

@@ -46,7 +46,7 @@ def page_headings(spark, sf_dir):
     return table(spark, sf_dir, "pages").select(
         "page_id",
         markup.heading(html).alias("titre"),
-        markup.first_text(html, r"<title\b[^>]*>").alias("titre_onglet"),
+        markup.first_text(html, r"<title\b[^>]*>", "title").alias("titre_onglet"),
     )
 
 
@@ -55,7 +55,7 @@ def _category_pages(spark, sf_dir):
     nav = (
         "concat('<ul class=\"nav nav-list\"><li><a href=\"index.html\">Books</a><ul>"
         "<li><a href=\"category/', s_nationkey, '/index.html\">N</a></li></ul></li></ul>"
-        "<article class=\"product_pod\"><h3><a href=\"../../', s_suppkey, '/index.html\" title=\"x\">x</a></h3>"
+        "<article class=\"product_pod\"><h3><a title=x data-href=no href=../../', s_suppkey, '/index.html>x</a></h3>"
         "</article><ul class=\"pager\"><li class=\"next\"><a href=\"page-2.html?a=1&amp;b=', s_suppkey, '\">next</a>"
         "</li></ul>')"
     )
@@ -90,14 +90,18 @@ def _product_pages(spark, sf_dir):
     html = (
         "concat('<html><ul class=\"breadcrumb\"><li><a href=\"/\">Home</a></li><li><a href=\"/b\">Books</a></li>"
         "<li><a href=\"/c\">', p_type, '</a></li><li class=\"active\">x</li></ul>', "
-        "'<article class=\"product_page\"><div class=\"row\"><div class=\"col\"><p>not this</p></div></div>"
-        "<h1> ', p_name, ' &amp; co </h1><p class=\"price_color\">&pound;', p_retailprice, '</p>', "
-        "CASE p_type WHEN 'SMALL' THEN '' ELSE concat('<p class=\"instock availability\"><i class=\"icon-ok\"></i>\n"
+        "'<article class=\"product_page\"><!-- <h1>no</h1> --><div class=\"row\">', "
+        "CASE p_type WHEN 'LARGE' THEN concat(repeat('<div>', 12), '<p>not this</p>', repeat('</div>', 12)) "
+        "WHEN 'PROMO' THEN '<section><p>nor this</p></section>' ELSE '<div class=\"col\"><p>not this</p></div>' END, '</div>"
+        "<h1>', CASE p_type WHEN 'LARGE' THEN '<span>new</span>' ELSE '' END, ' ', p_name, ' &amp;&#0000032;c&#x6F; </h1>"
+        "<p class=\"price_color\">&pound;', p_retailprice, '</p>', "
+        "CASE p_type WHEN 'SMALL' THEN '' WHEN 'PROMO' THEN concat('<p class=\"instock\">In stock (', p_size, "
+        "' available) <b>now</b></p>') ELSE concat('<p class=\"instock availability\"><i class=\"icon-ok\"></i>\n"
         " In stock (', p_size, ' available)\n</p>') END, "
         "'<p class=\"star-rating ', CASE p_type WHEN 'PROMO' THEN 'Three' WHEN 'LARGE' THEN 'Five' ELSE 'Zero' END, "
         "'\"><i></i></p><div id=\"product_description\"><h2>About</h2></div>"
         "<table class=\"table\"><tr><th>UPC</th><td>', p_brand, '</td></tr><tr><th>Number of reviews</th><td>', "
-        "p_size, '</td></tr></table></article></html>')"
+        "p_size, '</td></tr></table><table class=\"other\"><tr><th>UPC</th><td>wrong</td></tr></table></article></html>')"
     )
     return table(spark, sf_dir, "part").selectExpr(
         "p_partkey", "concat('https://shop.example/', p_partkey) AS url", f"{html} AS html"
@@ -202,20 +206,21 @@ def _volume_payloads(spark, sf_dir):
         "'averageRating', p_size / 10, 'categories', CASE p_type WHEN 'LARGE' THEN CAST(array() AS array<string>) "
         "ELSE array(p_type, 'Other') END, 'description', repeat(p_name, 100), 'ratingsCount', p_size, "
         "'language', CASE p_type WHEN 'PROMO' THEN NULL ELSE 'fr' END, "
-        "'publishedDate', CASE p_type WHEN 'ECONOMY' THEN NULL WHEN 'MEDIUM' THEN '2004' ELSE '1999-05-01' END, "
+        "'publishedDate', CASE p_type WHEN 'ECONOMY' THEN '9e99' WHEN 'MEDIUM' THEN '2004' ELSE '1999-05-01' END, "
         "'infoLink', CASE p_type WHEN 'SMALL' THEN concat('https://info.example/', p_partkey) END, "
         "'industryIdentifiers', CASE p_type WHEN 'STANDARD' THEN NULL ELSE array("
         "named_struct('type', 'ISBN_10', 'identifier', 'x'), "
         "named_struct('type', 'ISBN_13', 'identifier', concat('978', p_partkey)), "
         "named_struct('type', 'ISBN_13', 'identifier', 'later')) END), "
         "'saleInfo', named_struct('saleability', 'FOR_SALE', 'listPrice', CASE p_type WHEN 'PROMO' THEN NULL "
+        "WHEN 'LARGE' THEN named_struct('amount', CAST(NULL AS double), 'currencyCode', CAST(NULL AS string)) "
         "ELSE named_struct('amount', p_retailprice, 'currencyCode', 'EUR') END))) AS payload",
     )
 
 
 @query(f"""
 SELECT p_name AS titre, CASE p_type WHEN 'SMALL' THEN 'Unknown' ELSE p_brand || ', C D' END AS auteur,
-  CASE p_type WHEN 'PROMO' THEN NULL ELSE p_retailprice || ' EUR' END AS prix, p_size / 10 AS note_etoiles,
+  CASE WHEN p_type IN ('PROMO', 'LARGE') THEN NULL ELSE p_retailprice || ' EUR' END AS prix, p_size / 10 AS note_etoiles,
   'FOR_SALE' AS disponibilite, CASE p_type WHEN 'LARGE' THEN 'Unknown' ELSE p_type END AS categorie,
   substr(repeat(p_name, 100), 1, 500) AS description,
   CASE p_type WHEN 'STANDARD' THEN '' ELSE '978' || p_partkey END AS isbn, CAST(p_size AS BIGINT) AS nb_avis,

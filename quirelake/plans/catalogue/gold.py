@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from quirelake.operators import gold, warehouse
 from quirelake.plans.catalogue import query, table
 from quirelake.plans.catalogue.bindings import RUN_TS
@@ -191,15 +193,16 @@ def _oversized(spark, sf_dir):
     """Whole document texts as category: many are wider than the warehouse column."""
     return table(spark, sf_dir, "documents").selectExpr(
         "concat('Document ', doc_id) AS titre", "text AS categorie", "text AS auteur",
-        "CASE lang WHEN 'es' THEN 3000000000 ELSE n_chars END AS nb_avis", "source",
+        "CASE lang WHEN 'es' THEN 3000000000 WHEN 'fr' THEN -9223372036854775807 - 1 WHEN 'de' THEN -2147483648 "
+        "ELSE n_chars END AS nb_avis", "source",
     )
 
 
 @query("""
 SELECT 'Document ' || doc_id AS titre,
   concat_ws('; ', CASE WHEN length(text) > 100 THEN 'categorie: longer than 100' END,
-    CASE WHEN lang = 'es' THEN 'nb_avis: out of range' END) AS reasons
-FROM documents WHERE length(text) > 100 OR lang = 'es'
+    CASE WHEN lang IN ('es', 'fr') THEN 'nb_avis: out of range' END) AS reasons
+FROM documents WHERE length(text) > 100 OR lang IN ('es', 'fr')
 """)
 def load_rejects(spark, sf_dir):
     projected = warehouse.project(_oversized(spark, sf_dir), "livres_flat")
@@ -207,8 +210,8 @@ def load_rejects(spark, sf_dir):
 
 
 @query("""
-SELECT count(*) FILTER (WHERE length(text) <= 100 AND lang <> 'es') AS chargees,
-  count(*) FILTER (WHERE length(text) > 100 OR lang = 'es') AS erreurs FROM documents
+SELECT count(*) FILTER (WHERE length(text) <= 100 AND lang NOT IN ('es', 'fr')) AS chargees,
+  count(*) FILTER (WHERE length(text) > 100 OR lang IN ('es', 'fr')) AS erreurs FROM documents
 """)
 def load_report(spark, sf_dir):
     return warehouse.load_report(warehouse.project(_oversized(spark, sf_dir), "livres_flat"), "livres_flat")
@@ -225,3 +228,14 @@ def warehouse_widths(spark, sf_dir):
 @query(_KPI_SQL + " ORDER BY nb_livres DESC, categorie")
 def gold_kpi_ordered(spark, sf_dir):
     return gold.in_order(_kpi(spark, sf_dir), "kpi_par_categorie")
+
+
+@query("""
+SELECT 'categorie VARCHAR(100), nb_livres INTEGER, prix_moyen FLOAT, prix_min FLOAT, prix_max FLOAT, note_moyenne FLOAT, '
+  || 'total_avis INTEGER, source VARCHAR(100), date_gold VARCHAR(30)' AS types, count(DISTINCT p_brand) AS lignes FROM part
+""")
+def load_column_types(spark, sf_dir):
+    """Column types of a warehouse table, and the rows it would get."""
+    rows = table(spark, sf_dir, "part").select(F.col("p_brand").alias("categorie")).distinct()
+    types = F.lit(warehouse.column_types("kpi_par_categorie"))
+    return rows.agg(types.alias("types"), F.count(F.lit(1)).alias("lignes"))

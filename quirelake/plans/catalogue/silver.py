@@ -94,13 +94,17 @@ CUT = "TIMESTAMP '2024-01-15 00:00:00'"
 
 
 @query(f"""
-SELECT DISTINCT user_id AS url FROM events WHERE ts >= {CUT} AND event_type = 'purchase' AND user_id NOT IN
-  (SELECT user_id FROM events WHERE ts < {CUT} AND event_type = 'purchase')
+WITH pages AS (SELECT CASE event_type WHEN 'error' THEN NULL ELSE user_id || '/' || hour(ts) || '/' || event_type END AS url, ts FROM events)
+SELECT DISTINCT url FROM pages WHERE ts >= {CUT} AND url IS NOT NULL
+  AND url NOT IN (SELECT url FROM pages WHERE ts < {CUT} AND url IS NOT NULL)
 """)
 def frontier_new_urls(spark, sf_dir):
-    buys = table(spark, sf_dir, "events").filter("event_type = 'purchase'").selectExpr("user_id AS url", "ts")
+    """What each user did at which hour, before and after a time; some rows have no key."""
+    pages = table(spark, sf_dir, "events").selectExpr(
+        "CASE event_type WHEN 'error' THEN NULL ELSE concat_ws('/', user_id, hour(ts), event_type) END AS url", "ts"
+    )
     cut = F.expr(f"CAST({CUT} AS timestamp_ntz)")
-    return dedup.new_keys(buys.filter(F.col("ts") >= cut), buys.filter(F.col("ts") < cut), "url").select("url")
+    return dedup.new_keys(pages.filter(F.col("ts") >= cut), pages.filter(F.col("ts") < cut), "url").select("url")
 
 
 @query("""

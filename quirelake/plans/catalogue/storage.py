@@ -40,14 +40,14 @@ SELECT url, nb_avis, CASE event_type WHEN 'signup' THEN 'bad' ELSE strftime(mome
 
 @query(_READ_SQL)
 def bronze_read(spark, sf_dir):
-    """Landed records read back with inferred keys: unknown keys are columns."""
-    df, _ = bronze.split_corrupt(bronze.read_bronze(spark, _landed(spark, sf_dir)))
+    """Landed records read back; an unknown key that is asked for is a column."""
+    df, _ = bronze.split_corrupt(bronze.read_bronze(spark, _landed(spark, sf_dir), extras=["supplement"]))
     return df.select("url", F.col("nb_avis").cast("bigint").alias("nb_avis"), "date_scraping", "supplement")
 
 
 @query(_READ_SQL)
 def bronze_read_single_scan(spark, sf_dir):
-    """The same without a scan for the schema: unknown keys are in a map."""
+    """The same from the map that holds all unknown keys."""
     lines = bronze.parse_lines(bronze.read_lines(spark, _landed(spark, sf_dir)))
     return lines.select(
         "url", F.col("nb_avis").cast("bigint").alias("nb_avis"), "date_scraping",
@@ -104,6 +104,33 @@ def bronze_corrupt_report(spark, sf_dir):
     return bronze.corrupt_report(bronze.parse_lines(_damaged(spark, sf_dir), required=("titre", "url")).drop("_names"))
 
 
+@query("""
+SELECT s_suppkey, s_suppkey + 1 AS k_last, (s_suppkey % 7 + 1500)::INTEGER AS n FROM supplier
+""")
+def bronze_many_fields(spark, sf_dir):
+    """Records with more than 1,500 unknown fields keep them all."""
+    lines = table(spark, sf_dir, "supplier").selectExpr(
+        "concat('{\"url\":\"', s_suppkey, '\"', array_join(transform(sequence(1, 1499 + s_suppkey % 7), "
+        "i -> concat(',\"k', i, '\":', i)), ''), ',\"k_last\":', s_suppkey + 1, '}') AS value"
+    )
+    rows = bronze.parse_lines(lines, required=("url",))
+    extras = F.col(bronze.EXTRAS)
+    return rows.select(
+        F.col("url").cast("bigint").alias("s_suppkey"), extras["k_last"].cast("bigint").alias("k_last"), F.size(extras).alias("n")
+    )
+
+
+@query("""
+SELECT DISTINCT 'file_' || event_type AS fichier FROM events WHERE event_type IN ('error', 'view')
+""")
+def bronze_skipped_files(spark, sf_dir):
+    """Files that are listed but gave no line: paths from the listing against paths of the lines that were read."""
+    kinds = table(spark, sf_dir, "events").select("event_type").distinct()
+    listed = kinds.selectExpr("concat('s3a://lake/file_', event_type) AS path")
+    read = kinds.filter("event_type NOT IN ('error', 'view')").selectExpr("concat('s3a:///lake/file_', event_type) AS path")
+    return bronze.missing_paths(listed, read).select(F.regexp_extract("path", "([^/]+)$", 1).alias("fichier"))
+
+
 def _silver_path(spark, sf_dir):
     path = scratch(spark, "silver")
     tables.write_silver(shop_silver(spark, sf_dir), path)
@@ -180,16 +207,16 @@ def star_rebuild(spark, sf_dir):
 
 
 @query("""
-SELECT DISTINCT user_id AS url FROM events
+SELECT user_id || '/' || CAST(ts AS DATE) AS url, 1::BIGINT AS lignes FROM events GROUP BY 1
 """)
 def visited_urls(spark, sf_dir):
-    """Two rounds over a visited set: the second one only adds what is new."""
+    """Two rounds over a visited set: the second one skips what the first had, and only adds what is new."""
     path = scratch(spark, "visited")
-    events = table(spark, sf_dir, "events").selectExpr("user_id AS url", "event_type")
+    events = table(spark, sf_dir, "events").selectExpr("concat_ws('/', user_id, CAST(ts AS date)) AS url", "event_type")
     for arrivals in (events.filter("event_type = 'click'"), events):
-        visited = tables.read_parquet(spark, path, T.StructType([T.StructField("url", T.LongType())]))
+        visited = tables.read_parquet(spark, path, T.StructType([T.StructField("url", T.StringType())]))
         tables.append_visited(new_keys(arrivals.select("url"), visited, "url"), path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).groupBy("url").agg(F.count(F.lit(1)).alias("lignes"))
 
 
 @query("""
@@ -202,10 +229,16 @@ def event_payload(spark, sf_dir):
 
 
 def _run(spark, sf_dir):
+    """A run over the records of both sources; some lines of the shop's are broken."""
     config = medallion.layout(scratch(spark, "lake"))
     root = config.shop.bronze.rsplit("/", 1)[0]
-    bronze.land(shop_books(spark, sf_dir), root, _landed_at())
+    books = shop_books(spark, sf_dir)
+    travel = F.coalesce(F.col("categorie") == " Travel ", F.lit(False))
+    bronze.land(books.filter(~travel), root, _landed_at())
     bronze.land(library_books(spark, sf_dir), root, _landed_at())
+    # a broken line follows each of these records
+    damaged = books.filter(travel).write.option("lineSep", "\n{same\n").option("ignoreNullFields", False)
+    damaged.json(f"{config.shop.bronze}/damaged")
     return config, medallion.run(spark, config, RUN_TS)
 
 
@@ -235,12 +268,13 @@ def medallion_run(spark, sf_dir):
 @query(f"""
 WITH {SHOP_SQL}, {LIBRARY_SQL}
 SELECT 'shop' AS source, (SELECT count(*) FROM shop) AS rows_read, (SELECT count(*) FROM shop_latest) AS rows_deduplicated,
-  count(*) AS rows_written, (SELECT count(*) FROM shop_latest) - count(*) AS rows_quarantined FROM shop_silver
-UNION ALL SELECT 'library', count(*), count(*), count(*), 0 FROM library_silver
+  count(*) AS rows_written, (SELECT count(*) FROM shop_latest) - count(*) AS rows_quarantined,
+  (SELECT count(*) FROM events WHERE event_type = 'error') AS skipped_lines, 0 AS skipped_files FROM shop_silver
+UNION ALL SELECT 'library', count(*), count(*), count(*), 0, 0, 0 FROM library_silver
 """)
 def medallion_reports(spark, sf_dir):
     config, reports = _run(spark, sf_dir)
-    columns = ["source", "rows_read", "rows_deduplicated", "rows_written", "rows_quarantined"]
+    columns = ["source", "rows_read", "rows_deduplicated", "rows_written", "rows_quarantined", "skipped_lines", "skipped_files"]
     shop = reports[config.shop.name].withColumn("source", F.lit("shop"))
     library = reports[config.library.name].withColumn("source", F.lit("library"))
     return shop.unionByName(library).select(*columns)

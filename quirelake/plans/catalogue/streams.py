@@ -34,38 +34,65 @@ def stream_bronze(spark, sf_dir):
     return back.selectExpr("CAST(event_id AS bigint) AS event_id", "CAST(user_id AS bigint) AS user_id", "categorie")
 
 
-@query("SELECT DISTINCT user_id AS url FROM events")
+def _batches(spark, sf_dir):
+    """Folders of events that arrive one after the other: each kind by itself, then some of them once more."""
+    root = scratch(spark, "arrivals")
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    kinds = ("click", "purchase", "view", "signup", "error", "click")
+    for kind in kinds:
+        events.filter(F.col("event_type") == kind).coalesce(1).write.mode("append").parquet(root)
+        yield jobs.read_stream(jobs.stream_session(spark), "parquet", {}, events.schema, root)
+
+
+@query("SELECT user_id, CAST(ts AS DATE) AS jour, count(*) AS lignes FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS ts "
+       "FROM events) GROUP BY 1, 2")
 def stream_dedup(spark, sf_dir):
-    path = scratch(spark, "seen")
-    stream = _events(spark, sf_dir).selectExpr("user_id AS url", "event_id")
-    jobs.use_rocksdb(spark)
-    first = jobs.unseen(stream, ["url"], salt_by=["event_id"])
-    (
-        first.select("url").writeStream.format("parquet").option("path", path)
-        .option("checkpointLocation", scratch(spark, "checkpoint")).trigger(availableNow=True).start()
-        .awaitTermination()
-    )
-    return spark.read.schema("url bigint").parquet(path)
+    """Users per day; a key that an earlier batch had must not pass again."""
+    path, checkpoint = scratch(spark, "seen"), scratch(spark, "checkpoint")
+    for events in _batches(spark, sf_dir):
+        keys = events.selectExpr("user_id", "CAST(ts AS date) AS jour")
+        (
+            jobs.unseen(keys, ["user_id", "jour"]).writeStream.format("parquet").option("path", path)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        )
+    seen = spark.read.schema("user_id bigint, jour date").parquet(path)
+    return seen.groupBy("user_id", "jour").agg(F.count(F.lit(1)).alias("lignes"))
 
 
-@query("SELECT DISTINCT user_id AS url FROM events")
+@query("""
+SELECT user_id AS url, count(*) AS lignes FROM (
+  SELECT DISTINCT user_id, ts >= TIMESTAMP '2024-01-15 00:00:00' FROM events) GROUP BY 1
+""")
 def stream_dedup_bounded(spark, sf_dir):
-    """All events lie within the delay, so the bounded state forgets nothing here."""
-    path = scratch(spark, "seen")
-    stream = _events(spark, sf_dir).selectExpr("user_id AS url", "CAST(ts AS timestamp) AS ts")
-    first = jobs.unseen_recently(stream, ["url"], "ts", "60 days")
-    (
-        first.select("url").writeStream.format("parquet").option("path", path)
-        .option("checkpointLocation", scratch(spark, "checkpoint")).trigger(availableNow=True).start()
-        .awaitTermination()
-    )
-    return spark.read.schema("url bigint").parquet(path)
+    """The first half of the events, the same again, one event a year later, and the second half two years later.
+
+    The repeated half is dropped; by the time of the last batch its keys are forgotten and pass once more.
+    """
+    root, path, checkpoint = scratch(spark, "arrivals"), scratch(spark, "seen"), scratch(spark, "checkpoint")
+    events = table(spark, sf_dir, "events").selectExpr("user_id AS url", "CAST(ts AS timestamp) AS ts")
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp")
+    first = events.filter(F.col("ts") < cut)
+    late = events.filter(F.col("ts") >= cut).withColumn("ts", F.expr("ts + INTERVAL 2 YEARS"))
+    tick = events.agg(F.lit(-1).cast("bigint").alias("url"), F.expr("max(ts) + INTERVAL 1 YEAR").alias("ts"))
+    for arrivals in (first, first, tick, late):
+        arrivals.coalesce(1).write.mode("append").parquet(root)
+        stream = jobs.read_stream(jobs.stream_session(spark), "parquet", {}, events.schema, root)
+        (
+            jobs.unseen_recently(stream, ["url"], "ts", "60 days").select("url").writeStream.format("parquet")
+            .option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+            .awaitTermination()
+        )
+    seen = spark.read.schema("url bigint").parquet(path)
+    return seen.filter("url >= 0").groupBy("url").agg(F.count(F.lit(1)).alias("lignes"))
 
 
 def _lines(spark, sf_dir):
     """Shop records as JSON lines in files, for the stream to pick up."""
     root = scratch(spark, "lines")
-    tables.event_payload(shop_books(spark, sf_dir)).write.text(root)
+    books = shop_books(spark, sf_dir).withColumn("supplement", F.col("url"))
+    good = tables.event_payload(books)
+    broken = table(spark, sf_dir, "events").filter("event_type = 'error'").selectExpr("concat('{', event_id) AS value")
+    good.unionByName(broken).write.text(root)
     return jobs.read_stream(spark, "text", {}, path=root)
 
 
@@ -75,7 +102,7 @@ def _silver_stream(spark, sf_dir):
     jobs.to_silver_batches(
         lines, silver, quarantine, scratch(spark, "checkpoint"), clean_shop, RUN_TS
     ).awaitTermination()
-    return spark.read.schema(SILVER).parquet(f"{silver}/*"), quarantine
+    return silver, quarantine
 
 
 @query(f"""
@@ -85,11 +112,19 @@ WHERE trim(titre) <> ''
 """)
 def stream_silver(spark, sf_dir):
     silver, _ = _silver_stream(spark, sf_dir)
-    return plain(silver).select(
+    return plain(spark.read.schema(SILVER).parquet(f"{silver}/*")).select(
         "url", "prix", "note_etoiles", "disponibilite", "categorie", "description", "isbn", "nb_avis", "langue"
     )
 
 
+@query(f"WITH {SHOP_SQL} SELECT url, url AS supplement FROM shop WHERE trim(titre) <> ''")
+def stream_silver_extras(spark, sf_dir):
+    """Fields outside the schema stay in the streamed Silver."""
+    silver, _ = _silver_stream(spark, sf_dir)
+    rows = spark.read.schema("url string, _extras map<string,string>").parquet(f"{silver}/*")
+    return rows.select("url", F.col("_extras")["supplement"].alias("supplement"))
+
+
 @query(f"WITH {SHOP_SQL} SELECT url, count(*) AS lignes FROM shop WHERE trim(titre) = '' GROUP BY url")
 def stream_quarantine(spark, sf_dir):
     _, quarantine = _silver_stream(spark, sf_dir)
@@ -97,29 +132,39 @@ def stream_quarantine(spark, sf_dir):
     return rows.groupBy("url").agg(F.count("*").alias("lignes"))
 
 
+@query("SELECT '{' || event_id AS corrompu FROM events WHERE event_type = 'error'")
+def stream_corrupt(spark, sf_dir):
+    """Lines that are no records are kept beside the quarantine."""
+    _, quarantine = _silver_stream(spark, sf_dir)
+    rows = spark.read.schema("ligne string").option("recursiveFileLookup", True).json(f"{quarantine}-corrupt")
+    return rows.select(F.col("ligne").alias("corrompu"))
+
+
 @query("""
 SELECT user_id, event_id, ts, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1
 """)
 def stream_upsert_latest(spark, sf_dir):
-    """Fed in two batches: the events of one kind first, then all of them."""
-    path, staging, source = scratch(spark, "latest"), scratch(spark, "staging"), scratch(spark, "arrivals")
-    checkpoint = scratch(spark, "checkpoint")
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    for arrivals in (events.filter("event_type = 'click'"), events):
-        arrivals.write.mode("append").parquet(source)
-        stream = jobs.read_stream(spark, "parquet", {}, events.schema, source)
-        jobs.upsert_latest(
-            stream, path, staging, checkpoint, "user_id", "ts", ties=[F.col("event_id")], buckets=8
-        ).awaitTermination()
-    return spark.read.parquet(path).select("user_id", "event_id", "ts", "event_type", "value")
+    """Fed in six batches, compacted after the third, read from the base and the batches after it."""
+    path, checkpoint = scratch(spark, "latest"), scratch(spark, "checkpoint")
+    key, ties = ["user_id"], [F.col("event_id")]
+    schema = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value").schema
+    for n, stream in enumerate(_batches(spark, sf_dir)):
+        jobs.upsert_latest(stream, path, checkpoint, key, "ts", ties).awaitTermination()
+        if n == 2:
+            jobs.compact_latest(spark, path, schema, key, "ts", ties)
+    latest = jobs.read_latest(spark, path, schema, key, "ts", ties)
+    return latest.select("user_id", "event_id", "ts", "event_type", "value")
 
 
 @query("""
-SELECT CAST(ts AS DATE) AS date_val, event_type AS source, count(*) AS nb_livres FROM events GROUP BY 1, 2
+SELECT CAST(ts AS DATE) AS date_val, event_type AS source, count(*) + CASE event_type WHEN 'click' THEN count(*) ELSE 0 END
+  AS nb_livres FROM events GROUP BY 1, 2
 """)
 def stream_daily_volumes(spark, sf_dir):
-    path = scratch(spark, "volumes")
-    stream = _events(spark, sf_dir).selectExpr("CAST(ts AS timestamp) AS ts", "event_type")
-    jobs.write_daily_volumes(stream, path, scratch(spark, "checkpoint"), "ts", "event_type").awaitTermination()
-    return spark.read.parquet(path)
+    """Six batches, of which the last repeats a kind; every batch writes the days it changes."""
+    path, checkpoint = scratch(spark, "volumes"), scratch(spark, "checkpoint")
+    for events in _batches(spark, sf_dir):
+        rows = events.selectExpr("CAST(ts AS timestamp) AS ts", "event_type")
+        jobs.write_daily_volumes(rows, path, checkpoint, "ts", "event_type", delay="60 days").awaitTermination()
+    return jobs.read_daily_volumes(spark, path)

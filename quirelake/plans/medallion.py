@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from quirelake.functions.text import is_blank, safe_timestamp
 from quirelake.operators import gold, star
-from quirelake.operators.cleaning import Cleaner, clean_library, clean_shop, silver_report, to_silver
+from quirelake.operators.cleaning import (
+    Cleaner, clean_library, clean_shop, merge_single_rows, silver_report, to_silver,
+)
 from quirelake.operators.dedup import latest_versions
 from quirelake.operators.quarantine import split_untitled
 from quirelake.schemas import BOOK_COLUMNS, GOLD_COLUMNS, LIBRARY_FOLDER, SHOP_FOLDER, STAR
 from quirelake.session import discard, prepare, scratch
 from quirelake.sources import tables
-from quirelake.sources.bronze import CORRUPT, parse_lines, read_lines
+from quirelake.sources.bronze import CORRUPT, parse_lines, read_lines, skipped_files, split_corrupt
 
 
 @dataclass(frozen=True)
@@ -64,21 +66,25 @@ _DEFAULTED = [name for name, default in BOOK_COLUMNS.items() if default is not N
 def stage_versions(records: DataFrame, key: str, path: str) -> DataFrame:
     """Write the newest version per key once, and read that table back.
 
-    Bronze is read by one job only. The valid rows, the quarantine and the
-    report all start from the written table, which also outlives lost executors.
+    Bronze is read and parsed by one job only. The valid rows, the quarantine
+    and the report all start from the written table, which also outlives lost
+    executors. A line that is no record is a key of its own, so that the table
+    holds it with the number of its occurrences.
     """
-    rows = records.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    rows = rows.withColumn("_at", safe_timestamp(F.col("date_scraping")))
+    rows = records.withColumn("_at", safe_timestamp(F.col("date_scraping")))
     seen = {f"_has_{c}": F.bool_or(F.array_contains("_names", c)) for c in _DEFAULTED}
-    latest_versions(rows, key, "_at", **seen).drop("_at", "_names").write.mode("overwrite").parquet(path)
+    versions = latest_versions(rows, [key, CORRUPT], "_at", **seen).drop("_at", "_names")
+    versions.write.mode("overwrite").parquet(path)
     return records.sparkSession.read.parquet(path)
 
 
 def batch_facts(staged: DataFrame) -> Row:
     """What decides how the batch goes on, from one pass over the written table."""
+    good, untitled = F.col(CORRUPT).isNull(), is_blank(F.col("titre"))
     return staged.agg(
-        F.count_if(is_blank(F.col("titre"))).alias("untitled"),
-        F.count_if(~is_blank(F.col("titre"))).alias("valid"),
+        F.count_if(good & untitled).alias("untitled"),
+        F.count_if(good & ~untitled).alias("valid"),
+        F.count_if(~good).alias("corrupt"),
         *[F.bool_or(f"_has_{c}").alias(c) for c in _DEFAULTED],
     ).first()
 
@@ -93,18 +99,29 @@ def fill_absent(staged: DataFrame, facts: Row) -> DataFrame:
 def run_source(spark: SparkSession, source: Source, config: Config, run_ts: str) -> DataFrame:
     """One source from Bronze to Silver; returns the stored one-row report."""
     stage = scratch(spark, f"versions-{source.name}")
-    staged = stage_versions(parse_lines(read_lines(spark, source.bronze)), source.key, stage)
-    facts = batch_facts(staged)
-    versions = fill_absent(staged, facts)
-    valid, untitled = split_untitled(versions)
-    silver = to_silver(valid.drop("n_versions"), source.clean, run_ts)
-    if facts["untitled"]:
-        tables.write_quarantine(untitled.drop("n_versions"), config.quarantine, source.name, run_ts)
-    if facts["valid"]:
-        tables.write_silver(silver, source.silver)
-    report = f"{config.reports}/{source.name}/{run_ts.replace(':', '-')}"
-    silver_report(versions, silver).write.mode("overwrite").parquet(report)
-    discard(spark, stage)
+    try:
+        staged = stage_versions(parse_lines(read_lines(spark, source.bronze)), source.key, stage)
+        facts = batch_facts(staged)
+        good, _ = split_corrupt(staged)
+        versions = fill_absent(good, facts)
+        valid, untitled = split_untitled(versions)
+        if facts["corrupt"]:
+            lines = staged.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("ligne"), "n_versions")
+            tables.write_quarantine(lines, f"{config.quarantine}-corrupt", source.name, run_ts)
+        if facts["untitled"]:
+            tables.write_quarantine(untitled.drop("n_versions"), config.quarantine, source.name, run_ts)
+        if facts["valid"]:
+            tables.write_silver(to_silver(valid.drop("n_versions"), source.clean, run_ts), source.silver)
+        # Silver is cleaned and scored once: the report reads what this run has written.
+        written = tables.read_silver(spark, source.silver).filter((F.col("date_silver") == run_ts) & F.lit(bool(facts["valid"])))
+        skipped = staged.filter(F.col(CORRUPT).isNotNull()).agg(
+            F.coalesce(F.sum("n_versions"), F.lit(0)).alias("skipped_lines")
+        )
+        files = skipped_files(spark, source.bronze).agg(F.count(F.lit(1)).alias("skipped_files"))
+        report = f"{config.reports}/{source.name}/{run_ts.replace(':', '-')}"
+        merge_single_rows(silver_report(versions, written), skipped, files).write.mode("overwrite").parquet(report)
+    finally:
+        discard(spark, stage)
     return spark.read.parquet(report)
 
 

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -17,6 +17,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
+
 def build_session(app_name: str = "quirelake", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -36,26 +39,26 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder path below the cluster's shared checkpoint folder.
 
-    Only a local-mode session without that setting may use the machine's own
-    temporary folder: there the driver and the tasks share one disk. Local
-    scratch folders are removed when the program ends.
+    A session on one machine without that setting gets a folder of its own for
+    it, which is removed when the program ends; a cluster must have the setting.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    local = spark.sparkContext.master.startswith("local")
-    if not base:
-        if not local:
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = f"{tempfile.gettempdir()}/quirelake"
-    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if local:
-        atexit.register(shutil.rmtree, path.removeprefix("file:"), ignore_errors=True)
-    return path
+    base = spark.conf.get(CHECKPOINT_DIR, None) or _own_folder(spark)
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+# Folders made here, by application.
+_own: dict[str, str] = {}
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether Spark's own estimate puts a table below its broadcast threshold."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+def _own_folder(spark: SparkSession) -> str:
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+    application = spark.sparkContext.applicationId
+    if application not in _own:
+        _own[application] = tempfile.mkdtemp(prefix="quirelake-")
+        atexit.register(shutil.rmtree, _own[application], ignore_errors=True)
+    return _own[application]
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -68,6 +71,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the complete tables below a path: folders whose write has been committed."""
+    files, target = _file_system(spark, path)
+    if not files.exists(target):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(target) if status.isDirectory()]
+    return sorted(name for name in names if exists(spark, f"{path}/{name}/_SUCCESS"))
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder the program wrote for itself and has no more use for."""
     files, target = _file_system(spark, path)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake.functions.text import path_key, trim_ws
-from quirelake.operators.cleaning import align
 from quirelake.schemas import BOOK_COLUMNS
 
 CORRUPT = "_corrupt_record"
@@ -32,41 +33,54 @@ def read_lines(spark: SparkSession, prefix: str) -> DataFrame:
 
 
 def parse_lines(lines: DataFrame, required=tuple(BOOK_COLUMNS), value: str = "value", keep=()) -> DataFrame:
-    """Lines to rows in a single pass, without a scan to infer the schema.
+    """Lines to rows in a single pass and a single parse, without a scan to infer the schema.
 
     Required fields become text columns, fields nobody asked for stay in the
     `_extras` map, and a line that is no JSON object goes to `_corrupt_record`.
     Blank lines vanish. Of a field that occurs twice in a line the last wins.
-    Works on a stream as well. Spark leaves the map out where neither `_extras`
-    nor `_names` is used.
+    Works on a stream as well.
     """
-    raw, line, record, fields = F.col(value), F.col("_line"), F.col("_record"), F.col("_fields")
+    raw, line, fields = F.col(value), F.col("_line"), F.col("_fields")
     usual = raw.startswith("{") & raw.endswith("}")
     trimmed = lines.select(*keep, raw, F.when(usual, raw).otherwise(trim_ws(raw)).alias("_line")).filter(line != "")
     is_object = line.startswith("{") & line.endswith("}")
-    schema = ", ".join(f"`{c}` string" for c in [*required, CORRUPT])
     parsed = trimmed.select(
-        *keep, raw,
-        F.when(is_object, F.from_json(line, schema, {"columnNameOfCorruptRecord": CORRUPT})).alias("_record"),
-        F.when(is_object, F.from_json(line, "map<string,string>")).alias("_fields"),
-    )
-    broken = record.isNull() | record[CORRUPT].isNotNull()
+        *keep, raw, F.when(is_object, F.from_json(line, "map<string,string>")).alias("_parsed")
+    ).select(*keep, raw, _last_of_each("_parsed").alias("_fields"))
     return parsed.select(
         *keep,
-        *[record[n].alias(n) for n in required],
+        *[F.try_element_at(fields, F.lit(n)).alias(n) for n in required],
         F.map_filter(fields, lambda k, _: ~k.isin(*required)).alias(EXTRAS),
-        F.when(broken, raw).alias(CORRUPT),
+        F.when(fields.isNull(), raw).alias(CORRUPT),
         F.map_keys(fields).alias("_names"),
     )
 
 
+def _last_of_each(name: str) -> Column:
+    """The map with the last value of a key that occurs more than once."""
+    entries = F.col(name)
+    keys, values = F.map_keys(entries), F.map_values(entries)
+    unique = F.array_distinct(keys)
+    places = F.size(keys) - F.lit(1)
+
+    def last(key: Column) -> Column:
+        return F.get(values, places - (F.array_position(F.reverse(keys), key) - 1).cast("int"))
+
+    return F.when(F.size(unique) < F.size(keys), F.map_from_arrays(unique, F.transform(unique, last))).otherwise(entries)
+
+
 def skipped_files(spark: SparkSession, prefix: str) -> DataFrame:
-    """Paths of the files that `read_lines` could not read: listed but without a line."""
-    listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json").load(prefix)
-        .filter("length > 0").select("path")
-    )
+    """Paths of the files that `read_lines` could not read: listed but without a line.
+
+    The lines are read for it, but not parsed; the contents of the listed files are not.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    try:
+        listed = listed.load(prefix).filter("length > 0").select("path")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string")
     read = read_lines(spark, prefix).select(F.col("_metadata.file_path").alias("path")).distinct()
     return missing_paths(listed, read)
 
@@ -77,16 +91,7 @@ def missing_paths(listed: DataFrame, read: DataFrame) -> DataFrame:
     return listed.select(uri).join(read.select(uri), "path", "left_anti")
 
 
-MAX_EXTRA_COLUMNS = 1000
-
-
-def _field_names(parsed: DataFrame, most: int) -> set[str] | None:
-    """The names of all fields that occur; None when there are more than `most`."""
-    found = parsed.select(F.explode("_names")).distinct().limit(most + 1).collect()
-    return {r[0] for r in found} if len(found) <= most else None
-
-
-def extras_to_columns(df: DataFrame, names: set[str]) -> DataFrame:
+def extras_to_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Give the named keys of the `_extras` map a column of their own.
 
     Keys that differ from another column only in case cannot be columns in
@@ -94,7 +99,7 @@ def extras_to_columns(df: DataFrame, names: set[str]) -> DataFrame:
     """
     taken = {c.lower() for c in df.columns}
     columns = {}
-    for name in sorted(names):
+    for name in names:
         if name.lower() not in taken:
             taken.add(name.lower())
             columns[name] = F.try_element_at(EXTRAS, F.lit(name))
@@ -102,25 +107,17 @@ def extras_to_columns(df: DataFrame, names: set[str]) -> DataFrame:
 
 
 def read_bronze(
-    spark: SparkSession, prefix: str, required: dict[str, str | None] = BOOK_COLUMNS, extras: bool = True
+    spark: SparkSession, prefix: str, required: Sequence[str] = tuple(BOOK_COLUMNS), extras: Sequence[str] = ()
 ) -> DataFrame:
-    """All records below a prefix as text columns, with `_corrupt_record`.
+    """All records below a prefix as text columns, with `_corrupt_record`, in one scan.
 
-    With `extras` the files are scanned once more to find every field name, so
-    that unknown fields become columns (or stay in the map, when they are too
-    many for a table) and wholly absent ones get their defaults. Without, there
-    is one scan and unknown fields are dropped; `parse_lines` has one scan and
-    keeps them in a map.
+    Fields outside `required` stay in the `_extras` map, however many they are;
+    those named in `extras` become columns as well. A field that a record or the
+    whole batch lacks is null: the run gives wholly absent fields their defaults
+    from what it has seen while reading.
     """
-    parsed = parse_lines(read_lines(spark, prefix), required)
-    if not extras:
-        return parsed.drop("_names", EXTRAS)
-    names = _field_names(parsed, MAX_EXTRA_COLUMNS + len(required))
-    if names is None:
-        flags = parsed.agg(*[F.bool_or(F.array_contains("_names", c)).alias(c) for c in required]).first()
-        return align(parsed.drop("_names", *[c for c in required if not flags[c]]), required)
-    present = parsed.drop("_names", *[c for c in required if c not in names])
-    return align(extras_to_columns(present, names), required)
+    parsed = parse_lines(read_lines(spark, prefix), required).drop("_names")
+    return extras_to_columns(parsed, extras)
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:

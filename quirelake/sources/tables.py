@@ -93,12 +93,13 @@ def load_warehouse(
 ) -> DataFrame:
     """Refresh one warehouse table and return the rejected rows.
 
-    The rows go in batches over at most `connections` connections. The table is
-    emptied, not dropped, so its id column and grants stay.
+    The rows go in batches over `connections` connections; the exchange before
+    the write keeps the tasks that read the table as many as they are. The table
+    is emptied, not dropped, so its id column and grants stay.
     """
     loadable, rejected = warehouse.split_rejects(warehouse.project(df, table), table)
     (
-        loadable.write.format(fmt).options(**options)
+        loadable.repartition(connections).write.format(fmt).options(**options)
         .option("dbtable", table)
         .option("truncate", "true")
         .option("numPartitions", str(connections))

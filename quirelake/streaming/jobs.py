@@ -7,17 +7,19 @@ writes the same folder again, so rows are neither lost nor doubled.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quirelake.operators.cleaning import Cleaner, to_silver
 from quirelake.operators.dedup import keep_latest
 from quirelake.operators.quarantine import split_untitled
-from quirelake.session import discard, exists
-from quirelake.sources.bronze import CORRUPT, LANDING_KEYS, landing_columns, parse_lines
+from quirelake.session import discard, folders
+from quirelake.sources.bronze import LANDING_KEYS, landing_columns, parse_lines, split_corrupt
 from quirelake.sources.tables import event_payload
 
 AVAILABLE = {"availableNow": True}
@@ -36,9 +38,13 @@ def message_text(messages: DataFrame, value="value") -> DataFrame:
     return messages.select(F.col(value).cast("string").alias("value"))
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keep stream state on disk with incremental snapshots instead of on the heap."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A session for streams that keeps their state on disk; the caller's settings stay as they are."""
+    own = spark.newSession()
+    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        own.conf.set(name, spark.conf.get(name))
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return own
 
 
 def _adaptive(batch: DataFrame) -> DataFrame:
@@ -76,18 +82,26 @@ def publish(
     )
 
 
-def unseen(stream: DataFrame, key: Sequence[str], salts: int = 16, salt_by: Sequence[str] = ()) -> DataFrame:
-    """First row per key over the whole life of the stream; the state keeps every key.
+def _thin(stream: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row per key of every Arrow batch, before anything is shuffled."""
+    at = [stream.columns.index(c) for c in key]
 
-    A streaming de-duplication sends all rows of a key to one task. When
-    `salt_by` names columns, a first stage spreads each key over `salts` tasks
-    and lets one row per salt pass, so a hot key reaches the second stage as at
-    most `salts` rows per batch.
+    def first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = pa.table([batch.column(i) for i in at], names=[str(i) for i in at]).to_pandas()
+            yield batch.filter(pa.array((~keys.duplicated()).to_numpy()))
+
+    return stream.mapInArrow(first_rows, stream.schema)
+
+
+def unseen(stream: DataFrame, key: Sequence[str]) -> DataFrame:
+    """First row per key over the whole life of the stream; the state has one entry per key, for ever.
+
+    A streaming de-duplication sends all rows of a key to one task. The rows are
+    thinned out where they are read, so that a hot key arrives as one row per
+    Arrow batch.
     """
-    if salt_by:
-        salt = F.pmod(F.xxhash64(*salt_by), F.lit(salts))
-        stream = stream.withColumn("_salt", salt).dropDuplicates([*key, "_salt"]).drop("_salt")
-    return stream.dropDuplicates(list(key))
+    return _thin(stream, key).dropDuplicates(list(key))
 
 
 def unseen_recently(stream: DataFrame, key: Sequence[str], time: str, delay: str) -> DataFrame:
@@ -98,13 +112,16 @@ def unseen_recently(stream: DataFrame, key: Sequence[str], time: str, delay: str
 def to_silver_batches(
     lines: DataFrame, silver: str, quarantine: str, checkpoint: str, clean: Cleaner, run_ts: str, trigger=AVAILABLE
 ) -> StreamingQuery:
-    """Clean a stream of JSON lines; one Silver and one quarantine folder per batch."""
+    """Clean a stream of JSON lines; one folder per batch for Silver, for rows without a title in quarantine, and for
+    lines that are no records in `<quarantine>-corrupt`. Fields outside the schema stay in `_extras`."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = parse_lines(batch).filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "_names", "_extras").persist()
-        valid, untitled = split_untitled(rows)
+        rows = parse_lines(batch).drop("_names").persist()
+        good, corrupt = split_corrupt(rows)
+        valid, untitled = split_untitled(good)
         to_silver(valid, clean, run_ts).write.mode("overwrite").parquet(f"{silver}/batch_id={batch_id}")
-        untitled.write.mode("overwrite").json(f"{quarantine}/batch_id={batch_id}")
+        for df, folder in ((untitled, quarantine), (corrupt.toDF("ligne"), f"{quarantine}-corrupt")):
+            df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/batch_id={batch_id}")
         rows.unpersist()
 
     return (
@@ -112,50 +129,72 @@ def to_silver_batches(
     )
 
 
-BUCKET = "key_bucket"
+def _delta(path: str, batch_id: int) -> str:
+    return f"{path}/deltas/{batch_id:012d}"
+
+
+def write_delta(batch: DataFrame, path: str, batch_id: int, key: Sequence[str], order: str, ties: Sequence[Column]) -> None:
+    """Add a batch's newest rows per key to the table at `path`; a repeated batch writes the same folder again.
+
+    Only the batch's own rows are written, whatever keys they have.
+    """
+    keep_latest(batch, key, order, ties).write.mode("overwrite").parquet(_delta(path, batch_id))
+
+
+def _published(spark: SparkSession, path: str) -> tuple[str | None, int]:
+    """The base that is valid now, and the last batch it contains."""
+    versions = folders(spark, f"{path}/published")
+    if not versions:
+        return None, -1
+    row = spark.read.schema("base string, past bigint").json(f"{path}/published/{versions[-1]}").first()
+    return row["base"], row["past"]
+
+
+def read_latest(
+    spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str], order: str, ties: Sequence[Column] = ()
+) -> DataFrame:
+    """The newest row per key over the published base and the batches after it; only complete folders count."""
+    base, past = _published(spark, path)
+    parts = [f"{path}/deltas/{name}" for name in folders(spark, f"{path}/deltas") if int(name) > past]
+    parts += [f"{path}/bases/{base}"] if base else []
+    rows = spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
+    return keep_latest(rows, key, order, ties)
 
 
-def merge_latest(
-    batch: DataFrame, path: str, staging: str, key: str, order: str, ties: Sequence[Column], buckets: int
+def compact_latest(
+    spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str], order: str, ties: Sequence[Column] = ()
 ) -> None:
-    """Put the newest version per key into the table at `path`.
-
-    The table is partitioned by a hash of the key, so all versions of a key
-    share one bucket, whatever their other columns say, and only the buckets
-    the batch touches are read and replaced. The result is first written to
-    `staging`: a plan must not overwrite what it reads, and if the job dies
-    while replacing buckets, the repeated batch copies the staged rows again
-    instead of merging with a half-replaced table.
+    """Merge base and batches into a new base, as a job of its own beside the stream.
+
+    Readers go on with the old base until the new one is complete and published,
+    which is one small file. What the version before the last needed is deleted
+    then; a reader has a whole compaction's time to finish.
     """
-    spark = batch.sparkSession
-    if not exists(spark, f"{staging}/_SUCCESS"):
-        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-        arrived = keep_latest(batch, key, order, ties).withColumn(BUCKET, bucket).persist()
-        rows = arrived
-        if exists(spark, path):
-            # at most `buckets` numbers, which prune the table's partitions
-            touched = [r[0] for r in arrived.select(BUCKET).distinct().collect()]
-            stored = spark.read.schema(arrived.schema).parquet(path)
-            rows = stored.filter(F.col(BUCKET).isin(touched)).unionByName(arrived)
-        keep_latest(rows, [BUCKET, key], order, ties).write.mode("overwrite").parquet(staging)
-        arrived.unpersist()
-    staged = spark.read.parquet(staging)
-    (
-        staged.hint("rebalance", BUCKET)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
-    )
-    # from here on a repeated batch merges into a table that already holds it
-    discard(spark, staging)
+    batches = folders(spark, f"{path}/deltas")
+    base, past = _published(spark, path)
+    if not batches or int(batches[-1]) <= past:
+        return
+    through = int(batches[-1])
+    name = f"{through:012d}"
+    read_latest(spark, path, schema, key, order, ties).write.mode("overwrite").parquet(f"{path}/bases/{name}")
+    row = spark.createDataFrame([(name, through)], "base string, past bigint")
+    row.coalesce(1).write.mode("overwrite").json(f"{path}/published/{name}")
+    for old in batches:
+        if int(old) <= past:
+            discard(spark, f"{path}/deltas/{old}")
+    for old in folders(spark, f"{path}/bases"):
+        if base and old < base:
+            discard(spark, f"{path}/bases/{old}")
 
 
 def upsert_latest(
-    stream: DataFrame, path: str, staging: str, checkpoint: str, key: str, order: str,
-    ties: Sequence[Column] = (), buckets: int = 64, trigger=AVAILABLE,
+    stream: DataFrame, path: str, checkpoint: str, key: Sequence[str], order: str,
+    ties: Sequence[Column] = (), trigger=AVAILABLE,
 ) -> StreamingQuery:
-    """Keep a table of the newest row per key up to date from a stream."""
+    """Keep a table of the newest row per key up to date from a stream; see `read_latest` and `compact_latest`."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        merge_latest(_adaptive(batch), path, f"{staging}/batch_id={batch_id}", key, order, ties, buckets)
+        write_delta(_adaptive(batch), path, batch_id, key, order, ties)
 
     return (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
@@ -172,16 +211,28 @@ def daily_volumes(stream: DataFrame, time: str, source: str, delay: str = "1 day
     )
 
 
+VOLUMES = T.StructType([
+    T.StructField("date_val", T.DateType()), T.StructField("source", T.StringType()),
+    T.StructField("nb_livres", T.LongType()), T.StructField("batch_id", T.LongType()),
+])
+_VOLUME_KEY = ["date_val", "source"]
+
+
 def write_daily_volumes(
     stream: DataFrame, path: str, checkpoint: str, time: str, source: str, delay: str = "1 day", trigger=AVAILABLE
 ) -> StreamingQuery:
-    """Replace the small result table with the current counts after every batch."""
+    """Write the counts a batch has changed. Days older than the delay leave the state; their counts are final."""
 
-    def write(counts: DataFrame, _: int) -> None:
-        counts.write.mode("overwrite").parquet(path)
+    def write(counts: DataFrame, batch_id: int) -> None:
+        rows = counts.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        write_delta(_adaptive(rows), path, batch_id, _VOLUME_KEY, "batch_id", [])
 
     return (
         daily_volumes(stream, time, source, delay)
-        .writeStream.outputMode("complete").foreachBatch(write)
+        .writeStream.outputMode("update").foreachBatch(write)
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
+
+
+def read_daily_volumes(spark: SparkSession, path: str) -> DataFrame:
+    return read_latest(spark, path, VOLUMES, _VOLUME_KEY, "batch_id").drop("batch_id")

@@ -44,6 +44,47 @@ def test_product_page(spark):
     }
 
 
+def record(spark, inner):
+    html = PRODUCT.replace('<div class="row">', f'<div class="row">{inner}', 1)
+    return pages.product_records(one_page(spark, html), RUN).first()
+
+
+def test_text_nodes(spark):
+    def with_heading(h1):
+        return pages.product_records(one_page(spark, PRODUCT.replace("<h1> It&#39;s &amp; More </h1>", h1)), RUN).first().titre
+
+    assert with_heading("<h1><span>x</span> Title</h1>") == "Title"
+    assert with_heading("<h1><!-- c -->Title<br>more</h1>") == "Title"
+    assert with_heading("<h1>a < b</h1>") == "a < b"
+
+    def stock(p):
+        html = f'<p class="instock">{p}</p>'
+        return pages.product_records(one_page(spark, html), RUN).first().disponibilite
+
+    assert stock("In stock<i></i>") == "In stock" and stock("In stock <b>now</b>") == "In stock"
+    assert stock("<i>x</i>") == ""
+
+
+def test_direct_paragraphs_at_any_depth(spark):
+    for depth in (1, 7, 8, 9, 12, 40):
+        assert record(spark, "<div>" * depth + "<p>deep</p>" + "</div>" * depth).description == 'A "long" story.'
+    html = '<article class="product_page"><section><p>no</p></section><hr><p><b>x</b>first<p>second</article>'
+    assert pages.product_records(one_page(spark, html), RUN).first().description == "first"
+
+
+def test_only_the_tables_of_the_class_count(spark):
+    other = '<table class="x"><tr><th>UPC</th><td>wrong</td></tr></table><table><tr><th>Number of reviews</th><td>9</td></tr></table>'
+    row = pages.product_records(one_page(spark, PRODUCT + other), RUN).first()
+    assert (row.isbn, row.nb_avis) == ("last", 7)
+
+
+def test_hrefs_of_any_syntax(spark):
+    html = """<a href=/x>1</a><a class='b' HREF = '/y?a=1&amp;b=2'>2</a><a data-href="/no" href="/z">3</a><a
+      title="a > b" href=/w?q=1>4</a><a name=x>5</a><abbr href="/no">6</abbr>"""
+    found = pages.page_links(one_page(spark, html)).orderBy("position").collect()
+    assert [r.link for r in found] == ["/x", "/y?a=1&b=2", "/z", "/w?q=1"]
+
+
 def test_page_without_any_node_is_kept(spark):
     row = pages.product_records(one_page(spark, "<html></html>"), RUN).first()
     assert (row.titre, row.prix, row.note_etoiles, row.disponibilite, row.categorie, row.description) == (
@@ -132,6 +173,9 @@ def test_volume_records(spark):
     assert (full.titre, full.auteur, full.prix, full.note_etoiles, full.isbn) == ("Grey Hill", "A B, C D", "12.5 EUR", 4.5, "2")
     assert (full.categorie, len(full.description), full.nb_avis, full.langue) == ("Science", 500, 7, "fr")
     assert (full.annee_publication, full.url, full.disponibilite) == (2004, "https://i", "FOR_SALE")
+    for price, expected in (({}, None), (None, None), ({"x": 1}, " "), ({"amount": 3}, "3 ")):
+        assert volume(spark, {"volumeInfo": {}, "saleInfo": {"listPrice": price}}).prix == expected
+    assert volume(spark, {"volumeInfo": {"publishedDate": "9e99"}}).annee_publication is None
     empty = volume(spark, {"volumeInfo": {"categories": [], "publishedDate": "0000"}})
     assert (empty.titre, empty.auteur, empty.prix, empty.categorie, empty.langue) == ("", "Unknown", None, "Unknown", "en")
     assert (empty.annee_publication, empty.url, empty.disponibilite, empty.nb_avis) == (None, "https://self.example", "N/A", 0)

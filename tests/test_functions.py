@@ -102,8 +102,8 @@ def test_safe_timestamp(column):
 
 
 def test_safe_numbers(column):
-    values = ["3.9", "-3.9", "x", None, "nan", "", "1e12", "3d", "0x1p3", " 7 ", "+5", "inf"]
-    expected = [3, -3, 0, 0, 0, 0, 10**12, 0, 0, 7, 5, 0]
+    values = ["3.9", "-3.9", "x", None, "nan", "", "1e12", "3d", "0x1p3", " 7 ", "+5", "inf", "1e30"]
+    expected = [3, -3, 0, 0, 0, 0, 10**12, 0, 0, 7, 5, 0, numeric.TOO_LARGE]
     assert column(lambda c: numeric.safe_int(c, from_text=True), values) == expected
     assert column(lambda c: numeric.safe_float(c, from_text=True), ["nan", "x", None, "2.675", "0.125", "3d"]) == [
         None, None, None, 2.67, 0.12, None,
@@ -122,6 +122,8 @@ def test_exact_rounding_equals_pythons(column, digits):
     values = [round(rng.uniform(-1000, 1000), 3) for _ in range(20000)]
     values += [rng.randint(-(10**6), 10**6) / 8 for _ in range(5000)]
     values += [rng.uniform(-1e9, 1e9) for _ in range(5000)] + [i / 200 for i in range(-4000, 4000)]
+    values += [rng.choice([-1, 1]) * rng.uniform(2.0**e, 2.0 ** (e + 1)) for e in range(40, 58) for _ in range(300)]
+    values += [2.0**e + d for e in range(43, 54) for d in (-0.5, -0.25, 0.0, 0.125, 0.375, 0.5, 0.625)]
     values += [0.0, -0.0, -0.001, 1e-300, 2.675, 1.005, 2.5, 0.125, 0.375, 1e15, -1e300, None]
     rounded = column(lambda c: numeric.round_exact(c, digits), values, "double")
     assert bits(rounded) == bits([None if v is None else round(v, digits) for v in values])
@@ -157,8 +159,13 @@ def test_word_rating(column):
 
 
 def test_character_references(column):
-    values = ["a &amp;lt; b", "&pound;5", "&#163;5 &#xA3; &#x1F600;", "&unknown; &", "&#;", None, "plain"]
-    expected = ["a &lt; b", "£5", "£5 £ 😀", "&unknown; &", "&#;", None, "plain"]
+    values = [
+        "a &amp;lt; b", "&pound;5", "&#163;5 &#xA3; &#x1F600;", "&unknown; &", "&#;", None, "plain", "&#0000039;&#1114109;",
+        "&aacute;&Eacute;&times;&apos;", "&#1114112;&#xD800;&#0;&#99999999999999999999;",
+    ]
+    expected = [
+        "a &lt; b", "£5", "£5 £ 😀", "&unknown; &", "&#;", None, "plain", "'\U0010fffd", "áÉ×'", "\ufffd" * 4,
+    ]
     assert column(markup.decode_references, values) == expected
 
 

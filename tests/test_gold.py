@@ -2,13 +2,17 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from quirelake.operators import dashboard, gold, quality, star, warehouse
 from quirelake.schemas import GOLD_COLUMNS
 from quirelake.sources import tables
+from tests.compare import differences, duck
 from tests.test_silver import plan
 
+SF_DIR = "/root/testdata/sf0.001"
+
 COLUMNS = "categorie string, titre string, prix double, note_etoiles double, nb_avis bigint, url string"
 
 
@@ -168,3 +172,23 @@ def test_load_sends_good_rows_and_returns_the_others(spark, tmp_path):
     rejected = tables.load_warehouse(df, "kpi_par_categorie", target, fmt="parquet")
     assert [r.nb_livres for r in rejected.collect()] == [2]
     assert [(r.categorie, r.nb_livres, r.source) for r in spark.read.parquet(target["path"]).collect()] == [("ok", 1, "")]
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_one_program_for_all_sizes(spark, threshold):
+    """The same rows whether Spark broadcasts the dimensions or not."""
+    import __spark_entry__ as driver
+
+    names = [
+        "star_genre_stats", "star_daily_volumes", "bi_timeline", "bi_top_genres", "bi_source_compare", "bi_top_rated",
+        "gold_kpi_category", "gold_kpi_shared_name",
+    ]
+    connection = duck(SF_DIR)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        for name in names:
+            assert differences(driver.queries()[name](spark, SF_DIR), connection, driver.oracle_sql()[name]) == ""
+        text = plan(driver.queries()["bi_top_rated"](spark, SF_DIR))
+        assert "WindowGroupLimit" in text and "CartesianProduct" not in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -6,6 +6,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quirelake.operators.cleaning import clean_shop
 from quirelake.operators.dedup import keep_latest
@@ -53,6 +54,9 @@ def test_whole_run(spark, lake):
     shop = reports[lake.shop.name].first()
     assert (shop.rows_read, shop.rows_deduplicated, shop.rows_quarantined, shop.rows_written) == (5, 3, 1, 2)
     assert (shop.mean_score, shop.categories) == (75.0, 2)
+    assert (shop.skipped_lines, shop.skipped_files) == (1, 0)
+    corrupt = spark.read.option("recursiveFileLookup", True).schema("ligne string, n_versions int").json(f"{lake.quarantine}-corrupt")
+    assert [tuple(r) for r in corrupt.collect()] == [("BROKEN", 1), ("BROKEN", 1)]
 
     silver = {r.url: r for r in tables.read_silver(spark, lake.shop.silver).collect()}
     assert set(silver) == {"u1", "u3"}
@@ -121,6 +125,11 @@ def arrivals(spark, path, rows):
     return df.schema
 
 
+LATEST = T.StructType([T.StructField("url", T.StringType()), T.StructField("d", T.IntegerType()), T.StructField("titre", T.StringType())])
+def by_title():
+    return ["url"], "d", [F.col("titre")]
+
+
 def test_upsert_over_batches_equals_one_batch(spark, tmp_path):
     source, path = str(tmp_path / "in"), str(tmp_path / "latest")
     batches = [
@@ -128,30 +137,47 @@ def test_upsert_over_batches_equals_one_batch(spark, tmp_path):
         [("a", 3, "a3"), ("a", 2, "a2"), ("b", 4, "late"), ("c", None, "c0")],
         [("c", 1, "c1"), (None, 2, "n2")],
     ]
-    for rows in batches:
+    for n, rows in enumerate(batches):
         schema = arrivals(spark, source, rows)
         stream = jobs.read_stream(spark, "parquet", {}, schema, source)
-        jobs.upsert_latest(
-            stream, path, str(tmp_path / "stage"), str(tmp_path / "cp"), "url", "d", ties=[F.col("titre")], buckets=4
-        ).awaitTermination()
-    latest = spark.read.parquet(path).select("url", "d", "titre")
+        jobs.upsert_latest(stream, path, str(tmp_path / "cp"), *by_title()).awaitTermination()
+        delta = spark.read.parquet(f"{path}/deltas/{n:012d}")
+        assert delta.count() == len({r[0] for r in rows})  # a batch writes its own keys only
+        if n == 1:
+            jobs.compact_latest(spark, path, LATEST, *by_title())
+    latest = jobs.read_latest(spark, path, LATEST, *by_title())
     whole = keep_latest(spark.createDataFrame(sum(batches, []), schema), "url", "d", ties=[F.col("titre")])
     assert sorted(map(str, latest.collect())) == sorted(map(str, whole.collect()))
-
-
-def test_interrupted_upsert_is_finished_from_its_staged_rows(spark, tmp_path):
-    path, stage = str(tmp_path / "latest"), str(tmp_path / "stage")
-    schema = "url string, d int, titre string"
-    ties = [F.col("titre")]
-    jobs.merge_latest(spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], schema), path, f"{stage}/0", "url", "d", ties, 1)
-    batch = spark.createDataFrame([("a", 2, "z")], schema)
-    jobs.merge_latest(batch, path, f"{stage}/1", "url", "d", ties, 1)
-    # the job dies after the batch was staged, and the table's bucket is half replaced
-    staged = [("a", 2, "z"), ("b", 1, "y")]
-    spark.createDataFrame(staged, schema).withColumn(jobs.BUCKET, F.lit(0)).write.mode("overwrite").parquet(f"{stage}/1")
-    spark.createDataFrame([("q", 1, "half")], schema).withColumn(jobs.BUCKET, F.lit(0)).write.mode("overwrite").partitionBy(jobs.BUCKET).parquet(path)
-    jobs.merge_latest(batch, path, f"{stage}/1", "url", "d", ties, 1)
-    assert sorted((r.url, r.titre) for r in spark.read.parquet(path).collect()) == [("a", "z"), ("b", "y")]
+    jobs.compact_latest(spark, path, LATEST, *by_title())
+    assert sorted(map(str, jobs.read_latest(spark, path, LATEST, *by_title()).collect())) == sorted(map(str, whole.collect()))
+
+
+def test_readers_see_whole_versions_only(spark, tmp_path):
+    """During a batch, a repeated batch or a compaction a reader gets the version before it, whole."""
+    path = str(tmp_path / "latest")
+
+    def write(rows, batch_id):
+        jobs.write_delta(spark.createDataFrame(rows, LATEST), path, batch_id, *by_title())
+
+    def read():
+        return sorted((r.url, r.titre) for r in jobs.read_latest(spark, path, LATEST, *by_title()).collect())
+
+    assert read() == []
+    write([("a", 1, "x"), ("b", 1, "y")], 0)
+    before = jobs.read_latest(spark, path, LATEST, *by_title())
+    half = tmp_path / "latest" / "deltas" / f"{1:012d}"
+    spark.createDataFrame([("q", 9, "half")], LATEST).write.parquet(str(half))
+    (half / "_SUCCESS").unlink()
+    assert read() == [("a", "x"), ("b", "y")]
+    write([("a", 2, "z")], 1)
+    write([("a", 2, "z")], 1)
+    assert read() == [("a", "z"), ("b", "y")]
+    # a base that is written but not published yet
+    spark.createDataFrame([("q", 9, "half")], LATEST).write.parquet(f"{path}/bases/{1:012d}")
+    assert read() == [("a", "z"), ("b", "y")]
+    jobs.compact_latest(spark, path, LATEST, *by_title())
+    assert read() == [("a", "z"), ("b", "y")]
+    assert sorted(r.titre for r in before.collect()) == ["x", "y"]  # a reader that began before goes on
 
 
 def test_streamed_cleaning_equals_batch(spark, tmp_path):
@@ -178,17 +204,17 @@ def test_landing_stream_repeats_without_doubling(spark, tmp_path):
     assert spark.read.option("recursiveFileLookup", True).schema("url string").json(root).count() == 2
 
 
-def test_salted_and_plain_stream_dedup_agree(spark, tmp_path):
-    source = str(tmp_path / "in")
-    schema = arrivals(spark, source, [("hot" if i % 3 else f"k{i}", i, "t") for i in range(300)])
-    found = {}
-    for name, salt_by in (("plain", ()), ("salted", ("d",))):
-        stream = jobs.read_stream(spark, "parquet", {}, schema, source)
-        jobs.unseen(stream, ["url"], salts=4, salt_by=salt_by).select("url").writeStream.format("parquet").option(
-            "path", str(tmp_path / name)
-        ).option("checkpointLocation", str(tmp_path / f"cp-{name}")).trigger(availableNow=True).start().awaitTermination()
-        found[name] = sorted(r.url for r in spark.read.parquet(str(tmp_path / name)).collect())
-    assert found["plain"] == found["salted"] and len(found["plain"]) == 101
+def test_stream_dedup_remembers_keys(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in range(3):
+        schema = arrivals(spark, source, [("hot" if i % 3 else f"k{i + part}", i, "t") for i in range(300)])
+        stream = jobs.read_stream(jobs.stream_session(spark), "parquet", {}, schema, source)
+        jobs.unseen(stream, ["url"]).select("url").writeStream.format("parquet").option("path", out).option(
+            "checkpointLocation", str(tmp_path / "cp")
+        ).trigger(availableNow=True).start().awaitTermination()
+    found = [r.url for r in spark.read.parquet(out).collect()]
+    assert sorted(found) == sorted({"hot"} | {f"k{i + part}" for i in range(0, 300, 3) for part in range(3)})
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != jobs.ROCKSDB
 
 
 def test_daily_volumes_over_batches(spark, tmp_path):
@@ -199,5 +225,5 @@ def test_daily_volumes_over_batches(spark, tmp_path):
         ).write.mode("append").parquet(source)
         stream = jobs.read_stream(spark, "parquet", {}, spark.read.parquet(source).schema, source)
         jobs.write_daily_volumes(stream, str(tmp_path / "v"), str(tmp_path / "cp"), "ts", "source").awaitTermination()
-    rows = spark.read.parquet(str(tmp_path / "v")).orderBy("date_val").collect()
+    rows = jobs.read_daily_volumes(spark, str(tmp_path / "v")).orderBy("date_val").collect()
     assert [(str(r.date_val), r.nb_livres) for r in rows] == [("2026-05-01", 2), ("2026-05-02", 1)]

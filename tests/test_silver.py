@@ -65,8 +65,8 @@ def test_hot_keys_are_reduced_before_the_shuffle(spark):
 
 
 def test_new_keys(spark):
-    new = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "url string")
-    seen = spark.createDataFrame([("a",), ("a",)], "url string")
+    new = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), (None,)], "url string")
+    seen = spark.createDataFrame([("a",), ("a",), (None,)], "url string")
     assert sorted(r.url for r in dedup.new_keys(new, seen, "url").collect()) == ["b", "c"]
     assert sorted(r.url for r in dedup.new_keys(new, seen.limit(0), "url").collect()) == ["a", "b", "c"]
 
@@ -144,23 +144,21 @@ def test_lines_are_read_tolerantly(spark, tmp_path):
     assert json.loads(first[bronze.EXTRAS]["autre"]) == {"x": [1]}
 
 
-def test_inferred_read_keeps_unknown_columns(spark, tmp_path):
+def test_read_keeps_unknown_fields(spark, tmp_path):
     write_lines(tmp_path)
-    df = bronze.read_bronze(spark, str(tmp_path))
+    df = bronze.read_bronze(spark, str(tmp_path), extras=["autre"])
     assert "autre" in df.columns and set(BOOK_COLUMNS) <= set(df.columns)
     rows = {r.titre: r for r in df.filter(F.col(bronze.CORRUPT).isNull()).collect()}
     assert set(rows) == {"A", "last", "é"}
-    assert (rows["A"].nb_avis, rows["é"].nb_avis, rows["é"].categorie, rows["é"].url) == ("3", None, "Unknown", None)
+    assert (rows["A"].nb_avis, rows["é"].nb_avis, rows["é"].url) == ("3", None, None)
+    assert rows["A"].autre == rows["A"][bronze.EXTRAS]["autre"]
     report = bronze.corrupt_report(df).first()
     assert (report.lignes_lues, report.lignes_ignorees) == (3, 3)
-    strict = bronze.read_bronze(spark, str(tmp_path), extras=False)
-    assert strict.columns == [*BOOK_COLUMNS, bronze.CORRUPT]
-    assert bronze.corrupt_report(strict).first().lignes_ignorees == 3
 
 
 def test_keys_that_differ_in_case_stay_in_the_map(spark, tmp_path):
     (tmp_path / "x.json").write_text('{"titre":"a","Titre":"b","new":"c"}\n')
-    row = bronze.read_bronze(spark, str(tmp_path)).first()
+    row = bronze.read_bronze(spark, str(tmp_path), extras=["Titre", "new"]).first()
     assert (row.titre, row.new, row[bronze.EXTRAS]["Titre"]) == ("a", "c", "b")
 
 
@@ -173,12 +171,13 @@ def test_unread_files_are_found(spark, tmp_path):
     assert [r.path for r in bronze.missing_paths(listed, read).collect()] == ["s3a:/b/c.json"]
 
 
-def test_too_many_keys_stay_in_the_map(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(bronze, "MAX_EXTRA_COLUMNS", -12)
-    (tmp_path / "x.json").write_text('{"titre":"a","k1":"1"}\n{"titre":"b","k2":"2"}\n')
-    rows = {r.titre: r for r in bronze.read_bronze(spark, str(tmp_path)).collect()}
-    assert {t: r[bronze.EXTRAS] for t, r in rows.items()} == {"a": {"k1": "1"}, "b": {"k2": "2"}}
-    assert (rows["a"].nb_avis, rows["a"].url) == ("0", None)
+def test_the_last_of_equal_fields_wins(spark, tmp_path):
+    (tmp_path / "x.json").write_text('{"titre":"a","k":1,"titre":"b","k":2,"prix":"3"}\n{"titre":null}\n{}\n')
+    rows = bronze.read_bronze(spark, str(tmp_path)).collect()
+    assert sorted((str(r.titre), str(r.prix), str(r[bronze.EXTRAS])) for r in rows) == [
+        ("None", "None", "{}"), ("None", "None", "{}"), ("b", "3", "{'k': '2'}"),
+    ]
+    assert all(r[bronze.CORRUPT] is None for r in rows)
 
 
 def test_clean_batch_reports_no_corrupt_lines(spark, tmp_path):
