@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,21 +33,29 @@ END_ID = 2
 BUCKET = 50_000
 
 
+def byte_characters() -> dict[int, str]:
+    """The character by which a byte-level vocabulary writes each byte: printable ones stand for themselves."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 @lru_cache(maxsize=2)
 def _cache(path: str) -> PieceCache:
+    """The tokenizer's own model, asked for one piece at a time: pieces are what its pre-tokenizer would hand it.
+
+    Strings of special tokens in a text are ordinary text.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    model = Tokenizer.from_file(path).model
+    written = byte_characters()
 
     def encode(words: list[str]) -> list[bytes]:
-        found = []
-        for i in range(0, len(words), 5000):
-            for x in tokenizer.encode_batch_fast(words[i : i + 5000], add_special_tokens=False):
-                ids = x.ids
-                found.append(b"".join([n.to_bytes(4, "little") for n in ids]))
-        return found
+        # latin-1 gives every byte of the UTF-8 form the character of its number
+        spelled = [w.encode().decode("latin-1").translate(written) for w in words]
+        return [array("I", [t.id for t in model.tokenize(w)]).tobytes() for w in spelled]
 
     return PieceCache(encode)
 

@@ -16,7 +16,7 @@ import regex
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: Code points that are split at once; a longer text is split alone, whole.
 CHUNK = 1 << 21
-#: Distinct pieces that a worker remembers; beyond it the cache starts anew.
+#: Distinct pieces in each of the two generations that a worker remembers.
 CACHE = 300_000
 
 
@@ -97,10 +97,14 @@ def _split(texts: list[str]) -> Iterator[list[str]]:
 
 
 class PieceCache:
-    """Encoded pieces as bytes of little-endian unsigned 32-bit ids; unknown ones are encoded together."""
+    """Encoded pieces as bytes of little-endian unsigned 32-bit ids; unknown ones are encoded together.
+
+    Two generations are kept: when the younger is full it becomes the older, and
+    pieces that occur again move back, so that frequent ones stay.
+    """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = CACHE):
-        self.encode, self.limit, self.known = encode, limit, {}
+        self.encode, self.limit, self.young, self.old = encode, limit, {}, {}
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Per text, its ids."""
@@ -115,11 +119,14 @@ class PieceCache:
         yield from self._flush(window)
 
     def _flush(self, window: list[list[str]]) -> Iterator[bytes]:
-        known = self.known
         distinct = set().union(*window)
-        if len(known) + len(distinct) > self.limit:
-            known.clear()
-        missing = sorted(distinct - known.keys())
-        known.update(zip(missing, self.encode(missing), strict=True))
+        if len(self.young) + len(distinct) > self.limit:
+            self.young, self.old = {}, self.young
+        known, old = self.young, self.old
+        missing = distinct - known.keys()
+        again = missing & old.keys()
+        known.update((w, old[w]) for w in again)
+        fresh = list(missing - again)
+        known.update(zip(fresh, self.encode(fresh), strict=True))
         for words in window:
             yield b"".join(map(known.__getitem__, words))
