@@ -8,9 +8,9 @@ w / (a + b - w), the Jaccard similarity of the windows in which order counts. Th
 allows, so the verdict is exact.
 
 Texts with equal words are one representative before anything is compared. Within a sketch's bucket no two members are
-paired off at once: the first member is compared with all others; members that are not yet connected to it become
-pivots in later rounds (one, then four times as many each round), and a pivot is compared with every member of another
-group. So each pair in a bucket is either connected already or is compared, and the groups are those of all links.
+paired off at once: one member, another in each bucket, is compared with all others; members that are not yet connected
+to it become pivots in later rounds (one, then four times as many each round), and a pivot is compared with every member
+of another group. So each pair in a bucket is either connected already or is compared, and the groups are those of all links.
 
 Null and blank texts have no window and are alone, each in its own group. A text of one to four words is a single
 window. Repeated rows and equal texts share a group; an empty table gives an empty result. Of a group the row with the
@@ -253,7 +253,9 @@ def near_duplicates(
     unique = without_keys(texts, stored(twins, "twins"), LOCATOR)
     flat = unique.select(F.xxhash64(f"{LOCATOR}.file", f"{LOCATOR}.row").alias("id"), "words")
     sketched = stored(_sketches(flat, sketches, picks), "sketches")
-    shared = sketched.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("__p"), F.count(F.lit(1)).alias("__c"))
+    # Each bucket has a pivot of its own choice, so a text of a large group meets many different members of it.
+    turn = F.xxhash64("bucket", "rep").alias("turn")
+    shared = sketched.groupBy("bucket").agg(F.min(F.struct(turn, "rep", "n")).alias("__p"), F.count(F.lit(1)).alias("__c"))
     shared = shared.filter("__c > 1").select("bucket", F.col("__p.rep").alias("pivot"), F.col("__p.n").alias("pivot_n"))
     members = stored(sketched.join(shared, "bucket"), "buckets")
     nodes = stored(members.select(F.col("rep").alias("id")).distinct(), "candidates")
@@ -277,7 +279,7 @@ def _links(members: DataFrame, nodes: DataFrame, bodies: DataFrame, similarity:
     """Verified links (a, b) that connect whatever the buckets' pairs connect, and the candidates' labels by them.
     No pair is compared twice."""
     first = members.filter((F.col("rep") != F.col("pivot")) & _close("n", "pivot_n", similarity))
-    compared = stored(first.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
+    compared = stored(first.select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")).distinct(), "pairs")
     fresh = links = _compare(compared, bodies, similarity)
     labels = stored(alone(nodes), "labels")
     done = stored(members.select("bucket", F.col("pivot").alias("rep")).distinct(), "pivots")
@@ -288,7 +290,7 @@ def _links(members: DataFrame, nodes: DataFrame, bodies: DataFrame, similarity:
         named = named.join(labels.select(F.col("id").alias("pivot"), F.col("label").alias("main")), "pivot")
         named = stored(named.select("bucket", "rep", "n", "label", "main"), "named")
         apart = named.filter("label != main").join(done, ["bucket", "rep"], "left_anti")
-        nth = F.row_number().over(Window.partitionBy("bucket").orderBy("rep"))
+        nth = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("bucket", "rep"), "rep"))
         chosen = stored(apart.withColumn("__n", nth).filter(F.col("__n") <= more).select("bucket", "rep", "n", "label"), "pivots")
         if chosen.isEmpty():
             return links, labels
