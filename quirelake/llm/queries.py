@@ -160,8 +160,9 @@ WITH d AS (
   SELECT doc_id, list_filter(string_split_regex({lower}, '{gap}'), lambda w: w <> '') AS words, {lower} AS t FROM documents
 ), phrases(phrase, label, size) AS (VALUES {starts}), notices(label, words) AS (VALUES {notices}),
 places AS (
-  SELECT doc_id, i - 1 AS place, label FROM d, unnest(range(1, len(words) + 1)) AS u(i), phrases
-  WHERE array_to_string(words[i:i + size - 1], ' ') = phrase
+  SELECT doc_id, i - 1 AS place, label
+  FROM (SELECT * FROM d WHERE contains(t, 'license') OR contains(t, 'cc')) AS d, unnest(range(1, len(words) + 1)) AS u(i), phrases
+  WHERE words[i] = string_split(phrase, ' ')[1] AND array_to_string(words[i:i + size - 1], ' ') = phrase
 ), base AS (
   SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi, list(DISTINCT label) AS labels FROM places GROUP BY doc_id
 ), blocks AS (
@@ -169,7 +170,7 @@ places AS (
   FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS block FROM d)
 ), found AS (
   SELECT doc_id, label, len(list_intersect(blocks.words, notices.words)) / len(notices.words) AS share
-  FROM blocks, notices WHERE len(list_intersect(blocks.words, notices.words)) >= ceil({licenses.THRESHOLD} * len(notices.words) - 1e-9)
+  FROM blocks, notices WHERE list_has_any(blocks.words, notices.words) AND len(list_intersect(blocks.words, notices.words)) >= ceil({licenses.THRESHOLD} * len(notices.words) - 1e-9)
 ), more AS (SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS best FROM found GROUP BY doc_id)
 SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base, base.lo::BIGINT AS first_word,
   base.hi::BIGINT AS last_word, coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
