@@ -34,7 +34,7 @@ def dearest_genres(kpi: DataFrame, n: int = 10) -> DataFrame:
 
 
 def top_books(top: DataFrame, n: int = 10) -> DataFrame:
-    columns = ["titre", "auteur", "prix", "note_etoiles", "categorie"]
+    columns = ["titre", "auteur", "prix", "note_etoiles", "categorie"]  # fixed values: the list that is shown
     return top.orderBy("categorie", "rang").limit(n).select(*columns)
 
 
@@ -48,9 +48,13 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
+# The columns of the catalogue page.
+CATALOGUE_COLUMNS = ("titre", "auteur", "prix", "note_etoiles", "categorie", "langue")
+
+
 def catalogue(
     flat: DataFrame, genre: str | None = None, n: int = 100, order=("titre", "url"), category="categorie",
-    columns=("titre", "auteur", "prix", "note_etoiles", "categorie", "langue"),
+    columns=CATALOGUE_COLUMNS,
 ) -> DataFrame:
     """First n books, of one genre or of all; `order` makes "first" definite."""
     chosen = flat if genre is None else flat.filter(F.col(category) == genre)

@@ -101,6 +101,7 @@ def column_types(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
+# The columns of the preview.
 PREVIEW_COLUMNS = [
     "titre", "auteur", "prix", "note_etoiles", "categorie", "langue", "disponibilite",
     "annee_publication", "qualite_score",
