@@ -50,6 +50,8 @@ class Ranks:
         self.pairs = pairs
         self.keys = np.array(sorted(pairs), dtype=np.int64)
         self.values = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int64)
+        #: Ranks of pairs of bytes, at 256 * left + right.
+        self.bytes = self.of(np.repeat(self.byte, 256), np.tile(self.byte, 256))
 
     def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The pairs' ranks, NONE where the pair has none."""
@@ -74,7 +76,7 @@ def merge_rows(ranks: Ranks, words: list[bytes], leaves: int) -> list[np.ndarray
     place = np.arange(leaves, dtype=np.int64)
     alive = place < size[:, None]
     tree = np.full((n, 2 * leaves), NONE, dtype=np.int64)
-    rank = ranks.of(ids[:, :-1], ids[:, 1:])
+    rank = ranks.bytes[raw[:, :-1].astype(np.int64) << 8 | raw[:, 1:]]
     usable = alive[:, 1:] & (rank != NONE)
     tree[:, leaves : 2 * leaves - 1] = np.where(usable, rank * leaves + place[:-1], NONE)
     for level in range(levels - 1, -1, -1):
@@ -103,14 +105,13 @@ def merge_rows(ranks: Ranks, words: list[bytes], leaves: int) -> list[np.ndarray
         ahead[more] = np.where(found != NONE, found * leaves + at[more], NONE)
         tree[base + leaves + gone] = NONE
         tree[base + leaves + at] = ahead
-        _climb(tree, base, leaves + gone, levels)
-        _climb(tree, base, leaves + at, levels)
         left = before[cell + at]
         some = left >= 0
         b, c, p = base[some], cell[some], left[some]
         found = ranks.of(ids[c + p], rank[some])
         tree[b + leaves + p] = np.where(found != NONE, found * leaves + p, NONE)
-        _climb(tree, b, leaves + p, levels)
+        # All three leaves climb together, level by level.
+        _climb(tree, np.concatenate([base, base, b]), leaves + np.concatenate([gone, at, p]), levels)
     ids, alive = ids.reshape(n, leaves), alive.reshape(n, leaves)
     return [ids[i][alive[i]] for i in range(n)]
 

@@ -17,7 +17,7 @@ OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: Code points that are split at once; a longer text is split alone, whole.
 CHUNK = 1 << 21
 #: Distinct pieces in each of the two generations that a worker remembers.
-CACHE = 300_000
+CACHE = 400_000
 
 
 @lru_cache(maxsize=1)
