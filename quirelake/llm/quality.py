@@ -160,5 +160,8 @@ def filter_documents(docs: DataFrame, text: str = "text", policy: str = PRODUCTI
     row = unique_name(docs.columns, "__row")
     inner = unique_name([*docs.columns, row], "__body")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), F.col(text).alias(inner))
-    judged = measure(rows, inner, (row,)).filter(passes(failure_bits(), policy))
+    # The row number pins the measurements below the filter: pushed down, the condition would compute them many times.
+    pin = unique_name([*docs.columns, row, inner], "__pin")
+    measured = measure(rows, inner, (row,)).withColumn(pin, F.monotonically_increasing_id())
+    judged = measured.filter(passes(failure_bits(), policy) & (F.col(pin) >= 0))
     return judged.select(*[F.col(row)[c].alias(c) for c in docs.columns])
