@@ -188,6 +188,8 @@ def _fit(sample: DataFrame, idf: np.ndarray, how: Penalties) -> DataFrame:
 
     def learn(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [r for part in parts for r in part.itertuples(index=False)]
+        if not rows:
+            return
         rows.sort(key=lambda r: (r.order, r.label))
         languages = sorted({r.label for r in rows})
         number = {x: i for i, x in enumerate(languages)}
@@ -247,7 +249,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "do
     return judged.select("doc_id", held_out("doc_id").alias("held_out"), "__judged.lang_pred", "__judged.score")
 
 
-def filter_documents(docs: DataFrame, model: Model, least_score: float = 0.5, text: str = "text") -> DataFrame:
+def filter_documents(docs: DataFrame, model: Model, least_score: float = 1 / 3, text: str = "text") -> DataFrame:
     """The documents with a language that the model is at least so sure of, with the columns they came with."""
     small_batches(docs.sparkSession)
     judged = unique_name(docs.columns, "__judged")

@@ -4,7 +4,8 @@ A bin is filled from the largest length left, and then with the combination of l
 found by subset-sum dynamic programming over a bitset of reachable sums. The chosen pieces are removed together; since
 the fullest combination stays the fullest while it is feasible, one solution serves as many bins as there are pieces
 for it. Only how many pieces have each length matters, so the plan is made from a table with a row per length (at most
-the bin's capacity) and has at most as many patterns as there are lengths, whatever the corpus holds. Pieces then take
+the bin's capacity). Each pattern leaves fewer pieces of some length than it takes of it, so the number of patterns is at
+most the sum of capacity / length over the lengths (about 7,900 for 1,024), whatever the corpus holds. Pieces then take
 their places by their number among the pieces of their length, counted in buckets of bounded size.
 
 Null text counts as empty and still has the end id. Documents are told apart by where their row lies, so repeated ids
@@ -119,7 +120,7 @@ def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
 
 
 def minimum_slack(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
-    """(pattern, bins filled by it) until no piece is left. Each pattern uses up a length."""
+    """(pattern, bins filled by it) until no piece is left."""
     counts = {k: v for k, v in counts.items() if v}
     plan = []
     while counts:
@@ -176,7 +177,7 @@ def pack(pieces: DataFrame, key: list[str], capacity: int = CAPACITY) -> DataFra
     before = Window.partitionBy("length").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     skips = sizes.select("length", "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__skip"))
     ranked = numbered.join(skips, ["length", "__bucket"]).withColumn("__rank", F.col("__number") + F.col("__skip"))
-    # Bounded: no more patterns than lengths, no more lengths in a pattern than add up to a bin.
+    # Bounded: the number of patterns is, and no more lengths are in one than add up to a bin.
     where = F.broadcast(places.withColumnRenamed("length", "__length"))
     joined = ranked.join(
         where,
