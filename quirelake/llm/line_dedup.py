@@ -1,11 +1,11 @@
 """Line dedup by pairwise alignment: common blocks of lines go from the later of two overlapping documents.
 
-Overlapping documents are found through shared line hashes that few documents have (`rare` of them at most). Documents
-that share only frequent lines, as large groups of copies do, are found through what stays telling at any frequency:
-three consecutive lines, or all lines of a shorter document. Every holder of such a key is paired with the key's
-earliest holder, so a key gives as many pairs as it has holders and never all pairs. A pair is aligned by patience diff
-(lines that stand once on both sides, in their longest common order, and the parts between them again); aligned lines
-are deleted from the later document. A line's earliest holder always keeps it.
+Overlapping documents are found through shared line hashes: with `rare` None through every line that two documents
+have, else only through lines of at most `rare` documents. Three consecutive lines, and all lines of a shorter document,
+are keys at any frequency. Every holder of a key is paired with the key's earliest holder, so a key gives one pair less
+than it has holders and never all pairs. A pair is aligned by patience diff (lines that stand once on both sides, in
+their longest common order, and the parts between them again); aligned lines are deleted from the later document. A
+line's earliest holder always keeps it.
 
 Lines are parted by "\\n" and equal when identical; blank ones are no keys, and a block of blank lines alone stays.
 Earlier means a smaller id (null first), then a smaller row locator, so repeated ids and rows have a defined order.
@@ -87,7 +87,7 @@ def common_lines(a: list[int], b: list[int], blank: int) -> list[int]:
     return out
 
 
-def removals(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rare: int = RARE, block: int = BLOCK) -> DataFrame:
+def removals(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rare: int | None = RARE, block: int = BLOCK) -> DataFrame:
     """__locator, removed: ascending line numbers to delete, for the documents that lose a line."""
     small_batches(docs.sparkSession, 256)
     split = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
@@ -112,7 +112,10 @@ def removals(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rare:
         "node", "id", F.size(full).alias("__n"), F.explode(F.concat(kind(1, full), kind(2, runs), kind(3, F.coalesce(whole, none)))).alias("key")
     ).select("node", "id", "key.kind", "key.hash")
     first = keyed.groupBy("kind", "hash").agg(F.min(F.struct("id", "node")).alias("first"), F.count(F.lit(1)).alias("n"))
-    telling = stored(first.filter((F.col("n") > 1) & ((F.col("kind") > 1) | (F.col("n") <= rare))).select("kind", "hash", F.col("first.node").alias("early")), "line-keys")
+    shared = F.col("n") > 1
+    if rare is not None:
+        shared &= (F.col("kind") > 1) | (F.col("n") <= rare)
+    telling = stored(first.filter(shared).select("kind", "hash", F.col("first.node").alias("early")), "line-keys")
     paired = keyed.join(telling, ["kind", "hash"]).filter("node != early").select("early", F.col("node").alias("late"))
     pairs = stored(paired.distinct(), "line-pairs")
     nodes = stored(pairs.select(F.col("early").alias("node")).union(pairs.select(F.col("late").alias("node"))).distinct(), "line-nodes")
@@ -137,7 +140,7 @@ def removals(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rare:
     return merged.filter(F.size("removed") > 0).join(places, F.col("late") == F.col("node")).select(LOCATOR, "removed")
 
 
-def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rare: int = RARE, block: int = BLOCK) -> DataFrame:
+def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rare: int | None = RARE, block: int = BLOCK) -> DataFrame:
     """doc_id, n_lines, n_removed and the text that is left, for every row."""
     docs = scanned(docs)
     lost = stored(removals(docs, text, doc_id, rare, block), "removals")

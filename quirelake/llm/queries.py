@@ -47,7 +47,7 @@ def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = line_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    left = line_dedup.deduplicate(table(spark, sf_dir, "documents"), rare=None)
     return left.select(
         "doc_id", "n_lines", "n_removed", F.length("text").cast("bigint").alias("n_chars_left"),
         F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),

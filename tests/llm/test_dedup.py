@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quirelake.llm import exact_dedup, line_dedup, order_minhash
+from quirelake.llm import exact_dedup, line_dedup, order_minhash, queries
 from tests.llm.helpers import bag, documents, odd_rows, sentence
 
 
@@ -190,3 +190,14 @@ def test_line_dedup_of_odd_rows(spark):
     found = line_dedup.deduplicate(documents(spark, rows)).collect()
     assert len(found) == len(rows)
     assert sum(r["n_removed"] > 0 for r in found if r["doc_id"] in (1, 2, None)) == 3
+
+
+def test_line_dedup_query_pairs_holders_of_frequent_lines(spark, tmp_path):
+    """Passages of one and two lines that more than RARE documents hold, among lines of their own."""
+    rng = random.Random(8)
+    own = [[" ".join(sentence(rng, 8)) for _ in range(4)] for _ in range(3 * line_dedup.RARE)]
+    rows = [(i, "\n".join([*x[:2], "one shared line", x[2], "shared twice", "and again", x[3]])) for i, x in enumerate(own)]
+    rows += [(100 + i, f"one shared line\n{i} alone") for i in range(3)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op3_line_dedup(spark, str(tmp_path))
+    assert bag(found, "doc_id", "n_removed") == sorted([(0, 0), *((i, 3) for i in range(1, len(own))), *((100 + i, 1) for i in range(3))], key=repr)
