@@ -1,11 +1,13 @@
 """License scan: exact set-similarity join of text blocks with license templates. DataFrame functions only.
 
-A block is a line of a text, taken as its set of words; a template is the set of words of a known notice. A block
-matches when it holds at least `threshold` of the template's words (containment). Tokens are ordered by their frequency
+A block is a line of a text, or a run of consecutive words of a paragraph of several lines (up to a blank line), so
+that wrapped notices are found; it is taken as its set of words. A run is as long as the largest template may be with
+`1 - threshold` of foreign words, and starts at any word; a shorter paragraph is one block. A template is the set of
+words of a known notice. A block matches when it holds at least `threshold` of the template's words (containment). Tokens are ordered by their frequency
 in all blocks of the corpus, rarest first. A matching block must hold one of the first |T| - need + 1 tokens of that
 order (prefix filter), at least `need` words at all (length filter), and, counted from the first shared token on, enough
 words must remain on both sides (positional filter). What passes is verified by the whole intersection, so the filters
-lose nothing. Beside the join, base phrases are looked up in the words of the whole text.
+lose nothing. A paragraph goes through the same filters as a whole, and its runs are looked at if it passes. Beside the join, base phrases are looked up in the words of the whole text.
 
 Null text counts as empty: no words, no places, no labels, score 0. Repeated rows give equal rows; an empty table gives
 an empty result; further columns of the input are not read.
@@ -14,6 +16,7 @@ an empty result; further columns of the input are not read.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +53,8 @@ TEMPLATES = {
     "reserved": "All rights reserved. No part of this publication may be reproduced without permission.",
 }
 THRESHOLD = 0.8
+#: Between paragraphs: lines without a sign.
+BLANK_LINES = r"\n(?:[\x20\x09\x0B-\x0D]*\n)+"
 
 
 def _lower(text: Column) -> Column:
@@ -78,6 +83,17 @@ def blocks(rows: DataFrame, text: str, keep: list[str]) -> DataFrame:
     return rows.select(*keep, F.posexplode(lines).alias("line", "block"))
 
 
+def paragraphs(rows: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """`keep` and block, one row per paragraph of several lines."""
+    parts = F.split(F.coalesce(F.col(text), F.lit("")), BLANK_LINES)
+    return rows.select(*keep, F.explode(F.filter(parts, lambda p: F.contains(p, F.lit("\n")))).alias("block"))
+
+
+def run_size(templates: dict[str, str], threshold: float) -> int:
+    """Words in a run: the largest template's, repeated ones too, and as many foreign ones as the threshold lets miss."""
+    return math.ceil(max((len(re.findall(r"[^\W_]+", t)) for t in templates.values()), default=1) / threshold)
+
+
 def token_order(rows: DataFrame, templates: dict[str, str], text: str = "text") -> dict[str, int]:
     """In how many blocks of the whole corpus each template word stands. Bounded by the templates' vocabulary."""
     vocabulary = sorted({w for t in templates.values() for w in template_words(t)})
@@ -104,8 +120,9 @@ def matches(
 ) -> DataFrame:
     """`keep`, line, label, containment: every block that holds `threshold` of a template's words.
 
-    Two passes over the texts: one counts the templates' words, one joins. Only blocks with a prefix token leave their
-    task's row; the index of prefix tokens is as small as the templates.
+    The line is null for blocks over several lines. Two passes over the texts count the templates' words and join the
+    lines, and one joins paragraphs. Only blocks with a prefix token leave their task's row; the index of prefix tokens
+    is as small as the templates.
     """
     spark = rows.sparkSession
     counts = token_order(rows, templates, text)
@@ -118,21 +135,45 @@ def matches(
     index = spark.createDataFrame([(*r, whole[r[1]]) for r in index_rows], schema)
     vocabulary = F.array(*[F.lit(w) for w in order]).cast("array<string>")
     prefix = F.array(*[F.lit(w) for w in sorted({r[0] for r in index_rows})]).cast("array<string>")
-    found = blocks(rows, text, keep)
-    # The block's words that any template has, rarest first: array_intersect keeps the first array's order.
-    found = found.withColumn("__b", F.array_intersect(vocabulary, F.split(_lower(F.col("block")), NOT_WORD)))
-    found = found.filter((F.size("__b") >= least) & F.arrays_overlap("__b", prefix)).drop("block")
-    tokens = found.select(*keep, "line", "__b", F.posexplode("__b").alias("__j", "__token"))
-    pairs = tokens.join(F.broadcast(index), "__token").filter(
-        (F.size("__b") >= F.col("__need"))
-        & (F.least(F.col("__size") - F.col("__i"), F.size("__b") - F.col("__j")) >= F.col("__need"))
-    )
-    shared = F.size(F.array_intersect("__b", "__all"))
-    return (
-        pairs.withColumn("__shared", shared).filter(F.col("__shared") >= F.col("__need"))
-        .select(*keep, "line", "label", (F.col("__shared") / F.col("__size")).alias("containment"))
+
+    def candidates(found: DataFrame) -> DataFrame:
+        # The block's words that any template has, rarest first: array_intersect keeps the first array's order.
+        found = found.withColumn("__b", F.array_intersect(vocabulary, F.split(_lower(F.col("block")), NOT_WORD)))
+        return found.filter((F.size("__b") >= least) & F.arrays_overlap("__b", prefix))
+
+    def joined(found: DataFrame) -> DataFrame:
+        tokens = found.select(*found.columns, F.posexplode("__b").alias("__j", "__token"))
+        pairs = tokens.join(F.broadcast(index), "__token").filter(
+            (F.size("__b") >= F.col("__need"))
+            & (F.least(F.col("__size") - F.col("__i"), F.size("__b") - F.col("__j")) >= F.col("__need"))
+        )
+        return pairs.withColumn("__both", F.array_intersect("__b", "__all")).filter(F.size("__both") >= F.col("__need"))
+
+    lines = (
+        joined(candidates(blocks(rows, text, keep)).drop("block"))
+        .select(*keep, "line", "label", (F.size("__both") / F.col("__size")).alias("containment"))
         .distinct()
     )
+    run = run_size(templates, threshold)
+    numbered = F.transform(_words(_lower(F.col("block"))), lambda w, i: F.struct(i.alias("at"), w.alias("word")))
+    known = F.filter(numbered, lambda x: F.array_contains(vocabulary, x["word"]))
+    # The first shared word is in the prefix: with it, a paragraph meets a template once.
+    whole_fits = joined(candidates(paragraphs(rows, text, keep)).withColumn("__known", known).drop("block")).filter(
+        F.get("__both", F.lit(0)) == F.col("__token")
+    )
+
+    def held(own: Column) -> Column:
+        def near(first: Column, i: Column) -> Column:
+            return F.filter(F.slice(own, i + 1, run), lambda x: x["at"] < first["at"] + run)
+
+        return F.array_max(F.transform(own, lambda x, i: F.size(F.array_distinct(F.transform(near(x, i), lambda y: y["word"])))))
+
+    # Bound as a lambda's variable, the template's words are found once and not once for every run.
+    own = F.array(F.filter("__known", lambda x: F.array_contains("__all", x["word"])))
+    runs = whole_fits.withColumn("__held", F.get(F.transform(own, held), F.lit(0))).filter(F.col("__held") >= F.col("__need"))
+    return lines.unionByName(
+        runs.select(*keep, F.lit(None).cast("int").alias("line"), "label", (F.col("__held") / F.col("__size")).alias("containment"))
+    )
 
 
 def _places(words: Column, phrase: str, label: str) -> Column:

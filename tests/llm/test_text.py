@@ -102,6 +102,31 @@ def test_license_scan(spark):
     assert licenses.scan(documents(spark, rows).limit(0)).count() == 0
 
 
+def test_license_scan_finds_wrapped_notices(spark):
+    """MIT's and BSD's grants as their files wrap them, plain, as comments, and in a long paragraph; and words too far apart."""
+    mit = (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+        'of this software and associated documentation files (the "Software"), to deal\n'
+        "in the Software without restriction, including without limitation the rights"
+    )
+    bsd = (
+        "Redistribution and use in source and binary forms, with or without\n"
+        "modification, are permitted provided that the following conditions\nare met:"
+    )
+    rng = random.Random(6)
+    around = ["\n".join(" ".join(sentence(rng, 12)) for _ in range(40)) for _ in range(2)]
+    far = "\n".join(w + " " + " ".join(sentence(rng, 12)) for w in mit.split())
+    rows = [
+        (1, mit), (2, bsd), (3, "# " + mit.replace("\n", "\r\n# ")), (4, "\n".join([around[0], bsd, around[1]])), (5, far),
+        (6, f"{around[0]}\n\n{mit}\n \n{bsd}"), (7, bsd.replace("\n", "\n\n")), (8, around[0]), (8, None),
+    ]
+    found = licenses.scan(documents(spark, rows)).collect()
+    got = Counter((r["doc_id"], r["labels"], r["score"] > 0) for r in found)
+    both = "bsd-grant,mit-grant"
+    want = [(1, "mit-grant"), (2, "bsd-grant"), (3, "mit-grant"), (4, "bsd-grant"), (5, ""), (6, both), (7, ""), (8, ""), (8, "")]
+    assert got == Counter((i, labels, bool(labels)) for i, labels in want)
+
+
 def test_language_id(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
