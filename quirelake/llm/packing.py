@@ -17,16 +17,17 @@ from __future__ import annotations
 import os
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirelake.llm.common import LOCATOR, located, small_batches, stored
-from quirelake.llm.pretoken import PieceCache
+from quirelake.llm.pretoken import PieceCache, unlike
 
 CAPACITY = 1024
 END_ID = 2
@@ -42,15 +43,21 @@ def byte_characters() -> dict[int, str]:
 
 
 @lru_cache(maxsize=2)
-def _cache(path: str) -> PieceCache:
-    """The tokenizer's own model, asked for one piece at a time: pieces are what its pre-tokenizer would hand it.
+def _encoder(path: str, added_tokens: bool) -> Callable[[list[str]], Iterator[bytes]]:
+    """Texts -> ids as the library's `encode(text, add_special_tokens=False)` gives them.
 
-    Strings of special tokens in a text are ordinary text.
+    The tokenizer's own model is asked for one piece at a time: pieces are what its pre-tokenizer would hand it. Texts
+    that hold an added token, or a code point that the library classes differently, go through the library whole.
+    Without `added_tokens`, strings of special tokens are ordinary text.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    model = Tokenizer.from_file(path).model
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = not added_tokens
+    marks = [t.content for t in tokenizer.get_added_tokens_decoder().values() if added_tokens or not t.special]
+    odd = unlike(tokenizer.pre_tokenizer.pre_tokenize_str)
+    model = tokenizer.model
     written = byte_characters()
 
     def encode(words: list[str]) -> list[bytes]:
@@ -58,14 +65,31 @@ def _cache(path: str) -> PieceCache:
         spelled = [w.encode().decode("latin-1").translate(written) for w in words]
         return [array("I", [t.id for t in model.tokenize(w)]).tobytes() for w in spelled]
 
-    return PieceCache(encode)
+    cache = PieceCache(encode)
+
+    def whole(text: str) -> bool:
+        if any(m in text for m in marks):
+            return True
+        return not text.isascii() and bool(odd[np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)].any())
+
+    def ids(texts: list[str]) -> Iterator[bytes]:
+        alone = [whole(t) for t in texts]
+        others = cache.ids([t for t, x in zip(texts, alone, strict=True) if not x])
+        for text, x in zip(texts, alone, strict=True):
+            if x:
+                yield array("I", tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+            else:
+                yield next(others)
+
+    return ids
 
 
 PIECES = "file bigint, row bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
 def token_pieces(
-    docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, text: str = "text", doc_id: str = "doc_id"
+    docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, text: str = "text", doc_id: str = "doc_id",
+    added_tokens: bool = False,
 ) -> DataFrame:
     """Every document's ids and the end id, cut into pieces of `capacity`; the first piece takes what is over."""
     small_batches(docs.sparkSession)
@@ -76,10 +100,10 @@ def token_pieces(
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _cache(path)
+        encoded = _encoder(path, added_tokens)
         for batch in batches:
             found: list[list] = [[] for _ in range(5)]
-            for i, ids in enumerate(cache.ids(batch.column(3).to_pylist())):
+            for i, ids in enumerate(encoded(batch.column(3).to_pylist())):
                 ids += end
                 total = len(ids) // 4
                 start, piece = 0, 0
@@ -191,8 +215,9 @@ def pack(pieces: DataFrame, key: list[str], capacity: int = CAPACITY) -> DataFra
 
 
 def pack_documents(
-    docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, text: str = "text", doc_id: str = "doc_id"
+    docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, text: str = "text", doc_id: str = "doc_id",
+    added_tokens: bool = False,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: one row per piece."""
-    pieces = stored(token_pieces(docs, path, capacity, end_id, text, doc_id), "pieces")
+    pieces = stored(token_pieces(docs, path, capacity, end_id, text, doc_id, added_tokens), "pieces")
     return pack(pieces, ["file", "row", "piece"], capacity).drop("file", "row")

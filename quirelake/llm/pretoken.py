@@ -30,6 +30,24 @@ def _classes() -> np.ndarray:
     return table
 
 
+def unlike(split: Callable[[str], list[tuple[str, tuple[int, int]]]]) -> np.ndarray:
+    """For each code point, whether a library's pre-tokenizer puts it into another class than `_classes`.
+
+    Libraries know different versions of Unicode. All code points of a class after a sign of it are one piece if the
+    library agrees; of more pieces, those that don't join such a sign by themselves are of another class.
+    """
+    table = _classes()
+    out = np.zeros(len(table), dtype=bool)
+    for kind, sign in ((OTHER, "!"), (LETTER, "a"), (NUMBER, "1"), (SPACE, "\n")):
+        points = np.flatnonzero(table == kind)
+        points = points[(points < 0xD800) | (points >= 0xE000)]
+        joined = sign + "".join(map(chr, points.tolist()))
+        for _, (a, b) in split(joined)[1:]:
+            if len(split(sign + joined[a])) > 1:
+                out[points[a - 1 : b - 1]] = True
+    return out
+
+
 def _starts(points: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """Where pieces start in the joined texts; `begins` are the starts of the texts that have a character."""
     n = len(points)

@@ -8,6 +8,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import public_tokenizers
 import pytest
 import regex
@@ -17,7 +18,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quirelake.llm import bpe, chat, langid, licenses, packing, pretoken, quality, warc
+from quirelake.llm import bpe, chat, langid, licenses, packing, pretoken, quality, queries, warc
 from quirelake.session import scratch
 from tests.llm.helpers import documents, odd_rows, sentence
 
@@ -311,6 +312,18 @@ def test_packing_of_odd_rows(spark):
     assert packing.pack_documents(documents(spark, rows).limit(0), BYTE_BPE).count() == 0
 
 
+@pytest.mark.parametrize("run", [queries.op8_best_fit_packing, lambda spark, sf: corpus_pipeline.pack_sequences(spark, queries.table(spark, sf, "documents"), sf)])
+def test_packed_ids_are_the_librarys(spark, tmp_path, run):
+    """Added tokens in a text, and letters and numbers that the library's Unicode doesn't know."""
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "<|endoftext|", "a\u088f1\u0c5cb", "x\U00010940y \ua7ce", "plain é text", ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer = Tokenizer.from_file(BYTE_BPE)
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in run(spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+        assert got[i] == (len(ids), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids)))
+
+
 def pages(spark, rows):
     return spark.createDataFrame([(i, f"http://x/{i}\r\nA: b", h, "x", 1) for i, h in rows], "page_id bigint, url string, html string, type string, size int")
 
