@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirelake.llm import bpe, chat, exact_dedup, langid, licenses, line_dedup, order_minhash, packing, quality, warc
+from quirelake.llm import (
+    bpe, chat, collocations, exact_dedup, filter_audit, langid, licenses, line_dedup, order_minhash, packing, quality, secrets, warc,
+)
 from quirelake.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,3 +185,134 @@ FROM d LEFT JOIN base ON d.doc_id = base.doc_id LEFT JOIN more ON d.doc_id = mor
 @query(_licenses_sql())
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+_CUTS = "if(len(words) = 2, [1], [1, 2])"
+
+
+@query(rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, '{collocations.NO_LANGUAGE}') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), '{collocations.UPPER}', '{collocations.LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces
+), grams AS (
+  SELECT lang, ws[i:i + size - 1] AS words FROM worded, unnest([1, 2, 3]) AS s(size), unnest(range(1, len(ws) - size + 2)) AS u(i)
+), f AS (SELECT lang, words, count(*) AS c FROM grams GROUP BY lang, words),
+totals AS (SELECT lang, sum(c)::BIGINT AS n FROM f WHERE len(words) = 1 GROUP BY lang),
+longer AS (
+  SELECT lang, words[k:k + 1] AS words, max(c) AS c FROM f, unnest([1, 2]) AS u(k)
+  WHERE len(f.words) = 3 AND c >= {collocations.LEAST} GROUP BY 1, 2
+), candidates AS (
+  SELECT f.lang, f.words, f.c AS a FROM f LEFT JOIN longer USING (lang, words)
+  WHERE len(f.words) > 1 AND f.c >= {collocations.LEAST} AND (len(f.words) = 3 OR coalesce(100 * longer.c < {collocations.ABSORBED} * f.c, true))
+), cuts AS (
+  SELECT t.lang, t.words, t.a, k, p.c AS l, q.c AS r,
+    (1000000::HUGEINT * t.a * t.a) // (p.c::HUGEINT * q.c) AS score
+  FROM (SELECT *, unnest({_CUTS}) AS k FROM candidates) AS t
+  JOIN f AS p ON p.lang = t.lang AND p.words = t.words[1:k] JOIN f AS q ON q.lang = t.lang AND q.words = t.words[k + 1:]
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, array_to_string(words, ' ') AS phrase,
+    row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(words, ' ')) AS rank
+  FROM lowest
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= {collocations.TOP}
+""")
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+@query(rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_WORDS} AS words FROM documents
+), m AS (
+  SELECT doc_id, part,
+    (len(words) < 100)::INT + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::INT
+    + 4 * (100 * (length(t) - length(translate(t, '{filter_audit.CAPITALS}', ''))) > 10 * length(t))::INT
+    + 8 * regexp_matches(t, '{filter_audit.SYMBOLS}')::INT + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask
+  FROM d
+), told AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id),
+counts AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM m LEFT JOIN told USING (doc_id) GROUP BY part, mask
+), letters(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps AS (
+  SELECT filter_order, step, max(bit) FILTER (instr(filter_order, letter) = step) AS own,
+    coalesce(sum(bit) FILTER (instr(filter_order, letter) < step), 0)::INT AS before
+  FROM orders, letters, range(1, 6) AS r(step) GROUP BY filter_order, step
+), done AS (
+  SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER (mask & (before | own) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (mask & before = 0 AND mask & own <> 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (mask & before <> 0 AND mask & own <> 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (mask & before = 0 AND mask & own <> 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & own <> 0), 0)::BIGINT AS toxic_lost
+  FROM counts, steps GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM done
+""")
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _secrets_sql() -> str:
+    def quoted(pattern: str) -> str:
+        return pattern.replace("'", "''")
+
+    def kind(number: int, name: str, pattern: str) -> str:
+        good = {
+            "assign": f"length(regexp_replace(m, '{quoted(secrets.VALUE)}', '')) >= {secrets.LEAST_VALUE}",
+            "key": "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]')",
+        }.get(name, "true")
+        return rf"""
+  SELECT r, doc_id, {number} AS kind, start, start + length(m) AS stop, {good} AS good FROM (
+    SELECT r, doc_id, ms[i] AS m, list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS start
+    FROM (SELECT r, doc_id, string_split_regex(t, '{quoted(pattern)}') AS gaps, regexp_extract_all(t, '{quoted(pattern)}') AS ms FROM d), unnest(range(1, len(ms) + 1)) AS u(i)
+  )"""
+
+    numbers = {k: i for i, k in enumerate(secrets.KINDS)}
+
+    def in_reach(kinds) -> str:
+        which = ", ".join(str(numbers[k]) for k in kinds)
+        return (
+            f"EXISTS (SELECT 1 FROM free AS o WHERE o.r = f.r AND o.scope = f.scope AND o.kind IN ({which}) "
+            f"AND o.start - f.stop <= {secrets.REACH} AND f.start - o.stop <= {secrets.REACH} AND (o.kind <> f.kind))"
+        )
+
+    all_kinds = " UNION ALL ".join(kind(i, n, secrets.PATTERNS[n]) for n, i in numbers.items())
+    names = "[" + ", ".join(f"'{k}'" for k in secrets.KINDS) + "]"
+    listed = f"string_agg({names}[kind + 1] || ':' || start || ':' || stop, ',' ORDER BY start, kind, stop)"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+parts AS MATERIALIZED (SELECT * FROM ({all_kinds}) WHERE good),
+breaks AS MATERIALIZED ({kind(9, "break", secrets.BREAK)}),
+free AS MATERIALIZED (
+  SELECT *, (SELECT count(*) FROM breaks AS b WHERE b.r = p.r AND b.start < p.start) AS scope FROM parts AS p
+  WHERE kind < 3 OR NOT EXISTS (SELECT 1 FROM parts AS o WHERE o.r = p.r AND o.kind < 3 AND o.start < p.stop AND o.stop > p.start)
+), told AS (
+  SELECT * FROM free AS f WHERE kind < 3 OR (kind = 3 AND {in_reach(secrets.SECRETS)}) OR (kind = 4 AND {in_reach(secrets.IDENTIFIERS)})
+    OR (kind = 5 AND {in_reach(secrets.IDENTIFIERS)} AND {in_reach(secrets.SECRETS)})
+), per_text AS (
+  SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+    {listed} FILTER (kind < 3) AS base, {listed} AS spans, count(*) FILTER (kind > 2) AS n_linked
+  FROM told GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_linked, 0) AS n_linked
+FROM d LEFT JOIN per_text ON d.r = per_text.r
+"""
+
+
+@query(_secrets_sql())
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
