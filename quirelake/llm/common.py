@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirelake.session import scratch
+from quirelake.session import discard, scratch
 
 LOCATOR = "__locator"
 #: The most values a membership filter can hold, hence the bound of its broadcast.
@@ -23,6 +23,33 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Workspace:
+    """Scratch tables of one computation. A table is deleted when the next one of its name has been written, and all of
+    them at the end, also when a step fails; what is to outlive it is written by `stored`.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.drop(*self.paths)
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch(self.spark, name)
+        df.write.parquet(path)
+        before, self.paths[name] = self.paths.get(name), path
+        if before:
+            discard(self.spark, before)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            discard(self.spark, self.paths.pop(name))
+
+
 def unique_name(taken: list[str], stem: str) -> str:
     """A column name that no column has, whatever its case."""
     names = {c.lower() for c in taken}

@@ -8,9 +8,16 @@ w / (a + b - w), the Jaccard similarity of the windows in which order counts. Th
 allows, so the verdict is exact.
 
 Texts with equal words are one representative before anything is compared. Within a sketch's bucket no two members are
-paired off at once: one member, another in each bucket, is compared with all others; members that are not yet connected
-to it become pivots in later rounds (one, then four times as many each round), and a pivot is compared with every member
-of another group. So each pair in a bucket is either connected already or is compared, and the groups are those of all links.
+paired off at once: one member, another in each bucket, is compared with all others, and the links' groups are joined.
+Members of one bucket that are still in different groups may share no more than a passage. They go through an exact
+prefix filter: their windows are put in one global order, rare ones first, and two texts can only be similar if one of the
+first n - ceil(0.8 n) + 1 windows of each is common to both, and if what follows it in both is long enough. So members are
+dealt again by these windows, and inside such a group pivots (one, then four times as many each round) are compared with
+the members of other groups that pass. The frequent windows of a passage stand last and bring nobody together. Each pair
+of a bucket is thus connected already, compared, or ruled out exactly, and the groups are those of all links.
+
+Texts are read in whole, however long; comparing two takes time in proportion to their length times the band's width,
+which is a ninth of both lengths, after common ends and a count of common windows have settled most pairs.
 
 Null and blank texts have no window and are alone, each in its own group. A text of one to four words is a single
 window. Repeated rows and equal texts share a group; an empty table gives an empty result. Of a group the row with the
@@ -20,6 +27,7 @@ read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,13 +35,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quirelake.llm.common import LOCATOR, drop_rows, located, only_keys, scanned, small_batches, stored, without_keys
+from quirelake.llm.common import (
+    LOCATOR, Workspace, drop_rows, located, only_keys, scanned, small_batches, stored, without_keys,
+)
 
 WORDS = 5
 SIMILARITY = 0.8
 #: A pair at the threshold shares a sketch with probability of about 0.8^3; it is missed by all with 1e-7.
 SKETCHES = 24
 PICKS = 3
+#: Cells that windows are counted in to put rare ones first: at most this many counts reach the driver and the tasks.
+#: Any order gives the same result; one that is less exact compares more pairs.
+CELLS = 1 << 20
+#: A row's number: its locator, which no two rows share.
+ROW = "struct<file:bigint,row:bigint>"
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -75,18 +90,28 @@ def seeds(sketches: int = SKETCHES) -> np.ndarray:
     return mix((np.arange(sketches, dtype=np.uint64) + np.uint64(1)) * MIX)
 
 
+def labelled(hashes: np.ndarray) -> np.ndarray:
+    """The hashes with the number of their occurrence, so that none stands twice."""
+    return mix(hashes + occurrences(hashes).astype(np.uint64) * MIX)
+
+
+def prefix_length(n: int, similarity: float) -> int:
+    """How many of n windows must be looked at so that no similar text shares none of them."""
+    return n - math.ceil(similarity * n - 1e-9) + 1
+
+
 def sketch(hashes: np.ndarray, salts: np.ndarray, picks: int = PICKS) -> np.ndarray:
     """One signed 64-bit key per salt."""
-    labelled = mix(hashes + occurrences(hashes).astype(np.uint64) * MIX)
-    n, take = len(labelled), min(picks, len(labelled))
+    own = labelled(hashes)
+    n, take = len(own), min(picks, len(own))
     out = np.empty(len(salts), dtype=np.uint64)
     step = max(1, (1 << 20) // n)
     for k in range(0, len(salts), step):
         part = salts[k : k + step]
-        ranked = (labelled[None, :] ^ part[:, None]) * (part[:, None] | np.uint64(1))
+        ranked = (own[None, :] ^ part[:, None]) * (part[:, None] | np.uint64(1))
         ranked ^= ranked >> np.uint64(32)
         least = np.argpartition(ranked, take - 1, axis=1)[:, :take] if n > take else np.broadcast_to(np.arange(n), (len(part), n))
-        chosen = labelled[np.sort(least, axis=1)]
+        chosen = own[np.sort(least, axis=1)]
         key = part.copy()
         for j in range(take):
             key = mix(key * MIX + chosen[:, j])
@@ -152,7 +177,7 @@ def _lists(column) -> Iterator[np.ndarray]:
 
 
 def _sketches(texts: DataFrame, sketches: int, picks: int) -> DataFrame:
-    """(file, row), words array -> bucket, rep, n (how many windows): a row per sketch."""
+    """row, words array -> bucket, rep, n (how many windows): a row per sketch."""
     salts = seeds(sketches)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +193,7 @@ def _sketches(texts: DataFrame, sketches: int, picks: int) -> DataFrame:
             n = pa.array(np.repeat(np.array(sizes, dtype=np.int32), sketches))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), batch.column(0).take(index), n], ["bucket", "rep", "n"])
 
-    return texts.mapInArrow(run, "bucket bigint, rep bigint, n int")
+    return texts.mapInArrow(run, f"bucket bigint, rep {ROW}, n int")
 
 
 def _windows(texts: DataFrame) -> DataFrame:
@@ -179,7 +204,7 @@ def _windows(texts: DataFrame) -> DataFrame:
             found = [windows(words).view(np.int64) for words in _lists(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["id", "windows"])
 
-    return texts.mapInArrow(run, "id bigint, windows array<bigint>")
+    return texts.mapInArrow(run, f"id {ROW}, windows array<bigint>")
 
 
 def _verified(pairs: DataFrame, similarity: float) -> DataFrame:
@@ -190,7 +215,7 @@ def _verified(pairs: DataFrame, similarity: float) -> DataFrame:
             same = [aligned(x, y, similarity) for x, y in zip(_lists(batch.column(2)), _lists(batch.column(3)), strict=True)]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(same, pa.bool_()))
 
-    return pairs.mapInArrow(run, "a bigint, b bigint")
+    return pairs.mapInArrow(run, f"a {ROW}, b {ROW}")
 
 
 def alone(nodes: DataFrame) -> DataFrame:
@@ -198,7 +223,7 @@ def alone(nodes: DataFrame) -> DataFrame:
     return nodes.select("id", F.col("id").alias("label"))
 
 
-def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
+def components(edges: DataFrame, labels: DataFrame, space: Workspace) -> DataFrame:
     """id, label: the least label that each node reaches, given the labels before `edges` (a, b) came. Both are stored.
 
     Alternates hooking (every edge offers the smaller label to the larger label's node) and pointer jumping, so the
@@ -208,60 +233,52 @@ def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
         left = edges.join(labels.select(F.col("id").alias("a"), F.col("label").alias("la")), "a")
         both = left.join(labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b").filter("la != lb")
         hooks = both.select(F.greatest("la", "lb").alias("id"), F.least("la", "lb").alias("to")).groupBy("id").agg(F.min("to").alias("to"))
-        hooks = stored(hooks, "hooks")
+        hooks = space.put(hooks, "hooks")
         if hooks.isEmpty():
             return labels
         # Jump along the hooks until every hook ends at a node that isn't hooked itself.
         while True:
             further = hooks.select(F.col("id").alias("to"), F.col("to").alias("next"))
-            jumped = stored(
-                hooks.join(further, "to", "left").select("id", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")),
-                "jumps",
-            )
+            jumped = hooks.join(further, "to", "left").select("id", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved"))
+            jumped = space.put(jumped, "jumps")
             hooks = jumped.select("id", "to")
             if jumped.filter("moved").isEmpty():
                 break
-        labels = stored(
-            labels.join(hooks.select(F.col("id").alias("label"), "to"), "label", "left").select("id", F.coalesce("to", "label").alias("label")),
-            "labels",
-        )
+        renamed = labels.join(hooks.select(F.col("id").alias("label"), "to"), "label", "left")
+        labels = space.put(renamed.select("id", F.coalesce("to", "label").alias("label")), "labels")
 
 
 def near_duplicates(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY,
     sketches: int = SKETCHES, picks: int = PICKS,
 ) -> DataFrame:
-    """__locator, doc_id, keep_id, kept, class_id, n_links, group_size per row.
-
-    class_id is equal for rows of one group; n_links counts the verified links that the row's text took part in.
-    """
+    """__locator, doc_id, keep_id, kept, class_id, group_size per row; class_id is equal for rows of one group."""
     small_batches(docs.sparkSession, 256)
     words = F.transform(F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"), ""), lambda w: F.xxhash64(w))
     texts = located(docs).select(LOCATOR, F.col(doc_id).cast("bigint").alias("id"), words.alias("words"))
-    # Rows with equal words share `same`; the one with the largest id stands for them.
-    same = F.sha2(F.concat(F.array_join(F.transform("words", lambda w: F.hex(w)), " ")).cast("binary"), 256)
-    keyed = stored(
-        texts.select(LOCATOR, "id", F.when(F.size("words") > 0, same).alias("same"), F.size("words").alias("n_words")), "same"
-    )
-    own = F.sha2(F.concat_ws("/", f"{LOCATOR}.file", f"{LOCATOR}.row"), 256)
-    keyed = keyed.withColumn("same", F.coalesce("same", own))
-    classes = keyed.groupBy("same").agg(F.max(F.struct("id", LOCATOR)).alias("top"), F.count(F.lit(1)).alias("n"))
-    # The number of a class: the hash of its representative's place.
-    number = F.xxhash64(F.col("top")[LOCATOR]["file"], F.col("top")[LOCATOR]["row"])
-    classes = stored(classes.select("same", "top", "n", number.alias("rep")), "classes")
-    twins = keyed.join(classes.filter("n > 1"), "same").filter(F.col(LOCATOR) != F.col("top")[LOCATOR]).select(LOCATOR)
-    unique = without_keys(texts, stored(twins, "twins"), LOCATOR)
-    flat = unique.select(F.xxhash64(f"{LOCATOR}.file", f"{LOCATOR}.row").alias("id"), "words")
-    sketched = stored(_sketches(flat, sketches, picks), "sketches")
-    # Each bucket has a pivot of its own choice, so a text of a large group meets many different members of it.
-    turn = F.xxhash64("bucket", "rep").alias("turn")
-    shared = sketched.groupBy("bucket").agg(F.min(F.struct(turn, "rep", "n")).alias("__p"), F.count(F.lit(1)).alias("__c"))
-    shared = shared.filter("__c > 1").select("bucket", F.col("__p.rep").alias("pivot"), F.col("__p.n").alias("pivot_n"))
-    members = stored(sketched.join(shared, "bucket"), "buckets")
-    nodes = stored(members.select(F.col("rep").alias("id")).distinct(), "candidates")
-    bodies = stored(_windows(only_keys(flat, nodes, "id")), "bodies")
-    links, labels = _links(members, nodes, bodies, similarity)
-    return _memberships(keyed, classes, labels, links)
+    with Workspace(docs.sparkSession) as space:
+        # Rows with equal words share `same`; the one with the largest id stands for them.
+        same = F.sha2(F.concat(F.array_join(F.transform("words", lambda w: F.hex(w)), " ")).cast("binary"), 256)
+        keyed = texts.select(LOCATOR, "id", F.when(F.size("words") > 0, same).alias("same"), F.size("words").alias("n_words"))
+        keyed = space.put(keyed, "same")
+        own = F.sha2(F.concat_ws("/", f"{LOCATOR}.file", f"{LOCATOR}.row"), 256)
+        keyed = keyed.withColumn("same", F.coalesce("same", own))
+        classes = keyed.groupBy("same").agg(F.max(F.struct("id", LOCATOR)).alias("top"), F.count(F.lit(1)).alias("n"))
+        classes = space.put(classes.select("same", "top", "n", F.col("top")[LOCATOR].alias("rep")), "classes")
+        twins = keyed.join(classes.filter("n > 1"), "same").filter(F.col(LOCATOR) != F.col("top")[LOCATOR]).select(LOCATOR)
+        unique = without_keys(texts, space.put(twins, "twins"), LOCATOR)
+        flat = unique.select(F.col(LOCATOR).alias("id"), "words")
+        sketched = space.put(_sketches(flat, sketches, picks), "sketches")
+        # Each bucket has a pivot of its own choice, so a text of a large group meets many different members of it.
+        turn = F.xxhash64("bucket", "rep").alias("turn")
+        shared = sketched.groupBy("bucket").agg(F.min(F.struct(turn, "rep", "n")).alias("__p"), F.count(F.lit(1)).alias("__c"))
+        shared = shared.filter("__c > 1").select("bucket", F.col("__p.rep").alias("pivot"), F.col("__p.n").alias("pivot_n"))
+        members = space.put(sketched.join(shared, "bucket"), "buckets")
+        nodes = space.put(members.select(F.col("rep").alias("id")).distinct(), "candidates")
+        bodies = space.put(_windows(only_keys(flat, nodes, "id")), "bodies")
+        space.drop("sketches", "twins")
+        labels = _labels(members, nodes, bodies, similarity, space)
+        return stored(_memberships(keyed, classes, labels, space), "near-groups")
 
 
 def _close(n: str, m: str, similarity: float) -> Column:
@@ -269,55 +286,119 @@ def _close(n: str, m: str, similarity: float) -> Column:
     return F.least(n, m) >= F.greatest(n, m) * F.lit(similarity) - F.lit(1e-9)
 
 
-def _compare(pairs: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
+def _fits(similarity: float) -> Column:
+    """Whether texts with their first common window at places i and j of the global order can be similar: of na and nb
+    windows, no more than that one and those after it are common."""
+    most = 1 + F.least(F.col("na") - 1 - F.col("ia"), F.col("nb") - 1 - F.col("ib"))
+    return most >= (F.col("na") + F.col("nb")) * F.lit(similarity / (1 + similarity)) - F.lit(1e-9)
+
+
+def _compare(pairs: DataFrame, bodies: DataFrame, similarity: float, space: Workspace) -> DataFrame:
     left = pairs.join(bodies.select(F.col("id").alias("a"), F.col("windows").alias("__l")), "a")
     both = left.join(bodies.select(F.col("id").alias("b"), F.col("windows").alias("__r")), "b")
-    return stored(_verified(both.select("a", "b", "__l", "__r"), similarity), "links")
+    return space.put(_verified(both.select("a", "b", "__l", "__r"), similarity), "links")
+
+
+def _window_counts(bodies: DataFrame, cells: int) -> np.ndarray:
+    """How many of the texts hold a window of each cell: `cells` numbers, whatever the number of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(cells, dtype=np.int64)
+        for batch in batches:
+            for found in _lists(batch.column(0)):
+                np.add.at(total, (labelled(found.view(np.uint64)) % np.uint64(cells)).astype(np.int64), 1)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(total[held])], ["cell", "n"])
+
+    added = bodies.select("windows").mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    counts = np.ones(cells, dtype=np.int32)
+    several = added.filter("n > 1").toArrow()
+    counts[several["cell"].to_numpy()] = np.minimum(several["n"].to_numpy(), np.iinfo(np.int32).max)
+    return counts
+
+
+def _prefixes(bodies: DataFrame, similarity: float, cells: int = CELLS) -> DataFrame:
+    """bucket (a window), rep, n, i: the windows of each text that a similar one must share one of, with their places in
+    the global order. Windows that no other text can hold are left out."""
+    counts = bodies.sparkSession.sparkContext.broadcast(_window_counts(bodies, cells))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = counts.value
+        for batch in batches:
+            at, windows_, places, sizes = [], [], [], []
+            for row, found in enumerate(_lists(batch.column(1))):
+                own = labelled(found.view(np.uint64))
+                often = known[(own % np.uint64(cells)).astype(np.int64)]
+                order = np.lexsort((own, often))[: prefix_length(len(own), similarity)]
+                place = np.flatnonzero(often[order] > 1)
+                at.append(np.full(len(place), row))
+                windows_.append(own[order[place]].view(np.int64))
+                places.append(place)
+                sizes.append(np.full(len(place), len(own)))
+            if not at:
+                continue
+            rows = pa.array(np.concatenate(at), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(windows_), pa.int64()), batch.column(0).take(rows),
+                    pa.array(np.concatenate(sizes), pa.int32()), pa.array(np.concatenate(places), pa.int32()),
+                ],
+                ["bucket", "rep", "n", "i"],
+            )
+
+    return bodies.select("id", "windows").mapInArrow(run, f"bucket bigint, rep {ROW}, n int, i int")
+
 
+def _several_groups(rows: DataFrame) -> DataFrame:
+    """The buckets whose members have more than one label."""
+    return rows.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("bucket")
 
-def _links(members: DataFrame, nodes: DataFrame, bodies: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Verified links (a, b) that connect whatever the buckets' pairs connect, and the candidates' labels by them.
-    No pair is compared twice."""
+
+def _labels(members: DataFrame, nodes: DataFrame, bodies: DataFrame, similarity: float, space: Workspace) -> DataFrame:
+    """id, label of the candidates: equal for those that the links of all their buckets connect. No pair is compared twice."""
     first = members.filter((F.col("rep") != F.col("pivot")) & _close("n", "pivot_n", similarity))
-    compared = stored(first.select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")).distinct(), "pairs")
-    fresh = links = _compare(compared, bodies, similarity)
-    labels = stored(alone(nodes), "labels")
-    done = stored(members.select("bucket", F.col("pivot").alias("rep")).distinct(), "pivots")
-    more = 1
+    pairs = space.put(first.select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")).distinct(), "pairs-0")
+    compared = pairs
+    labels = components(_compare(pairs, bodies, similarity, space), space.put(alone(nodes), "labels"), space)
+    # Pivots have met all members of their buckets. Others that are apart in one may still be similar.
+    others = members.filter(F.col("rep") != F.col("pivot")).join(labels.withColumnRenamed("id", "rep"), "rep")
+    crowded = others.join(_several_groups(others), "bucket", "left_semi").select(F.col("rep").alias("id")).distinct()
+    crowded = space.put(crowded, "crowded")
+    if crowded.isEmpty():
+        return labels
+    named = space.put(_prefixes(only_keys(bodies, crowded, "id"), similarity), "named")
+    space.drop("buckets")
+    done, more, turn = None, 1, 0
     while True:
-        labels = components(fresh, labels)
-        named = members.join(labels.select(F.col("id").alias("rep"), "label"), "rep")
-        named = named.join(labels.select(F.col("id").alias("pivot"), F.col("label").alias("main")), "pivot")
-        named = stored(named.select("bucket", "rep", "n", "label", "main"), "named")
-        apart = named.filter("label != main").join(done, ["bucket", "rep"], "left_anti")
+        named = named.select("bucket", "rep", "n", "i").join(labels.withColumnRenamed("id", "rep"), "rep")
+        named = space.put(named.join(_several_groups(named), "bucket", "left_semi"), "named")
         nth = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("bucket", "rep"), "rep"))
-        chosen = stored(apart.withColumn("__n", nth).filter(F.col("__n") <= more).select("bucket", "rep", "n", "label"), "pivots")
+        waiting = named if done is None else named.join(done, ["bucket", "rep"], "left_anti")
+        chosen = waiting.withColumn("__n", nth).filter(F.col("__n") <= more).drop("__n")
+        turn += 1
+        chosen = space.put(chosen, f"pivots-{turn}")
         if chosen.isEmpty():
-            return links, labels
-        against = named.select("bucket", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-        met = chosen.select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-        met = met.join(against, "bucket").filter((F.col("la") != F.col("lb")) & _close("na", "nb", similarity))
+            return labels
+        against = named.select("bucket", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("i").alias("ib"), F.col("label").alias("lb"))
+        met = chosen.select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("i").alias("ia"), F.col("label").alias("la"))
+        met = met.join(against, "bucket").filter((F.col("la") != F.col("lb")) & _close("na", "nb", similarity) & _fits(similarity))
         pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = stored(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
-        fresh = _compare(pairs, bodies, similarity)
-        links = links.unionByName(fresh)
+        pairs = space.put(pairs.join(compared, ["a", "b"], "left_anti"), f"pairs-{turn}")
+        labels = components(_compare(pairs, bodies, similarity, space), labels, space)
         compared = compared.unionByName(pairs)
-        done = stored(done.unionByName(chosen.select("bucket", "rep")), "pivots")
+        pivots = chosen.select("bucket", "rep")
+        done = pivots if done is None else done.unionByName(pivots)
         more *= 4
 
 
-def _memberships(keyed: DataFrame, classes: DataFrame, labels: DataFrame, links: DataFrame) -> DataFrame:
-    ends = links.select(F.col("a").alias("rep")).unionAll(links.select(F.col("b").alias("rep")))
-    counted = ends.groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
-    grouped = (
-        classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").join(counted, "rep", "left")
-        .withColumn("class_id", F.coalesce("label", "rep")).withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("bigint"))
-    )
+def _memberships(keyed: DataFrame, classes: DataFrame, labels: DataFrame, space: Workspace) -> DataFrame:
+    grouped = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("class_id", F.coalesce("label", "rep"))
     tops = grouped.groupBy("class_id").agg(F.max("top").alias("best"), F.sum("n").alias("group_size"))
-    grouped = stored(grouped.join(tops, "class_id").select("same", "class_id", "n_links", "best", "group_size"), "groups")
+    grouped = space.put(grouped.join(tops, "class_id").select("same", "class_id", "best", "group_size"), "groups")
+    number = F.concat(F.lower(F.hex("class_id.file")), F.lit("-"), F.col("class_id.row").cast("string"))
     return keyed.join(grouped, "same").select(
         LOCATOR, F.col("id").alias("doc_id"), F.col("best")["id"].alias("keep_id"),
-        (F.col(LOCATOR) == F.col("best")[LOCATOR]).alias("kept"), "class_id", "n_links", "group_size",
+        (F.col(LOCATOR) == F.col("best")[LOCATOR]).alias("kept"), number.alias("class_id"), "group_size",
     )
 
 
@@ -325,4 +406,4 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     """One document of each group, with the columns it came with."""
     docs = scanned(docs)
     dropped = near_duplicates(docs, text, doc_id).filter(~F.col("kept")).select(LOCATOR)
-    return drop_rows(docs, stored(dropped, "dropped"))
+    return drop_rows(docs, dropped)

@@ -44,7 +44,7 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "class_id", "keep_id", "kept", "n_links", "group_size")
+    return found.select("doc_id", "class_id", "keep_id", "kept", "group_size")
 
 
 @query()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quirelake.llm import exact_dedup, line_dedup, order_minhash, queries
+from quirelake.llm.common import Workspace
 from tests.llm.helpers import bag, documents, odd_rows, sentence
 
 
@@ -120,6 +122,58 @@ def test_near_duplicates_equal_all_pairs(spark):
     assert {frozenset(g) for g in groups.values()} == near_groups(texts)
 
 
+def test_a_shared_passage_makes_few_pairs_and_loses_no_link(spark, monkeypatch):
+    """Texts that share most of their words without being similar, and some pairs among them that are."""
+    rng = random.Random(21)
+    passage, texts = sentence(rng, 60), []
+    for i in range(120):
+        own = sentence(rng, 25)
+        texts.append(" ".join(own + passage))
+        if i % 10 == 0:
+            texts.append(" ".join([*own[:-1], "changed", *passage]))
+        if i % 15 == 0:
+            texts.append(" ".join([*own[:3], *own[5:], *passage]))
+    pairs = []
+    compare = order_minhash._compare
+
+    def counted(found, *rest):
+        pairs.append(found.count())
+        return compare(found, *rest)
+
+    monkeypatch.setattr(order_minhash, "_compare", counted)
+    found = order_minhash.near_duplicates(documents(spark, list(enumerate(texts))))
+    groups = defaultdict(set)
+    for r in found.collect():
+        groups[r["class_id"]].add(r["doc_id"])
+    assert {frozenset(g) for g in groups.values()} == near_groups(texts)
+    # Each bucket's first round is at most one pair per member and bucket; after it, hardly any.
+    assert sum(pairs[1:]) < len(texts)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 9), min_size=1, max_size=25), st.lists(st.integers(0, 9), min_size=1, max_size=25), st.sampled_from([0.5, 0.8]))
+def test_similar_texts_meet_in_their_prefixes(a, b, s):
+    """Under any order of windows, the first common one lies in both prefixes and leaves room for what must be common."""
+    x, y = (set(order_minhash.labelled(np.array(v, dtype=np.uint64)).tolist()) for v in (a, b))
+    shared = len(x & y)
+    if shared >= s * (len(x) + len(y) - shared) - 1e-9:
+        left, right = sorted(x), sorted(y)
+        first = min(x & y)
+        i, j = left.index(first), right.index(first)
+        assert i < order_minhash.prefix_length(len(x), s) and j < order_minhash.prefix_length(len(y), s)
+        assert 1 + min(len(x) - 1 - i, len(y) - 1 - j) >= s / (1 + s) * (len(x) + len(y)) - 1e-9
+
+
+def test_scratch_tables_are_deleted(spark):
+    """What stays behind is the input's copy and the result."""
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    rows = [(i, " ".join(sentence(random.Random(i // 3), 40)) + f" {i}") for i in range(30)]
+    before = {p.name for p in shared.iterdir()}
+    found = order_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert found.select("class_id").distinct().count() == 10
+    assert sorted(p.name.split("-")[0] for p in shared.iterdir() if p.name not in before) == ["near", "rows"]
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = odd_rows()
     found = order_minhash.near_duplicates(documents(spark, rows))
@@ -139,7 +193,8 @@ def test_band_alignment_is_exact(a, b, s):
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 200)] + [(500, 300), (400, 500)], "a bigint, b bigint")
     nodes = edges.selectExpr("a id").union(edges.selectExpr("b id")).distinct()
-    labels = {r["id"]: r["label"] for r in order_minhash.components(edges, order_minhash.alone(nodes)).collect()}
+    with Workspace(spark) as space:
+        labels = {r["id"]: r["label"] for r in order_minhash.components(edges, order_minhash.alone(nodes), space).collect()}
     assert all(labels[i] == 0 for i in range(201)) and {labels[i] for i in (300, 400, 500)} == {300}
 
 
