@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake.functions import numeric, text
@@ -94,6 +94,28 @@ def silver_report(versions: DataFrame, silver: DataFrame) -> DataFrame:
     )
 
 
+def written_metrics() -> list[Column]:
+    """What a write of Silver observes for the run's report; the categories are those of its folders."""
+    return [
+        F.count(F.lit(1)).alias("rows_written"), F.avg("qualite_score").alias("mean_score"),
+        F.collect_set("categorie").alias("categories"),
+    ]
+
+
+def run_report(
+    spark: SparkSession, rows_read: int, rows_deduplicated: int, written: dict, skipped_lines: int, skipped: DataFrame
+) -> DataFrame:
+    """The row of `silver_report` from counts that the run has made on its way, with the skipped lines and files."""
+    n = written.get("rows_written", 0)
+    values = (rows_read, rows_deduplicated, n, written.get("mean_score"), len(written.get("categories", ())), rows_deduplicated - n, skipped_lines)
+    row = spark.createDataFrame(
+        [values], "rows_read bigint, rows_deduplicated bigint, rows_written bigint, mean_score double, categories bigint, "
+        "rows_quarantined bigint, skipped_lines bigint",
+    )
+    files = skipped.agg(F.count(F.lit(1)).alias("skipped_files"))
+    return merge_single_rows(row.withColumn("mean_score", numeric.round_exact(F.col("mean_score"), 1)), files)
+
+
 def category_list(silver: DataFrame, category: str = "categorie") -> DataFrame:
     """The distinct categories in order, as a table and not as one array cell."""
     return silver.select(category).distinct().orderBy(category)

@@ -8,10 +8,11 @@ splits the tasks of a hot key. There are no broadcast hints.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from quirelake.functions.numeric import round_half_up
@@ -198,6 +199,49 @@ def price_bands(fact: DataFrame, price="prix", rating="note_etoiles", edges=(20,
     )
 
 
+#: Scores that the driver holds at once while it looks for a cutoff, and how much further each of its steps goes.
+SCORES, WIDEN = 1000, 8
+
+
+def _up_to(note: str, reviews: str, score: Row) -> Column:
+    """Whether a fact stands at a score or before it; no reviews stand last. The first part reaches the file scan."""
+    upper = F.col(note) >= F.lit(score[note])
+    if score[reviews] is None:
+        return upper
+    return upper & ((F.col(note) > F.lit(score[note])) | (F.col(reviews) >= F.lit(score[reviews])))
+
+
+def _after(note: str, reviews: str, score: Row) -> Column:
+    lower = F.col(note) < F.lit(score[note])
+    if score[reviews] is None:
+        return lower
+    fewer = F.col(reviews).isNull() | (F.col(reviews) < F.lit(score[reviews]))
+    return lower | ((F.col(note) == F.lit(score[note])) & fewer)
+
+
+def _score_cutoff(rated: DataFrame, matched: Callable[[DataFrame], DataFrame], n: int, note: str, reviews: str) -> Row | None:
+    """The score down to which `n` facts match, or None if all facts together have fewer matches.
+
+    The histogram of scores is counted before it is shuffled, and the driver sees its head only. Each step takes facts
+    between two scores, some more than the step before, and joins them.
+    """
+    found, want, last = 0, WIDEN * n, None
+    scores: list[Row] = []
+    while True:
+        left = rated if last is None else rated.filter(_after(note, reviews, last))
+        if not scores:
+            bars = left.groupBy(note, reviews).agg(F.count(F.lit(1)).alias("_n"))
+            scores = bars.orderBy(F.col(note).desc(), F.col(reviews).desc_nulls_last()).limit(SCORES).collect()
+        if not scores:
+            return None
+        total = 0
+        while scores and total < want:
+            last = scores.pop(0)
+            total += last["_n"]
+        found += matched(left.filter(_up_to(note, reviews, last))).limit(n).count()
+        if found >= n:
+            return last
+        want *= WIDEN
 def top_rated(
     fact: DataFrame, dim_book: DataFrame, dim_category: DataFrame, dim_source: DataFrame,
     n: int = 10, ties: tuple[str, ...] = ("id",), keys_complete: bool = False,
@@ -205,26 +249,32 @@ def top_rated(
     """The n best rated, then most reviewed facts with their names.
 
     Facts whose keys match no dimension row drop out, so the limit comes after
-    the joins. Facts with the same three keys match or drop out together: only
-    the n best of them can be in the result, and Spark keeps no more of them
-    inside the map tasks. With `keys_complete` (every key has its dimension row,
+    the joins. A search over the scores finds how far down n facts match; only
+    facts down to there are joined, all others stay in their map tasks. Of facts
+    with one score and the same three keys, which match or drop out together,
+    only the n best go on. With `keys_complete` (every key has its dimension row,
     as in a star built by `star_from_silver` without nulls) the limit comes
     first: nothing is shuffled and n facts are joined.
     """
-    best = [F.col("note_etoiles").desc(), F.col("nb_avis").desc_nulls_last(), *[F.col(t).asc() for t in ties]]
+    note, reviews = "note_etoiles", "nb_avis"
+    best = [F.col(note).desc(), F.col(reviews).desc_nulls_last(), *[F.col(t).asc() for t in ties]]
     keys = ["fk_livre", "fk_categorie", "fk_source"]
-    columns = list(dict.fromkeys([*keys, "prix", "note_etoiles", "nb_avis", *ties]))
-    rated = fact.filter(F.col("note_etoiles").isNotNull()).select(*columns)
+    columns = list(dict.fromkeys([*keys, "prix", note, reviews, *ties]))
+    rated = fact.filter(F.col(note).isNotNull()).select(*columns)
+
+    def matched(facts: DataFrame) -> DataFrame:
+        return (
+            facts.join(dim_category.select("id_categorie", "nom_categorie"), F.col("fk_categorie") == F.col("id_categorie"))
+            .join(dim_source.select("id_source", "nom_site"), F.col("fk_source") == F.col("id_source"))
+            .join(dim_book.select("id_livre", "titre", "auteur"), F.col("fk_livre") == F.col("id_livre"))
+        )
+
     if keys_complete:
         rated = rated.orderBy(*best).limit(n)
     else:
+        last = _score_cutoff(rated, matched, n, note, reviews)
+        if last is not None:
+            rated = rated.filter(_up_to(note, reviews, last))
         nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*best))
         rated = rated.withColumn("_nth", nth).filter(F.col("_nth") <= n).drop("_nth")
-    return (
-        rated.join(dim_category.select("id_categorie", "nom_categorie"), F.col("fk_categorie") == F.col("id_categorie"))
-        .join(dim_source.select("id_source", "nom_site"), F.col("fk_source") == F.col("id_source"))
-        .join(dim_book.select("id_livre", "titre", "auteur"), F.col("fk_livre") == F.col("id_livre"))
-        .orderBy(*best)
-        .limit(n)
-        .select("titre", "auteur", "prix", "note_etoiles", "nb_avis", "nom_categorie", "nom_site")
-    )
+    return matched(rated).orderBy(*best).limit(n).select("titre", "auteur", "prix", note, reviews, "nom_categorie", "nom_site")

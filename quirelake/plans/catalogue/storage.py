@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quirelake.functions.text import trim_ws, utc_wall_clock
 from quirelake.operators import gold
-from quirelake.operators.dedup import keep_latest, new_keys
+from quirelake.operators.dedup import keep_latest
 from quirelake.operators.quarantine import split_untitled
 from quirelake.plans import medallion
 from quirelake.plans.catalogue import query, table
@@ -18,7 +17,7 @@ from quirelake.plans.catalogue.silver import plain, shop_silver
 from quirelake.plans.catalogue.star import half_up
 from quirelake.schemas import BOOK_RAW, SHOP_FOLDER
 from quirelake.session import scratch
-from quirelake.sources import bronze, tables
+from quirelake.sources import bronze, tables, visited
 
 
 def _landed_at():
@@ -120,15 +119,37 @@ def bronze_many_fields(spark, sf_dir):
     )
 
 
+def _damage(spark, folder):
+    """Make the files of a folder unreadable: their bytes no longer fit their checksums. (Local files have some.)"""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.listStatus(path):
+        sums = files.getRawFileSystem().create(files.getChecksumFile(status.getPath()))
+        sums.write(bytearray(b"crc\0" + (512).to_bytes(4, "big") + bytes(4)))
+        sums.close()
+
+
 @query("""
-SELECT DISTINCT 'file_' || event_type AS fichier FROM events WHERE event_type IN ('error', 'view')
+SELECT event_type AS fichier, event_type IN ('error', 'view') AS ignore,
+  CASE WHEN event_type IN ('error', 'view') THEN 0 ELSE count(*) END::BIGINT AS lignes
+FROM events GROUP BY event_type
 """)
 def bronze_skipped_files(spark, sf_dir):
-    """Files that are listed but gave no line: paths from the listing against paths of the lines that were read."""
-    kinds = table(spark, sf_dir, "events").select("event_type").distinct()
-    listed = kinds.selectExpr("concat('s3a://lake/file_', event_type) AS path")
-    read = kinds.filter("event_type NOT IN ('error', 'view')").selectExpr("concat('s3a:///lake/file_', event_type) AS path")
-    return bronze.missing_paths(listed, read).select(F.regexp_extract("path", "([^/]+)$", 1).alias("fichier"))
+    """Files by kind of event, of which two kinds cannot be read. The files are noted while their lines are counted."""
+    root = scratch(spark, "kinds")
+    events = table(spark, sf_dir, "events").selectExpr("coalesce(event_type, '') AS kind", "event_id")
+    events.repartition("kind").write.partitionBy("kind").json(root)
+    for kind in ("error", "view"):
+        _damage(spark, f"{root}/kind={kind}")
+    files, kind = bronze.ReadFiles(spark), F.regexp_extract("path", "/kind=([^/]*)/", 1).alias("fichier")
+    lines = bronze.read_lines(spark, root, "path").select("path", kind)
+    counted = {r["fichier"]: r["n"] for r in files.watch(lines, "path").groupBy("fichier").agg(F.count(F.lit(1)).alias("n")).collect()}
+    listed = bronze.listed_files(spark, root).select(kind).distinct()
+    lost = files.skipped(root).select(kind).distinct().withColumn("ignore", F.lit(True))
+    read = spark.createDataFrame(list(counted.items()), "fichier string, lignes bigint")
+    joined = listed.join(lost, "fichier", "left").join(read, "fichier", "left")
+    return joined.select("fichier", F.coalesce("ignore", F.lit(False)).alias("ignore"), F.coalesce("lignes", F.lit(0)).alias("lignes"))
 
 
 def _silver_path(spark, sf_dir):
@@ -210,13 +231,17 @@ def star_rebuild(spark, sf_dir):
 SELECT user_id || '/' || CAST(ts AS DATE) AS url, 1::BIGINT AS lignes FROM events GROUP BY 1
 """)
 def visited_urls(spark, sf_dir):
-    """Two rounds over a visited set: the second one skips what the first had, and only adds what is new."""
+    """Three rounds over a visited set, which is compacted after the first: a round skips what those before it had, and
+    only adds what is new."""
     path = scratch(spark, "visited")
     events = table(spark, sf_dir, "events").selectExpr("concat_ws('/', user_id, CAST(ts AS date)) AS url", "event_type")
-    for arrivals in (events.filter("event_type = 'click'"), events):
-        visited = tables.read_parquet(spark, path, T.StructType([T.StructField("url", T.StringType())]))
-        tables.append_visited(new_keys(arrivals.select("url"), visited, "url"), path)
-    return spark.read.parquet(path).groupBy("url").agg(F.count(F.lit(1)).alias("lignes"))
+    rounds = (events.filter("event_type = 'click'"), events.filter("event_type <> 'click'"), events)
+    for n, arrivals in enumerate(rounds):
+        visited.append_visited(visited.unvisited(arrivals.select("url"), path, "url"), path, "url")
+        if n == 0:
+            visited.compact_visited(spark, path, arrivals.schema["url"])
+    kept = visited.read_visited(spark, path, events.schema["url"])
+    return kept.groupBy("url").agg(F.count(F.lit(1)).alias("lignes"))
 
 
 @query("""
@@ -229,7 +254,7 @@ def event_payload(spark, sf_dir):
 
 
 def _run(spark, sf_dir):
-    """A run over the records of both sources; some lines of the shop's are broken."""
+    """A run over the records of both sources; some lines of the shop's are broken, and one file cannot be read."""
     config = medallion.layout(scratch(spark, "lake"))
     root = config.shop.bronze.rsplit("/", 1)[0]
     books = shop_books(spark, sf_dir)
@@ -239,6 +264,8 @@ def _run(spark, sf_dir):
     # a broken line follows each of these records
     damaged = books.filter(travel).write.option("lineSep", "\n{same\n").option("ignoreNullFields", False)
     damaged.json(f"{config.shop.bronze}/damaged")
+    books.limit(1).write.json(f"{config.shop.bronze}/unreadable")
+    _damage(spark, f"{config.shop.bronze}/unreadable")
     return config, medallion.run(spark, config, RUN_TS)
 
 
@@ -269,7 +296,7 @@ def medallion_run(spark, sf_dir):
 WITH {SHOP_SQL}, {LIBRARY_SQL}
 SELECT 'shop' AS source, (SELECT count(*) FROM shop) AS rows_read, (SELECT count(*) FROM shop_latest) AS rows_deduplicated,
   count(*) AS rows_written, (SELECT count(*) FROM shop_latest) - count(*) AS rows_quarantined,
-  (SELECT count(*) FROM events WHERE event_type = 'error') AS skipped_lines, 0 AS skipped_files FROM shop_silver
+  (SELECT count(*) FROM events WHERE event_type = 'error') AS skipped_lines, 1 AS skipped_files FROM shop_silver
 UNION ALL SELECT 'library', count(*), count(*), count(*), 0, 0, 0 FROM library_silver
 """)
 def medallion_reports(spark, sf_dir):

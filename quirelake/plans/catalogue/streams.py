@@ -23,27 +23,39 @@ def _events(spark, sf_dir):
 SELECT event_id, user_id, event_type AS categorie FROM events
 """)
 def stream_bronze(spark, sf_dir):
-    """Stream to landing folders, and the folders read back."""
+    """Two streams with a checkpoint each land in the same folders of one hour, which are read back."""
     root = scratch(spark, "bronze")
-    records = _events(spark, sf_dir).selectExpr(
-        "event_id", "user_id", "event_type AS categorie", "'events' AS source"
-    )
     landed_at = F.lit("2026-05-01 10:30:00").cast("timestamp_ntz")
-    jobs.to_bronze(records, root, scratch(spark, "checkpoint"), landed_at).awaitTermination()
+    for condition in ("coalesce(event_id % 2 = 0, true)", "event_id % 2 <> 0"):
+        records = _events(spark, sf_dir).filter(condition).selectExpr(
+            "event_id", "user_id", "event_type AS categorie", "'events' AS source"
+        )
+        jobs.to_bronze(records, root, scratch(spark, "checkpoint"), landed_at).awaitTermination()
     back = bronze.parse_lines(bronze.read_lines(spark, root), required=("event_id", "user_id", "categorie"))
     return back.selectExpr("CAST(event_id AS bigint) AS event_id", "CAST(user_id AS bigint) AS user_id", "categorie")
 
 
 def _batches(spark, sf_dir):
-    """Folders of events that arrive one after the other: each kind by itself, then some of them once more."""
+    """Folders of events that arrive one after the other: some kinds by themselves, the first one once more, and at last
+    all other events. Each arrival is written by the tasks that read it."""
     root = scratch(spark, "arrivals")
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    kinds = ("click", "purchase", "view", "signup", "error", "click")
-    for kind in kinds:
-        events.filter(F.col("event_type") == kind).coalesce(1).write.mode("append").parquet(root)
+    kinds = ("click", "purchase", "view", "signup", "error")
+    arrivals = [F.col("event_type") == kind for kind in (*kinds, "click")]
+    for arrival in [*arrivals, ~F.coalesce(F.col("event_type").isin(*kinds), F.lit(False))]:
+        events.filter(arrival).write.mode("append").parquet(root)
         yield jobs.read_stream(jobs.stream_session(spark), "parquet", {}, events.schema, root)
 
 
+def _checkpoints(spark, batches, renewed):
+    """Streams with their checkpoints: from batch number `renewed` on a new one takes the place of the old."""
+    checkpoint = scratch(spark, "checkpoint")
+    for n, stream in enumerate(batches):
+        if n == renewed:
+            checkpoint = scratch(spark, "checkpoint")
+        yield n, stream, checkpoint
+
+
 @query("SELECT user_id, CAST(ts AS DATE) AS jour, count(*) AS lignes FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS ts "
        "FROM events) GROUP BY 1, 2")
 def stream_dedup(spark, sf_dir):
@@ -66,16 +78,16 @@ SELECT user_id AS url, count(*) AS lignes FROM (
 def stream_dedup_bounded(spark, sf_dir):
     """The first half of the events, the same again, one event a year later, and the second half two years later.
 
-    The repeated half is dropped; by the time of the last batch its keys are forgotten and pass once more.
+    Events without a time come with the second half. The repeated half is dropped; by the time of the last batch its keys are forgotten and pass once more.
     """
     root, path, checkpoint = scratch(spark, "arrivals"), scratch(spark, "seen"), scratch(spark, "checkpoint")
     events = table(spark, sf_dir, "events").selectExpr("user_id AS url", "CAST(ts AS timestamp) AS ts")
     cut = F.lit("2024-01-15 00:00:00").cast("timestamp")
     first = events.filter(F.col("ts") < cut)
-    late = events.filter(F.col("ts") >= cut).withColumn("ts", F.expr("ts + INTERVAL 2 YEARS"))
+    late = events.filter(F.coalesce(F.col("ts") >= cut, F.lit(True))).withColumn("ts", F.expr("ts + INTERVAL 2 YEARS"))
     tick = events.agg(F.lit(-1).cast("bigint").alias("url"), F.expr("max(ts) + INTERVAL 1 YEAR").alias("ts"))
     for arrivals in (first, first, tick, late):
-        arrivals.coalesce(1).write.mode("append").parquet(root)
+        arrivals.write.mode("append").parquet(root)
         stream = jobs.read_stream(jobs.stream_session(spark), "parquet", {}, events.schema, root)
         (
             jobs.unseen_recently(stream, ["url"], "ts", "60 days").select("url").writeStream.format("parquet")
@@ -87,21 +99,24 @@ def stream_dedup_bounded(spark, sf_dir):
 
 
 def _lines(spark, sf_dir):
-    """Shop records as JSON lines in files, for the stream to pick up."""
-    root = scratch(spark, "lines")
+    """Shop records as JSON lines in two folders, for one stream each to pick up."""
     books = shop_books(spark, sf_dir).withColumn("supplement", F.col("url"))
-    good = tables.event_payload(books)
     broken = table(spark, sf_dir, "events").filter("event_type = 'error'").selectExpr("concat('{', event_id) AS value")
-    good.unionByName(broken).write.text(root)
-    return jobs.read_stream(spark, "text", {}, path=root)
+    lines = tables.event_payload(books).unionByName(broken)
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    for part in (0, 1):
+        root = scratch(spark, "lines")
+        lines.filter(half == part).write.text(root)
+        yield jobs.read_stream(spark, "text", {}, path=root)
 
 
 def _silver_stream(spark, sf_dir):
+    """Two streams, each with a checkpoint of its own, write the same tables."""
     silver, quarantine = scratch(spark, "silver"), scratch(spark, "quarantine")
-    lines = _lines(spark, sf_dir)
-    jobs.to_silver_batches(
-        lines, silver, quarantine, scratch(spark, "checkpoint"), clean_shop, RUN_TS
-    ).awaitTermination()
+    for lines in _lines(spark, sf_dir):
+        jobs.to_silver_batches(
+            lines, silver, quarantine, scratch(spark, "checkpoint"), clean_shop, RUN_TS
+        ).awaitTermination()
     return silver, quarantine
 
 
@@ -145,11 +160,12 @@ SELECT user_id, event_id, ts, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1
 """)
 def stream_upsert_latest(spark, sf_dir):
-    """Fed in six batches, compacted after the third, read from the base and the batches after it."""
-    path, checkpoint = scratch(spark, "latest"), scratch(spark, "checkpoint")
+    """Fed in seven batches, compacted after the third; the checkpoint is replaced before the fifth, which then holds
+    everything again. Read from the base and the batches after it."""
+    path = scratch(spark, "latest")
     key, ties = ["user_id"], [F.col("event_id")]
     schema = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value").schema
-    for n, stream in enumerate(_batches(spark, sf_dir)):
+    for n, stream, checkpoint in _checkpoints(spark, _batches(spark, sf_dir), 4):
         jobs.upsert_latest(stream, path, checkpoint, key, "ts", ties).awaitTermination()
         if n == 2:
             jobs.compact_latest(spark, path, schema, key, "ts", ties)
@@ -159,12 +175,13 @@ def stream_upsert_latest(spark, sf_dir):
 
 @query("""
 SELECT CAST(ts AS DATE) AS date_val, event_type AS source, count(*) + CASE event_type WHEN 'click' THEN count(*) ELSE 0 END
-  AS nb_livres FROM events GROUP BY 1, 2
+  AS nb_livres FROM events WHERE ts IS NOT NULL GROUP BY 1, 2
 """)
 def stream_daily_volumes(spark, sf_dir):
-    """Six batches, of which the last repeats a kind; every batch writes the days it changes."""
-    path, checkpoint = scratch(spark, "volumes"), scratch(spark, "checkpoint")
-    for events in _batches(spark, sf_dir):
+    """Seven batches, of which the sixth repeats a kind; every batch writes the days it changes. The checkpoint is
+    replaced before the fourth, which counts all again and replaces the counts so far."""
+    path = scratch(spark, "volumes")
+    for _, events, checkpoint in _checkpoints(spark, _batches(spark, sf_dir), 3):
         rows = events.selectExpr("CAST(ts AS timestamp) AS ts", "event_type")
         jobs.write_daily_volumes(rows, path, checkpoint, "ts", "event_type", delay="60 days").awaitTermination()
     return jobs.read_daily_volumes(spark, path)

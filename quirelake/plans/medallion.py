@@ -4,20 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake.functions.text import is_blank, safe_timestamp
 from quirelake.operators import gold, star
-from quirelake.operators.cleaning import (
-    Cleaner, clean_library, clean_shop, merge_single_rows, silver_report, to_silver,
-)
+from quirelake.operators.cleaning import Cleaner, clean_library, clean_shop, run_report, to_silver, written_metrics
 from quirelake.operators.dedup import latest_versions
 from quirelake.operators.quarantine import split_untitled
 from quirelake.schemas import BOOK_COLUMNS, GOLD_COLUMNS, LIBRARY_FOLDER, SHOP_FOLDER, STAR
 from quirelake.session import discard, prepare, scratch
 from quirelake.sources import tables
-from quirelake.sources.bronze import CORRUPT, parse_lines, read_lines, skipped_files, split_corrupt
+from quirelake.sources.bronze import CORRUPT, ReadFiles, parse_lines, read_lines, split_corrupt
 
 
 @dataclass(frozen=True)
@@ -79,12 +77,13 @@ def stage_versions(records: DataFrame, key: str, path: str) -> DataFrame:
 
 
 def batch_facts(staged: DataFrame) -> Row:
-    """What decides how the batch goes on, from one pass over the written table."""
-    good, untitled = F.col(CORRUPT).isNull(), is_blank(F.col("titre"))
+    """What decides how the batch goes on, and the counts of its report, from one pass over the written table."""
+    good, untitled, n = F.col(CORRUPT).isNull(), is_blank(F.col("titre")), F.col("n_versions")
     return staged.agg(
         F.count_if(good & untitled).alias("untitled"),
         F.count_if(good & ~untitled).alias("valid"),
-        F.count_if(~good).alias("corrupt"),
+        F.coalesce(F.sum(F.when(good, n)), F.lit(0)).alias("rows_read"),
+        F.coalesce(F.sum(F.when(~good, n)), F.lit(0)).alias("skipped_lines"),
         *[F.bool_or(f"_has_{c}").alias(c) for c in _DEFAULTED],
     ).first()
 
@@ -97,32 +96,35 @@ def fill_absent(staged: DataFrame, facts: Row) -> DataFrame:
 
 
 def run_source(spark: SparkSession, source: Source, config: Config, run_ts: str) -> DataFrame:
-    """One source from Bronze to Silver; returns the stored one-row report."""
-    stage = scratch(spark, f"versions-{source.name}")
+    """One source from Bronze to Silver; returns the stored one-row report.
+
+    Bronze is read by one job, and Silver isn't read at all: the files that gave lines are noted while they are read, the
+    counts of Silver while it is written.
+    """
+    stage, files, written = scratch(spark, f"versions-{source.name}"), ReadFiles(spark), Observation()
     try:
-        staged = stage_versions(parse_lines(read_lines(spark, source.bronze)), source.key, stage)
+        lines = files.watch(read_lines(spark, source.bronze, "_path"), "_path")
+        staged = stage_versions(parse_lines(lines), source.key, stage)
         facts = batch_facts(staged)
         good, _ = split_corrupt(staged)
-        versions = fill_absent(good, facts)
-        valid, untitled = split_untitled(versions)
-        if facts["corrupt"]:
-            lines = staged.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("ligne"), "n_versions")
-            tables.write_quarantine(lines, f"{config.quarantine}-corrupt", source.name, run_ts)
+        valid, untitled = split_untitled(fill_absent(good, facts))
+        if facts["skipped_lines"]:
+            broken = staged.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("ligne"), "n_versions")
+            tables.write_quarantine(broken, f"{config.quarantine}-corrupt", source.name, run_ts)
         if facts["untitled"]:
             tables.write_quarantine(untitled.drop("n_versions"), config.quarantine, source.name, run_ts)
+        counts = {}
         if facts["valid"]:
-            tables.write_silver(to_silver(valid.drop("n_versions"), source.clean, run_ts), source.silver)
-        # Silver is cleaned and scored once: the report reads what this run has written.
-        written = tables.read_silver(spark, source.silver).filter((F.col("date_silver") == run_ts) & F.lit(bool(facts["valid"])))
-        skipped = staged.filter(F.col(CORRUPT).isNotNull()).agg(
-            F.coalesce(F.sum("n_versions"), F.lit(0)).alias("skipped_lines")
-        )
-        files = skipped_files(spark, source.bronze).agg(F.count(F.lit(1)).alias("skipped_files"))
-        report = f"{config.reports}/{source.name}/{run_ts.replace(':', '-')}"
-        merge_single_rows(silver_report(versions, written), skipped, files).write.mode("overwrite").parquet(report)
+            silver = to_silver(valid.drop("n_versions"), source.clean, run_ts)
+            tables.write_silver(silver, source.silver, observation=written, metrics=written_metrics())
+            counts = written.get
     finally:
         discard(spark, stage)
-    return spark.read.parquet(report)
+    kept = facts["valid"] + facts["untitled"]
+    report = run_report(spark, facts["rows_read"], kept, counts, facts["skipped_lines"], files.skipped(source.bronze))
+    path = f"{config.reports}/{source.name}/{run_ts.replace(':', '-')}"
+    report.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def run_gold(spark: SparkSession, config: Config, run_ts: str) -> None:

@@ -71,13 +71,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
-def folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the complete tables below a path: folders whose write has been committed."""
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of all folders directly below a path, in order; an absent path has none."""
     files, target = _file_system(spark, path)
     if not files.exists(target):
         return []
-    names = [status.getPath().getName() for status in files.listStatus(target) if status.isDirectory()]
-    return sorted(name for name in names if exists(spark, f"{path}/{name}/_SUCCESS"))
+    return sorted(status.getPath().getName() for status in files.listStatus(target) if status.isDirectory())
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the complete tables below a path: folders whose write has been committed."""
+    return [name for name in subfolders(spark, path) if exists(spark, f"{path}/{name}/_SUCCESS")]
 
 
 def discard(spark: SparkSession, path: str) -> None:

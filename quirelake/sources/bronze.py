@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake.functions.text import path_key, trim_ws
@@ -15,9 +15,10 @@ CORRUPT = "_corrupt_record"
 EXTRAS = "_extras"
 
 
-def read_lines(spark: SparkSession, prefix: str) -> DataFrame:
+def read_lines(spark: SparkSession, prefix: str, path: str | None = None) -> DataFrame:
     """Every line of every .json file below the prefix; unreadable files are
-    skipped, and an absent prefix has no lines."""
+    skipped, and an absent prefix has no lines. `path` names a column for the
+    file that a line comes from."""
     reader = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
@@ -25,11 +26,12 @@ def read_lines(spark: SparkSession, prefix: str) -> DataFrame:
         .option("ignoreMissingFiles", True)
     )
     try:
-        return reader.text(prefix)
+        lines = reader.text(prefix)
+        return lines.withColumn(path, F.col("_metadata.file_path")) if path else lines
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "value string")
+        return spark.createDataFrame([], f"value string, `{path}` string" if path else "value string")
 
 
 def parse_lines(lines: DataFrame, required=tuple(BOOK_COLUMNS), value: str = "value", keep=()) -> DataFrame:
@@ -69,20 +71,46 @@ def _last_of_each(name: str) -> Column:
     return F.when(F.size(unique) < F.size(keys), F.map_from_arrays(unique, F.transform(unique, last))).otherwise(entries)
 
 
-def skipped_files(spark: SparkSession, prefix: str) -> DataFrame:
-    """Paths of the files that `read_lines` could not read: listed but without a line.
-
-    The lines are read for it, but not parsed; the contents of the listed files are not.
-    """
+def listed_files(spark: SparkSession, prefix: str) -> DataFrame:
+    """Paths and lengths of the .json files below the prefix that are not empty; their contents are not read."""
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
     try:
-        listed = listed.load(prefix).filter("length > 0").select("path")
+        return listed.load(prefix).filter("length > 0").select("path", "length", F.col("modificationTime").alias("modified"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "path string")
-    read = read_lines(spark, prefix).select(F.col("_metadata.file_path").alias("path")).distinct()
-    return missing_paths(listed, read)
+        return spark.createDataFrame([], "path string, length bigint, modified timestamp")
+
+
+def skipped_files(spark: SparkSession, prefix: str) -> DataFrame:
+    """Paths of the files that `read_lines` could not read: listed but without a line.
+
+    The lines are read for it, but not parsed; a run observes the paths while it reads instead (`ReadFiles`).
+    """
+    read = read_lines(spark, prefix, "path").select("path").distinct()
+    return missing_paths(listed_files(spark, prefix).select("path"), read)
+
+
+class ReadFiles:
+    """Notes the files that lines come from while some other job reads them; no pass of its own.
+
+    What is noted is a set of paths, of which the driver holds the whole list for the scan anyway. A task that runs
+    twice adds the same paths.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.observation = spark, Observation()
+
+    def watch(self, lines: DataFrame, path: str) -> DataFrame:
+        """The lines without the column `path`, which is observed."""
+        return lines.observe(self.observation, F.collect_set(path).alias("paths")).drop(path)
+
+    def paths(self) -> DataFrame:
+        """The paths, once the job that reads the lines is done."""
+        return self.spark.createDataFrame([(p,) for p in self.observation.get["paths"]], "path string")
+
+    def skipped(self, prefix: str) -> DataFrame:
+        return missing_paths(listed_files(self.spark, prefix).select("path"), self.paths())
 
 
 def missing_paths(listed: DataFrame, read: DataFrame) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,14 +39,20 @@ def read_silver(spark: SparkSession, path: str, merge: bool = False) -> DataFram
     return read_parquet(spark, path, SILVER, merge).drop(PARTITION_KEY)
 
 
-def write_silver(df: DataFrame, path: str, keys=(PARTITION_KEY,)) -> None:
+def write_silver(
+    df: DataFrame, path: str, keys=(PARTITION_KEY,), observation: Observation | None = None, metrics: Sequence[Column] = ()
+) -> None:
     """Replace the partitions that occur in `df`, leave all others as they are.
 
     The rebalance hint keeps a partition in few files but splits a huge one over
-    many tasks.
+    many tasks. `metrics` are observed by the tasks that write, after the
+    exchange: each of them counts once, whatever was lost and done again before.
     """
+    rows = df.hint("rebalance", *keys)
+    if observation:
+        rows = rows.observe(observation, *metrics)
     (
-        df.hint("rebalance", *keys)
+        rows
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
     )
 
@@ -79,11 +86,6 @@ def read_gold(spark: SparkSession, root: str, table: str, ordered: bool = False)
     return in_order(df, table) if ordered else df
 
 
-def append_visited(keys: DataFrame, path: str) -> None:
-    """Remember keys as visited. A repeated append does no harm: it is a set."""
-    keys.write.mode("append").parquet(path)
-
-
 def read_jdbc(spark: SparkSession, options: dict[str, str], query: str) -> DataFrame:
     return spark.read.format("jdbc").options(**options).option("query", query).load()
 

@@ -141,7 +141,7 @@ def test_upsert_over_batches_equals_one_batch(spark, tmp_path):
         schema = arrivals(spark, source, rows)
         stream = jobs.read_stream(spark, "parquet", {}, schema, source)
         jobs.upsert_latest(stream, path, str(tmp_path / "cp"), *by_title()).awaitTermination()
-        delta = spark.read.parquet(f"{path}/deltas/{n:012d}")
+        delta = spark.read.parquet(f"{path}/deltas/{n:012d}-*")
         assert delta.count() == len({r[0] for r in rows})  # a batch writes its own keys only
         if n == 1:
             jobs.compact_latest(spark, path, LATEST, *by_title())
@@ -157,7 +157,7 @@ def test_readers_see_whole_versions_only(spark, tmp_path):
     path = str(tmp_path / "latest")
 
     def write(rows, batch_id):
-        jobs.write_delta(spark.createDataFrame(rows, LATEST), path, batch_id, *by_title())
+        jobs.write_delta(spark.createDataFrame(rows, LATEST), path, "s", batch_id, *by_title())
 
     def read():
         return sorted((r.url, r.titre) for r in jobs.read_latest(spark, path, LATEST, *by_title()).collect())
@@ -165,7 +165,7 @@ def test_readers_see_whole_versions_only(spark, tmp_path):
     assert read() == []
     write([("a", 1, "x"), ("b", 1, "y")], 0)
     before = jobs.read_latest(spark, path, LATEST, *by_title())
-    half = tmp_path / "latest" / "deltas" / f"{1:012d}"
+    half = tmp_path / "latest" / "deltas" / f"{1:012d}-s-{1:012d}"
     spark.createDataFrame([("q", 9, "half")], LATEST).write.parquet(str(half))
     (half / "_SUCCESS").unlink()
     assert read() == [("a", "x"), ("b", "y")]
@@ -194,14 +194,71 @@ def test_streamed_cleaning_equals_batch(spark, tmp_path):
     assert spark.read.option("recursiveFileLookup", True).schema("url string").json(quarantine).count() == 1
 
 
+def repeat_last_batch(checkpoint):
+    """As if the job had died after it wrote a batch and before it noted that."""
+    last = max((f for f in (checkpoint / "commits").iterdir() if f.name.isdigit()), key=lambda f: int(f.name))
+    last.unlink()
+    (checkpoint / "commits" / f".{last.name}.crc").unlink(missing_ok=True)
+
+
 def test_landing_stream_repeats_without_doubling(spark, tmp_path):
     source, root = str(tmp_path / "in"), str(tmp_path / "bronze")
     schema = arrivals(spark, source, [("a", 1, "x"), ("b", 1, "y")])
     at = F.lit("2026-05-01 10:00:00").cast("timestamp_ntz")
-    for attempt in ("one", "two"):  # a new checkpoint repeats the same first batch
+
+    def run(checkpoint):
         stream = jobs.read_stream(spark, "parquet", {}, schema, source)
-        jobs.to_bronze(stream, root, str(tmp_path / attempt), at).awaitTermination()
-    assert spark.read.option("recursiveFileLookup", True).schema("url string").json(root).count() == 2
+        jobs.to_bronze(stream, root, str(tmp_path / checkpoint), at).awaitTermination()
+        return spark.read.option("recursiveFileLookup", True).schema("url string").json(root).count()
+
+    assert run("one") == 2
+    repeat_last_batch(tmp_path / "one")
+    assert run("one") == 2
+    assert run("two") == 4  # another stream that reads the same source lands it again, in folders of its own
+
+
+def test_silver_batches_survive_a_new_checkpoint(spark, tmp_path):
+    """Two streams over different files, each counting its batches from 0, and a repeated batch."""
+    silver = str(tmp_path / "silver")
+
+    def run(name, line):
+        (tmp_path / name).mkdir(exist_ok=True)
+        (tmp_path / name / "x.json").write_text(line, encoding="utf-8")
+        stream = jobs.read_stream(spark, "text", {}, path=str(tmp_path / name))
+        jobs.to_silver_batches(stream, silver, str(tmp_path / "q"), str(tmp_path / f"cp-{name}"), clean_shop, RUN).awaitTermination()
+
+    run("a", json.dumps({"titre": "One", "url": "u1"}))
+    run("b", json.dumps({"titre": "Two", "url": "u2"}))
+    repeat_last_batch(tmp_path / "cp-b")
+    run("b", json.dumps({"titre": "Two", "url": "u2"}))
+    assert sorted(r.titre for r in spark.read.parquet(silver).collect()) == ["One", "Two"]
+
+
+def test_upsert_survives_a_new_checkpoint(spark, tmp_path):
+    """After a compaction a stream with a new checkpoint starts from batch 0; its rows count all the same."""
+    path, n = str(tmp_path / "latest"), 0
+
+    def feed(folder, checkpoint, rows):
+        schema = arrivals(spark, str(tmp_path / folder), rows)
+        stream = jobs.read_stream(spark, "parquet", {}, schema, str(tmp_path / folder))
+        jobs.upsert_latest(stream, path, str(tmp_path / checkpoint), *by_title()).awaitTermination()
+
+    def read():
+        return sorted((r.url, r.d) for r in jobs.read_latest(spark, path, LATEST, *by_title()).collect())
+
+    for n in range(3):
+        feed("old", "cp1", [("1", n, "t"), ("2", n, "t")])
+    jobs.compact_latest(spark, path, LATEST, *by_title())
+    feed("new", "cp2", [("1", 9, "t")])
+    assert read() == [("1", 9), ("2", 2)]
+    feed("new", "cp2", [("3", 9, "t")])
+    repeat_last_batch(tmp_path / "cp2")
+    jobs.compact_latest(spark, path, LATEST, *by_title())
+    feed("new", "cp2", [("2", 1, "late")])
+    assert read() == [("1", 9), ("2", 2), ("3", 9)]
+    jobs.compact_latest(spark, path, LATEST, *by_title())
+    jobs.compact_latest(spark, path, LATEST, *by_title())
+    assert read() == [("1", 9), ("2", 2), ("3", 9)]
 
 
 def test_stream_dedup_remembers_keys(spark, tmp_path):
@@ -227,3 +284,19 @@ def test_daily_volumes_over_batches(spark, tmp_path):
         jobs.write_daily_volumes(stream, str(tmp_path / "v"), str(tmp_path / "cp"), "ts", "source").awaitTermination()
     rows = jobs.read_daily_volumes(spark, str(tmp_path / "v")).orderBy("date_val").collect()
     assert [(str(r.date_val), r.nb_livres) for r in rows] == [("2026-05-01", 2), ("2026-05-02", 1)]
+
+
+def test_daily_volumes_are_recounted_by_a_new_checkpoint(spark, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "v")
+
+    def feed(checkpoint, *days):
+        rows = spark.createDataFrame([(f"{day} 10:00:00", "s") for day in days], "t string, source string")
+        rows.select(F.to_timestamp("t").alias("ts"), "source").write.mode("append").parquet(source)
+        stream = jobs.read_stream(spark, "parquet", {}, spark.read.parquet(source).schema, source)
+        jobs.write_daily_volumes(stream, path, str(tmp_path / checkpoint), "ts", "source").awaitTermination()
+        return {str(r.date_val): r.nb_livres for r in jobs.read_daily_volumes(spark, path).collect()}
+
+    assert feed("cp1", "2026-05-01", "2026-05-02") == {"2026-05-01": 1, "2026-05-02": 1}
+    assert feed("cp1", "2026-05-02") == {"2026-05-01": 1, "2026-05-02": 2}
+    assert feed("cp2", "2026-05-02") == {"2026-05-01": 1, "2026-05-02": 3}
+    assert feed("cp2", "2026-05-03") == {"2026-05-01": 1, "2026-05-02": 3, "2026-05-03": 1}
