@@ -28,7 +28,9 @@ import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,9 +43,9 @@ TOP = 2000
 ABSORBED = 50
 NO_LANGUAGE = "und"
 #: Grams that a map task holds before it sends them.
-HELD = 400_000
+HELD = 200_000
 #: Rows of the sample that frequent words are read from, and how many of these words are kept.
-SAMPLE_ROWS, FREQUENT_WORDS = 2_000, 500
+SAMPLE_ROWS, FREQUENT_WORDS = 2_000, 128
 #: Salts that share the search for the best phrases of one language.
 SALTS = 32
 WORD, PAIR, EDGE = 1, 2, 3
@@ -62,27 +64,54 @@ def grams(text: bytes) -> Iterator[bytes]:
             yield b" ".join(words[-tail:])
 
 
-def _blocks(counts: dict[str, Counter], parts: int, frequent: frozenset[bytes]) -> pa.RecordBatch:
-    """Counted grams as one block per language and part: sorted lines `gram` or `gram<tab>count`."""
-    lines: dict[tuple[str, int], list[bytes]] = defaultdict(list)
+def _parts(listed: list[bytes], first: np.ndarray, words: list[bytes], lang: str, parts: int, frequent: frozenset[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The part of each gram, and of each of `words`, which `first` numbers as the grams' first words."""
+    seed = zlib.crc32(lang.encode())
+    home = np.fromiter((zlib.crc32(w, seed) % parts for w in words), np.int64, len(words))
+    part = home[first]
+    often = np.fromiter((w in frequent for w in words), bool, len(words))
+    for i in np.flatnonzero(often[first]).tolist():
+        gram = listed[i]
+        pair = gram.split(b" ", 2)
+        whole = len(pair) == LONGEST and pair[1] in frequent
+        part[i] = zlib.crc32(gram if whole else b" ".join(pair[:2]), seed) % parts
+    return part, home
+
+
+def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that puts rows with equal keys together, and where a run of them starts."""
+    order = np.lexsort(keys[::-1])
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys[:2]], axis=0)
+    return order, np.flatnonzero(new)
+
+
+def _blocks(counts: dict[str, Counter], parts: int, frequent: frozenset[bytes]) -> Iterator[pa.RecordBatch]:
+    """Counted grams, and the flow that leaves through each first word, as blocks of lines: one block for each language,
+    part, kind and count."""
     for lang, counter in counts.items():
-        seed, key, part = zlib.crc32(lang.encode()), b"", -1
-        for gram in sorted(counter):
-            words = gram.split(b" ")
-            same = words[0]
-            if same in frequent:
-                same = gram if words[1:2] and words[1] in frequent else b" ".join(words[:2])
-            if same != key or part < 0:
-                key, part = same, zlib.crc32(same, seed) % parts
-            n = counter[gram]
-            lines[lang, part].append(gram if n == 1 else b"%b\t%d" % (gram, n))
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([lang for lang, _ in lines], pa.string()), pa.array([part for _, part in lines], pa.int32()),
-            pa.array([b"\n".join(block) for block in lines.values()], pa.binary()).cast(pa.string()),
-        ],
-        ["lang", "part", "block"],
-    )
+        listed = list(counter)
+        n = np.fromiter(counter.values(), np.int64, len(listed))
+        split = pc.split_pattern(pa.array(listed, pa.binary()).cast(pa.string()), " ", max_splits=1)
+        coded = pc.list_element(split, 0).dictionary_encode()
+        first, words = coded.indices.to_numpy(), [w.encode() for w in coded.dictionary.to_pylist()]
+        part, home = _parts(listed, first, words, lang, parts, frequent)
+        flow = np.zeros(len(words), dtype=np.int64)
+        np.add.at(flow, first, n)
+        for kind, lines, where, weights, near in ((EDGE, listed, part, n, first), (WORD, words, home, flow, np.arange(len(words)))):
+            order, starts = _runs(where, weights, near)
+            ends = [*starts[1:].tolist(), len(order)]
+            at = order.tolist()
+            blocks = [b"\n".join([lines[i] for i in at[a:b]]) for a, b in zip(starts.tolist(), ends, strict=True)]
+            heads = order[starts]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang] * len(heads), pa.string()), pa.array(where[heads], pa.int32()),
+                    pa.array(np.full(len(heads), kind), pa.int32()), pa.array(weights[heads], pa.int64()),
+                    pa.array(blocks, pa.binary()).cast(pa.string()),
+                ],
+                ["lang", "part", "kind", "n", "block"],
+            )
 
 
 def frequent_words(texts: DataFrame, rows: int = SAMPLE_ROWS, most: int = FREQUENT_WORDS) -> list[str]:
@@ -100,7 +129,7 @@ def counted(texts: DataFrame, least: int = LEAST, frequent: list[str] | None = N
     """
     spark = texts.sparkSession
     known = frozenset(w.encode() for w in (frequent_words(texts) if frequent is None else frequent))
-    parts = max(256, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(256, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = defaultdict(Counter)
@@ -109,31 +138,28 @@ def counted(texts: DataFrame, least: int = LEAST, frequent: list[str] | None = N
             for lang, body in zip(batch.column(0), bodies, strict=True):
                 counts[lang.as_py()].update(grams(body.as_py()))
                 if sum(map(len, counts.values())) > HELD:
-                    yield _blocks(counts, parts, known)
+                    yield from _blocks(counts, parts, known)
                     counts.clear()
         if counts:
-            yield _blocks(counts, parts, known)
+            yield from _blocks(counts, parts, known)
 
-    blocks = texts.select("lang", "text").mapInArrow(run, "lang string, part int, block string")
-    line = F.explode(F.split("block", "\n")).alias("line")
-    lines = blocks.repartition("part").select("lang", "part", line)
-    gram, n = F.substring_index("line", "\t", 1), F.when(F.contains("line", F.lit("\t")), F.substring_index("line", "\t", -1))
-    edges = lines.select("lang", "part", gram.alias("gram"), F.coalesce(n.cast("bigint"), F.lit(1)).alias("n"))
+    blocks = texts.select("lang", "text").mapInArrow(run, "lang string, part int, kind int, n bigint, block string")
+    lines = blocks.repartition("part").select("lang", "part", "kind", "n", F.explode(F.split("block", "\n")).alias("gram"))
     # The rows are dealt by part: these sums need no further exchange.
-    edges = edges.groupBy("lang", "part", "gram").agg(F.sum("n").alias("n"))
-    size, whole = F.size(F.split("gram", " ")), F.col("n") >= least
-    flows = edges.withColumn("size", size).select(
+    counts = lines.groupBy("lang", "part", "kind", "gram").agg(F.sum("n").alias("n"))
+    word, pair, gram, is_word = F.substring_index("gram", " ", 1), F.substring_index("gram", " ", 2), F.col("gram"), F.col("kind") == WORD
+    flows = counts.select(
         "lang", "part", "n",
         F.explode(F.array(
-            F.struct(F.lit(WORD).alias("kind"), F.substring_index("gram", " ", 1).alias("phrase")),
-            F.struct(F.lit(PAIR).alias("kind"), F.when(F.col("size") > 1, F.substring_index("gram", " ", 2)).alias("phrase")),
-            F.struct(F.lit(EDGE).alias("kind"), F.when((F.col("size") == LONGEST) & whole, F.col("gram")).alias("phrase")),
+            F.struct(F.when(is_word, WORD).otherwise(PAIR).alias("kind"), F.when(is_word, gram).when(word != gram, pair).alias("phrase")),
+            F.struct(F.lit(EDGE).alias("kind"), F.when(~is_word & (F.col("n") >= least) & (pair != gram), gram).alias("phrase")),
         )).alias("key"),
     )
     flows = flows.select("lang", "part", "key.kind", "key.phrase", "n").filter("phrase IS NOT NULL")
     here = flows.groupBy("lang", "part", "kind", "phrase").agg(F.sum("n").alias("n"))
-    # A pair that starts with a frequent word may have more flow in other parts.
-    elsewhere = F.substring_index("phrase", " ", 1).isin([w.decode() for w in sorted(known)])
+    # A pair of two frequent words has its flow in several parts.
+    names = [w.decode() for w in sorted(known)]
+    elsewhere = F.substring_index("phrase", " ", 1).isin(names) & F.substring_index("phrase", " ", -1).isin(names)
     here = here.filter((F.col("kind") == WORD) | (F.col("n") >= least) | ((F.col("kind") == PAIR) & elsewhere))
     sums = here.groupBy("lang", "kind", "phrase").agg(F.sum("n").alias("n"))
     return stored(sums.filter((F.col("kind") == WORD) | (F.col("n") >= least)), "graph")
