@@ -90,6 +90,8 @@ def _blocks(counts: dict[str, Counter], parts: int, frequent: frozenset[bytes])
     """Counted grams, and the flow that leaves through each first word, as blocks of lines: one block for each language,
     part, kind and count."""
     for lang, counter in counts.items():
+        if not counter:
+            continue
         listed = list(counter)
         n = np.fromiter(counter.values(), np.int64, len(listed))
         split = pc.split_pattern(pa.array(listed, pa.binary()).cast(pa.string()), " ", max_splits=1)

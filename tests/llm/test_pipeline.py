@@ -53,6 +53,6 @@ def test_stages_on_odd_and_empty_tables(spark):
 
 def test_every_operator_has_its_query():
     names = [n for n in driver.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in driver.queries()
     assert importlib.util.find_spec("quirelake.llm").origin
