@@ -12,7 +12,7 @@ paired off at once: one member, another in each bucket, is compared with all oth
 Members of one bucket that are still in different groups may share no more than a passage. They go through an exact
 prefix filter: their windows are put in one global order, rare ones first, and two texts can only be similar if one of the
 first n - ceil(0.8 n) + 1 windows of each is common to both, and if what follows it in both is long enough. So members are
-dealt again by these windows, and inside such a group pivots (one, then four times as many each round) are compared with
+dealt again by these windows, and inside such a group pivots (one, then 32 times as many each round) are compared with
 the members of other groups that pass. The frequent windows of a passage stand last and bring nobody together. Each pair
 of a bucket is thus connected already, compared, or ruled out exactly, and the groups are those of all links.
 
@@ -374,21 +374,22 @@ def _labels(members: DataFrame, nodes: DataFrame, bodies: DataFrame, similarity:
         named = space.put(named.join(_several_groups(named), "bucket", "left_semi"), "named")
         nth = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("bucket", "rep"), "rep"))
         waiting = named if done is None else named.join(done, ["bucket", "rep"], "left_anti")
-        chosen = waiting.withColumn("__n", nth).filter(F.col("__n") <= more).drop("__n")
+        # One more than is needed tells whether others are left.
         turn += 1
-        chosen = space.put(chosen, f"pivots-{turn}")
-        if chosen.isEmpty():
-            return labels
+        ranked = space.put(waiting.withColumn("__n", nth).filter(F.col("__n") <= more + 1), f"pivots-{turn}")
+        chosen, last = ranked.filter(F.col("__n") <= more).drop("__n"), ranked.filter(F.col("__n") > more).isEmpty()
         against = named.select("bucket", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("i").alias("ib"), F.col("label").alias("lb"))
         met = chosen.select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("i").alias("ia"), F.col("label").alias("la"))
         met = met.join(against, "bucket").filter((F.col("la") != F.col("lb")) & _close("na", "nb", similarity) & _fits(similarity))
         pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = space.put(pairs.join(compared, ["a", "b"], "left_anti"), f"pairs-{turn}")
         labels = components(_compare(pairs, bodies, similarity, space), labels, space)
+        if last:
+            return labels
         compared = compared.unionByName(pairs)
         pivots = chosen.select("bucket", "rep")
         done = pivots if done is None else done.unionByName(pivots)
-        more *= 4
+        more *= 32
 
 
 def _memberships(keyed: DataFrame, classes: DataFrame, labels: DataFrame, space: Workspace) -> DataFrame:
