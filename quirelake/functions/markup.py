@@ -33,10 +33,8 @@ NEXT_LINK = rf"(?is){_with_class('li', 'next')}\s*{_HREF}"
 CATEGORY_MENU = rf"(?is){_with_class('ul', 'nav-list')}.*?<ul\b[^>]*>(.*?)</ul>"
 
 # Pieces of markup: comments and scripts as a whole, tags, text.
-_PIECE = (
-    r"(?is)<!--.*?-->|<script\b[^>]*+>.*?</script\s*+>|<style\b[^>]*+>.*?</style\s*+>|<[/!?a-z][^>]*+>"
-    r"|(?:[^<]|<(?![/!?a-z]))++"
-)
+_HIDDEN = r"<!--.*?(?:-->|\z)|<script\b[^>]*+>.*?(?:</script\s*+>|\z)|<style\b[^>]*+>.*?(?:</style\s*+>|\z)"
+_PIECE = rf"(?is){_HIDDEN}|<[/!?a-z][^>]*+>|(?:[^<]|<(?![/!?a-z]))++"
 # Pieces that neither open nor close a node with content.
 _NO_CONTENT = (
     r"(?i)^<(?:[!?]|script\b|style\b|/?(?:area|base|br|col|embed|hr|img|input|link|meta|param|source|track|wbr)\b)"
@@ -70,8 +68,11 @@ def direct_texts(body: Column) -> Column:
     return F.when(F.contains(body, F.lit("<")), walked).otherwise(plain)
 
 
-def _child_text(body: Column) -> Column:
-    """First text of a node's content, or its first paragraph's, of the paragraphs right below it."""
+def _child_text(rest: Column) -> Column:
+    """First text of the paragraphs right below a node, of which `rest` is the content and all that follows it.
+
+    Nodes in it may nest, also in nodes of its own kind; the walk is over when more nodes are closed than were opened.
+    """
 
     def step(state: Column, piece: Column) -> Column:
         depth, inside, found = state["depth"], state["inside"], state["found"]
@@ -82,10 +83,10 @@ def _child_text(body: Column) -> Column:
 
         here = inside & (depth == 1)
         return (
-            F.when(found.isNotNull(), state)
+            F.when(found.isNotNull() | (depth < 0), state)
             .when(~piece.rlike(_TAG), to(depth, f=F.when(here, piece)))
             .when(piece.rlike(_NO_CONTENT), to(depth))
-            .when(piece.startswith("</"), to(F.greatest(depth - 1, F.lit(0)), inside & (depth > 1)))
+            .when(piece.startswith("</"), to(depth - 1, inside & (depth > 1)))
             .when(here & paragraph, state)  # a paragraph that begins ends the one before
             .otherwise(to(depth + 1, F.when(depth == 0, paragraph).otherwise(inside)))
         )
@@ -93,7 +94,7 @@ def _child_text(body: Column) -> Column:
     start = F.struct(
         F.lit(0).alias("depth"), F.lit(False).alias("inside"), F.lit(None).cast("string").alias("found")
     )
-    return F.aggregate(_pieces(body), start, step, lambda state: state["found"])
+    return F.aggregate(_pieces(rest), start, step, lambda state: state["found"])
 
 
 def _reference(token: Column) -> Column:
@@ -124,20 +125,25 @@ def decode_references(c: Column) -> Column:
     return bind(c, decoded)
 
 
+def visible(html: Column) -> Column:
+    """The markup without comments, scripts and styles: what selectors see. An unclosed one goes on to the end."""
+    bare = F.regexp_replace(html, f"(?is){_HIDDEN}", "<wbr>")
+    return F.when(html.rlike(r"(?i)<(?:!--|script\b|style\b)"), bare).otherwise(html)
+
+
 def links(html: Column, pattern: str = LINK) -> Column:
-    """All link targets that match `pattern`, in page order."""
-    written = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+    """All link targets that match `pattern`, in page order; none from comments, scripts and styles."""
+    written = F.regexp_extract_all(visible(html), F.lit(pattern), F.lit(1))
     return F.transform(written, lambda w: decode_references(F.regexp_replace(w, "^[\"']|[\"']$", "")))
 
 
 def category_links(html: Column) -> Column:
-    return links(F.regexp_extract(html, CATEGORY_MENU, 1))
+    return links(F.regexp_extract(visible(html), CATEGORY_MENU, 1))
 
 
 def _bodies(html: Column, opening: str, tag: str) -> Column:
-    """Contents of all nodes that match `opening`."""
-    bare = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    return F.regexp_extract_all(bare, F.lit(f"(?is){opening}(.*?)</{tag}\\s*>"), F.lit(1))
+    """Contents of all nodes that match `opening`, in `visible` markup."""
+    return F.regexp_extract_all(html, F.lit(f"(?is){opening}(.*?)</{tag}\\s*>"), F.lit(1))
 
 
 def _texts(html: Column, opening: str, tag: str) -> Column:
@@ -177,7 +183,7 @@ def breadcrumb(html: Column, position: int) -> Column:
 
 def direct_paragraph(html: Column, tag: str, name: str) -> Column:
     """First text of a <p> right below the node, whatever lies in its other nodes."""
-    return _written(_child_text(F.regexp_extract(html, f"(?is){_with_class(tag, name)}(.*?)</{tag}\\s*>", 1)))
+    return _written(_child_text(F.regexp_extract(html, f"(?is){_with_class(tag, name)}(.*)", 1)))
 
 
 def table_map(html: Column, name: str = "table") -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -26,7 +27,9 @@ INVALID_CATEGORIES = ["Add a comment", "Add_a_comment", "default", "Default", ""
 
 
 def literal_map(entries: dict) -> Column:
-    return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
+    """A constant map. It is built from one literal: a column per entry takes the driver seconds for a large map."""
+    kind = "int" if all(isinstance(v, int) for v in entries.values()) else "string"
+    return F.from_json(F.lit(json.dumps(entries)), f"map<string,{kind}>")
 
 
 def bind(c: Column, function: Callable[[Column], Column]) -> Column:

@@ -42,7 +42,7 @@ SELECT page_id, trim(replace(replace(regexp_extract(html, '<h1>([^<]*)', 1), '&q
 FROM pages
 """)
 def page_headings(spark, sf_dir):
-    html = F.col("html")
+    html = markup.visible(F.col("html"))
     return table(spark, sf_dir, "pages").select(
         "page_id",
         markup.heading(html).alias("titre"),
@@ -51,9 +51,10 @@ def page_headings(spark, sf_dir):
 
 
 def _category_pages(spark, sf_dir):
-    """A listing page per supplier with its parts' country, in the shop's markup."""
+    """A listing page per supplier with its parts' country, in the shop's markup; links in comments and scripts are none."""
     nav = (
-        "concat('<ul class=\"nav nav-list\"><li><a href=\"index.html\">Books</a><ul>"
+        "concat('<!-- <h3><a href=\"dead.html\">x</a></h3> --><script>var a = [<h3><a href=\"no.html\">x</a></h3>];</script>"
+        "<style><a href=none.html></style><ul class=\"nav nav-list\"><li><a href=\"index.html\">Books</a><ul>"
         "<li><a href=\"category/', s_nationkey, '/index.html\">N</a></li></ul></li></ul>"
         "<article class=\"product_pod\"><h3><a title=x data-href=no href=../../', s_suppkey, '/index.html>x</a></h3>"
         "</article><ul class=\"pager\"><li class=\"next\"><a href=\"page-2.html?a=1&amp;b=', s_suppkey, '\">next</a>"
@@ -90,7 +91,8 @@ def _product_pages(spark, sf_dir):
     html = (
         "concat('<html><ul class=\"breadcrumb\"><li><a href=\"/\">Home</a></li><li><a href=\"/b\">Books</a></li>"
         "<li><a href=\"/c\">', p_type, '</a></li><li class=\"active\">x</li></ul>', "
-        "'<article class=\"product_page\"><!-- <h1>no</h1> --><div class=\"row\">', "
+        "'<script>document.write(\"<h1>no</h1>\")</script><article class=\"product_page\"><!-- <h1>no</h1> -->"
+        "<article class=\"aside\"><p>no</p><article><p class=x>neither</p></article></article><div class=\"row\">', "
         "CASE p_type WHEN 'LARGE' THEN concat(repeat('<div>', 12), '<p>not this</p>', repeat('</div>', 12)) "
         "WHEN 'PROMO' THEN '<section><p>nor this</p></section>' ELSE '<div class=\"col\"><p>not this</p></div>' END, '</div>"
         "<h1>', CASE p_type WHEN 'LARGE' THEN '<span>new</span>' ELSE '' END, ' ', p_name, ' &amp;&#0000032;c&#x6F; </h1>"

@@ -72,6 +72,26 @@ def test_direct_paragraphs_at_any_depth(spark):
     assert pages.product_records(one_page(spark, html), RUN).first().description == "first"
 
 
+def test_nested_nodes(spark):
+    inner = '<article class="promo"><h2>x</h2><p>no</p><article><p>no</p></article></article>'
+    assert record(spark, inner).description == 'A "long" story.'
+    html = f'<article class="product_page x">{inner}<div><article><p>no</p></article></div><p>yes</p></article>'
+    assert pages.product_records(one_page(spark, html), RUN).first().description == "yes"
+    html = '<article><article class="product_page"><p>inside</p></article><p>outside</p></article>'
+    assert pages.product_records(one_page(spark, html), RUN).first().description == "inside"
+
+
+def test_what_a_page_hides_is_no_field(spark):
+    hidden = '<!-- <h1>no</h1> --><script>"<h1>no</h1><p class=price_color>1</p>"</script><style><h1>no</h1></style>'
+    row = pages.product_records(one_page(spark, f"{hidden}<h1>yes</h1><!-- <p class='instock'>no</p>"), RUN).first()
+    assert (row.titre, row.prix, row.disponibilite) == ("yes", "", "Out of stock")
+    html = f'<a href="/a">x</a><!-- <a href="/dead">x</a> --><script>"<a href=/s>"</script><style><a href=/t></style><a href="/b">'
+    assert [r.link for r in pages.page_links(one_page(spark, html)).collect()] == ["/a", "/b"]
+    assert pages.page_links(one_page(spark, '<a href="/a">x</a><!-- <a href="/dead">')).count() == 1
+    assert pages.page_links(one_page(spark, None)).count() == 0
+    assert pages.product_records(one_page(spark, None), RUN).first().titre == ""
+
+
 def test_only_the_tables_of_the_class_count(spark):
     other = '<table class="x"><tr><th>UPC</th><td>wrong</td></tr></table><table><tr><th>Number of reviews</th><td>9</td></tr></table>'
     row = pages.product_records(one_page(spark, PRODUCT + other), RUN).first()
