@@ -110,6 +110,49 @@ def test_best_rated_needs_all_dimension_rows(spark):
     assert [r.titre for r in complete.collect()] == ["T1", "T2"]
 
 
+def ranked_expected(facts, dims, n):
+    """(note, reviews, id) of the best facts whose keys all have a row."""
+    found = [f for f in facts if f[4] is not None and all(f[i + 1] in d for i, d in enumerate(dims))]
+    return [(f[4], f[5], f[0]) for f in sorted(found, key=lambda f: (-f[4], f[5] is None, -(f[5] or 0), f[0]))][:n]
+
+
+@pytest.mark.parametrize("scores", [1000, 3])
+def test_best_rated_among_many_that_match_nothing(spark, monkeypatch, scores):
+    """Hundreds of better facts match no row, ties and nulls stand at the cutoff; only facts down to it are joined."""
+    monkeypatch.setattr(star, "SCORES", scores)
+    rng = random.Random(12)
+    facts = [(i, f"x{i}", "c", "s", float(rng.randint(6, 9)), rng.choice([None, 1, 2])) for i in range(600)]
+    facts += [(1000 + i, f"b{rng.randint(0, 5)}", rng.choice("cde"), "s", float(rng.randint(1, 5)), rng.choice([None, 0, 7])) for i in range(300)]
+    facts += [(2000, "b1", "c", "s", None, 9), (2001, "b1", "c", None, 9.0, 9), (2002, None, "c", "s", 9.0, 9)]
+    rows = spark.createDataFrame(
+        [(*f[:4], 1.0, *f[4:]) for f in facts],
+        "id bigint, fk_livre string, fk_categorie string, fk_source string, prix double, note_etoiles double, nb_avis bigint",
+    )
+    books = spark.createDataFrame([(f"b{i}", f"T{i}", "A") for i in range(5)], "id_livre string, titre string, auteur string")
+    kinds = spark.createDataFrame([("c", "C"), ("d", "D")], "id_categorie string, nom_categorie string")
+    sites = spark.createDataFrame([("s", "S")], "id_source string, nom_site string")
+    dims = [{f"b{i}" for i in range(5)}, {"c", "d"}, {"s"}]
+    for n in (1, 10, 250):
+        best = star.top_rated(rows, books, kinds, sites, n=n)
+        expected = [(note, reviews) for note, reviews, _ in ranked_expected(facts, dims, n)]
+        assert [(r.note_etoiles, r.nb_avis) for r in best.collect()] == expected
+    assert star.top_rated(rows, books.limit(0), kinds, sites).count() == 0
+
+
+def test_facts_below_the_cutoff_are_not_read_into_the_join(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    spark.range(1000).selectExpr(
+        "id", "CAST(id % 7 AS string) AS fk_livre", "'c' AS fk_categorie", "'s' AS fk_source", "1.0D AS prix",
+        "CAST(id DIV 100 AS double) AS note_etoiles", "id % 10 AS nb_avis",
+    ).write.parquet(path)
+    books = spark.createDataFrame([(str(i), "T", "A") for i in range(7)], "id_livre string, titre string, auteur string")
+    kinds = spark.createDataFrame([("c", "C")], "id_categorie string, nom_categorie string")
+    sites = spark.createDataFrame([("s", "S")], "id_source string, nom_site string")
+    best = star.top_rated(spark.read.parquet(path), books, kinds, sites)
+    assert "GreaterThanOrEqual(note_etoiles,9.0)" in plan(best)
+    assert [(r.note_etoiles, r.nb_avis) for r in best.collect()] == [(9.0, 9)] * 10
+
+
 def test_surrogate_keys(spark):
     df = spark.createDataFrame([("a", "b"), ("a,b", ""), ("a", None)], "x string, y string")
     keys = [r[0] for r in df.select(star.surrogate_key("x", "y")).collect()]

@@ -12,7 +12,7 @@ from quirelake.operators.cleaning import clean_shop
 from quirelake.operators.dedup import keep_latest
 from quirelake.plans import medallion
 from quirelake.session import scratch
-from quirelake.sources import tables
+from quirelake.sources import bronze, tables, visited
 from quirelake.streaming import jobs
 
 RUN = "2026-05-03T02:00:00Z"
@@ -83,6 +83,64 @@ def test_whole_run(spark, lake):
     ]
 
 
+def break_checksum(path):
+    """The file's bytes no longer fit the checksum beside it, so reading it fails."""
+    (path.parent / f".{path.name}.crc").write_bytes(b"crc\0" + (512).to_bytes(4, "big") + bytes(4))
+
+
+def test_a_run_reads_bronze_once_and_silver_never(spark, lake, tmp_path, monkeypatch):
+    """Files, lines and rows are counted where they are read or written; a file that cannot be read is named."""
+    lost = tmp_path / "bronze" / "books" / lake.shop.bronze.rsplit("/", 1)[1] / "lost.json"
+    lost.write_text(json.dumps(SHOP[0]))
+    break_checksum(lost)
+    reads = []
+
+    def counted(spark, prefix, *rest):
+        reads.append(prefix)
+        return bronze.read_lines(spark, prefix, *rest)
+
+    def forbidden(*_):
+        raise AssertionError("Silver is read")
+
+    monkeypatch.setattr(medallion, "read_lines", counted)
+    monkeypatch.setattr(tables, "read_silver", forbidden)
+    report = medallion.run_source(spark, lake.shop, lake, RUN).first()
+    assert reads == [lake.shop.bronze]
+    assert (report.rows_read, report.rows_written, report.skipped_lines, report.skipped_files) == (5, 2, 1, 1)
+    assert (report.mean_score, report.categories, report.rows_quarantined) == (75.0, 2, 1)
+    assert [r.path.rsplit("/", 1)[1] for r in bronze.skipped_files(spark, lake.shop.bronze).collect()] == ["lost.json"]
+
+
+def test_visited_history_is_not_shuffled(spark, tmp_path):
+    path, kind = str(tmp_path / "visited"), T.StructField("url", T.StringType())
+
+    def feed(*urls):
+        batch = spark.createDataFrame([(u,) for u in urls], "url string")
+        fresh = visited.unvisited(batch, path, "url", buckets=4)
+        text = fresh._jdf.queryExecution().executedPlan().toString()
+        history = text[text.index("SortMergeJoin"):].split("+- ")[-3:]
+        assert "Bucketed: true" in text and "Exchange" not in "".join(history)
+        visited.append_visited(fresh, path, "url")
+        return sorted(r.url for r in visited.read_visited(spark, path, kind).collect())
+
+    assert feed("a", "b", "b", None) == ["a", "b"]
+    assert feed("b", "c") == ["a", "b", "c"]
+    visited.compact_visited(spark, path, kind)
+    assert feed("a", "c", "d") == ["a", "b", "c", "d"]
+    visited.compact_visited(spark, path, kind)
+    assert feed("d") == ["a", "b", "c", "d"]
+    files = [f for f in (tmp_path / "visited" / "version=000002").iterdir() if f.suffix == ".parquet"]
+    assert len(files) <= 4
+
+
+def test_a_visited_set_keeps_its_number_of_buckets(spark, tmp_path):
+    path = str(tmp_path / "visited")
+    urls = [f"u{i}" for i in range(50)]
+    batch = spark.createDataFrame([(u,) for u in urls], "url string")
+    visited.append_visited(batch, path, "url", buckets=3)
+    assert visited.unvisited(batch.union(spark.createDataFrame([("new",)], "url string")), path, "url", buckets=7).count() == 1
+
+
 def test_repeated_run_changes_nothing(spark, lake):
     medallion.run(spark, lake, RUN)
     before = sorted(map(str, tables.read_gold(spark, lake.gold, "livres_flat").collect()))
