@@ -221,10 +221,9 @@ def lines_expected(rows):
         for k in keys:
             holders[k].append(i)
     gone = defaultdict(set)
-    for k, found in holders.items():
-        if k[0] != "line" or len(found) <= line_dedup.RARE:
-            for i in found[1:]:
-                gone[i] |= set(line_dedup.common_lines(lines[found[0]], lines[i], ""))
+    for found in holders.values():
+        for i in found[1:]:
+            gone[i] |= set(line_dedup.common_lines(lines[found[0]], lines[i], ""))
     return [(r[0], len(lines[i]), len(gone[i])) for i, r in enumerate(rows)]
 
 
@@ -237,7 +236,23 @@ def test_line_dedup_equals_brute_force(spark):
     found = line_dedup.deduplicate(documents(spark, rows))
     assert bag(found, "doc_id", "n_lines", "n_removed") == sorted(lines_expected(rows), key=repr)
     left = {r["doc_id"]: r["text"] for r in found.collect()}
-    assert left[114].startswith("a menu\n") and left[200] == "same\ntext" and left[214] == ""
+    assert not left[114].startswith("a menu\n") and left[200] == "same\ntext" and left[214] == ""
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 9), max_size=15), st.lists(st.integers(0, 9), max_size=15))
+def test_signs_for_other_lines_leave_the_alignment(a, b):
+    """Lines 0 are blank; lines that only one side has are left out and stand for runs."""
+    whole = line_dedup.common_lines([str(x) if x else "" for x in a], [str(x) if x else "" for x in b], "")
+
+    def short(own, other, side):
+        places = [i for i, x in enumerate(own) if x and x in other]
+        blanks = [i for i, x in enumerate(own) if not x]
+        return line_dedup.spelled(places, [(own[i], 1) for i in places], blanks, len(own), side)
+
+    left, _ = short(a, b, line_dedup.LEFT)
+    right, numbers = short(b, a, line_dedup.RIGHT)
+    assert [numbers[j] for j in line_dedup.common_lines(left, right, line_dedup.BLANK)] == whole
 
 
 def test_line_dedup_of_odd_rows(spark):
@@ -248,9 +263,9 @@ def test_line_dedup_of_odd_rows(spark):
 
 
 def test_line_dedup_query_pairs_holders_of_frequent_lines(spark, tmp_path):
-    """Passages of one and two lines that more than RARE documents hold, among lines of their own."""
+    """Passages of one and two lines that many documents hold, among lines of their own."""
     rng = random.Random(8)
-    own = [[" ".join(sentence(rng, 8)) for _ in range(4)] for _ in range(3 * line_dedup.RARE)]
+    own = [[" ".join(sentence(rng, 8)) for _ in range(4)] for _ in range(30)]
     rows = [(i, "\n".join([*x[:2], "one shared line", x[2], "shared twice", "and again", x[3]])) for i, x in enumerate(own)]
     rows += [(100 + i, f"one shared line\n{i} alone") for i in range(3)]
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
