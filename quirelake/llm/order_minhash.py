@@ -141,7 +141,11 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
     n, m = len(a), len(b)
     if n + m <= most:
         return True
-    # What neither side can match must be inserted or deleted.
+    # What neither side can match must be inserted or deleted. A count by parts of the hash tells most pairs apart.
+    mask = (1 << max(10, (n + m).bit_length())) - 1
+    left, right = np.bincount(a & mask, minlength=mask + 1), np.bincount(b & mask, minlength=mask + 1)
+    if n + m - 2 * int(np.minimum(left, right).sum()) > most:
+        return False
     shared = np.intersect1d(a, b)
     lost = n + m - int(np.isin(a, shared).sum()) - int(np.isin(b, shared).sum())
     if lost > most:
@@ -254,20 +258,26 @@ def near_duplicates(
 ) -> DataFrame:
     """__locator, doc_id, keep_id, kept, class_id, group_size per row; class_id is equal for rows of one group."""
     small_batches(docs.sparkSession, 256)
-    words = F.transform(F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"), ""), lambda w: F.xxhash64(w))
-    texts = located(docs).select(LOCATOR, F.col(doc_id).cast("bigint").alias("id"), words.alias("words"))
-    with Workspace(docs.sparkSession) as space:
+    split = F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"), "")
+
+    def hashed(own: Column) -> Column:
         # Rows with equal words share `same`; the one with the largest id stands for them.
-        same = F.sha2(F.concat(F.array_join(F.transform("words", lambda w: F.hex(w)), " ")).cast("binary"), 256)
-        keyed = texts.select(LOCATOR, "id", F.when(F.size("words") > 0, same).alias("same"), F.size("words").alias("n_words"))
-        keyed = space.put(keyed, "same")
+        same = F.when(F.size(own) > 0, F.sha2(F.array_join(own, " ").cast("binary"), 256))
+        return F.struct(F.transform(own, lambda w: F.xxhash64(w)).alias("words"), same.alias("same"))
+
+    # Bound as a lambda's variable, the words are split once.
+    told = F.get(F.transform(F.array(split), hashed), F.lit(0))
+    texts = located(docs).select(LOCATOR, F.col(doc_id).cast("bigint").alias("id"), told.alias("told"))
+    with Workspace(docs.sparkSession) as space:
+        # Texts are read and split once; from here on they are the hashes of their words.
+        texts = space.put(texts.select(LOCATOR, "id", "told.*"), "words")
         own = F.sha2(F.concat_ws("/", f"{LOCATOR}.file", f"{LOCATOR}.row"), 256)
-        keyed = keyed.withColumn("same", F.coalesce("same", own))
+        keyed = texts.select(LOCATOR, "id", F.coalesce("same", own).alias("same"))
         classes = keyed.groupBy("same").agg(F.max(F.struct("id", LOCATOR)).alias("top"), F.count(F.lit(1)).alias("n"))
         classes = space.put(classes.select("same", "top", "n", F.col("top")[LOCATOR].alias("rep")), "classes")
         twins = keyed.join(classes.filter("n > 1"), "same").filter(F.col(LOCATOR) != F.col("top")[LOCATOR]).select(LOCATOR)
-        unique = without_keys(texts, space.put(twins, "twins"), LOCATOR)
-        flat = unique.select(F.col(LOCATOR).alias("id"), "words")
+        unique = without_keys(texts.select(LOCATOR, "words"), space.put(twins, "twins"), LOCATOR)
+        flat = unique.filter(F.size("words") > 0).select(F.col(LOCATOR).alias("id"), "words")
         sketched = space.put(_sketches(flat, sketches, picks), "sketches")
         # Each bucket has a pivot of its own choice, so a text of a large group meets many different members of it.
         turn = F.xxhash64("bucket", "rep").alias("turn")
@@ -276,7 +286,7 @@ def near_duplicates(
         members = space.put(sketched.join(shared, "bucket"), "buckets")
         nodes = space.put(members.select(F.col("rep").alias("id")).distinct(), "candidates")
         bodies = space.put(_windows(only_keys(flat, nodes, "id")), "bodies")
-        space.drop("sketches", "twins")
+        space.drop("sketches")
         labels = _labels(members, nodes, bodies, similarity, space)
         return stored(_memberships(keyed, classes, labels, space), "near-groups")
 
