@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
 
 import corpus_pipeline
+import numpy as np
 import public_tokenizers
 import pytest
 import regex
@@ -145,6 +147,111 @@ def test_language_id(spark):
     assert langid.filter_documents(clashing, model).columns == clashing.columns
 
 
+FRENCH = "le chat est sur la table et il mange du pain avec nous dans la maison"
+ENGLISH = "the cat sits on the table and eats some bread with us in the house"
+
+
+def two_languages(n=60):
+    rng = random.Random(3)
+    return [(4 * i + 1, " ".join(rng.sample(t.split(), 9)), lang) for i in range(n) for t, lang in ((FRENCH, "fr"), (ENGLISH, "en"))]
+
+
+def test_unknown_scripts_are_rejected_with_two_languages(spark):
+    docs = documents(spark, two_languages())
+    model = langid.fit(docs)
+    assert model.languages == ("en", "fr")
+    texts = [FRENCH, ENGLISH.upper(), "это совсем другой язык", "これは日本語の文章です", "Ελληνικά κείμενα", FRENCH + " это", "12"]
+    left = langid.filter_documents(documents(spark, list(enumerate(texts))), model)
+    assert sorted(r["doc_id"] for r in left.collect()) == [0, 1, 5]
+
+
+def test_copies_do_not_push_a_language_out_of_the_sample(spark):
+    """1,500 copies of one text are one of the texts that are learned."""
+    rows = [r for r in two_languages(200) if r[2] == "fr"]
+    copies = [(10_001 + i, "le pain", "fr") for i in range(1500)] + [(20_001 + i, ENGLISH + " x" * i, "en") for i in range(50)]
+    labelled = documents(spark, rows + copies).selectExpr("text", "lang AS label")
+    taken = langid._sample(labelled, 100).groupBy("label").count().collect()
+    assert {r["label"]: r["count"] for r in taken} == {"fr": 100, "en": 50}
+
+
+def test_every_language_is_learned_and_calibrated_by_its_own_rows():
+    labels = ["a"] * 12 + ["b"] * 3 + ["c"] * 5
+    apart = langid._parted(labels)
+    held = Counter(x for x, c in zip(labels, apart, strict=True) if c)
+    assert held == {"a": 2, "c": 1}
+
+
+def plain_grams(text):
+    """n-grams of letters, any run of other characters being one blank, by plain loops."""
+    line = " " + regex.sub(r"[^\p{L}]+", " ", text.lower()) + " "
+    return Counter(line[i : i + k] for k in (1, 2, 3) for i in range(len(line) - k + 1))
+
+
+def cell_of(gram):
+    number = 0
+    for c in gram:
+        number = number * 0x110000 + ord(c)
+    return (((number + len(gram)) * 0x9E3779B97F4A7C15) % 2**64) >> 49
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="aBé -1ßя\n語", min_size=1, max_size=30))
+def test_cells_and_known_share_by_plain_loops(text):
+    found = langid.cells(text)
+    if not regex.search(r"\p{L}", text):
+        assert found is None
+        return
+    grams = plain_grams(text)
+    expected = Counter()
+    for gram, n in grams.items():
+        expected[cell_of(gram)] += n
+    assert dict(zip(*(x.tolist() for x in found), strict=True)) == expected
+    letters, seen = np.zeros(langid.POINTS, dtype=bool), np.ones(langid.CELLS, dtype=bool)
+    letters[[ord(c) for c in " abé"]] = True
+    seen[cell_of("a")] = False
+    model = langid.Model((), np.zeros(0), np.zeros(0), 1.0, seen, letters)
+    right = sum(n for g, n in grams.items() if set(g) <= set(" abé") and cell_of(g) != cell_of("a"))
+    assert model.known(langid._points(text)) == pytest.approx(right / sum(grams.values()))
+
+
+def test_ftrl_by_plain_loops():
+    """Two passes over a few rows, coordinate by coordinate, with the update as it is published."""
+    rng, how = random.Random(1), langid.Penalties(l1=0.3)
+    rows = [(sorted(rng.sample(range(6), 3)), [rng.random() for _ in range(3)], rng.randrange(3)) for _ in range(20)]
+    z, n = [[0.0] * 6 for _ in range(3)], [[0.0] * 6 for _ in range(3)]
+
+    def weight(k, i):
+        if abs(z[k][i]) <= how.l1:
+            return 0.0
+        return -(z[k][i] - math.copysign(how.l1, z[k][i])) / ((how.beta + math.sqrt(n[k][i])) / how.alpha + how.l2)
+
+    model = langid.Ftrl(3, 6, how)
+    for at, value, label in rows * 2:
+        w = [[weight(k, i) for i in at] for k in range(3)]
+        e = [math.exp(sum(a * b for a, b in zip(row, value, strict=True))) for row in w]
+        for k in range(3):
+            for j, i in enumerate(at):
+                g = (e[k] / sum(e) - (k == label)) * value[j]
+                z[k][i] += g - (math.sqrt(n[k][i] + g * g) - math.sqrt(n[k][i])) / how.alpha * w[k][j]
+                n[k][i] += g * g
+        model.learn(np.array(at), np.array(value), label)
+    assert np.allclose(model.weights(), [[weight(k, i) for i in range(6)] for k in range(3)])
+    assert (model.weights() == 0).any()
+
+
+def test_temperature_is_the_likeliest_of_a_grid():
+    rng = np.random.default_rng(5)
+    logits = rng.normal(size=(200, 3)) * 4
+    labels = np.where(rng.random(200) < 0.6, logits.argmax(axis=1), rng.integers(0, 3, 200))
+
+    def loss(t):
+        e = np.exp(logits / t)
+        return -np.log(e[np.arange(200), labels] / e.sum(axis=1)).mean()
+
+    best = langid.temperature(logits, labels)
+    assert loss(best) <= min(loss(t) for t in np.geomspace(0.02, 19, 300)) + 1e-6
+
+
 def test_language_id_without_labels(spark):
     docs = documents(spark, odd_rows())
     assert {r["lang_pred"] for r in langid.predict(docs, langid.fit(docs)).collect()} == {"und"}
