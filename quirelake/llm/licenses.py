@@ -1,14 +1,17 @@
 """License scan: exact set-similarity join of text blocks with license templates. DataFrame functions only.
 
-A block is a line of a text, or a run of consecutive words of a paragraph of several lines (up to a blank line), so
-that wrapped notices are found; it is taken as its set of words. A run is as long as the largest template may be with
-`1 - threshold` of foreign words, and starts at any word; a shorter paragraph is one block. A template is the set of
-words of a known notice. A block matches when it holds at least `threshold` of the template's words (containment). Tokens are ordered by their frequency
-in all blocks of the corpus, rarest first. A matching block must hold one of the first |T| - need + 1 tokens of that
-order (prefix filter), at least `need` words at all (length filter), and, counted from the first shared token on, enough
-words must remain on both sides (positional filter). What passes is verified by the whole intersection, so the filters
-lose nothing. A paragraph goes through the same filters as a whole, and its runs are looked at if it passes. Beside the join, base phrases are looked up in the words of the whole text.
-
+A block is a run of consecutive words of a paragraph, wherever its lines break; a paragraph ends at a blank line. A run is as
+long as the largest template may be with `1 - threshold` of foreign words, and starts at any word; a shorter paragraph is one
+block. A block is taken as its set of words, a template as the set of words of a known notice. A block matches when it
+holds at least `threshold` of the template's words (containment). Tokens are ordered by the number of paragraphs of the
+corpus that hold them, rarest first. A matching block must hold one of the first |T| - need + 1 tokens of that order
+(prefix filter), at least `need` words at all (length filter), and, counted from the first shared token on, enough words
+must remain on both sides (positional filter). A paragraph goes through the filters as a whole, which holds all words of
+its runs, and its runs are looked at if it passes: the whole intersection verifies them, so the filters lose nothing.
+Beside the join, base phrases are looked up in the words of the whole text.
+
+Texts are split in whole, however long; a paragraph may be a whole text. Of equal containments none is preferred: labels
+are a set and the score is the largest.
 Null text counts as empty: no words, no places, no labels, score 0. Repeated rows give equal rows; an empty table gives
 an empty result; further columns of the input are not read.
 """
@@ -77,16 +80,10 @@ def template_words(text: str) -> list[str]:
     return sorted(set(words))
 
 
-def blocks(rows: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """`keep`, line and block, one row per line of the whole texts."""
-    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
-    return rows.select(*keep, F.posexplode(lines).alias("line", "block"))
-
-
 def paragraphs(rows: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """`keep` and block, one row per paragraph of several lines."""
+    """`keep` and block, one row per paragraph of the whole texts."""
     parts = F.split(F.coalesce(F.col(text), F.lit("")), BLANK_LINES)
-    return rows.select(*keep, F.explode(F.filter(parts, lambda p: F.contains(p, F.lit("\n")))).alias("block"))
+    return rows.select(*keep, F.explode(parts).alias("block"))
 
 
 def run_size(templates: dict[str, str], threshold: float) -> int:
@@ -95,10 +92,10 @@ def run_size(templates: dict[str, str], threshold: float) -> int:
 
 
 def token_order(rows: DataFrame, templates: dict[str, str], text: str = "text") -> dict[str, int]:
-    """In how many blocks of the whole corpus each template word stands. Bounded by the templates' vocabulary."""
+    """In how many paragraphs of the whole corpus each template word stands. Bounded by the templates' vocabulary."""
     vocabulary = sorted({w for t in templates.values() for w in template_words(t)})
     known = F.array(*[F.lit(w) for w in vocabulary]).cast("array<string>")
-    found = blocks(rows, text, []).select(
+    found = paragraphs(rows, text, []).select(
         F.explode(F.array_intersect(F.split(_lower(F.col("block")), NOT_WORD), known)).alias("token")
     )
     counted = {r["token"]: r["n"] for r in found.groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -118,11 +115,10 @@ def prefix_index(templates: dict[str, str], counts: dict[str, int], threshold: f
 def matches(
     rows: DataFrame, text: str, keep: list[str], templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """`keep`, line, label, containment: every block that holds `threshold` of a template's words.
+    """`keep`, label, containment: the best block of every paragraph that has one with `threshold` of a template's words.
 
-    The line is null for blocks over several lines. Two passes over the texts count the templates' words and join the
-    lines, and one joins paragraphs. Only blocks with a prefix token leave their task's row; the index of prefix tokens
-    is as small as the templates.
+    Two passes over the texts count the templates' words and join the paragraphs. Only paragraphs with a prefix token
+    leave their task's row; the index of prefix tokens is as small as the templates.
     """
     spark = rows.sparkSession
     counts = token_order(rows, templates, text)
@@ -149,11 +145,6 @@ def matches(
         )
         return pairs.withColumn("__both", F.array_intersect("__b", "__all")).filter(F.size("__both") >= F.col("__need"))
 
-    lines = (
-        joined(candidates(blocks(rows, text, keep)).drop("block"))
-        .select(*keep, "line", "label", (F.size("__both") / F.col("__size")).alias("containment"))
-        .distinct()
-    )
     run = run_size(templates, threshold)
     numbered = F.transform(_words(_lower(F.col("block"))), lambda w, i: F.struct(i.alias("at"), w.alias("word")))
     known = F.filter(numbered, lambda x: F.array_contains(vocabulary, x["word"]))
@@ -171,9 +162,7 @@ def matches(
     # Bound as a lambda's variable, the template's words are found once and not once for every run.
     own = F.array(F.filter("__known", lambda x: F.array_contains("__all", x["word"])))
     runs = whole_fits.withColumn("__held", F.get(F.transform(own, held), F.lit(0))).filter(F.col("__held") >= F.col("__need"))
-    return lines.unionByName(
-        runs.select(*keep, F.lit(None).cast("int").alias("line"), "label", (F.col("__held") / F.col("__size")).alias("containment"))
-    )
+    return runs.select(*keep, "label", (F.col("__held") / F.col("__size")).alias("containment"))
 
 
 def _places(words: Column, phrase: str, label: str) -> Column:

@@ -153,6 +153,7 @@ def _licenses_sql() -> str:
     starts = ", ".join(
         "('{}', '{}', {})".format(p, label, len(p.split(" "))) for p, label in licenses.PHRASES.items()
     )
+    run = licenses.run_size(licenses.TEMPLATES, licenses.THRESHOLD)
     notices = ", ".join(
         "('{}', [{}])".format(label, ", ".join(f"'{w}'" for w in licenses.template_words(t)))
         for label, t in licenses.TEMPLATES.items()
@@ -168,11 +169,16 @@ places AS (
 ), base AS (
   SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi, list(DISTINCT label) AS labels FROM places GROUP BY doc_id
 ), blocks AS (
-  SELECT doc_id, list_distinct(string_split_regex(block, '{gap}')) AS words
-  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS block FROM d)
+  SELECT doc_id, list_filter(string_split_regex(block, '{gap}'), lambda w: w <> '') AS words
+  FROM (SELECT doc_id, unnest(string_split_regex(t, '{licenses.BLANK_LINES}')) AS block FROM d)
+), maybe AS (
+  SELECT doc_id, label, blocks.words AS words, notices.words AS own, ceil({licenses.THRESHOLD} * len(notices.words) - 1e-9) AS need
+  FROM blocks, notices WHERE list_has_any(blocks.words, notices.words)
 ), found AS (
-  SELECT doc_id, label, len(list_intersect(blocks.words, notices.words)) / len(notices.words) AS share
-  FROM blocks, notices WHERE list_has_any(blocks.words, notices.words) AND len(list_intersect(blocks.words, notices.words)) >= ceil({licenses.THRESHOLD} * len(notices.words) - 1e-9)
+  SELECT doc_id, label, held / len(own) AS share FROM (
+    SELECT *, list_max(list_transform(range(1, len(words) + 1), lambda i: len(list_intersect(words[i:i + {run - 1}], own)))) AS held
+    FROM maybe WHERE len(list_intersect(words, own)) >= need
+  ) WHERE held >= need
 ), more AS (SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS best FROM found GROUP BY doc_id)
 SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base, base.lo::BIGINT AS first_word,
   base.hi::BIGINT AS last_word, coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,

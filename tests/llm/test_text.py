@@ -77,14 +77,17 @@ def licenses_expected(text):
                 labels.add(label)
                 best = 1.0
     more = set(labels)
-    for line in lowered.split("\n"):
-        own = set(cut.findall(line))
-        for label, notice in licenses.TEMPLATES.items():
-            needed = licenses.template_words(notice)
-            share = len(own & set(needed)) / len(needed)
-            if share >= licenses.THRESHOLD - 1e-9:
-                more.add(label)
-                best = max(best, share)
+    run = licenses.run_size(licenses.TEMPLATES, licenses.THRESHOLD)
+    for paragraph in regex.split(licenses.BLANK_LINES, lowered):
+        inside = cut.findall(paragraph)
+        for start in range(max(len(inside) - run + 1, 1)):
+            own = set(inside[start : start + run])
+            for label, notice in licenses.TEMPLATES.items():
+                needed = licenses.template_words(notice)
+                share = len(own & set(needed)) / len(needed)
+                if share >= licenses.THRESHOLD - 1e-9:
+                    more.add(label)
+                    best = max(best, share)
     return (
         len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels)), ",".join(sorted(more)), best,
     )
@@ -105,6 +108,23 @@ def test_license_scan(spark):
     assert licenses.scan(documents(spark, rows).limit(0)).count() == 0
 
 
+def test_a_notice_is_found_the_same_however_its_lines_break(spark):
+    """Among other words, in one line, wrapped anywhere, and strewn over too many words, which is no match in either form."""
+    rng, rows = random.Random(14), []
+    for i, notice in enumerate(licenses.TEMPLATES.values()):
+        for j, gap in enumerate((0, 1, 40)):
+            words = sentence(rng, 50)
+            for w in notice.split(" "):
+                words += [w, *sentence(rng, gap)]
+            words += sentence(rng, 50)
+            rows += [(100 * i + 10 * j, " ".join(words)), (100 * i + 10 * j + 1, "".join(w + rng.choice([" ", "\n"]) for w in words))]
+    found = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(documents(spark, rows)).collect()}
+    assert all(found[i] == found[i + 1] for i in found if i % 10 == 0)
+    for i, text in rows:
+        assert found[i] == licenses_expected(text)[-2:]
+    assert sum(bool(labels) for labels, _ in found.values()) >= 2 * len(licenses.TEMPLATES)
+
+
 def test_license_scan_finds_wrapped_notices(spark):
     """MIT's and BSD's grants as their files wrap them, plain, as comments, and in a long paragraph; and words too far apart."""
     mit = (
