@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +13,11 @@ from pyspark.sql import functions as F
 from quirelake.session import discard, scratch
 
 LOCATOR = "__locator"
-#: The most values a membership filter can hold, hence the bound of its broadcast.
-FILTER_SLOTS = 1 << 20
+#: Bits of a membership filter for each key, and the most it can have: 2^29 bits, a broadcast of 64 MiB.
+BITS_PER_KEY, MOST_BITS = 16, 1 << 29
+#: Bits of a block of the filter: what a bitmap of Spark's bitmap functions holds.
+BLOCK = 32768
+HASHES = 2
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -78,29 +83,57 @@ def located(df: DataFrame) -> DataFrame:
     return _add_locator(scanned(df))
 
 
-def slot(key: str | Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(FILTER_SLOTS))
+def is_set(bits: Column, cell: Column) -> Column:
+    """Whether a bitmap, as `bitmap_construct_agg` makes it, has the bit `cell`."""
+    byte = F.conv(F.hex(F.substring(bits, F.floor(cell / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, cell % 8) == 1
 
 
-def _slots(keys: DataFrame, key: str) -> DataFrame:
-    # At most FILTER_SLOTS longs, however many keys there are.
-    return F.broadcast(keys.select(slot(key).alias("__slot")).distinct())
+class KeyFilter:
+    """A Bloom filter over the values of a column, in blocks that are broadcast as one bitmap each.
+
+    It is sized by the number of keys up to MOST_BITS. Beyond, it lets more rows through and results stay the same.
+    """
+
+    def __init__(self, keys: DataFrame, key: str):
+        self.key = key
+        self.blocks = max(1, min(MOST_BITS, BITS_PER_KEY * keys.count()) // BLOCK)
+        marked = keys.select(self._block().alias("__block"), F.explode(F.array(*self._cells())).alias("__cell"))
+        bitmaps = marked.groupBy("__block").agg(F.call_function("bitmap_construct_agg", F.col("__cell")).alias("__bits"))
+        self.bitmaps = F.broadcast(bitmaps)
+
+    def _block(self) -> Column:
+        return F.pmod(F.xxhash64(self.key, F.lit(0)), F.lit(self.blocks))
+
+    def _cells(self) -> list[Column]:
+        return [F.pmod(F.xxhash64(self.key, F.lit(i + 1)), F.lit(BLOCK)).cast("int") for i in range(HASHES)]
+
+    def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(rows whose key may be one of the keys, rows whose key certainly is none)."""
+        hit = F.forall(F.array(*self._cells()), lambda cell: is_set(F.col("__bits"), cell))
+        met = df.withColumn("__block", self._block()).join(self.bitmaps, "__block", "left")
+        maybe = F.coalesce(hit, F.lit(False))
+        return tuple(met.filter(c).drop("__block", "__bits") for c in (maybe, ~maybe))
 
 
 def only_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is among `keys`. Rows that a broadcast hash filter rules out are not shuffled."""
-    rows = df.withColumn("__slot", slot(key)).join(_slots(keys, key), "__slot", "left_semi").drop("__slot")
-    return rows.join(keys.select(key).distinct(), key, "left_semi")
+    """Rows whose key is among `keys`. Rows that the filter rules out are not shuffled."""
+    maybe, _ = KeyFilter(keys, key).split(df)
+    return maybe.join(keys.select(key).distinct(), key, "left_semi")
 
 
 def without_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not among `keys`; only those that the hash filter can't clear are shuffled."""
-    slots, marked = _slots(keys, key), df.withColumn("__slot", slot(key))
-    clear = marked.join(slots, "__slot", "left_anti").drop("__slot")
-    unclear = marked.join(slots, "__slot", "left_semi").drop("__slot")
+    """Rows whose key is not among `keys`; only those that the filter can't clear are shuffled."""
+    unclear, clear = KeyFilter(keys, key).split(df)
     return clear.unionByName(unclear.join(keys.select(key).distinct(), key, "left_anti"))
 
 
+def with_values(df: DataFrame, values: DataFrame, key: str) -> DataFrame:
+    """Rows with the columns of `values`, which holds a key once, or null; rows without values are hardly ever shuffled."""
+    maybe, clear = KeyFilter(values, key).split(df)
+    return maybe.join(values, key, "left").unionByName(clear, allowMissingColumns=True)
+
+
 def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """The rows whose locators aren't in `dropped`, with the columns they came with, whatever their names."""
     rows = located(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc")))
@@ -108,6 +141,11 @@ def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return left.select(*[F.col("__doc")[c].alias(c) for c in docs.columns])
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Rows may be long texts: hand Python few of them at a time."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices of a few rows, so that what a task makes of one at a time is small.
+
+    Spark bounds a batch by its bytes, but what is made of the texts in it can be many times as large.
+    """
+    for batch in batches:
+        for start in range(0, max(batch.num_rows, 1), rows):
+            yield batch.slice(start, rows)

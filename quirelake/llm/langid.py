@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from quirelake.llm.common import small_batches, unique_name
+from quirelake.llm.common import slices, unique_name
 from quirelake.llm.pretoken import LETTER, _classes
 
 CELLS = 1 << 15
@@ -187,7 +187,7 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray, np.ndarray]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS + 1, dtype=np.int64)
         letters = np.zeros(POINTS, dtype=bool)
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0):
                 points = _points(text.as_py())
                 if points is not None:
@@ -237,7 +237,7 @@ def _fit(sample: DataFrame, idf: np.ndarray, how: Penalties) -> DataFrame:
     """Learn in one task from the bounded sample; a row per language with the weights that aren't zero."""
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             label, text, order = (batch.column(batch.schema.names.index(c)) for c in ("label", "text", "order"))
             out = {"label": [], "order": [], "at": [], "value": []}
             for i in range(batch.num_rows):
@@ -250,8 +250,8 @@ def _fit(sample: DataFrame, idf: np.ndarray, how: Penalties) -> DataFrame:
                 list(out),
             )
 
-    def learn(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [r for part in parts for r in part.itertuples(index=False)]
+    def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [r for part in frames for r in part.itertuples(index=False)]
         if not rows:
             return
         rows.sort(key=lambda r: (r.order, r.label))
@@ -282,7 +282,6 @@ def fit(
     per_language: int = PER_LANGUAGE, how: Penalties = Penalties(),
 ) -> Model:
     """Learn from the documents that are not held out and have a label."""
-    small_batches(docs.sparkSession)
     training = docs.filter(~held_out(doc_id) & F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).alias("text"), F.col(label).cast("string").alias("label")
     )
@@ -310,14 +309,12 @@ def predictor(docs: DataFrame, model: Model):
 
 def predict(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document."""
-    small_batches(docs.sparkSession)
     judged = docs.select(F.col(doc_id).alias("doc_id"), predictor(docs, model)(F.col(text)).alias("__judged"))
     return judged.select("doc_id", held_out("doc_id").alias("held_out"), "__judged.lang_pred", "__judged.score")
 
 
 def filter_documents(docs: DataFrame, model: Model, least_known: float = LEAST_KNOWN, text: str = "text") -> DataFrame:
     """The documents in a language, of whose n-grams the model knows at least such a share, with the columns they came with."""
-    small_batches(docs.sparkSession)
     judged = unique_name(docs.columns, "__judged")
     sure = (F.col(judged)["lang_pred"] != UNKNOWN) & (F.col(judged)["known"] >= least_known)
     return docs.withColumn(judged, predictor(docs, model)(F.col(text))).filter(sure).drop(judged)

@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quirelake.llm.common import LOCATOR, Workspace, located, only_keys, scanned, stored, without_keys
+from quirelake.functions.text import bind
+from quirelake.llm.common import LOCATOR, Workspace, located, only_keys, scanned, stored, with_values
 
 BLOCK = 3
 #: Signs for what can't align on either side; no hash of a line is used for them.
@@ -185,7 +186,7 @@ def removals(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", block:
         pairs = shared.select("early", F.col("node").alias("late")).union(met).filter("early != late").distinct()
         pairs = space.put(pairs, "line-pairs")
         # Sorted by place: one row per document that has a shared line.
-        told = shared.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("at", "h", "g"))).alias("held"))
+        told = space.put(shared.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("at", "h", "g"))).alias("held")), "held")
         blank = F.transform(F.filter("lines", lambda x: x["h"].isNull()), lambda x: x["at"])
         frames = rows.select("node", F.size("lines").alias("n"), blank.alias("blanks"))
         bodies = only_keys(frames, told, "node").join(told, "node").select(
@@ -204,10 +205,14 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", blo
     docs = scanned(docs)
     lost = removals(docs, text, doc_id, block)
     rows = located(docs).select(LOCATOR, F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    n_lines = F.size(F.split("text", "\n")).cast("bigint")
-    whole = without_keys(rows, lost, LOCATOR).select("doc_id", n_lines.alias("n_lines"), F.lit(0).cast("bigint").alias("n_removed"), "text")
-    cut = only_keys(rows, lost, LOCATOR).join(lost, LOCATOR).withColumn("__lines", F.split("text", "\n"))
-    left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "removed")
-    kept = F.array_join(F.transform(left, lambda i: F.get(F.col("__lines"), i)), "\n")
-    cut = cut.select("doc_id", F.size("__lines").cast("bigint").alias("n_lines"), F.size("removed").cast("bigint").alias("n_removed"), kept.alias("text"))
-    return whole.unionByName(cut)
+
+    def left(lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "removed")
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    # Only texts that lose a line move, once.
+    lines = F.split("text", "\n")
+    return with_values(rows, lost, LOCATOR).select(
+        "doc_id", F.size(lines).cast("bigint").alias("n_lines"), F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("n_removed"),
+        F.when(F.col("removed").isNull(), F.col("text")).otherwise(bind(lines, left)).alias("text"),
+    )

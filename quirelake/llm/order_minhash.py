@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirelake.llm.common import (
-    LOCATOR, Workspace, drop_rows, located, only_keys, scanned, small_batches, stored, without_keys,
+    LOCATOR, Workspace, drop_rows, located, only_keys, scanned, slices, stored, without_keys,
 )
 
 WORDS = 5
@@ -185,7 +185,7 @@ def _sketches(texts: DataFrame, sketches: int, picks: int) -> DataFrame:
     salts = seeds(sketches)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keys, at, sizes = [np.zeros(0, dtype=np.int64)], [], []
             for i, words in enumerate(_lists(batch.column(1))):
                 found = windows(words)
@@ -204,7 +204,7 @@ def _windows(texts: DataFrame) -> DataFrame:
     """id, words array -> id, windows array."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [windows(words).view(np.int64) for words in _lists(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["id", "windows"])
 
@@ -215,7 +215,7 @@ def _verified(pairs: DataFrame, similarity: float) -> DataFrame:
     """a, b, left windows, right windows -> the pairs that are similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             same = [aligned(x, y, similarity) for x, y in zip(_lists(batch.column(2)), _lists(batch.column(3)), strict=True)]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(same, pa.bool_()))
 
@@ -257,7 +257,6 @@ def near_duplicates(
     sketches: int = SKETCHES, picks: int = PICKS,
 ) -> DataFrame:
     """__locator, doc_id, keep_id, kept, class_id, group_size per row; class_id is equal for rows of one group."""
-    small_batches(docs.sparkSession, 256)
     split = F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"), "")
 
     def hashed(own: Column) -> Column:
@@ -314,7 +313,7 @@ def _window_counts(bodies: DataFrame, cells: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells, dtype=np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for found in _lists(batch.column(0)):
                 np.add.at(total, (labelled(found.view(np.uint64)) % np.uint64(cells)).astype(np.int64), 1)
         held = np.flatnonzero(total)
@@ -334,7 +333,7 @@ def _prefixes(bodies: DataFrame, similarity: float, cells: int = CELLS) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = counts.value
-        for batch in batches:
+        for batch in slices(batches):
             at, windows_, places, sizes = [], [], [], []
             for row, found in enumerate(_lists(batch.column(1))):
                 own = labelled(found.view(np.uint64))

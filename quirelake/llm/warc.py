@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirelake.llm.common import LOCATOR, located, small_batches, stored, without_keys
+from quirelake.llm.common import LOCATOR, located, slices, stored, without_keys
 from quirelake.session import scratch
 
 VERSION = b"WARC/1.1"
@@ -105,7 +105,6 @@ def write_archives(
     least: int = LEAST, chunk: int = CHUNK,
 ) -> None:
     """Write the pages as WARC files below `path`, one per task."""
-    small_batches(pages.sparkSession, 128)
     rows = located(pages).select(
         LOCATOR, F.col(page_id).cast("bigint").alias("page"), F.col(url).cast("string").alias("url"),
         F.coalesce(F.col(payload).cast("binary"), F.lit(b"")).alias("payload"),
@@ -124,7 +123,7 @@ def write_archives(
     )
 
     def respond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             file, row, page, target, _, digest = (batch.column(i) for i in range(6))
             out, held = [], 0
             for i in range(batch.num_rows):
@@ -145,7 +144,7 @@ def write_archives(
     ).join(digests, "__top")
 
     def revisit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = [
                 _revisit(
                     _record_id(r["file"], r["row"]), _clean(r["page"]), _clean(r["url"]), r["digest"], r["size"],
@@ -193,7 +192,6 @@ def _parse(value: bytes) -> dict:
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
     """The chunk table: a row per record or segment. `data` stays only where a record has several segments;
     `digest` of a response in one piece is computed from its content."""
-    small_batches(spark, 128)
     values = spark.read.option("lineSep", BETWEEN).text(path).select(F.col("value").cast("binary"))
     names = [c.split(" ")[0] for c in SEGMENT.split(", ")]
 
@@ -202,7 +200,7 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
             pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(),
             pa.string(), pa.binary(),
         ], strict=True)))
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for value in batch.column(0):
                 found = _parse(value.as_py())
@@ -228,7 +226,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         record, number, size, hasher = None, 0, 0, None
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for i in range(batch.num_rows):
                 own, n, page, url, total, running = (batch.column(k)[i].as_py() for k in range(6))
