@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quirelake.functions.text import trim_ws, utc_wall_clock
-from quirelake.operators import gold
+from quirelake.functions.text import safe_timestamp, trim_ws, utc_wall_clock
+from quirelake.operators import cleaning, gold
 from quirelake.operators.dedup import keep_latest
 from quirelake.operators.quarantine import split_untitled
 from quirelake.plans import medallion
@@ -15,9 +15,9 @@ from quirelake.plans.catalogue.bindings import (
 )
 from quirelake.plans.catalogue.silver import plain, shop_silver
 from quirelake.plans.catalogue.star import half_up
-from quirelake.schemas import BOOK_RAW, SHOP_FOLDER
-from quirelake.session import scratch
-from quirelake.sources import bronze, tables, visited
+from quirelake.schemas import BOOK_RAW, PARTITION_KEY, SHOP_FOLDER, SILVER
+from quirelake.session import folders, scratch
+from quirelake.sources import bronze, ledger, merge, snapshots, tables, visited
 
 
 def _landed_at():
@@ -224,7 +224,85 @@ def star_rebuild(spark, sf_dir):
     root = scratch(spark, "star")
     for _ in range(2):
         medallion.write_star(spark, shop_silver(spark, sf_dir), root)
-    return spark.read.parquet(tables.gold_path(root, "agg_genre_stats"))
+    return snapshots.snapshot(spark, root).table("agg_genre_stats")
+
+
+@query(f"""
+WITH {SHOP_SQL}, versions(version, moved) AS (VALUES ('old', false), ('new', true))
+SELECT version, categorie AS genre, count(*) AS nb_livres, (SELECT count(DISTINCT categorie) FROM shop_silver) AS genres,
+  (SELECT count(*) FROM shop_silver WHERE NOT moved OR categorie = 'Poetry') AS faits
+FROM shop_silver, versions WHERE NOT moved OR categorie = 'Poetry' GROUP BY ALL
+""".replace("(SELECT count(DISTINCT categorie) FROM shop_silver)", "(SELECT count(DISTINCT categorie) FROM shop_silver WHERE NOT moved OR categorie = 'Poetry')"))
+def star_snapshot(spark, sf_dir):
+    """A reader that began before a rebuild, of one category only, and one that begins after it: each sees tables of its
+    own version, facts, dimension and aggregate, though both read after the rebuild."""
+    root, silver = scratch(spark, "star"), shop_silver(spark, sf_dir)
+    medallion.write_star(spark, silver, root)
+    before = snapshots.snapshot(spark, root)
+    medallion.write_star(spark, silver.filter("categorie = 'Poetry'"), root)
+    seen = []
+    for version, pinned in (("old", before), ("new", snapshots.snapshot(spark, root))):
+        genres = pinned.table("dim_categorie").agg(F.count(F.lit(1)).alias("genres"))
+        facts = pinned.table("fact_scraping").agg(F.count(F.lit(1)).alias("faits"))
+        counts = cleaning.merge_single_rows(genres, facts).withColumn("version", F.lit(version))
+        stats = pinned.table("agg_genre_stats").withColumn("version", F.lit(version))
+        seen.append(stats.join(counts, "version").select("version", "genre", "nb_livres", "genres", "faits"))
+    return seen[0].unionByName(seen[1])
+
+
+@query(f"""
+WITH {SHOP_SQL}
+SELECT url, titre, CASE categorie WHEN 'Poetry' THEN 'Moved' ELSE categorie END AS categorie,
+  CASE WHEN categorie = 'Poetry' THEN 'Moved' WHEN categorie = 'Science Fiction' THEN 'Science_Fiction' ELSE categorie END AS dossier
+FROM shop_silver
+""")
+def silver_merge(spark, sf_dir):
+    """Every book of one category moves to another; its old folder is left by all, and no folder holds a stale row."""
+    path, index = scratch(spark, "silver"), scratch(spark, "index")
+    silver = shop_silver(spark, sf_dir)
+    merge.merge_silver(silver, path, index)
+    moved = silver.filter("categorie = 'Poetry'").withColumns({"categorie": F.lit("Moved"), PARTITION_KEY: F.lit("Moved")})
+    merge.merge_silver(moved, path, index)
+    rows = tables.read_parquet(spark, path, SILVER)
+    return rows.select("url", "titre", "categorie", F.col(PARTITION_KEY).alias("dossier"))
+
+
+@query(f"""
+WITH {SHOP_SQL}
+SELECT l.url, l.titre, n.n AS versions, l.moment AS date_scraping
+FROM shop_latest AS l JOIN (SELECT url, count(*) AS n FROM shop GROUP BY url) AS n ON l.url = n.url
+""")
+def bronze_incremental(spark, sf_dir):
+    """Three runs over a folder that grows, one of which dies before it commits and one finds nothing; as one run over all."""
+    prefix, root = scratch(spark, "arriving"), scratch(spark, "incremental")
+    books = shop_books(spark, sf_dir)
+    part = F.pmod(F.xxhash64("url", "date_scraping", "nb_avis"), F.lit(3))
+    for n in range(3):
+        books.filter(part == n).write.mode("append").option("ignoreNullFields", False).json(prefix)
+        if n == 1:
+            ledger.stage_run(spark, prefix, root)
+        ledger.ingest(spark, prefix, root)
+    ledger.ingest(spark, prefix, root)
+    rows = ledger.read_versions(spark, root)
+    return rows.select("url", "titre", F.col("n_versions").alias("versions"), utc_wall_clock(safe_timestamp(F.col("date_scraping"))).alias("date_scraping"))
+
+
+@query("""
+SELECT (count(*) + count(*) FILTER (event_type = 'error'))::BIGINT AS lignes, count(*) FILTER (event_type = 'error') AS cassees,
+  3 AS passes FROM events
+""")
+def bronze_ledger(spark, sf_dir):
+    """Lines and broken lines by the ledger, after three runs; a broken line follows each record of one kind."""
+    prefix, root = scratch(spark, "arriving"), scratch(spark, "incremental")
+    events = table(spark, sf_dir, "events").selectExpr("event_id AS url", "event_type AS categorie", "coalesce(event_id % 3, 0) AS part")
+    for n in range(3):
+        arrived = events.filter(F.col("part") == n)
+        broken = F.coalesce(F.col("categorie") == "error", F.lit(False))
+        arrived.filter(~broken).write.mode("append").json(prefix)
+        arrived.filter(broken).write.mode("append").option("lineSep", "\n{same\n").json(prefix)
+        ledger.ingest(spark, prefix, root)
+    page = ledger.read_ledger(spark, root)
+    return page.agg(F.sum("lines").alias("lignes"), F.sum("broken").alias("cassees"), F.lit(len(folders(spark, f"{root}/ledger"))).alias("passes"))
 
 
 @query("""

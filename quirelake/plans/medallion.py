@@ -14,7 +14,7 @@ from quirelake.operators.dedup import latest_versions
 from quirelake.operators.quarantine import split_untitled
 from quirelake.schemas import BOOK_COLUMNS, GOLD_COLUMNS, LIBRARY_FOLDER, SHOP_FOLDER, STAR
 from quirelake.session import discard, prepare, scratch
-from quirelake.sources import tables
+from quirelake.sources import snapshots, tables
 from quirelake.sources.bronze import CORRUPT, ReadFiles, parse_lines, read_lines, split_corrupt
 
 
@@ -139,16 +139,22 @@ def run_gold(spark: SparkSession, config: Config, run_ts: str) -> None:
         tables.write_all(filled, config.gold)
 
 
-def write_star(spark: SparkSession, silver: DataFrame, root: str) -> None:
-    """Rebuild the star schema and the two aggregates over it, each as a whole."""
-    tables.write_all(star.star_from_silver(silver), root)
-    s = {name: tables.read_parquet(spark, tables.gold_path(root, name), schema) for name, schema in STAR.items()}
-    fact = s["fact_scraping"]
-    aggregates = {
-        "agg_genre_stats": star.genre_stats(fact, s["dim_categorie"], s["dim_disponibilite"]),
-        "agg_daily_volumes": star.daily_volumes(fact, s["dim_date"], s["dim_source"]),
-    }
-    tables.write_all(aggregates, root)
+def write_star(spark: SparkSession, silver: DataFrame, root: str) -> snapshots.Snapshot:
+    """Rebuild the star schema and the two aggregates over it, and publish them as one version.
+
+    A reader that began with the version before goes on with it; none sees tables of both.
+    """
+
+    def build(version: snapshots.Publication) -> None:
+        version.write(star.star_from_silver(silver))
+        made = version.so_far()
+        s = {name: made.table(name, schema) for name, schema in STAR.items() if name in made.tables}
+        version.write({
+            "agg_genre_stats": star.genre_stats(s["fact_scraping"], s["dim_categorie"], s["dim_disponibilite"]),
+            "agg_daily_volumes": star.daily_volumes(s["fact_scraping"], s["dim_date"], s["dim_source"]),
+        })
+
+    return snapshots.publish(spark, root, build)
 
 
 def run_star(spark: SparkSession, config: Config) -> None:

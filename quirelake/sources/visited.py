@@ -1,6 +1,6 @@
-"""The set of visited keys, stored by key bucket.
+"""Tables stored by key bucket, and the set of visited keys as one of them.
 
-A key's bucket is its hash modulo a number that is fixed when the set is made.
+A key's bucket is its hash modulo a number that is fixed when the table is made.
 Every file holds keys of one bucket, so a batch of candidates is brought to the
 buckets and joined there: the history is neither shuffled nor sorted by an
 exchange, however long it has grown, and a round costs one read of it and a
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quirelake.operators.dedup import keep_latest
 from quirelake.session import discard, folders, subfolders
 
 BUCKETS = 64
@@ -37,29 +38,44 @@ def _version(spark: SparkSession, path: str) -> str:
     return complete[-1] if complete else f"version={0:06d}"
 
 
-def _table(spark: SparkSession, folder: str, kind: T.StructField, buckets: int) -> str:
+def _table(spark: SparkSession, folder: str, schema: T.StructType, key: str, buckets: int) -> str:
     """The name of the folder's table in this session's catalogue, which is told how the files are laid out."""
-    name = "visited_" + hashlib.md5(folder.encode()).hexdigest()
+    name = "buckets_" + hashlib.md5(folder.encode()).hexdigest()
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} (`{kind.name}` {kind.dataType.simpleString()}) USING parquet "
-        f"CLUSTERED BY (`{kind.name}`) INTO {buckets} BUCKETS LOCATION '{folder}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{folder}'"
     )
     spark.catalog.refreshTable(name)
     return name
 
 
+def read_buckets(spark: SparkSession, path: str, schema: T.StructType, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """The rows of a table by key bucket; an absent one is empty. `buckets` counts for a new table only."""
+    n = _buckets(spark, path, buckets)
+    return spark.table(_table(spark, f"{path}/{_version(spark, path)}", schema, key, n))
+
+
+def by_bucket(rows: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """Rows dealt as the table's files are, so that a merge join with it needs no exchange on either side."""
+    return rows.repartition(_buckets(rows.sparkSession, path, buckets), key)
+
+
+def append_buckets(rows: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> None:
+    """Add rows, one file per bucket."""
+    spark = rows.sparkSession
+    n = _buckets(spark, path, buckets)
+    name = _table(spark, f"{path}/{_version(spark, path)}", rows.schema, key, n)
+    rows.repartition(n, key).write.insertInto(name)
+
+
 def read_visited(spark: SparkSession, path: str, key: T.StructField, buckets: int = BUCKETS) -> DataFrame:
     """The keys of the set; a path without a set has none. `buckets` counts for a new set only."""
-    n = _buckets(spark, path, buckets)
-    return spark.table(_table(spark, f"{path}/{_version(spark, path)}", key, n))
+    return read_buckets(spark, path, T.StructType([key]), key.name, buckets)
 
 
 def append_visited(keys: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> None:
-    """Remember keys as visited, one file per bucket. A repeated append does no harm: it is a set."""
-    spark, kind = keys.sparkSession, keys.schema[key]
-    n = _buckets(spark, path, buckets)
-    name = _table(spark, f"{path}/{_version(spark, path)}", kind, n)
-    keys.select(key).repartition(n, key).write.insertInto(name)
+    """Remember keys as visited. A repeated append does no harm: it is a set."""
+    append_buckets(keys.select(key), path, key, buckets)
 
 
 def unvisited(candidates: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> DataFrame:
@@ -68,11 +84,8 @@ def unvisited(candidates: DataFrame, path: str, key: str, buckets: int = BUCKETS
     Candidates are made distinct first, which collapses hot keys inside the map
     tasks, and then dealt to the buckets. The set's files are read in place.
     """
-    from quirelake.operators.dedup import keep_latest
-
-    spark, n = candidates.sparkSession, _buckets(candidates.sparkSession, path, buckets)
-    fresh = keep_latest(candidates.filter(F.col(key).isNotNull()), key, key).repartition(n, key)
-    seen = read_visited(spark, path, candidates.schema[key], n)
+    fresh = by_bucket(keep_latest(candidates.filter(F.col(key).isNotNull()), key, key), path, key, buckets)
+    seen = read_visited(candidates.sparkSession, path, candidates.schema[key], buckets)
     return fresh.join(seen.hint("merge"), key, "left_anti")
 
 
@@ -83,7 +96,7 @@ def compact_visited(spark: SparkSession, path: str, key: T.StructField) -> None:
     n = _buckets(spark, path, BUCKETS)
     following = f"{path}/version={int(current.split('=')[1]) + 1:06d}"
     keys = read_visited(spark, path, key).dropDuplicates([key.name])
-    keys.repartition(n, key.name).sortWithinPartitions(key.name).write.insertInto(_table(spark, following, key, n))
+    keys.repartition(n, key.name).sortWithinPartitions(key.name).write.insertInto(_table(spark, following, T.StructType([key]), key.name, n))
     for old in folders(spark, path):
         if old.startswith("version=") and old < current:
             discard(spark, f"{path}/{old}")

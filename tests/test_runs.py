@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 import pytest
@@ -12,7 +13,7 @@ from quirelake.operators.cleaning import clean_shop
 from quirelake.operators.dedup import keep_latest
 from quirelake.plans import medallion
 from quirelake.session import scratch
-from quirelake.sources import bronze, tables, visited
+from quirelake.sources import bronze, ledger, merge, snapshots, tables, visited
 from quirelake.streaming import jobs
 
 RUN = "2026-05-03T02:00:00Z"
@@ -66,7 +67,7 @@ def test_whole_run(spark, lake):
     extras = tables.read_silver(spark, lake.shop.silver, merge=True).filter("url = 'u1'").first()
     assert extras["_extras"] == {"rayon": "7"}
 
-    genres = spark.read.parquet(tables.gold_path(lake.star, "agg_genre_stats")).collect()
+    genres = snapshots.snapshot(spark, lake.star).table("agg_genre_stats").collect()
     assert sorted((r.genre, r.nb_livres, r.pct_disponible) for r in genres) == [
         ("Fiction", 1, 0.0), ("Poetry", 1, 0.0), ("Unknown", 1, 0.0),
     ]
@@ -141,6 +142,111 @@ def test_a_visited_set_keeps_its_number_of_buckets(spark, tmp_path):
     assert visited.unvisited(batch.union(spark.createDataFrame([("new",)], "url string")), path, "url", buckets=7).count() == 1
 
 
+def frames(spark, value, *names):
+    return {name: spark.createDataFrame([(value,)], "v int") for name in names}
+
+
+def test_snapshots_are_whole_and_stay(spark, tmp_path):
+    root = str(tmp_path / "star")
+    assert snapshots.snapshot(spark, root).table("a", T.StructType([T.StructField("v", T.IntegerType())])).count() == 0
+    first = snapshots.publish(spark, root, lambda v: v.write(frames(spark, 1, "a", "b")))
+    making = snapshots.Publication(spark, root)
+    making.write(frames(spark, 2, "a"))
+    assert snapshots.snapshot(spark, root) == first  # tables that are written but not published
+    making.write(frames(spark, 2, "b"))
+    second = making.publish()
+
+    def values(s):
+        return [s.table(name).first().v for name in ("a", "b")]
+
+    assert values(first) == [1, 1] and values(second) == [2, 2] and snapshots.snapshot(spark, root) == second
+
+    def failing(version):
+        version.write(frames(spark, 3, "a"))
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        snapshots.publish(spark, root, failing)
+    assert snapshots.snapshot(spark, root) == second
+    for value in (4, 5):
+        snapshots.publish(spark, root, lambda v, value=value: v.write(frames(spark, value, "a", "b")), keep=2)
+    assert sorted(p.name for p in (tmp_path / "star" / "versions").iterdir() if p.is_dir())[0] == second.version
+    assert values(second) == [2, 2] and values(snapshots.snapshot(spark, root)) == [5, 5]
+
+
+def test_files_are_read_once_and_dead_runs_do_not_count(spark, tmp_path):
+    prefix, root = tmp_path / "in", str(tmp_path / "lake")
+    prefix.mkdir()
+
+    def put(name, *rows):
+        (prefix / name).write_text("\n".join(json.dumps(r) if isinstance(r, dict) else r for r in rows))
+
+    def versions():
+        return sorted((r.url, r.titre, r.n_versions) for r in ledger.read_versions(spark, root).collect())
+
+    assert ledger.ingest(spark, str(prefix), root) == 0 and versions() == []
+    put("a.json", {"url": "u", "titre": "1", "date_scraping": "2026-05-01T00:00:00+00:00"}, "broken")
+    assert ledger.ingest(spark, str(prefix), root) == 1
+    put("b.json", {"url": "u", "titre": "2", "date_scraping": "2026-05-02T00:00:00+00:00"}, {"url": "w", "titre": "x"})
+    dead = ledger.stage_run(spark, str(prefix), root)
+    assert dead and versions() == [("u", "1", 1)]
+    assert ledger.ingest(spark, str(prefix), root) == 1 and ledger.ingest(spark, str(prefix), root) == 0
+    assert versions() == [("u", "2", 2), ("w", "x", 1)]
+    assert not (tmp_path / "lake" / "rows" / dead).exists()
+    page = {r.path.rsplit("/", 1)[1]: (r.lines, r.broken) for r in ledger.read_ledger(spark, root).collect()}
+    assert page == {"a.json": (2, 1), "b.json": (2, 0)}
+    put("a.json", {"url": "new", "titre": "y"}, {"url": "u", "titre": "0"}, {"url": "longer"})
+    assert ledger.ingest(spark, str(prefix), root) == 1  # another length: the file is read again
+    assert [v[0] for v in versions()] == ["longer", "new", "u", "w"]
+
+
+def test_merged_rows_leave_their_old_partition(spark, tmp_path):
+    path, index = str(tmp_path / "silver"), str(tmp_path / "index")
+    schema = T.StructType([
+        T.StructField("url", T.StringType()), T.StructField("titre", T.StringType()), T.StructField("categorie_key", T.StringType()),
+        T.StructField("date_scraping", T.TimestampType()),
+    ])
+
+    def feed(*rows):
+        batch = spark.createDataFrame([(u, t, c, dt.datetime(2026, 5, d)) for u, t, c, d in rows], schema)
+        return merge.merge_silver(batch, path, index)
+
+    def read():
+        rows = tables.read_parquet(spark, path, merge.SILVER).collect()
+        return sorted(((r.url, r.titre, r.categorie_key) for r in rows), key=repr)
+
+    assert feed(("a", "1", "x", 1), ("b", "1", "x", 1), ("c", "1", "y", 1), (None, "n", "z", 1)) == ["x", "y", "z"]
+    untouched = {f.name for f in (tmp_path / "silver" / "categorie_key=z").iterdir()}
+    assert feed(("a", "2", "y", 2)) == ["x", "y"]
+    assert read() == [("a", "2", "y"), ("b", "1", "x"), ("c", "1", "y"), (None, "n", "z")]
+    assert {f.name for f in (tmp_path / "silver" / "categorie_key=z").iterdir()} == untouched
+    assert feed(("b", "2", "w", 2)) == ["w", "x"]
+    assert not (tmp_path / "silver" / "categorie_key=x").exists()
+    assert feed(("b", "old", "x", 1), ("c", "same", "y", 1)) == ["w", "x", "y"]  # an older row changes nothing, an equal one wins
+    assert read() == [("a", "2", "y"), ("b", "2", "w"), ("c", "same", "y"), (None, "n", "z")]
+    assert feed(("b", "3", "x", 3)) == ["w", "x"]
+    assert read() == [("a", "2", "y"), ("b", "3", "x"), ("c", "same", "y"), (None, "n", "z")]
+
+
+def test_a_merge_that_died_before_its_swap_can_be_repeated(spark, tmp_path, monkeypatch):
+    path, index = str(tmp_path / "silver"), str(tmp_path / "index")
+
+    def feed(titre, folder, day):
+        rows = [("a", titre, folder, dt.datetime(2026, 5, day))]
+        merge.merge_silver(spark.createDataFrame(rows, "url string, titre string, categorie_key string, date_scraping timestamp"), path, index)
+
+    def die(*_, **__):
+        raise RuntimeError("lost")
+
+    feed("1", "x", 1)
+    with monkeypatch.context() as m:
+        m.setattr(merge, "write_silver", die)
+        with pytest.raises(RuntimeError):
+            feed("2", "y", 2)
+    feed("2", "y", 2)
+    assert [(r.titre, r.categorie_key) for r in tables.read_parquet(spark, path, merge.SILVER).collect()] == [("2", "y")]
+
+
 def test_repeated_run_changes_nothing(spark, lake):
     medallion.run(spark, lake, RUN)
     before = sorted(map(str, tables.read_gold(spark, lake.gold, "livres_flat").collect()))
