@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -78,7 +79,7 @@ _BITS = " + ".join(
 )
 
 
-@query(rf"""
+_LEDGER_SQL = rf"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS words,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
@@ -96,6 +97,10 @@ WITH w AS (
     (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words
   FROM w LEFT JOIN covered ON w.doc_id = covered.doc_id
 ), bits AS (SELECT *, {_BITS} AS failed FROM m)
+"""
+
+
+@query(_LEDGER_SQL + f"""
 SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, failed,
   failed & {quality.POLICIES["base-1"]} <> 0 AS base_failed,
   failed & {quality.POLICIES[quality.PRODUCTION_POLICY]} = 0 AS kept
@@ -105,6 +110,24 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents")))
 
 
+_POLICY_RULES = ", ".join(
+    f"('{policy}', {mask}, '{rule.name}', {1 << i})"
+    for policy, mask in quality.POLICIES.items() for i, rule in enumerate(quality.RULES) if mask >> i & 1
+)
+
+
+@query(_LEDGER_SQL + f"""
+, policies(policy, mask, rule, bit) AS (VALUES {_POLICY_RULES})
+SELECT policy, rule, bit::BIGINT AS bit, count(*) FILTER (failed & bit <> 0) AS n_failed, count(*) FILTER (failed & mask = bit) AS n_only
+FROM bits, policies GROUP BY policy, rule, bit
+""")
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All policies' ablations from one ledger, which is written once: no rule is evaluated again."""
+    rows = stored(quality.ledger(table(spark, sf_dir, "documents")), "quality-ledger")
+    found = [quality.ablations(rows, policy) for policy in quality.POLICIES]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query(r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -16,6 +16,7 @@ columns are not read. Line ends within ids and URLs are percent-encoded.
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -30,19 +31,20 @@ VERSION = b"WARC/1.1"
 END = b"\r\n\r\n"
 #: What stands between the content of two records, seen from a reader.
 BETWEEN = (END + VERSION + b"\r\n").decode()
+_VERSION = re.compile(re.escape(VERSION))
 CHUNK = 1 << 20
 LEAST = 1000
 DATE = "2000-01-01T00:00:00Z"
 
 
 def cuts(view: memoryview, chunk: int = CHUNK) -> Iterator[tuple[int, int]]:
-    """Starts and ends of the chunks of a payload; an empty payload has one."""
+    """Starts and ends of the chunks of a payload; an empty payload has one. The payload is searched in place, once."""
     start, size = 0, len(view)
     while True:
         stop = min(start + chunk, size)
-        found = bytes(view[start:stop]).find(VERSION)
-        if found >= 0:
-            stop = start + found + 4
+        found = _VERSION.search(view, start, stop)
+        if found:
+            stop = found.start() + 4
         yield start, stop
         if stop >= size:
             return
