@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirelake.operators import quality
+from quirelake.operators import profiles, quality
 from quirelake.plans.catalogue import query, table
 from quirelake.plans.catalogue.bindings import LIBRARY_SQL, SHOP_SQL
 from quirelake.plans.catalogue.silver import library_silver, plain, shop_silver
 from quirelake.plans.catalogue.star import dims, fact
+from quirelake.session import scratch
 
 _RULES_SQL = """
 SELECT regle, resultat, CAST(0 AS BIGINT) AS seuil, CASE WHEN resultat <= 0 THEN 'OK' ELSE 'ECHEC' END AS statut
@@ -128,3 +132,38 @@ def preview(spark, sf_dir):
         "p_partkey", "p_name AS titre", "p_brand AS auteur", "p_retailprice AS prix", "p_type AS categorie"
     )
     return quality.preview(rows, order=[F.col("p_partkey")])
+
+
+_DAYS = "ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'"
+
+
+@query(f"""
+SELECT 'value' AS colonne, count(*) AS n, count(*) - count(value) AS nulls, min(value)::DOUBLE AS lo, max(value)::DOUBLE AS hi,
+  true AS distincts_proches, 3 AS quantiles_proches FROM events WHERE {_DAYS}
+UNION ALL
+SELECT 'user_id', count(*), count(*) - count(user_id), min(user_id)::DOUBLE, max(user_id)::DOUBLE, true, 3 FROM events WHERE {_DAYS}
+""")
+def profile_days(spark, sf_dir):
+    """Profiles stored per day, united over some of the days; estimates are held against one exact pass over the rows."""
+    columns, shares = ["value", "user_id"], [0.1, 0.5, 0.99]
+    events = table(spark, sf_dir, "events").select("ts", *columns)
+    paths = [scratch(spark, name) for name in ("profiles", "histograms")]
+    for build, path in zip((profiles.day_profiles, profiles.day_histograms), paths, strict=True):
+        build(events, "ts", columns).write.parquet(path)
+    span = "day >= DATE '2024-01-05' AND day < DATE '2024-01-20'"
+    stored, histograms = (spark.read.parquet(path).filter(span) for path in paths)
+    rows = events.filter(_DAYS)
+    exact = [
+        rows.agg(
+            F.count_distinct(c).alias("exact"), F.expr(f"percentile_disc({s}) WITHIN GROUP (ORDER BY CAST({c} AS double))").alias("real")
+        ).select(F.lit(c).alias("column"), F.lit(s).alias("share"), "exact", "real")
+        for c in columns for s in shares
+    ]
+    close = reduce(DataFrame.unionByName, exact).join(profiles.quantiles(histograms, shares), ["column", "share"])
+    near = F.abs(F.col("value") - F.col("real")) <= profiles.ERROR * F.abs("real") * (1 + 1e-9)
+    counted = close.groupBy("column").agg(F.count_if(near).cast("int").alias("quantiles_proches"), F.max("exact").alias("exact"))
+    told = profiles.united(stored).join(counted, "column")
+    return told.select(
+        F.col("column").alias("colonne"), "n", "nulls", "lo", "hi",
+        (F.abs(F.col("distinct") - F.col("exact")) <= 0.08 * F.col("exact")).alias("distincts_proches"), "quantiles_proches",
+    )

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from quirelake.operators import dashboard, gold, quality, star, warehouse
+from quirelake.operators import dashboard, gold, profiles, quality, star, warehouse
 from quirelake.schemas import GOLD_COLUMNS
 from quirelake.sources import tables
 from tests.compare import differences, duck
@@ -235,3 +236,32 @@ def test_one_program_for_all_sizes(spark, threshold):
         assert "WindowGroupLimit" in text and "CartesianProduct" not in text
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_united_profiles_equal_one_pass(spark):
+    """Days that are profiled one by one and united are the same as all rows at once, and quantiles keep their error."""
+    rng = random.Random(3)
+    values = [rng.choice([None, 0.0, float("nan"), -rng.random() * 1e6, rng.lognormvariate(0, 8), float(rng.randint(1, 50))]) for _ in range(4000)]
+    rows = spark.createDataFrame([(f"2026-05-0{1 + i % 5}", v) for i, v in enumerate(values)], "d string, v double")
+    rows = rows.selectExpr("CAST(d AS date) AS d", "v")
+    whole = rows.selectExpr("DATE '2026-01-01' AS d", "v")
+
+    def exact(df):
+        return [tuple(r) for r in profiles.united(profiles.day_profiles(df, "d", ["v"])).collect()]
+
+    (days,), (once,) = exact(rows), exact(whole)
+    assert repr(days[:-1]) == repr(once[:-1])
+    distinct = len({repr(v) for v in values if v is not None})
+    assert abs(days[-1] - distinct) < 0.06 * distinct and abs(once[-1] - distinct) < 0.06 * distinct
+    shares = [0.0, 0.01, 0.3, 0.5, 0.77, 0.999, 1.0]
+
+    def places(df):
+        return {r["share"]: r["value"] for r in profiles.quantiles(profiles.day_histograms(df, "d", ["v"]), shares).collect()}
+
+    found = places(rows)
+    assert found == places(whole)
+    ordered = sorted(v for v in values if v is not None and v == v)
+    for share in shares:
+        real = ordered[max(math.ceil(share * len(ordered)), 1) - 1]
+        assert abs(found[share] - real) <= profiles.ERROR * abs(real) * (1 + 1e-9)
+    assert profiles.united(profiles.day_profiles(rows.limit(0), "d", ["v"])).count() == 0
