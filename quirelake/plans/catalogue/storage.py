@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quirelake.functions.text import safe_timestamp, trim_ws, utc_wall_clock
-from quirelake.operators import cleaning, gold
+from quirelake.operators import cleaning, gold, gold_delta
 from quirelake.operators.dedup import keep_latest
 from quirelake.operators.quarantine import split_untitled
 from quirelake.plans import medallion
@@ -383,3 +383,21 @@ def medallion_reports(spark, sf_dir):
     shop = reports[config.shop.name].withColumn("source", F.lit("shop"))
     library = reports[config.library.name].withColumn("source", F.lit("library"))
     return shop.unionByName(library).select(*columns)
+
+
+@query("SELECT * EXCLUDE (source, date_gold) FROM (" + _GOLD_SQL + ")")
+def gold_incremental(spark, sf_dir):
+    """The KPI state after three batches of versions: each takes back the rows that newer versions replace."""
+    books = shop_books(spark, sf_dir).withColumn("_at", F.try_to_timestamp("date_scraping"))
+    part = F.pmod(F.xxhash64("url", "date_scraping", "nb_avis"), F.lit(3))
+    state, before = spark.createDataFrame([], gold_delta.STATE), None
+    for n in range(3):
+        valid, _ = split_untitled(keep_latest(books.filter(part <= n), "url", "_at").drop("_at"))
+        path = scratch(spark, "silver")
+        cleaning.to_silver(valid, cleaning.clean_shop, RUN_TS).write.parquet(path)
+        after = spark.read.parquet(path)
+        changed = gold_delta.changes(after.limit(0) if before is None else before, after)
+        path = scratch(spark, "gold-state")
+        gold_delta.apply_changes(state, changed, after).write.parquet(path)
+        state, before = spark.read.parquet(path), after
+    return gold_delta.kpi_of_state(state)

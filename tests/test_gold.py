@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quirelake.operators import dashboard, gold, profiles, quality, star, warehouse
+from quirelake.operators import dashboard, gold, gold_delta, profiles, quality, star, warehouse
 from quirelake.schemas import GOLD_COLUMNS
 from quirelake.sources import tables
 from tests.compare import differences, duck
@@ -265,3 +265,32 @@ def test_united_profiles_equal_one_pass(spark):
         real = ordered[max(math.ceil(share * len(ordered)), 1) - 1]
         assert abs(found[share] - real) <= profiles.ERROR * abs(real) * (1 + 1e-9)
     assert profiles.united(profiles.day_profiles(rows.limit(0), "d", ["v"])).count() == 0
+
+
+def test_state_after_retractions_equals_recomputation(spark):
+    """Rows come, go, change price and category; extremes leave and return; categories vanish and come back."""
+    rng = random.Random(8)
+    schema = "url string, categorie string, titre string, prix double, note_etoiles double, nb_avis bigint"
+
+    def book(i):
+        return (
+            f"u{i}", rng.choice(["a", "b", "c", None]), rng.choice(["t", None]), rng.choice([None, 1.25, 2.5, 9.75, float(rng.randint(0, 40))]),
+            rng.choice([None, 1.0, 4.5]), rng.choice([None, 0, 7]),
+        )
+
+    rows = {i: book(i) for i in range(25)}
+    state, before = spark.createDataFrame([], gold_delta.STATE), spark.createDataFrame([], schema)
+    for step in range(5):
+        after = spark.createDataFrame(list(rows.values()), schema)
+        state = gold_delta.apply_changes(state, gold_delta.changes(before, after), after)
+        state = spark.createDataFrame(state.collect(), gold_delta.STATE)
+        got = sorted(map(tuple, gold_delta.kpi_of_state(state).collect()))
+        assert got == sorted(map(tuple, gold.kpi_by_category(after).collect()))
+        before = after
+        for i in rng.sample(sorted(rows), 8):
+            rows[i] = book(i)
+        for i in rng.sample(sorted(rows), 4):
+            del rows[i]
+        rows |= {i: book(i) for i in range(100 * step + 100, 100 * step + 103)}
+        if step == 2:
+            rows = {i: r for i, r in rows.items() if r[1] != "a"}
