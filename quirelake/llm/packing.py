@@ -89,7 +89,7 @@ PIECES = "file bigint, row bigint, doc_id bigint, piece int, start bigint, lengt
 
 def token_pieces(
     docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, text: str = "text", doc_id: str = "doc_id",
-    added_tokens: bool = False,
+    added_tokens: bool = True,
 ) -> DataFrame:
     """Every document's ids and the end id, cut into pieces of `capacity`; the first piece takes what is over."""
     rows = located(docs).select(
@@ -215,7 +215,7 @@ def pack(pieces: DataFrame, key: list[str], capacity: int = CAPACITY) -> DataFra
 
 def pack_documents(
     docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, text: str = "text", doc_id: str = "doc_id",
-    added_tokens: bool = False,
+    added_tokens: bool = True,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: one row per piece."""
     pieces = stored(token_pieces(docs, path, capacity, end_id, text, doc_id, added_tokens), "pieces")

@@ -392,7 +392,6 @@ def test_plan_uses_every_piece_once(counts):
 
 def assert_packed(rows, texts, capacity):
     tokenizer = Tokenizer.from_file(BYTE_BPE)
-    tokenizer.encode_special_tokens = True
     total, bins = 0, defaultdict(list)
     by_doc = defaultdict(list)
     for r in rows:
