@@ -64,7 +64,9 @@ def grams(text: bytes) -> Iterator[bytes]:
             yield b" ".join(words[-tail:])
 
 
-def _parts(listed: list[bytes], first: np.ndarray, words: list[bytes], lang: str, parts: int, frequent: frozenset[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _parts(
+    listed: list[bytes], first: np.ndarray, words: list[bytes], lang: str, parts: int, frequent: frozenset[bytes]
+) -> tuple[np.ndarray, np.ndarray]:
     """The part of each gram, and of each of `words`, which `first` numbers as the grams' first words."""
     seed = zlib.crc32(lang.encode())
     home = np.fromiter((zlib.crc32(w, seed) % parts for w in words), np.int64, len(words))
@@ -79,7 +81,7 @@ def _parts(listed: list[bytes], first: np.ndarray, words: list[bytes], lang: str
 
 
 def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order that puts rows with equal keys together, and where a run of them starts."""
+    """The order that puts rows with equal first two keys together, and where a run of them starts."""
     order = np.lexsort(keys[::-1])
     new = np.ones(len(order), dtype=bool)
     new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys[:2]], axis=0)

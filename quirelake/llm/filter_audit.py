@@ -24,7 +24,7 @@ from math import factorial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quirelake.llm.common import stored
+from quirelake.llm.common import is_set, stored
 
 FILTERS = "ABCDE"
 NOT_SPACE = r"[\x20\x09-\x0D]+"
@@ -70,16 +70,11 @@ def repeated_cells(rows: DataFrame, number: str, blocks: int) -> DataFrame:
     return counts.groupBy("block").agg(F.call_function("bitmap_construct_agg", F.col("cell")).alias("bits"))
 
 
-def _is_set(bits: Column, cell: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bits, F.floor(cell / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.getbit(byte, cell % 8) == 1
-
-
 def maybe_repeated(rows: DataFrame, number: str, sketch: DataFrame, blocks: int) -> DataFrame:
     """The rows of which another one may have the same number; those that are left out are unique."""
     block, cells = _cells(F.col(number), blocks)
     bitmaps = F.broadcast(sketch.select(F.col("block").alias("__block"), F.col("bits").alias("__bits")))
-    hits = F.forall(F.array(*cells), lambda cell: _is_set(F.col("__bits"), cell))
+    hits = F.forall(F.array(*cells), lambda cell: is_set(F.col("__bits"), cell))
     return rows.withColumn("__block", block).join(bitmaps, "__block").filter(hits).drop("__block", "__bits")
 
 
