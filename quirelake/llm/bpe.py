@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from quirelake.llm.common import slices
+from quirelake.llm.common import slices, small_batches
 from quirelake.llm.pretoken import PieceCache
 
 NONE = np.iinfo(np.int64).max
@@ -201,6 +201,7 @@ def _lists(parts: list[bytes], dtype: str) -> pa.Array:
 
 def encode(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id and `ids` of every whole text; `path` is a rank file that the executors have."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,6 +216,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id
 
 def decode(rows: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """The rows with `decoded`, the bytes their ids stand for."""
+    small_batches(rows.sparkSession)
     at = rows.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirelake.llm.common import slices
+from quirelake.llm.common import slices, small_batches
 
 START, END = "<|im_start|>", "<|im_end|>"
 #: Roles whose texts the loss covers.
@@ -97,6 +97,7 @@ def format_conversations(
     learned: tuple[str, ...] = LEARNED, segment_chars: int = SEGMENT_CHARS,
 ) -> DataFrame:
     """conv_id, segment (from 0), formatted, loss: character spans of the segment that the loss covers."""
+    small_batches(turns.sparkSession)
     rows = turns.select(
         F.col(conv_id).cast("bigint").alias("conv_id"), F.col(turn).alias("turn"),
         F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"),
@@ -138,6 +139,7 @@ _CONVERSATIONS = pa.schema([
 
 def read_back(segments: DataFrame) -> DataFrame:
     """Parse formatted segments and sum up each conversation: its turns, and the text under the loss spans."""
+    small_batches(segments.sparkSession, 128)
     ordered = segments.select("conv_id", "segment", "formatted", "loss").repartition(F.col("conv_id"))
     ordered = ordered.sortWithinPartitions("conv_id", "segment")
 

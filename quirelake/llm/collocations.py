@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quirelake.llm.common import stored
+from quirelake.llm.common import small_batches, stored
 
 LONGEST = 3
 LEAST = 10
@@ -132,6 +132,7 @@ def counted(texts: DataFrame, least: int = LEAST, frequent: list[str] | None = N
     Counted are edges and piece ends; pairs and words come from node flow.
     """
     spark = texts.sparkSession
+    small_batches(spark)
     known = frozenset(w.encode() for w in (frequent_words(texts) if frequent is None else frequent))
     parts = max(256, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 

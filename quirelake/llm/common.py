@@ -149,3 +149,12 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
     for batch in batches:
         for start in range(0, max(batch.num_rows, 1), rows):
             yield batch.slice(start, rows)
+
+
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Rows may be long texts: hand Python few of them at a time.
+
+    The setting is only ever lowered, and stays so: a lazy result reads it when it runs, which may be much later.
+    """
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) not in range(1, rows + 1):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from quirelake.llm.common import slices, unique_name
+from quirelake.llm.common import slices, small_batches, unique_name
 from quirelake.llm.pretoken import LETTER, _classes
 
 CELLS = 1 << 15
@@ -282,6 +282,7 @@ def fit(
     per_language: int = PER_LANGUAGE, how: Penalties = Penalties(),
 ) -> Model:
     """Learn from the documents that are not held out and have a label."""
+    small_batches(docs.sparkSession)
     training = docs.filter(~held_out(doc_id) & F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).alias("text"), F.col(label).cast("string").alias("label")
     )
@@ -309,12 +310,14 @@ def predictor(docs: DataFrame, model: Model):
 
 def predict(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document."""
+    small_batches(docs.sparkSession)
     judged = docs.select(F.col(doc_id).alias("doc_id"), predictor(docs, model)(F.col(text)).alias("__judged"))
     return judged.select("doc_id", held_out("doc_id").alias("held_out"), "__judged.lang_pred", "__judged.score")
 
 
 def filter_documents(docs: DataFrame, model: Model, least_known: float = LEAST_KNOWN, text: str = "text") -> DataFrame:
     """The documents in a language, of whose n-grams the model knows at least such a share, with the columns they came with."""
+    small_batches(docs.sparkSession)
     judged = unique_name(docs.columns, "__judged")
     sure = (F.col(judged)["lang_pred"] != UNKNOWN) & (F.col(judged)["known"] >= least_known)
     return docs.withColumn(judged, predictor(docs, model)(F.col(text))).filter(sure).drop(judged)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirelake.functions.text import bind
-from quirelake.llm.common import LOCATOR, Workspace, located, only_keys, scanned, stored, with_values
+from quirelake.llm.common import LOCATOR, Workspace, located, only_keys, scanned, small_batches, stored, with_values
 
 BLOCK = 3
 #: Signs for what can't align on either side; no hash of a line is used for them.
@@ -169,6 +169,7 @@ def _removed(names: list, removed: list[list[int]]) -> pa.RecordBatch:
 
 def removals(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK) -> DataFrame:
     """__locator, removed: ascending line numbers to delete, for the documents that lose a line."""
+    small_batches(docs.sparkSession, 256)
     split = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
     hashed = F.transform(split, lambda x, i: F.struct(
         i.alias("at"), F.when(F.btrim(x) != "", F.xxhash64(x)).alias("h"), F.xxhash64(F.lit(7), x).alias("g"),

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirelake.llm.common import (
-    LOCATOR, Workspace, drop_rows, located, only_keys, scanned, slices, stored, without_keys,
+    LOCATOR, Workspace, drop_rows, located, only_keys, scanned, slices, small_batches, stored, without_keys,
 )
 
 WORDS = 5
@@ -257,6 +257,7 @@ def near_duplicates(
     sketches: int = SKETCHES, picks: int = PICKS,
 ) -> DataFrame:
     """__locator, doc_id, keep_id, kept, class_id, group_size per row; class_id is equal for rows of one group."""
+    small_batches(docs.sparkSession, 256)
     split = F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"), "")
 
     def hashed(own: Column) -> Column:

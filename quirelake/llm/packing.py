@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quirelake.llm.common import LOCATOR, located, slices, stored
+from quirelake.llm.common import LOCATOR, located, slices, small_batches, stored
 from quirelake.llm.pretoken import PieceCache, unlike
 
 CAPACITY = 1024
@@ -92,6 +92,7 @@ def token_pieces(
     added_tokens: bool = True,
 ) -> DataFrame:
     """Every document's ids and the end id, cut into pieces of `capacity`; the first piece takes what is over."""
+    small_batches(docs.sparkSession)
     rows = located(docs).select(
         F.col(f"{LOCATOR}.file").alias("file"), F.col(f"{LOCATOR}.row").alias("row"),
         F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirelake.llm.common import LOCATOR, located, slices, stored, without_keys
+from quirelake.llm.common import LOCATOR, located, slices, small_batches, stored, without_keys
 from quirelake.session import scratch
 
 VERSION = b"WARC/1.1"
@@ -107,6 +107,7 @@ def write_archives(
     least: int = LEAST, chunk: int = CHUNK,
 ) -> None:
     """Write the pages as WARC files below `path`, one per task."""
+    small_batches(pages.sparkSession, 128)
     rows = located(pages).select(
         LOCATOR, F.col(page_id).cast("bigint").alias("page"), F.col(url).cast("string").alias("url"),
         F.coalesce(F.col(payload).cast("binary"), F.lit(b"")).alias("payload"),
@@ -194,6 +195,7 @@ def _parse(value: bytes) -> dict:
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
     """The chunk table: a row per record or segment. `data` stays only where a record has several segments;
     `digest` of a response in one piece is computed from its content."""
+    small_batches(spark, 128)
     values = spark.read.option("lineSep", BETWEEN).text(path).select(F.col("value").cast("binary"))
     names = [c.split(" ")[0] for c in SEGMENT.split(", ")]
 
