@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quirelake.functions import markup
 from quirelake.functions.links import resolve_url
 from quirelake.operators import pages, payloads
-from quirelake.plans.catalogue import query, table
+from quirelake.plans.catalogue import query, spread, table
 from quirelake.plans.catalogue.bindings import RUN_TS
 from quirelake.schemas import LIBRARY_SITE, SHOP_SITE, VOLUME_SITE
 
@@ -60,7 +60,7 @@ def _category_pages(spark, sf_dir):
         "</article><ul class=\"pager\"><li class=\"next\"><a href=\"page-2.html?a=1&amp;b=', s_suppkey, '\">next</a>"
         "</li></ul>')"
     )
-    return table(spark, sf_dir, "supplier").selectExpr(
+    return spread(table(spark, sf_dir, "supplier")).selectExpr(
         "s_suppkey", "concat('https://shop.example/catalogue/', s_suppkey, '/index.html') AS url", f"{nav} AS html"
     )
 
@@ -105,7 +105,7 @@ def _product_pages(spark, sf_dir):
         "<table class=\"table\"><tr><th>UPC</th><td>', p_brand, '</td></tr><tr><th>Number of reviews</th><td>', "
         "p_size, '</td></tr></table><table class=\"other\"><tr><th>UPC</th><td>wrong</td></tr></table></article></html>')"
     )
-    return table(spark, sf_dir, "part").selectExpr(
+    return spread(table(spark, sf_dir, "part")).selectExpr(
         "p_partkey", "concat('https://shop.example/', p_partkey) AS url", f"{html} AS html"
     )
 
@@ -200,7 +200,7 @@ def json_work_record(spark, sf_dir):
 
 def _volume_payloads(spark, sf_dir):
     """A volume answer per part: with and without price, authors, ISBN, date."""
-    return table(spark, sf_dir, "part").selectExpr(
+    return spread(table(spark, sf_dir, "part")).selectExpr(
         "p_partkey",
         "concat('https://vol.example/', p_partkey) AS url",
         "to_json(named_struct('volumeInfo', named_struct('title', concat(' ', p_name, ' '), "

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quirelake.functions import markup
 from quirelake.operators import pages, payloads
+from quirelake.plans.catalogue import extraction
 
 RUN = "2026-05-01T10:00:00+00:00"
 
@@ -199,3 +200,14 @@ def test_volume_records(spark):
     empty = volume(spark, {"volumeInfo": {"categories": [], "publishedDate": "0000"}})
     assert (empty.titre, empty.auteur, empty.prix, empty.categorie, empty.langue) == ("", "Unknown", None, "Unknown", "en")
     assert (empty.annee_publication, empty.url, empty.disponibilite, empty.nb_avis) == (None, "https://self.example", "N/A", 0)
+
+
+def test_pages_of_one_row_group_are_read_by_many_tasks(spark, tmp_path):
+    kinds = ["SMALL", "PROMO", "LARGE", None]
+    rows = [(i, f"part {i}", f"B{i}", kinds[i % 4], i % 50, i + 0.5) for i in [0, *range(200)]]
+    parts = spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
+    parts.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    records = extraction.page_record(spark, str(tmp_path))
+    with_work = records.groupBy(F.spark_partition_id().alias("task")).agg(F.count("url").alias("n")).collect()
+    assert len(with_work) >= spark.sparkContext.defaultParallelism
+    assert sum(r["n"] for r in with_work) == len(rows)
