@@ -9,7 +9,7 @@ from quirelake.operators import cleaning, gold, gold_delta
 from quirelake.operators.dedup import keep_latest
 from quirelake.operators.quarantine import split_untitled
 from quirelake.plans import medallion
-from quirelake.plans.catalogue import query, table
+from quirelake.plans.catalogue import query, spread, table
 from quirelake.plans.catalogue.bindings import (
     LIBRARY_SQL, RUN_TS, SHOP_SQL, SILVER_LIST, library_books, shop_books,
 )
@@ -108,7 +108,7 @@ SELECT s_suppkey, s_suppkey + 1 AS k_last, (s_suppkey % 7 + 1500)::INTEGER AS n
 """)
 def bronze_many_fields(spark, sf_dir):
     """Records with more than 1,500 unknown fields keep them all."""
-    lines = table(spark, sf_dir, "supplier").selectExpr(
+    lines = spread(table(spark, sf_dir, "supplier")).selectExpr(
         "concat('{\"url\":\"', s_suppkey, '\"', array_join(transform(sequence(1, 1499 + s_suppkey % 7), "
         "i -> concat(',\"k', i, '\":', i)), ''), ',\"k_last\":', s_suppkey + 1, '}') AS value"
     )

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from quirelake.operators.cleaning import clean_shop
 from quirelake.operators.dedup import keep_latest
 from quirelake.plans import medallion
+from quirelake.plans.catalogue import storage
 from quirelake.session import scratch
 from quirelake.sources import bronze, ledger, merge, snapshots, tables, visited
 from quirelake.streaming import jobs
@@ -464,3 +465,11 @@ def test_daily_volumes_are_recounted_by_a_new_checkpoint(spark, tmp_path):
     assert feed("cp1", "2026-05-02") == {"2026-05-01": 1, "2026-05-02": 2}
     assert feed("cp2", "2026-05-02") == {"2026-05-01": 1, "2026-05-02": 3}
     assert feed("cp2", "2026-05-03") == {"2026-05-01": 1, "2026-05-02": 3, "2026-05-03": 1}
+
+
+def test_lines_with_many_fields_of_one_row_group_are_parsed_by_many_tasks(spark, tmp_path):
+    spark.range(100).selectExpr("id AS s_suppkey").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    rows = storage.bronze_many_fields(spark, str(tmp_path))
+    with_work = rows.groupBy(F.spark_partition_id().alias("task")).agg(F.count("n").alias("n"), F.sum("k_last").alias("s")).collect()
+    assert len(with_work) >= spark.sparkContext.defaultParallelism
+    assert (sum(r["n"] for r in with_work), sum(r["s"] for r in with_work)) == (100, 5050)
