@@ -33,6 +33,8 @@ CAPACITY = 1024
 END_ID = 2
 #: Pieces of one length that are numbered in one task.
 BUCKET = 50_000
+#: Distinct pieces in each generation of a worker's cache, which all together stay under 150 MB.
+REMEMBERED = 200_000
 
 
 def byte_characters() -> dict[int, str]:
@@ -65,7 +67,7 @@ def _encoder(path: str, added_tokens: bool) -> Callable[[list[str]], Iterator[by
         spelled = [w.encode().decode("latin-1").translate(written) for w in words]
         return [array("I", [t.id for t in model.tokenize(w)]).tobytes() for w in spelled]
 
-    cache = PieceCache(encode)
+    cache = PieceCache(encode, REMEMBERED)
 
     def whole(text: str) -> bool:
         if any(m in text for m in marks):

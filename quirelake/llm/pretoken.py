@@ -15,7 +15,9 @@ import regex
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: Code points that are split at once; a longer text is split alone, whole.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
+#: Code points that are classed at once.
+POINTS = 4096
 #: Distinct pieces in each of the two generations that a worker remembers.
 CACHE = 400_000
 
@@ -23,13 +25,23 @@ CACHE = 400_000
 @lru_cache(maxsize=1)
 def _classes() -> np.ndarray:
     table = np.zeros(0x110000, dtype=np.uint8)
-    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    everything = "".join(map(chr, points))
-    for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\s")):
-        table[[ord(c) for c in regex.findall(pattern, everything)]] = kind
+    for points in _blocks(np.arange(0x110000, dtype=np.uint32)):
+        block = _characters(points)
+        for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\s")):
+            table[[ord(c) for c in regex.findall(pattern, block)]] = kind
     return table
 
 
+def _blocks(points: np.ndarray) -> Iterator[np.ndarray]:
+    """Code points that are characters, `POINTS` at a time: strings of all of them take hundreds of MB for a moment."""
+    points = points[(points < 0xD800) | (points >= 0xE000)]
+    yield from (points[i : i + POINTS] for i in range(0, len(points), POINTS))
+
+
+def _characters(points: np.ndarray) -> str:
+    return points.astype("<u4").tobytes().decode("utf-32-le")
+
+
 def unlike(split: Callable[[str], list[tuple[str, tuple[int, int]]]]) -> np.ndarray:
     """For each code point, whether a library's pre-tokenizer puts it into another class than `_classes`.
 
@@ -39,12 +51,11 @@ def unlike(split: Callable[[str], list[tuple[str, tuple[int, int]]]]) -> np.ndar
     table = _classes()
     out = np.zeros(len(table), dtype=bool)
     for kind, sign in ((OTHER, "!"), (LETTER, "a"), (NUMBER, "1"), (SPACE, "\n")):
-        points = np.flatnonzero(table == kind)
-        points = points[(points < 0xD800) | (points >= 0xE000)]
-        joined = sign + "".join(map(chr, points.tolist()))
-        for _, (a, b) in split(joined)[1:]:
-            if len(split(sign + joined[a])) > 1:
-                out[points[a - 1 : b - 1]] = True
+        for points in _blocks(np.flatnonzero(table == kind)):
+            joined = sign + _characters(points)
+            for _, (a, b) in split(joined)[1:]:
+                if len(split(sign + joined[a])) > 1:
+                    out[points[a - 1 : b - 1]] = True
     return out
 
 

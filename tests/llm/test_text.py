@@ -6,6 +6,7 @@ import base64
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -487,3 +488,23 @@ def test_archives_read_in_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert {(r["page"], r["digest"]) for r in found} == {(i, hashlib.sha1(h.encode()).hexdigest()) for i, h in rows}
     assert len(found) == len(rows)
+
+
+def test_a_packing_worker_starts_in_little_memory():
+    """Tables over all code points are made in blocks: strings of them all took some 400 MB in each worker."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tracemalloc.start()
+    try:
+        classes = pretoken._classes.__wrapped__()
+        odd = pretoken.unlike(tokenizer.pre_tokenizer.pre_tokenize_str)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 40 << 20
+    points = [c for c in [*range(0x3000), *range(0x1D000, 0x20000, 7)] if not 0xD800 <= c < 0xE000]
+    kinds = [pretoken.LETTER if regex.match(r"\p{L}", chr(c)) else pretoken.NUMBER if regex.match(r"\p{N}", chr(c))
+             else pretoken.SPACE if regex.match(r"\s", chr(c)) else pretoken.OTHER for c in points]
+    assert classes[points].tolist() == kinds
+    signs = {pretoken.LETTER: "a", pretoken.NUMBER: "1", pretoken.OTHER: "!"}
+    alone = {c: len(tokenizer.pre_tokenizer.pre_tokenize_str(signs[k] + chr(c))) > 1 for c, k in zip(points, kinds, strict=True) if k in signs}
+    assert {c: bool(odd[c]) for c in alone} == alone
