@@ -211,9 +211,9 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", blo
         kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "removed")
         return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
 
-    # Only texts that lose a line move, once.
+    # Only texts that lose a line move, once; `lost` grows with the corpus, so it is never broadcast, at whatever size.
     lines = F.split("text", "\n")
-    return with_values(rows, lost, LOCATOR).select(
+    return with_values(rows, lost.hint("merge"), LOCATOR).select(
         "doc_id", F.size(lines).cast("bigint").alias("n_lines"), F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("n_removed"),
         F.when(F.col("removed").isNull(), F.col("text")).otherwise(bind(lines, left)).alias("text"),
     )

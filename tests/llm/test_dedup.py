@@ -271,3 +271,12 @@ def test_line_dedup_query_pairs_holders_of_frequent_lines(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
     found = queries.op3_line_dedup(spark, str(tmp_path))
     assert bag(found, "doc_id", "n_removed") == sorted([(0, 0), *((i, 3) for i in range(1, len(own))), *((100 + i, 1) for i in range(3))], key=repr)
+
+
+def test_line_dedup_moves_texts_the_same_way_at_every_size(spark):
+    """What is removed grows with the corpus: it is shuffled to the texts also where it is small enough to broadcast."""
+    rows = [(i, f"first {i}\nshared one\nshared two\nlast {i}") for i in range(20)]
+    left = line_dedup.deduplicate(documents(spark, rows))
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    assert sorted(r["n_removed"] for r in left.collect()) == [0] + [2] * 19
