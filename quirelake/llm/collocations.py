@@ -27,6 +27,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -50,30 +51,29 @@ SAMPLE_ROWS, FREQUENT_WORDS = 2_000, 128
 SALTS = 32
 WORD, PAIR, EDGE = 1, 2, 3
 
-_CUTS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
+#: Stands after the last word of a piece; words have no such sign, since texts are cut there.
+END = b"."
+_CUTS = bytes.maketrans(b",;:!?\n\x0b\x0c\r", END * 9)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def grams(text: bytes) -> Iterator[bytes]:
-    """The longest gram that starts at each word of a text; near the end of a piece it is shorter."""
-    for piece in text.lower().translate(_CUTS).split(b"\n"):
-        words = piece.split()
-        if len(words) >= LONGEST:
-            yield from map(b" ".join, zip(*(words[i:] for i in range(LONGEST)), strict=False))
-        for tail in range(min(len(words), LONGEST - 1), 0, -1):
-            yield b" ".join(words[-tail:])
+    """The longest gram that starts at each word of a text; near the end of a piece it is filled up with END."""
+    filling = [END] * (LONGEST - 1)
+    words = text.lower().translate(_CUTS).replace(END, b" " + b" ".join(filling) + b" ").split() + filling
+    runs = zip(*(islice(words, i, None) for i in range(LONGEST)), strict=False)
+    return compress(map(b" ".join, runs), map(END.__ne__, words))
 
 
 def _parts(
-    listed: list[bytes], first: np.ndarray, words: list[bytes], lang: str, parts: int, frequent: frozenset[bytes]
+    listed: pa.Array, first: np.ndarray, words: list[bytes], lang: str, parts: int, frequent: frozenset[bytes]
 ) -> tuple[np.ndarray, np.ndarray]:
     """The part of each gram, and of each of `words`, which `first` numbers as the grams' first words."""
     seed = zlib.crc32(lang.encode())
     home = np.fromiter((zlib.crc32(w, seed) % parts for w in words), np.int64, len(words))
     part = home[first]
-    often = np.fromiter((w in frequent for w in words), bool, len(words))
-    for i in np.flatnonzero(often[first]).tolist():
-        gram = listed[i]
+    often = np.flatnonzero(np.fromiter((w in frequent for w in words), bool, len(words))[first])
+    for i, gram in zip(often.tolist(), listed.take(pa.array(often)).cast(pa.binary()).to_pylist(), strict=True):
         pair = gram.split(b" ", 2)
         whole = len(pair) == LONGEST and pair[1] in frequent
         part[i] = zlib.crc32(gram if whole else b" ".join(pair[:2]), seed) % parts
@@ -94,25 +94,22 @@ def _blocks(counts: dict[str, Counter], parts: int, frequent: frozenset[bytes])
     for lang, counter in counts.items():
         if not counter:
             continue
-        listed = list(counter)
-        n = np.fromiter(counter.values(), np.int64, len(listed))
-        split = pc.split_pattern(pa.array(listed, pa.binary()).cast(pa.string()), " ", max_splits=1)
-        coded = pc.list_element(split, 0).dictionary_encode()
-        first, words = coded.indices.to_numpy(), [w.encode() for w in coded.dictionary.to_pylist()]
-        part, home = _parts(listed, first, words, lang, parts, frequent)
+        n = np.fromiter(counter.values(), np.int64, len(counter))
+        listed = pc.ascii_rtrim(pa.array(list(counter), pa.binary()).cast(pa.string()), characters=" " + END.decode())
+        coded = pc.list_element(pc.split_pattern(listed, " ", max_splits=1), 0).dictionary_encode()
+        first, words = coded.indices.to_numpy(), coded.dictionary
+        part, home = _parts(listed, first, words.cast(pa.binary()).to_pylist(), lang, parts, frequent)
         flow = np.zeros(len(words), dtype=np.int64)
         np.add.at(flow, first, n)
         for kind, lines, where, weights, near in ((EDGE, listed, part, n, first), (WORD, words, home, flow, np.arange(len(words)))):
             order, starts = _runs(where, weights, near)
-            ends = [*starts[1:].tolist(), len(order)]
-            at = order.tolist()
-            blocks = [b"\n".join([lines[i] for i in at[a:b]]) for a, b in zip(starts.tolist(), ends, strict=True)]
+            bounds = pa.array(np.append(starts, len(order)), pa.int32())
+            blocks = pc.binary_join(pa.ListArray.from_arrays(bounds, lines.take(pa.array(order))), "\n")
             heads = order[starts]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([lang] * len(heads), pa.string()), pa.array(where[heads], pa.int32()),
-                    pa.array(np.full(len(heads), kind), pa.int32()), pa.array(weights[heads], pa.int64()),
-                    pa.array(blocks, pa.binary()).cast(pa.string()),
+                    pa.array(np.full(len(heads), kind), pa.int32()), pa.array(weights[heads], pa.int64()), blocks,
                 ],
                 ["lang", "part", "kind", "n", "block"],
             )

@@ -247,3 +247,24 @@ def test_empty_tables(spark):
     assert collocations.mine(docs).count() == 0
     assert filter_audit.filter_audit(docs, labels).count() == 0
     assert secrets.scan(docs).count() == 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="aBé .,\t\n\x0b!", max_size=40), min_size=1, max_size=4), st.sampled_from([[], [b"a"], [b"a", b"b"]]))
+def test_blocks_hold_the_grams_by_plain_loops(texts, frequent):
+    expected = Counter()
+    for text in texts:
+        for piece in re.split(r"[.,;:!?\n-\r]", text.replace("B", "b")):
+            words = re.findall(r"[^ \t]+", piece)
+            expected.update(" ".join(words[i : i + 3]) for i in range(len(words)))
+    counted = Counter(g for t in texts for g in collocations.grams(t.encode()))
+    found, flows = Counter(), Counter()
+    for batch in collocations._blocks({"en": counted}, 8, frozenset(frequent)):
+        for row in batch.to_pylist():
+            for line in row["block"].split("\n"):
+                (found if row["kind"] == collocations.EDGE else flows)[line] += row["n"]
+    assert found == expected
+    firsts = Counter()
+    for gram, n in expected.items():
+        firsts[gram.split(" ")[0]] += n
+    assert flows == firsts
