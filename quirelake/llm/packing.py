@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirelake.llm.common import LOCATOR, located, slices, small_batches, stored
-from quirelake.llm.pretoken import PieceCache, unlike
+from quirelake.llm.pretoken import WordCache, unlike
 
 CAPACITY = 1024
 END_ID = 2
@@ -59,15 +59,18 @@ def _encoder(path: str, added_tokens: bool) -> Callable[[list[str]], Iterator[by
     tokenizer.encode_special_tokens = not added_tokens
     marks = [t.content for t in tokenizer.get_added_tokens_decoder().values() if added_tokens or not t.special]
     odd = unlike(tokenizer.pre_tokenizer.pre_tokenize_str)
-    model = tokenizer.model
+    tokenize = tokenizer.model.tokenize
     written = byte_characters()
+    blank = written[ord(" ")]
 
-    def encode(words: list[str]) -> list[bytes]:
-        # latin-1 gives every byte of the UTF-8 form the character of its number
-        spelled = [w.encode().decode("latin-1").translate(written) for w in words]
-        return [array("I", [t.id for t in model.tokenize(w)]).tobytes() for w in spelled]
+    def encode(word: str) -> bytes:
+        if word.isascii() and word.isprintable():
+            spelled = word.replace(" ", blank)
+        else:  # latin-1 gives every byte of the UTF-8 form the character of its number
+            spelled = word.encode().decode("latin-1").translate(written)
+        return array("I", [t.id for t in tokenize(spelled)]).tobytes()
 
-    cache = PieceCache(encode, REMEMBERED)
+    cache = WordCache(encode, REMEMBERED)
 
     def whole(text: str) -> bool:
         if any(m in text for m in marks):

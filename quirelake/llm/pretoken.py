@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import regex
@@ -96,8 +97,8 @@ def _starts(points: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return np.flatnonzero(piece)
 
 
-def pieces(texts: list[str]) -> Iterator[list[str]]:
-    """The pieces of each text, in order."""
+def edges(texts: list[str]) -> Iterator[list[int]]:
+    """Where the pieces of each text start, in order, and where the text ends."""
     group: list[str] = []
     size = 0
     for text in texts:
@@ -110,19 +111,24 @@ def pieces(texts: list[str]) -> Iterator[list[str]]:
         yield from _split(group)
 
 
-def _split(texts: list[str]) -> Iterator[list[str]]:
+def _split(texts: list[str]) -> Iterator[list[int]]:
     joined = "".join(texts)
     if not joined:
-        yield from ([] for _ in texts)
+        yield from ([0] for _ in texts)
         return
     points = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
     bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     begins = np.unique(bounds[:-1][np.diff(bounds) > 0])
     starts = _starts(points, begins)
     cut = np.searchsorted(starts, bounds).tolist()
-    edges = [*starts.tolist(), len(joined)]
-    for a, b in zip(cut[:-1], cut[1:], strict=True):
-        yield [joined[x:y] for x, y in zip(edges[a:b], edges[a + 1 : b + 1], strict=True)]
+    for text, begin, a, b in zip(texts, bounds[:-1].tolist(), cut[:-1], cut[1:], strict=True):
+        yield [*(starts[a:b] - begin).tolist(), len(text)]
+
+
+def pieces(texts: list[str]) -> Iterator[list[str]]:
+    """The pieces of each text, in order."""
+    for text, at in zip(texts, edges(texts), strict=True):
+        yield [text[x:y] for x, y in pairwise(at)]
 
 
 class PieceCache:
@@ -159,3 +165,36 @@ class PieceCache:
         known.update(zip(fresh, self.encode(fresh), strict=True))
         for words in window:
             yield b"".join(map(known.__getitem__, words))
+
+
+class _Known(dict):
+    """Pieces and what they became; an unknown one is taken from the older generation, or encoded."""
+
+    def __init__(self, encode: Callable[[str], bytes], old: dict[str, bytes]):
+        self.encode, self.old = encode, old
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.old.get(word)
+        if found is None:
+            found = self.encode(word)
+        self[word] = found
+        return found
+
+
+class WordCache:
+    """As PieceCache, for an encoder that takes one piece at a time.
+
+    A piece is looked up as soon as it is cut. Batches of them, and sets of those, cost more than the lookups: they no
+    longer are in the processor's caches when they are looked at again.
+    """
+
+    def __init__(self, encode: Callable[[str], bytes], limit: int = CACHE):
+        self.encode, self.limit, self.young = encode, limit, _Known(encode, {})
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """Per text, its ids."""
+        for text, at in zip(texts, edges(texts), strict=True):
+            if len(self.young) >= self.limit:
+                self.young = _Known(self.encode, dict(self.young))
+            known = self.young
+            yield b"".join([known[text[x:y]] for x, y in pairwise(at)])

@@ -352,6 +352,41 @@ def test_bpe_equals_the_library(ranks, reference, texts, times):
         assert [int.from_bytes(ids[i : i + 4], "little") for i in range(0, len(ids), 4)] == reference.encode_ordinary(text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(CHARACTERS, min_size=1, max_size=6), st.integers(1, 40))
+def test_a_cache_of_single_pieces_gives_every_texts_bytes(texts, limit):
+    texts = ["", *texts, texts[0] * 5, ""]
+    cache, known = pretoken.WordCache(lambda word: word.encode("utf-32-le"), limit), 0
+    for text, ids in zip(texts, cache.ids(texts), strict=True):
+        assert ids == text.encode("utf-32-le")
+        known = max(known, len(regex.findall(public_tokenizers.PATTERN, text)))
+        assert len(cache.young) < limit + known and len(cache.young.old) < limit + known
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.characters(max_codepoint=0x17F), st.characters(exclude_categories=["Cs"])), max_size=60), max_size=6))
+def test_packing_encodes_every_character_as_the_library(texts):
+    tokenizer = Tokenizer.from_file(BYTE_BPE)
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    assert list(packing._encoder(BYTE_BPE, True)(texts)) == want
+
+
+def test_packing_keeps_no_pieces_of_its_texts():
+    """Pieces used to be held for a whole batch of texts and looked at three times, at a cost of CPU seconds and memory."""
+    encoded = packing._encoder(BYTE_BPE, True)
+    texts = ["\n".join(f"{i % 7} is" for i in range(j, j + 200)) for j in range(250)]
+    assert sum(map(len, pretoken.pieces(texts))) > 140_000
+    list(encoded(texts))
+    tracemalloc.start()
+    try:
+        for _ in encoded(texts):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 10e6, peak  # 12.2 MB then, 8.0 MB now
+
+
 def test_long_and_short_pieces_agree(ranks):
     rng = random.Random(1)
     words = ["".join(rng.choice("aaabcé") for _ in range(rng.randint(2, 200))).encode()[:256] for _ in range(200)]
