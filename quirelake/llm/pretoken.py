@@ -168,13 +168,13 @@ class PieceCache:
 
 
 class _Known(dict):
-    """Pieces and what they became; an unknown one is taken from the older generation, or encoded."""
+    """Pieces and what they became; an unknown one is moved from the older generation, or encoded."""
 
     def __init__(self, encode: Callable[[str], bytes], old: dict[str, bytes]):
         self.encode, self.old = encode, old
 
     def __missing__(self, word: str) -> bytes:
-        found = self.old.get(word)
+        found = self.old.pop(word, None)
         if found is None:
             found = self.encode(word)
         self[word] = found
